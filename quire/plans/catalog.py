@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.containment import author_index, author_totals
+from quire.operators.ordinal import with_global_ordinal
 from quire.plans import bibliography as bib
+from quire.plans import loadlog
 from quire.sources import fixtures
 
 # The name asked about by the single-name entries (any case),
@@ -114,6 +116,36 @@ def q_clique_articles(spark, sf_dir):
                          render_article("title", "author", "year").alias("text"))
 
 
+# The two hosts of the skew query (event types of ``events``).
+HOST_A, HOST_B = "click", "view"
+
+
+def _dated_log(spark, sf_dir, event_type=None):
+    """Fixture log -> numbered (global ordinal on ts, event_id) -> parsed -> dated.
+
+    The log date is the date of the earliest event of that log: one scalar
+    from a global aggregate, the stand-in for the file's modification date.
+    """
+    lines = fixtures.load_log_lines(spark, sf_dir, event_type)
+    first = lines.agg(F.min("ts").alias("t")).first()["t"]
+    numbered = with_global_ordinal(lines, [F.col("ts"), F.col("event_id")], name="line_no")
+    parsed = loadlog.parse_load_log(numbered.select("line_no", "value"))
+    return loadlog.with_day_roll(parsed, first.date() if first else "1970-01-01")
+
+
+def q_parse_load_log(spark, sf_dir):
+    return _dated_log(spark, sf_dir).select(
+        "line_no", "ts_sec", "uptime", "users", "load1", "load5", "load15")
+
+
+def q_log_report(spark, sf_dir):
+    return loadlog.log_report(_dated_log(spark, sf_dir))
+
+
+def q_log_skew(spark, sf_dir):
+    return loadlog.log_skew(_dated_log(spark, sf_dir, HOST_A), _dated_log(spark, sf_dir, HOST_B))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publications": q_publications,
     "select_venues": q_select_venues,
@@ -127,4 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coauthor_totals": q_coauthor_totals,
     "clique_check": q_clique_check,
     "clique_articles": q_clique_articles,
+    "parse_load_log": q_parse_load_log,
+    "log_report": q_log_report,
+    "log_skew": q_log_skew,
 }

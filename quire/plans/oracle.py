@@ -7,7 +7,7 @@ in place of the skew-safe ordinals.
 
 from __future__ import annotations
 
-from quire.plans.catalog import CLIQUE_ARGS, PROBE_NAME
+from quire.plans.catalog import CLIQUE_ARGS, HOST_A, HOST_B, PROBE_NAME
 from quire.sources.fixtures import FIXTURE_STOP_WORDS
 
 
@@ -105,6 +105,35 @@ def _clique_req() -> str:
     return CLIQUE_REQ.format(values=values)
 
 
+def _log(name: str, where: str) -> str:
+    """A fixture log as SQL: numbered, rendered, dated with the day roll."""
+    return f"""
+{name}_ev AS (
+  SELECT row_number() OVER (ORDER BY ts, event_id) AS line_no, event_id, ts, user_id, value,
+         hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS sec,
+         printf('%d:%02d', (event_id % 1440) // 60, (event_id % 1440) % 60) AS hm
+  FROM events {where}
+),
+{name}_r AS (
+  SELECT *, CASE WHEN sec < lag(sec) OVER (ORDER BY line_no) THEN 1 ELSE 0 END AS back
+  FROM {name}_ev
+),
+{name} AS (
+  SELECT line_no, event_id, user_id, value, sec,
+         CAST(epoch((SELECT CAST(min(ts) AS DATE) FROM events {where})) AS BIGINT)
+           + 86400 * sum(back) OVER (ORDER BY line_no ROWS UNBOUNDED PRECEDING) + sec AS ts_sec,
+         CASE WHEN event_id % 3 = 0 THEN '1 day, ' || hm
+              WHEN event_id % 1440 < 60 THEN CAST(event_id % 1440 AS VARCHAR) || ' min'
+              ELSE hm END AS uptime,
+         CAST(user_id % 5 + 1 AS INTEGER) AS users,
+         value AS load1, value * 2 AS load5,
+         CASE WHEN event_id % 4 = 0 THEN 0.0 ELSE value * 4 END AS load15,
+         strftime(make_timestamp(2000, 1, 1, sec // 3600, (sec % 3600) // 60, sec % 60), '%H:%M:%S')
+           AS hms
+  FROM {name}_r
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     probe = _quote(PROBE_NAME.lower())
     q: dict[str, str] = {}
@@ -164,4 +193,33 @@ SELECT found.cmd_id,
        nn.title || ' , [' || array_to_string(nn.author, ',') || '] , ' || CAST(nn.year AS VARCHAR)
          AS text
 FROM found JOIN nn ON nn.pub_id = found.pub_id"""
+    q["parse_load_log"] = f"""
+WITH {_log("lg", "")[1:]}
+SELECT line_no, ts_sec, uptime, users, load1, load5, load15 FROM lg"""
+    q["log_report"] = f"""
+WITH {_log("lg", "")[1:]},
+txt AS (
+  SELECT line_no,
+         printf('%s up %s, %d %s, load average: %.2f, %.2f, %.2f', hms, uptime, users,
+                CASE WHEN users = 1 THEN 'user' ELSE 'users' END, load1, load5, load15) AS line,
+         ts_sec, load15
+  FROM lg
+)
+SELECT 'line_count' AS section, CAST(0 AS BIGINT) AS ord, CAST(count(*) AS VARCHAR) AS text FROM txt
+UNION ALL
+SELECT 'span_seconds', 0, CAST(max_by(ts_sec, line_no) - min_by(ts_sec, line_no) AS VARCHAR) FROM txt
+UNION ALL
+SELECT 'positive_load15', 0, CAST(count(*) FILTER (WHERE load15 > 0) AS VARCHAR) FROM txt
+UNION ALL
+SELECT 'nonnull_load15', 0, CAST(count(load15) AS VARCHAR) FROM txt
+UNION ALL
+SELECT 'even_bytes', 0, CAST(sum(strlen(line) + 1) FILTER (WHERE line_no % 2 = 0) AS VARCHAR)
+FROM txt
+UNION ALL
+SELECT 'even_line', line_no, line FROM txt WHERE line_no % 2 = 0"""
+    q["log_skew"] = f"""
+WITH {_log("la", f"WHERE event_type = {_quote(HOST_A)}")[1:]},
+{_log("lb", f"WHERE event_type = {_quote(HOST_B)}")[1:]}
+SELECT lb.line_no, lb.ts_sec - la.ts_sec AS seconds
+FROM lb JOIN la ON la.line_no = lb.line_no"""
     return q
