@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from quire.operators.containment import author_index, author_totals
 from quire.operators.ordinal import with_global_ordinal
 from quire.plans import bibliography as bib
-from quire.plans import loadlog
+from quire.plans import copying, generate, loadlog
+from quire.session import read_table, scratch_path
 from quire.sources import fixtures
 
 # The name asked about by the single-name entries (any case),
@@ -146,6 +147,48 @@ def q_log_skew(spark, sf_dir):
     return loadlog.log_skew(_dated_log(spark, sf_dir, HOST_A), _dated_log(spark, sf_dir, HOST_B))
 
 
+# Repeat count, set width and stride of the generator entries
+# (the number of values is the row count of ``orders``, so work grows with sf);
+# the part count of the copy entry.
+GEN_TIMES, SET_WIDTH, SET_STRIDE = 4, 1000, 1001
+COPY_PARTS = 8
+COPY_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _gen_number(spark, sf_dir) -> int:
+    return read_table(spark, sf_dir, "orders").count()
+
+
+def q_repeated_ints(spark, sf_dir):
+    return generate.repeated_ints(spark, _gen_number(spark, sf_dir), GEN_TIMES)
+
+
+def q_int_sets(spark, sf_dir):
+    values = generate.repeated_ints(spark, _gen_number(spark, sf_dir), GEN_TIMES)
+    return generate.set_summary(generate.int_sets(values, SET_WIDTH, SET_STRIDE))
+
+
+def q_chunk_plan(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders")
+    return copying.chunk_plan(spark, orders, ["o_orderkey"], "o_orderkey")
+
+
+def q_range_copy(spark, sf_dir):
+    dest = scratch_path(spark, "range-copy")
+    copying.range_copy(read_table(spark, sf_dir, "lineitem"), COPY_KEYS, COPY_PARTS, dest)
+    return spark.read.parquet(dest)
+
+
+def q_copy_sweep(spark, sf_dir):
+    checks, _millis = copying.copy_sweep(
+        spark, read_table(spark, sf_dir, "lineitem"), COPY_KEYS, scratch_path(spark, "sweep"))
+    return checks.select("n", "rows", "key_sum")
+
+
+def q_table_size(spark, sf_dir):
+    return copying.table_size(read_table(spark, sf_dir, "lineitem"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publications": q_publications,
     "select_venues": q_select_venues,
@@ -162,4 +205,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_load_log": q_parse_load_log,
     "log_report": q_log_report,
     "log_skew": q_log_skew,
+    "repeated_ints": q_repeated_ints,
+    "int_sets": q_int_sets,
+    "chunk_plan": q_chunk_plan,
+    "range_copy": q_range_copy,
+    "copy_sweep": q_copy_sweep,
+    "table_size": q_table_size,
 }

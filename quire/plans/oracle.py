@@ -7,7 +7,9 @@ in place of the skew-safe ordinals.
 
 from __future__ import annotations
 
-from quire.plans.catalog import CLIQUE_ARGS, HOST_A, HOST_B, PROBE_NAME
+from quire.plans.catalog import (CLIQUE_ARGS, GEN_TIMES, HOST_A, HOST_B, PROBE_NAME,
+                                 SET_STRIDE, SET_WIDTH)
+from quire.plans.copying import SWEEP
 from quire.sources.fixtures import FIXTURE_STOP_WORDS
 
 
@@ -222,4 +224,37 @@ WITH {_log("la", f"WHERE event_type = {_quote(HOST_A)}")[1:]},
 {_log("lb", f"WHERE event_type = {_quote(HOST_B)}")[1:]}
 SELECT lb.line_no, lb.ts_sec - la.ts_sec AS seconds
 FROM lb JOIN la ON la.line_no = lb.line_no"""
+    nvals = "(SELECT count(*) FROM orders)"
+    q["repeated_ints"] = f"""
+SELECT CAST(unnest(list_transform(range({GEN_TIMES}), lambda x: v)) AS INTEGER) AS v
+FROM (SELECT range AS v FROM range(1, {nvals} + 1))"""
+    q["int_sets"] = f"""
+WITH k AS (
+  SELECT CAST((range - 1) // {SET_STRIDE} AS INTEGER) AS i, range AS v
+  FROM range(1, {nvals} + 1) WHERE (range - 1) % {SET_STRIDE} < {SET_WIDTH}
+)
+SELECT i, count(*) AS size, min(v) AS first, max(v) AS last, CAST(sum(v) AS BIGINT) AS total
+FROM k GROUP BY i"""
+    size = "(SELECT count(*) FROM orders)"
+    parts = []
+    for n in SWEEP:
+        length = f"greatest(({size} + {n} - 1) // {n}, 1)"
+        parts.append(f"""
+SELECT CAST({n} AS INTEGER) AS n, CAST(c.chunk AS INTEGER) AS chunk,
+       CAST(least(c.chunk * {length}, {size}) AS BIGINT) AS "begin",
+       CAST(least(c.chunk * {length} + {length}, {size}) AS BIGINT) AS "end",
+       coalesce(s.rows, 0) AS rows, s.min_key, s.max_key
+FROM (SELECT unnest(range({n})) AS chunk) c
+LEFT JOIN (
+  SELECT (p // {length}) AS chunk, count(*) AS rows, min(o_orderkey) AS min_key,
+         max(o_orderkey) AS max_key
+  FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS p FROM orders)
+  GROUP BY 1
+) s ON s.chunk = c.chunk""")
+    q["chunk_plan"] = "\nUNION ALL\n".join(parts)
+    q["range_copy"] = "SELECT * FROM lineitem"
+    q["copy_sweep"] = "\nUNION ALL\n".join(
+        f"SELECT CAST({n} AS INTEGER) AS n, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS key_sum "
+        f"FROM lineitem" for n in SWEEP)
+    q["table_size"] = "SELECT count(*) AS coun FROM lineitem"
     return q
