@@ -18,6 +18,7 @@ from quire.plans import bibliography as bib
 from quire.plans import copying, generate, loadlog
 from quire.session import read_table, scratch_path
 from quire.sources import fixtures
+from quire.sources import xml as xmlsrc
 
 # The name asked about by the single-name entries (any case),
 # and the clique arguments of the clique entries.
@@ -189,7 +190,39 @@ def q_table_size(spark, sf_dir):
     return copying.table_size(read_table(spark, sf_dir, "lineitem"))
 
 
+def _fixture_xml(spark, sf_dir) -> str:
+    """Render the publications adapter as XML text files under scratch space."""
+    dest = scratch_path(spark, "pubs-xml")
+    xmlsrc.render_records(fixtures.publications(spark, sf_dir)).select("value") \
+        .write.mode("overwrite").text(dest)
+    return dest
+
+
+def q_xml_publications(spark, sf_dir):
+    pubs = xmlsrc.load_publications(spark, _fixture_xml(spark, sf_dir))
+    return pubs.select("pub_key", "title", F.concat_ws(",", "author").alias("authors"),
+                       "year", "url")
+
+
+def q_retag_records(spark, sf_dir):
+    src = _fixture_xml(spark, sf_dir)
+    dest = xmlsrc.retag_lines(spark, src, scratch_path(spark, "pubs-xml-retagged"))
+    recs = xmlsrc.xml_records(spark, dest, kinds=(xmlsrc.UNIFIED,))
+    return recs.select(
+        F.regexp_extract("xml", r'^<\w+[^>]*?\skey="([^"]*)"', 1).alias("pub_key"), "xml")
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    from quire.operators.containment import persisted
+    dest = scratch_path(spark, "pubs-parquet")
+    fixtures.publications(spark, sf_dir).write.mode("overwrite").parquet(dest)
+    return bib.publications_text(persisted(spark.read.parquet(dest)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "retag_records": q_retag_records,
+    "xml_publications": q_xml_publications,
+    "parquet_roundtrip": q_parquet_roundtrip,
     "publications": q_publications,
     "select_venues": q_select_venues,
     "top_authors": q_top_authors,

@@ -224,6 +224,26 @@ WITH {_log("la", f"WHERE event_type = {_quote(HOST_A)}")[1:]},
 {_log("lb", f"WHERE event_type = {_quote(HOST_B)}")[1:]}
 SELECT lb.line_no, lb.ts_sec - la.ts_sec AS seconds
 FROM lb JOIN la ON la.line_no = lb.line_no"""
+    q["parquet_roundtrip"] = q["publications"]
+    q["xml_publications"] = f"""
+WITH {PUBS[1:]}
+SELECT 'pub/' || CAST(pub_id AS VARCHAR) AS pub_key, title,
+       array_to_string(author, ',') AS authors, year, url
+FROM nn"""
+    esc = "replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    q["retag_records"] = f"""
+WITH {PUBS[1:]},
+r AS (SELECT *, CASE WHEN pub_id % 2 = 0 THEN chr(10) ELSE '' END AS sep FROM pubs)
+SELECT 'pub/' || CAST(pub_id AS VARCHAR) AS pub_key,
+       '<article key="pub/' || CAST(pub_id AS VARCHAR) || '">' || sep
+       || CASE WHEN pub_id % 2 = 0
+               THEN array_to_string(list_transform(author, lambda a: '<author>' || {esc.format(x="a")} || '</author>'), chr(10))
+               ELSE array_to_string(list_transform(author, lambda a: '<author>' || {esc.format(x="a")} || '</author>'), '')
+          END
+       || sep || '<title>' || {esc.format(x="title")} || '</title>' || sep
+       || '<year>' || CAST(year AS VARCHAR) || '</year>' || sep
+       || '<url>' || {esc.format(x="url")} || '</url>' || sep || '</article>' AS xml
+FROM r"""
     nvals = "(SELECT count(*) FROM orders)"
     q["repeated_ints"] = f"""
 SELECT CAST(unnest(list_transform(range({GEN_TIMES}), lambda x: v)) AS INTEGER) AS v
