@@ -97,16 +97,25 @@ def ordered_lines(spark: SparkSession, path, per_file: bool = False) -> DataFram
     """``(file, line_no, value)`` with 1-based line numbers in file order.
 
     Files are ordered by path (part files of one directory read as one log);
-    with ``per_file`` every file is numbered from 1. The per-split table has
-    one row per file split (data size / split size); it is broadcast after a
-    count proves it small, otherwise joined by shuffle.
+    with ``per_file`` every file is numbered from 1.
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("_q_block"),
-        F.monotonically_increasing_id().alias("_q_mid"))
+        F.col("_metadata.file_block_start").alias("_q_block"))
+    return number_lines(raw, per_file)
+
+
+def number_lines(raw: DataFrame, per_file: bool = False) -> DataFrame:
+    """Number the lines of a text scan ``(value, file, _q_block)`` in file order.
+
+    Works on any plan whose partitions are the scan's splits read in order
+    (a batch scan, or a micro-batch of the file stream). The per-split table
+    has one row per file split (data size / split size); it is broadcast after
+    a count proves it small, otherwise joined by shuffle.
+    """
+    raw = raw.withColumn("_q_mid", F.monotonically_increasing_id())
     blocks = raw.groupBy("file", "_q_block").agg(
         F.count(F.lit(1)).alias("_q_cnt"), F.min("_q_mid").alias("_q_first"))
     w = (Window.partitionBy("file").orderBy("_q_block") if per_file
@@ -115,7 +124,7 @@ def ordered_lines(spark: SparkSession, path, per_file: bool = False) -> DataFram
     blocks = blocks.withColumn("_q_off", F.coalesce(F.sum("_q_cnt").over(before), F.lit(0)))
     blocks = checked_broadcast(blocks, MAX_BROADCAST_BLOCKS)
     out = raw.join(blocks, ["file", "_q_block"])
+    keep = [c for c in raw.columns if not c.startswith("_q_")]
     return out.select(
-        "file",
-        (F.col("_q_off") + F.col("_q_mid") - F.col("_q_first") + 1).alias("line_no"),
-        "value")
+        *keep,
+        (F.col("_q_off") + F.col("_q_mid") - F.col("_q_first") + 1).alias("line_no"))

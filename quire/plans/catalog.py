@@ -219,6 +219,36 @@ def q_parquet_roundtrip(spark, sf_dir):
     return bib.publications_text(persisted(spark.read.parquet(dest)))
 
 
+# The command lines of the service entry (one file, in order).
+COMMAND_LINES = (
+    "author: Supplier#000000066",
+    "foo:bar",
+    "author:",
+    "coauthor:supplier#000000060  :ignored",
+    "clique:supplier#000000066, supplier#000000060[2]",
+    "",
+    "AUTHOR:  supplier#000000027",
+    "clique:supplier#000000066,supplier#000000066[1]",
+    "clique:nobody[0]",
+    "clique:supplier#000000048",
+    "coauthor: nobody",
+    "clique : Supplier#000000027 , supplier#000000042 [3]",
+)
+
+
+def q_answer_commands(spark, sf_dir):
+    """Q12 through Structured Streaming: the command file is the stream's input."""
+    from quire.streaming.commands import CommandService, read_answers
+    src = scratch_path(spark, "commands")
+    spark.createDataFrame([(c,) for c in COMMAND_LINES], "value string") \
+        .coalesce(1).write.text(src)
+    service = CommandService(spark, fixtures.publications(spark, sf_dir))
+    out, ckpt = scratch_path(spark, "answers"), scratch_path(spark, "answers-ckpt")
+    query = service.start(src, out, ckpt, available_now=True)
+    query.awaitTermination()
+    return read_answers(spark, out).drop("cmd_file")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retag_records": q_retag_records,
     "xml_publications": q_xml_publications,
@@ -238,6 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_load_log": q_parse_load_log,
     "log_report": q_log_report,
     "log_skew": q_log_skew,
+    "answer_commands": q_answer_commands,
     "repeated_ints": q_repeated_ints,
     "int_sets": q_int_sets,
     "chunk_plan": q_chunk_plan,

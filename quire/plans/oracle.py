@@ -7,7 +7,7 @@ in place of the skew-safe ordinals.
 
 from __future__ import annotations
 
-from quire.plans.catalog import (CLIQUE_ARGS, GEN_TIMES, HOST_A, HOST_B, PROBE_NAME,
+from quire.plans.catalog import (CLIQUE_ARGS, COMMAND_LINES, GEN_TIMES, HOST_A, HOST_B, PROBE_NAME,
                                  SET_STRIDE, SET_WIDTH)
 from quire.plans.copying import SWEEP
 from quire.sources.fixtures import FIXTURE_STOP_WORDS
@@ -70,7 +70,7 @@ FROM c ORDER BY n DESC, word LIMIT 100"""
 
 
 CLIQUE_REQ = """
-cmds(cmd_id, arg) AS (VALUES {values}),
+cmds(cmd_id, arg) AS ({source}),
 parts AS (
   SELECT cmd_id, string_split(regexp_replace(arg, ',+$', ''), ',') AS p FROM cmds
 ),
@@ -104,7 +104,7 @@ found AS (
 
 def _clique_req() -> str:
     values = ", ".join(f"({i}, {_quote(a)})" for i, a in enumerate(CLIQUE_ARGS))
-    return CLIQUE_REQ.format(values=values)
+    return CLIQUE_REQ.format(source="VALUES " + values)
 
 
 def _log(name: str, where: str) -> str:
@@ -136,6 +136,74 @@ def _log(name: str, where: str) -> str:
 )"""
 
 
+def _answer_commands() -> str:
+    lines = ", ".join(f"({i + 1}, {_quote(v)})" for i, v in enumerate(COMMAND_LINES))
+    clique = CLIQUE_REQ.format(
+        source="SELECT cmd_line, arg FROM c WHERE op = 'clique' AND status0 = 'ok'")
+    return f"""
+WITH {PUBS[1:]},
+raw(cmd_line, value) AS (VALUES {lines}),
+p AS (SELECT cmd_line, string_split(value, ':') AS parts FROM raw),
+c AS (
+  SELECT cmd_line,
+         lower(trim(regexp_replace(trim(parts[1]), ' +', ' ', 'g'))) AS op,
+         lower(trim(regexp_replace(trim(parts[2]), ' +', ' ', 'g'))) AS arg,
+         CASE WHEN len(parts) < 2 THEN 'invalid input'
+              WHEN parts[2] IS NULL OR lower(trim(regexp_replace(trim(parts[2]), ' +', ' ', 'g'))) = ''
+                THEN 'invalid input'
+              WHEN lower(trim(regexp_replace(trim(parts[1]), ' +', ' ', 'g')))
+                   NOT IN ('author', 'coauthor', 'clique') THEN 'unknown command'
+              ELSE 'ok' END AS status0
+  FROM p
+),{clique[1:]},
+cmd AS (
+  SELECT c.cmd_line, c.op, c.arg,
+         CASE WHEN c.op = 'clique' AND c.status0 = 'ok' AND req.min_count IS NULL
+              THEN 'invalid input' ELSE c.status0 END AS status
+  FROM c LEFT JOIN req ON req.cmd_id = c.cmd_line
+),
+a_items AS (
+  SELECT cmd.cmd_line,
+         row_number() OVER (PARTITION BY cmd.cmd_line ORDER BY nn.year DESC, nn.title, nn.pub_id) AS rank,
+         nn.title AS text
+  FROM cmd JOIN idx ON idx.name_lc = cmd.arg JOIN nn ON nn.pub_id = idx.pub_id
+  WHERE cmd.status = 'ok' AND cmd.op = 'author'
+),
+co_sp AS (
+  SELECT DISTINCT cmd.cmd_line, sp.a AS author
+  FROM cmd JOIN idx ON idx.name_lc = cmd.arg
+  JOIN (SELECT pub_id, unnest(author) AS a FROM nn) sp ON sp.pub_id = idx.pub_id
+  WHERE cmd.status = 'ok' AND cmd.op = 'coauthor' AND sp.a IS NOT NULL
+),
+tot AS (SELECT name_lc, count(*) AS n FROM idx GROUP BY name_lc),
+co_items AS (
+  SELECT co_sp.cmd_line,
+         row_number() OVER (PARTITION BY co_sp.cmd_line ORDER BY tot.n DESC, co_sp.author) AS rank,
+         co_sp.author || ' : ' || CAST(tot.n AS VARCHAR) AS text
+  FROM co_sp JOIN tot ON tot.name_lc = lower(co_sp.author)
+),
+cl_items AS (
+  SELECT found.cmd_id AS cmd_line,
+         row_number() OVER (PARTITION BY found.cmd_id ORDER BY nn.year DESC, nn.title, nn.pub_id) AS rank,
+         nn.title || ' , [' || array_to_string(nn.author, ',') || '] , ' || CAST(nn.year AS VARCHAR) AS text
+  FROM found JOIN nn ON nn.pub_id = found.pub_id
+),
+items AS (SELECT * FROM a_items UNION ALL SELECT * FROM co_items UNION ALL SELECT * FROM cl_items),
+cnt AS (SELECT cmd_line, count(*) AS n FROM items GROUP BY cmd_line),
+heads AS (
+  SELECT cmd.cmd_line, 0 AS rank,
+         CASE WHEN cmd.status <> 'ok' THEN NULL
+              WHEN cmd.op = 'clique' THEN
+                CASE WHEN coalesce(cnt.n, 0) >= req.min_count THEN 'YES' ELSE 'NO' END
+              ELSE CAST(coalesce(cnt.n, 0) AS VARCHAR) END AS text
+  FROM cmd LEFT JOIN cnt ON cnt.cmd_line = cmd.cmd_line
+  LEFT JOIN req ON req.cmd_id = cmd.cmd_line
+)
+SELECT cmd.cmd_line, cmd.op, cmd.arg, cmd.status, CAST(r.rank AS BIGINT) AS rank, r.text
+FROM (SELECT * FROM heads UNION ALL SELECT * FROM items) r
+JOIN cmd ON cmd.cmd_line = r.cmd_line"""
+
+
 def oracle_sql() -> dict[str, str]:
     probe = _quote(PROBE_NAME.lower())
     q: dict[str, str] = {}
@@ -244,6 +312,7 @@ SELECT 'pub/' || CAST(pub_id AS VARCHAR) AS pub_key,
        || '<year>' || CAST(year AS VARCHAR) || '</year>' || sep
        || '<url>' || {esc.format(x="url")} || '</url>' || sep || '</article>' AS xml
 FROM r"""
+    q["answer_commands"] = _answer_commands()
     nvals = "(SELECT count(*) FROM orders)"
     q["repeated_ints"] = f"""
 SELECT CAST(unnest(list_transform(range({GEN_TIMES}), lambda x: v)) AS INTEGER) AS v
