@@ -100,7 +100,7 @@ def copy_sweep(spark: SparkSession, table: DataFrame, key, dest_base: str,
         back = spark.read.parquet(dest)
         checks.append(back.agg(F.count(F.lit(1)).alias("rows"),
                                F.sum(F.col(keys[0])).alias("key_sum"),
-                               F.sum(F.xxhash64(*cols)).alias("checksum"))
+                               F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("checksum"))
                       .select(F.lit(n).alias("n"), "rows", "key_sum", "checksum"))
     out = checks[0]
     for c in checks[1:]:
