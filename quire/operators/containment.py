@@ -1,15 +1,24 @@
-"""Author index, list membership and multiset containment.
+"""Author lists as join keys: membership, totals and multiset containment
+(F6, F7, J5, A2, A11).
 
 The reference answers every question with a row lambda over the whole table
-(or, for co-authors, one full scan per co-author). Here the author lists are
-exploded once into an index ``(pub_id, name_lc, have)`` -- ``have`` is how
-often the lower-cased name occurs in that publication's list -- and every
-question is a join against it:
-
-* membership (F6): ``name_lc = lower(name)``;
-* multiset containment (F7/J5): relational division -- explode the requested
-  names with their multiplicity ``need``, join on the name keeping
-  ``have >= need``, and keep publications matched by all distinct names.
+(or, for co-authors, one full scan per co-author). Here every question is a
+join of the publications -- exploded by author name in the same scan -- with
+a small table of requests:
+
+* membership (F6): each publication is exploded over the *distinct*
+  lower-cased names of its list and joined on ``name_lc``; a name listed twice
+  matches once, with no aggregation.
+* multiset containment (F7/J5): relational division -- the requested names
+  with their multiplicity ``need`` are joined to the exploded list entries,
+  occurrences are counted per (request, publication, name) over the matches
+  only, ``have >= need`` is kept, and a publication qualifies when all
+  distinct requested names do.
+
+Requests are small (a batch of commands), so Spark broadcasts them and the
+publications are streamed through the join without a shuffle; only matches
+reach an aggregation. A large request table falls back to a sort-merge join
+on the name, where AQE splits a hot name.
 """
 
 from __future__ import annotations
@@ -19,30 +28,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def lower_names(col: str = "author"):
+    return F.transform(F.filter(col, lambda a: a.isNotNull()), lambda a: F.lower(a))
+
+
+def by_distinct_name(pubs: DataFrame, *keep: str) -> DataFrame:
+    """``(*keep, name_lc)``: one row per publication and distinct lower-cased name."""
+    return pubs.select(*keep, F.explode(F.array_distinct(lower_names())).alias("name_lc"))
+
+
 def author_index(pubs: DataFrame) -> DataFrame:
-    """``(pub_id, name_lc, have)``; partial aggregation combines duplicates map-side."""
-    return (pubs.select("pub_id", F.explode("author").alias("_a"))
-                .where(F.col("_a").isNotNull())
-                .groupBy("pub_id", F.lower("_a").alias("name_lc"))
-                .agg(F.count(F.lit(1)).alias("have")))
+    """``(pub_id, name_lc, have)``: occurrences of each name in each list (explicit form)."""
+    return (pubs.select("pub_id", F.explode(lower_names()).alias("name_lc"))
+                .groupBy("pub_id", "name_lc").agg(F.count(F.lit(1)).alias("have")))
 
 
-def author_totals(index: DataFrame) -> DataFrame:
-    """A2: publications per lower-cased name (a name twice in a list counts once)."""
-    return index.groupBy("name_lc").agg(F.count(F.lit(1)).alias("n"))
+def author_totals(pubs: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """A2: publications per lower-cased name; a name twice in a list counts once.
+
+    ``names`` (``name_lc``) restricts the count to those names before the
+    aggregation. No shuffle precedes the map-side partial count.
+    """
+    ex = by_distinct_name(pubs)
+    if names is not None:
+        ex = ex.join(names.select("name_lc").distinct(), "name_lc", "left_semi")
+    return ex.groupBy("name_lc").agg(F.count(F.lit(1)).alias("n"))
 
 
-def containing(index: DataFrame, requests: DataFrame, key: str = "cmd_id") -> DataFrame:
+def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id") -> DataFrame:
     """``(key, pub_id)`` for every publication whose list holds all names of a request.
 
-    ``requests`` has ``(key, names array<string>)`` with names already
-    normalised; a name listed m times must occur at least m times.
+    ``requests`` has ``(key, names array<string>)`` with names normalised; a
+    name listed m times must occur at least m times.
     """
     need = (requests.select(key, F.explode("names").alias("name_lc"))
                     .groupBy(key, "name_lc").agg(F.count(F.lit(1)).alias("need")))
     k = need.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
-    hits = (need.join(index, "name_lc")
-                .where(F.col("have") >= F.col("need"))
+    entries = pubs.select("pub_id", F.explode(lower_names()).alias("name_lc"))
+    have = (entries.join(need, "name_lc")
+                   .groupBy(key, "pub_id", "name_lc", "need")
+                   .agg(F.count(F.lit(1)).alias("have")))
+    hits = (have.where(F.col("have") >= F.col("need"))
                 .groupBy(key, "pub_id").agg(F.count(F.lit(1)).alias("_m")))
     return hits.join(k, key).where(F.col("_m") == F.col("_k")).select(key, "pub_id")
 

@@ -4,8 +4,7 @@ Every question is asked of a *request table* -- ``(cmd_id, ...)`` rows -- so
 that one call answers one name or a whole batch of commands with the same
 joins (no per-name job, no collect). The single-name helpers wrap one request.
 
-Inputs: ``pubs`` ``(pub_id, title, author array<string>, year, url)`` after F5,
-and the author index of ``operators.containment``.
+Input: ``pubs`` ``(pub_id, title, author array<string>, year, url)`` after F5.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.commands import parse_clique
 from quire.functions.text import render_article, render_author_list, title_tokens
-from quire.operators.containment import author_totals, containing
+from quire.operators.containment import author_totals, by_distinct_name, containing
 from quire.operators.ordinal import with_group_ordinal
 from quire.operators.topk import top_k
 from quire.session import checked_broadcast
@@ -100,14 +99,14 @@ def _name_requests(spark: SparkSession, names) -> DataFrame:
         .select("cmd_id", F.lower("name").alias("name_lc"))
 
 
-def titles_for(requests: DataFrame, pubs: DataFrame, index: DataFrame) -> DataFrame:
+def titles_for(requests: DataFrame, pubs: DataFrame) -> DataFrame:
     """Q7 rows: ``(cmd_id, pub_id, title, year, author)`` for every request name.
 
     F6: whole-name equality on lower-cased names; a publication listing the
-    name twice appears once (the index has one row per name and publication).
+    name twice appears once (its names are made distinct before the join).
     """
-    hits = requests.select("cmd_id", "name_lc").join(index.select("name_lc", "pub_id"), "name_lc")
-    return hits.join(pubs.select("pub_id", "title", "year", "author"), "pub_id") \
+    ex = by_distinct_name(pubs, "pub_id", "title", "year", "author")
+    return requests.select("cmd_id", "name_lc").join(ex, "name_lc") \
         .select("cmd_id", "pub_id", "title", "year", "author")
 
 
@@ -116,24 +115,22 @@ def ranked_titles(rows: DataFrame) -> DataFrame:
     return with_group_ordinal(rows, ["cmd_id"], title_order(), name="rank")
 
 
-def coauthors_for(requests: DataFrame, pubs: DataFrame, index: DataFrame) -> DataFrame:
+def coauthors_for(requests: DataFrame, pubs: DataFrame) -> DataFrame:
     """Q9 rows: ``(cmd_id, author, n)``.
 
     Distinct spellings (case-sensitive, A9) of everybody on a publication of the
     requested name -- the name itself included -- each with its own total (A2)
-    of the lower-cased spelling. Totals are computed only for those names:
-    the index is semi-joined to them before the aggregation (J2, one job in
-    place of one scan per co-author).
+    of the lower-cased spelling. Totals are computed only for those names,
+    which are semi-joined to the exploded lists before the count (J2: one job
+    in place of one scan per co-author).
     """
-    pub_hits = requests.select("cmd_id", "name_lc").join(
-        index.select("name_lc", "pub_id"), "name_lc").select("cmd_id", "pub_id")
-    spellings = (pub_hits.join(pubs.select("pub_id", "author"), "pub_id")
+    ex = by_distinct_name(pubs, "author")
+    spellings = (requests.select("cmd_id", "name_lc").join(ex, "name_lc")
                  .select("cmd_id", F.explode("author").alias("author"))
                  .where(F.col("author").isNotNull())
                  .distinct()
                  .withColumn("name_lc", F.lower("author")))
-    wanted = spellings.select("name_lc").distinct()
-    totals = author_totals(index.join(wanted, "name_lc", "left_semi"))
+    totals = author_totals(pubs, spellings)
     return spellings.join(totals, "name_lc").select("cmd_id", "author", "n")
 
 
@@ -144,8 +141,7 @@ def clique_requests(commands: DataFrame) -> DataFrame:
                            p["min_count"].alias("min_count"), p["ok"].alias("ok"))
 
 
-def cliques_for(requests: DataFrame, pubs: DataFrame, index: DataFrame
-                ) -> tuple[DataFrame, DataFrame]:
+def cliques_for(requests: DataFrame, pubs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Q10 + Q11 for valid requests ``(cmd_id, names, min_count)``.
 
     Returns ``verdicts (cmd_id, matches, verdict)`` -- a left join so that a
@@ -153,7 +149,7 @@ def cliques_for(requests: DataFrame, pubs: DataFrame, index: DataFrame
     ``articles (cmd_id, pub_id, title, author, year)``.
     """
     valid = requests.where("ok").select("cmd_id", "names", "min_count")
-    found = containing(index, valid.select("cmd_id", "names"))
+    found = containing(pubs, valid.select("cmd_id", "names"))
     counts = found.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("matches"))
     verdicts = (valid.join(counts, "cmd_id", "left")
                 .select("cmd_id", F.coalesce("matches", F.lit(0)).alias("matches"),
@@ -165,33 +161,31 @@ def cliques_for(requests: DataFrame, pubs: DataFrame, index: DataFrame
 
 # --- single-request helpers (the reference's API) -------------------------------
 
-def author_titles(spark: SparkSession, pubs: DataFrame, index: DataFrame, name: str
-                  ) -> DataFrame:
+def author_titles(spark: SparkSession, pubs: DataFrame, name: str) -> DataFrame:
     """Q7: ``(rank, title, year, pub_id)`` of ``name``, newest first; count = rows."""
-    rows = titles_for(_name_requests(spark, [name]), pubs, index)
+    rows = titles_for(_name_requests(spark, [name]), pubs)
     return ranked_titles(rows).select("rank", "title", "year", "pub_id")
 
 
-def article_sum(spark: SparkSession, index: DataFrame, name: str) -> DataFrame:
+def article_sum(spark: SparkSession, pubs: DataFrame, name: str) -> DataFrame:
     """Q8: ``(name, n)``: publications listing ``name`` (any case)."""
     req = _name_requests(spark, [name])
-    n = req.join(index, "name_lc").groupBy("cmd_id").agg(F.count(F.lit(1)).alias("n"))
+    n = req.join(by_distinct_name(pubs), "name_lc").groupBy("cmd_id") \
+        .agg(F.count(F.lit(1)).alias("n"))
     return req.join(n, "cmd_id", "left").select(
         F.col("name_lc").alias("name"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def coauthor_totals(spark: SparkSession, pubs: DataFrame, index: DataFrame, name: str
-                    ) -> DataFrame:
+def coauthor_totals(spark: SparkSession, pubs: DataFrame, name: str) -> DataFrame:
     """Q9: ``(author, n)``, largest n first."""
-    rows = coauthors_for(_name_requests(spark, [name]), pubs, index)
+    rows = coauthors_for(_name_requests(spark, [name]), pubs)
     return rows.select("author", "n").orderBy(F.desc("n"), "author")
 
 
-def clique(spark: SparkSession, pubs: DataFrame, index: DataFrame, arg: str
-           ) -> tuple[DataFrame, DataFrame]:
+def clique(spark: SparkSession, pubs: DataFrame, arg: str) -> tuple[DataFrame, DataFrame]:
     """Q10/Q11 for one argument ``names[n]``: (verdict row, ranked articles)."""
     cmds = spark.createDataFrame([(0, arg.lower())], "cmd_id bigint, arg string")
-    verdicts, articles = cliques_for(clique_requests(cmds), pubs, index)
+    verdicts, articles = cliques_for(clique_requests(cmds), pubs)
     ranked = with_group_ordinal(articles, ["cmd_id"], title_order(), name="rank")
     return verdicts, ranked.select(
         "rank", render_article("title", "author", "year").alias("text"))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.containment import author_index, author_totals
+from quire.operators.containment import author_totals
 from quire.operators.ordinal import with_global_ordinal
 from quire.plans import bibliography as bib
 from quire.plans import copying, generate, loadlog
@@ -61,48 +61,41 @@ def q_top_words_documents(spark, sf_dir):
 
 
 def q_author_titles(spark, sf_dir):
-    pubs = _pubs(spark, sf_dir)
-    return bib.author_titles(spark, pubs, author_index(pubs), PROBE_NAME)
+    return bib.author_titles(spark, _pubs(spark, sf_dir), PROBE_NAME)
 
 
 def q_author_titles_all(spark, sf_dir):
     """Q7 for every author at once: the index is the request table."""
     pubs = _pubs(spark, sf_dir)
-    idx = author_index(pubs)
-    names = idx.select("name_lc").distinct()
+    names = author_totals(pubs).select("name_lc")
     req = names.select(F.col("name_lc"), F.col("name_lc").alias("cmd_id"))
-    rows = bib.titles_for(req, pubs, idx)
+    rows = bib.titles_for(req, pubs)
     ranked = bib.ranked_titles(rows)
     return ranked.select(F.col("cmd_id").alias("name"), "rank", "title", "year", "pub_id")
 
 
 def q_article_sum(spark, sf_dir):
-    pubs = _pubs(spark, sf_dir)
-    return bib.article_sum(spark, author_index(pubs), PROBE_NAME)
+    return bib.article_sum(spark, _pubs(spark, sf_dir), PROBE_NAME)
 
 
 def q_author_totals(spark, sf_dir):
-    pubs = _pubs(spark, sf_dir)
-    return author_totals(author_index(pubs)).select(F.col("name_lc").alias("name"), "n")
+    return author_totals(_pubs(spark, sf_dir)).select(F.col("name_lc").alias("name"), "n")
 
 
 def q_coauthor_totals(spark, sf_dir):
-    pubs = _pubs(spark, sf_dir)
-    return bib.coauthor_totals(spark, pubs, author_index(pubs), PROBE_NAME)
+    return bib.coauthor_totals(spark, _pubs(spark, sf_dir), PROBE_NAME)
 
 
 def _clique_batch(spark, sf_dir):
     pubs = _pubs(spark, sf_dir)
-    idx = author_index(pubs)
     cmds = spark.createDataFrame([(i, a) for i, a in enumerate(CLIQUE_ARGS)],
                                  "cmd_id bigint, arg string")
-    req = bib.clique_requests(cmds)
-    return req, pubs, idx
+    return bib.clique_requests(cmds), pubs
 
 
 def q_clique_check(spark, sf_dir):
-    req, pubs, idx = _clique_batch(spark, sf_dir)
-    verdicts, _ = bib.cliques_for(req, pubs, idx)
+    req, pubs = _clique_batch(spark, sf_dir)
+    verdicts, _ = bib.cliques_for(req, pubs)
     invalid = req.where(~F.col("ok")).select(
         "cmd_id", F.lit(None).cast("bigint").alias("matches"),
         F.lit("invalid input").alias("verdict"))
@@ -110,8 +103,8 @@ def q_clique_check(spark, sf_dir):
 
 
 def q_clique_articles(spark, sf_dir):
-    req, pubs, idx = _clique_batch(spark, sf_dir)
-    _, articles = bib.cliques_for(req, pubs, idx)
+    req, pubs = _clique_batch(spark, sf_dir)
+    _, articles = bib.cliques_for(req, pubs)
     ranked = bib.ranked_titles(articles)
     from quire.functions.text import render_article
     return ranked.select("cmd_id", "rank", "pub_id",

@@ -81,5 +81,33 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one of the input tables; its schema is inferred once per process.
+
+    Inference reads a Parquet footer in a Spark job of its own; the inputs are
+    read-only, so later reads pass the known schema, as a catalog table would.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """Hash-spread an input that has fewer splits than the cluster has cores.
+
+    A Parquet file with one row group is one split, so everything up to the
+    first shuffle would run in one task. Only such inputs are repartitioned,
+    by the key the next join or aggregation uses, so that exchange is the one
+    Spark reuses; inputs with enough splits (any large table) pass untouched.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys) if keys else df.repartition(want)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import read_table
+from quire.session import read_table, spread
 
 # Order priority -> venue path used in the url.
 VENUE_BY_PRIORITY = {
@@ -33,21 +33,24 @@ FIXTURE_STOP_WORDS = ("the", "of", "and", "a", "an", "to", "in")
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(pub_id, title, author array<string>, year, url)``, one row per order.
 
-    The per-order list is built with ``collect_list`` of the order's lines; its
-    size is the number of lines of one order (at most 7 in TPC-H), so no group
-    grows with the table. Supplier and part are joined by key and Spark picks
-    broadcast or sort-merge from their sizes.
+    Lines are joined to their order first and grouped by the order's columns,
+    so a filter on ``year`` or ``url`` (functions of those columns) is pushed
+    below the aggregation onto ``orders``. The per-order list is built with
+    ``collect_list``; its size is the line count of one order (at most 7 in
+    TPC-H), so no group grows with the table. Supplier and part are joined by
+    key and Spark picks broadcast or sort-merge from their sizes.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "l_orderkey")
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_orderpriority")
 
-    lines = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+    lines = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+               .join(sup, li.l_suppkey == sup.s_suppkey)
                .join(part, li.l_partkey == part.p_partkey))
-    per_order = lines.groupBy("l_orderkey").agg(
+    per_order = lines.groupBy("o_orderkey", "o_orderdate", "o_orderpriority").agg(
         F.array_sort(F.collect_list(F.struct(
             "l_linenumber", "l_suppkey", "l_partkey", "s_name", "p_name"))).alias("ls"))
 
@@ -55,7 +58,7 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     for prio, path in reversed(list(VENUE_BY_PRIORITY.items())):
         venue = F.when(F.col("o_orderpriority") == prio, F.lit(path)).otherwise(venue)
 
-    return per_order.join(orders, per_order.l_orderkey == orders.o_orderkey).select(
+    return per_order.select(
         F.col("o_orderkey").alias("pub_id"),
         F.concat(F.array_join(F.transform("ls", lambda x: x["p_name"]), " "),
                  F.lit(".")).alias("title"),
@@ -68,8 +71,8 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents.text`` as ``title`` (whole texts)."""
-    return read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("pub_id"), F.col("text").alias("title"))
+    return spread(read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("pub_id"), F.col("text").alias("title")), "pub_id")
 
 
 def stop_words(spark: SparkSession, words=FIXTURE_STOP_WORDS) -> DataFrame:

@@ -4,7 +4,7 @@ The reference reads ``op:arg`` lines from a socket every 2 seconds and, for
 each line, runs one or more Spark jobs from inside an executor task. Here a
 micro-batch is answered as a set: all commands of the batch are parsed with
 column expressions and joined at once against two static tables that are
-read once and kept (``publications`` and the author index), then written as
+read once and kept (``publications``), then written as
 one tidy result:
 
 ``(cmd_file, cmd_line, op, arg, status, rank, text)``
@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.commands import STATUS_INVALID, STATUS_OK, parse_clique, parse_command
 from quire.functions.text import render_article
-from quire.operators.containment import author_index, persisted
+from quire.operators.containment import persisted
 from quire.operators.ordinal import number_lines, with_group_ordinal
 from quire.plans import bibliography as bib
 
@@ -53,7 +53,7 @@ def parse_commands(numbered: DataFrame) -> DataFrame:
         c["names"].alias("names"), c["min_count"].alias("min_count"))
 
 
-def answer(cmds: DataFrame, pubs: DataFrame, index: DataFrame) -> DataFrame:
+def answer(cmds: DataFrame, pubs: DataFrame) -> DataFrame:
     """Answer parsed commands; see the module docstring for the result."""
     ok = cmds.where(F.col("status") == STATUS_OK)
     author = ok.where(F.col("op") == "author").select("cmd_id", F.col("arg").alias("name_lc"))
@@ -62,14 +62,14 @@ def answer(cmds: DataFrame, pubs: DataFrame, index: DataFrame) -> DataFrame:
                                                       F.lit(True).alias("ok"))
 
     # Items of all three kinds share one sort key: k1 descending, then k2, k3.
-    titles = bib.titles_for(author, pubs, index).select(
+    titles = bib.titles_for(author, pubs).select(
         "cmd_id", F.col("year").alias("k1"), F.col("title").alias("k2"),
         F.col("pub_id").alias("k3"), F.col("title").alias("text"))
-    co = bib.coauthors_for(coauth, pubs, index).select(
+    co = bib.coauthors_for(coauth, pubs).select(
         "cmd_id", F.col("n").alias("k1"), F.col("author").alias("k2"),
         F.lit(0).cast("bigint").alias("k3"),
         F.concat(F.col("author"), F.lit(" : "), F.col("n").cast("string")).alias("text"))
-    verdicts, articles = bib.cliques_for(clique, pubs, index)
+    verdicts, articles = bib.cliques_for(clique, pubs)
     arts = articles.select(
         "cmd_id", F.col("year").alias("k1"), F.col("title").alias("k2"),
         F.col("pub_id").alias("k3"), render_article("title", "author", "year").alias("text"))
@@ -94,11 +94,10 @@ class CommandService:
     def __init__(self, spark: SparkSession, pubs: DataFrame):
         self.spark = spark
         self.pubs = persisted(bib.non_null(pubs))
-        self.index = persisted(author_index(self.pubs))
 
     def answer_lines(self, numbered: DataFrame) -> DataFrame:
         """``(cmd_file, cmd_line, value)`` -> answers."""
-        return answer(parse_commands(numbered), self.pubs, self.index)
+        return answer(parse_commands(numbered), self.pubs)
 
     def answer_files(self, path) -> DataFrame:
         """Batch form: every line of the command files under ``path``."""

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from quire.operators.containment import author_index
 from quire.plans import bibliography as bib
 
 
@@ -57,7 +56,7 @@ def test_tokeniser_java_split_semantics(spark):
 
 def test_author_titles_q7(spark, pubs):
     nn = _nn(pubs)
-    rows = bib.author_titles(spark, nn, author_index(nn), "ann lee").orderBy("rank").collect()
+    rows = bib.author_titles(spark, nn, "ann lee").orderBy("rank").collect()
     assert [r.title for r in rows] == [
         "Other Venue.", "Query Processing on Graphs.", "Graphs  and Streams.", "Old Data."]
     assert [r.rank for r in rows] == [1, 2, 3, 4]
@@ -65,22 +64,21 @@ def test_author_titles_q7(spark, pubs):
 
 def test_article_sum_q8(spark, pubs):
     nn = _nn(pubs)
-    idx = author_index(nn)
-    got = {n: bib.article_sum(spark, idx, n).first().n
+    got = {n: bib.article_sum(spark, nn, n).first().n
            for n in ("ann lee", "BOB NG", "cy roe", "dee poe", "zed")}
     assert got == {"ann lee": 4, "BOB NG": 3, "cy roe": 2, "dee poe": 2, "zed": 0}
 
 
 def test_coauthor_totals_q9_z11_z12(spark, pubs):
     nn = _nn(pubs)
-    rows = bib.coauthor_totals(spark, nn, author_index(nn), "Ann Lee").collect()
+    rows = bib.coauthor_totals(spark, nn, "Ann Lee").collect()
     assert [(r.author, r.n) for r in rows] == [
         ("Ann Lee", 4), ("ann lee", 4), ("Bob Ng", 3), ("Cy Roe", 2), ("Dee Poe", 2)]
 
 
 def _verdict(spark, pubs, arg):
     nn = _nn(pubs)
-    v, arts = bib.clique(spark, nn, author_index(nn), arg)
+    v, arts = bib.clique(spark, nn, arg)
     rows = v.collect()
     return (rows[0].verdict if rows else None), [r.text for r in arts.orderBy("rank").collect()]
 
@@ -113,20 +111,19 @@ def test_multiset_not_set_difference_f7(spark, pubs):
     nn = _nn(pubs)
     req = spark.createDataFrame([(0, ["bob ng", "bob ng"])], "cmd_id bigint, names array<string>")
     from quire.operators.containment import containing
-    assert [r.pub_id for r in containing(author_index(nn), req).collect()] == [9]
+    assert [r.pub_id for r in containing(nn, req).collect()] == [9]
 
 
 def test_author_totals_counts_rows_once_a2_z10(pubs):
     from quire.operators.containment import author_totals
-    got = {r.name_lc: r.n for r in author_totals(author_index(_nn(pubs))).collect()}
+    got = {r.name_lc: r.n for r in author_totals(_nn(pubs)).collect()}
     assert got["bob ng"] == 3 and got["ann lee"] == 4
 
 
 def test_ranked_titles_per_request(spark, pubs):
     nn = _nn(pubs)
-    idx = author_index(nn)
     req = spark.createDataFrame([(0, "ann lee"), (1, "bob ng")], "cmd_id bigint, name_lc string")
-    ranked = bib.ranked_titles(bib.titles_for(req, nn, idx))
+    ranked = bib.ranked_titles(bib.titles_for(req, nn))
     got = {}
     for r in ranked.collect():
         got.setdefault(r.cmd_id, []).append((r.rank, r.pub_id))
