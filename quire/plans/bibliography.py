@@ -18,6 +18,7 @@ from quire.operators.containment import author_totals, by_distinct_name, contain
 from quire.operators.ordinal import with_group_ordinal
 from quire.operators.topk import top_k
 from quire.session import checked_broadcast
+from quire.sources.literal import literal_table
 
 # The venue keys and first year of the batch part.
 DEFAULT_VENUES = ("conf/sigmod", "conf/icde", "journals/pvldb")
@@ -94,9 +95,8 @@ def top_words(titles: DataFrame, stop: DataFrame | None = None, k: int = 100,
 # --- request-table forms -------------------------------------------------------
 
 def _name_requests(spark: SparkSession, names) -> DataFrame:
-    rows = [(i, n) for i, n in enumerate(names)]
-    return spark.createDataFrame(rows, "cmd_id bigint, name string") \
-        .select("cmd_id", F.lower("name").alias("name_lc"))
+    rows = [(i, n.lower()) for i, n in enumerate(names)]
+    return literal_table(spark, rows, "cmd_id bigint, name_lc string")
 
 
 def titles_for(requests: DataFrame, pubs: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def coauthor_totals(spark: SparkSession, pubs: DataFrame, name: str) -> DataFram
 
 def clique(spark: SparkSession, pubs: DataFrame, arg: str) -> tuple[DataFrame, DataFrame]:
     """Q10/Q11 for one argument ``names[n]``: (verdict row, ranked articles)."""
-    cmds = spark.createDataFrame([(0, arg.lower())], "cmd_id bigint, arg string")
+    cmds = literal_table(spark, [(0, arg.lower())], "cmd_id bigint, arg string")
     verdicts, articles = cliques_for(clique_requests(cmds), pubs)
     ranked = with_group_ordinal(articles, ["cmd_id"], title_order(), name="rank")
     return verdicts, ranked.select(

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.containment import author_totals
-from quire.operators.ordinal import with_global_ordinal
+from quire.operators.ordinal import ordered_lines
 from quire.plans import bibliography as bib
 from quire.plans import copying, generate, loadlog
 from quire.session import read_table, scratch_path
 from quire.sources import fixtures
+from quire.sources.literal import literal_table
 from quire.sources import xml as xmlsrc
 
 # The name asked about by the single-name entries (any case),
@@ -35,7 +36,7 @@ CLIQUE_ARGS = (
 
 
 def _pubs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bib.non_null(fixtures.publications(spark, sf_dir))
+    return bib.non_null(fixtures.publications_table(spark, sf_dir))
 
 
 def q_publications(spark, sf_dir):
@@ -43,15 +44,15 @@ def q_publications(spark, sf_dir):
 
 
 def q_select_venues(spark, sf_dir):
-    return bib.publications_text(bib.select_venues(fixtures.publications(spark, sf_dir)))
+    return bib.publications_text(bib.select_venues(fixtures.publications_table(spark, sf_dir)))
 
 
 def q_top_authors(spark, sf_dir):
-    return bib.top_authors(bib.select_venues(fixtures.publications(spark, sf_dir)), k=100)
+    return bib.top_authors(bib.select_venues(fixtures.publications_table(spark, sf_dir)), k=100)
 
 
 def q_top_words(spark, sf_dir):
-    subset = bib.select_venues(fixtures.publications(spark, sf_dir))
+    subset = bib.select_venues(fixtures.publications_table(spark, sf_dir))
     return bib.top_words(subset, fixtures.stop_words(spark), k=100)
 
 
@@ -88,8 +89,8 @@ def q_coauthor_totals(spark, sf_dir):
 
 def _clique_batch(spark, sf_dir):
     pubs = _pubs(spark, sf_dir)
-    cmds = spark.createDataFrame([(i, a) for i, a in enumerate(CLIQUE_ARGS)],
-                                 "cmd_id bigint, arg string")
+    cmds = literal_table(spark, [(i, a) for i, a in enumerate(CLIQUE_ARGS)],
+                         "cmd_id bigint, arg string")
     return bib.clique_requests(cmds), pubs
 
 
@@ -116,16 +117,19 @@ HOST_A, HOST_B = "click", "view"
 
 
 def _dated_log(spark, sf_dir, event_type=None):
-    """Fixture log -> numbered (global ordinal on ts, event_id) -> parsed -> dated.
+    """Fixture log file -> numbered in file order (S4) -> parsed -> dated.
 
     The log date is the date of the earliest event of that log: one scalar
     from a global aggregate, the stand-in for the file's modification date.
     """
-    lines = fixtures.load_log_lines(spark, sf_dir, event_type)
-    first = lines.agg(F.min("ts").alias("t")).first()["t"]
-    numbered = with_global_ordinal(lines, [F.col("ts"), F.col("event_id")], name="line_no")
-    parsed = loadlog.parse_load_log(numbered.select("line_no", "value"))
-    return loadlog.with_day_roll(parsed, first.date() if first else "1970-01-01")
+    path = fixtures.load_log_files(spark, sf_dir, event_type)
+    ev = read_table(spark, sf_dir, "events")
+    if event_type is not None:
+        ev = ev.where(F.col("event_type") == event_type)
+    first = ev.agg(F.min("ts").alias("t")).first()["t"]
+    lines = ordered_lines(spark, path).select("line_no", "value")
+    return loadlog.with_day_roll(loadlog.parse_load_log(lines),
+                                 first.date() if first else "1970-01-01")
 
 
 def q_parse_load_log(spark, sf_dir):
@@ -186,7 +190,7 @@ def q_table_size(spark, sf_dir):
 def _fixture_xml(spark, sf_dir) -> str:
     """Render the publications adapter as XML text files under scratch space."""
     dest = scratch_path(spark, "pubs-xml")
-    xmlsrc.render_records(fixtures.publications(spark, sf_dir)).select("value") \
+    xmlsrc.render_records(fixtures.publications_table(spark, sf_dir)).select("value") \
         .write.mode("overwrite").text(dest)
     return dest
 
@@ -235,7 +239,7 @@ def q_answer_commands(spark, sf_dir):
     src = scratch_path(spark, "commands")
     spark.createDataFrame([(c,) for c in COMMAND_LINES], "value string") \
         .coalesce(1).write.text(src)
-    service = CommandService(spark, fixtures.publications(spark, sf_dir))
+    service = CommandService(spark, fixtures.publications_table(spark, sf_dir))
     out, ckpt = scratch_path(spark, "answers"), scratch_path(spark, "answers-ckpt")
     query = service.start(src, out, ckpt, available_now=True)
     query.awaitTermination()

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import read_table, spread
+from quire.session import read_table, scratch_path, spread
+from quire.sources.literal import literal_table
 
 # Order priority -> venue path used in the url.
 VENUE_BY_PRIORITY = {
@@ -69,6 +70,47 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MATERIALISED: dict[tuple, str] = {}
+
+
+def _materialise(spark: SparkSession, key: tuple, write) -> str:
+    """Write a derived input once per application to shared scratch space."""
+    full = (spark.sparkContext.applicationId,) + key
+    path = _MATERIALISED.get(full)
+    if path is None:
+        path = scratch_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
+        write(path)
+        _MATERIALISED[full] = path
+    return path
+
+
+def publications_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The publications as a stored Parquet table, the way the service reads them.
+
+    Written once per application (the reference converts its bibliography to
+    Parquet once, then answers every query from it); queries then scan the
+    table like any other input, with column pruning and filter pushdown.
+    """
+    path = _materialise(spark, ("pubs", sf_dir),
+                        lambda p: publications(spark, sf_dir).write.parquet(p))
+    return spark.read.parquet(path)
+
+
+def load_log_files(spark: SparkSession, sf_dir: str, event_type: str | None = None) -> str:
+    """The rendered log written as text files in ``(ts, event_id)`` order.
+
+    Range-partitioned and sorted inside each part, so part files follow each
+    other in time and the log reads back in order by file name; lines are then
+    numbered by ``ordered_lines`` without a shuffle.
+    """
+    def write(p):
+        lines = load_log_lines(spark, sf_dir, event_type)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (lines.repartitionByRange(n, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+              .select("value").write.text(p))
+    return _materialise(spark, ("log", sf_dir, event_type or "all"), write)
+
+
 def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents.text`` as ``title`` (whole texts)."""
     return spread(read_table(spark, sf_dir, "documents").select(
@@ -76,7 +118,7 @@ def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_words(spark: SparkSession, words=FIXTURE_STOP_WORDS) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "value string")
+    return literal_table(spark, [(w,) for w in words], "value string")
 
 
 def load_log_lines(spark: SparkSession, sf_dir: str, event_type: str | None = None
