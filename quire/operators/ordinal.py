@@ -93,6 +93,20 @@ def with_group_ordinal(df: DataFrame, group_by: list, order_by: list,
     return out.select(*[F.col(f"_q_r.{c}") for c in df.columns], rank.alias(name))
 
 
+def split_bound(scan: DataFrame) -> int:
+    """Upper bound on the number of file splits of a scan, without a job.
+
+    A file of size s is cut into ceil(s / m) splits and splits are packed into
+    partitions of at most m bytes, so splits <= files + partitions. Both are
+    known from planning (the file listing and the partition count).
+    """
+    try:
+        files = len(scan.inputFiles())
+    except Exception:  # noqa: BLE001 - streaming batches have no file index
+        return 1 << 62
+    return files + scan.rdd.getNumPartitions()
+
+
 def ordered_lines(spark: SparkSession, path, per_file: bool = False) -> DataFrame:
     """``(file, line_no, value)`` with 1-based line numbers in file order.
 
@@ -115,6 +129,7 @@ def number_lines(raw: DataFrame, per_file: bool = False) -> DataFrame:
     has one row per file split (data size / split size); it is broadcast after
     a count proves it small, otherwise joined by shuffle.
     """
+    scan = raw
     raw = raw.withColumn("_q_mid", F.monotonically_increasing_id())
     blocks = raw.groupBy("file", "_q_block").agg(
         F.count(F.lit(1)).alias("_q_cnt"), F.min("_q_mid").alias("_q_first"))
@@ -122,7 +137,10 @@ def number_lines(raw: DataFrame, per_file: bool = False) -> DataFrame:
          else Window.orderBy("file", "_q_block"))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_q_off", F.coalesce(F.sum("_q_cnt").over(before), F.lit(0)))
-    blocks = checked_broadcast(blocks, MAX_BROADCAST_BLOCKS)
+    if split_bound(scan) <= MAX_BROADCAST_BLOCKS:
+        blocks = F.broadcast(blocks)
+    else:
+        blocks = checked_broadcast(blocks, MAX_BROADCAST_BLOCKS)
     out = raw.join(blocks, ["file", "_q_block"])
     keep = [c for c in raw.columns if not c.startswith("_q_")]
     return out.select(

@@ -11,7 +11,8 @@ numbers -- every block has exactly that many rows, whatever the data, so no
 task can be skewed. Inside a block a window finds backward steps and their
 running count; per block the first time, last time and count of steps give
 one small row; the carry between blocks is a running sum over those rows
-(one per block) and is broadcast back after a count.
+(one per block), joined back on the block key the data is already
+partitioned by.
 """
 
 from __future__ import annotations
@@ -22,10 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.logline import line_bytes, parse_fields, shown_line
-from quire.session import checked_broadcast
 
 BLOCK = 1 << 20
-MAX_BROADCAST_BLOCKS = 2_000_000
 
 
 def parse_load_log(lines: DataFrame) -> DataFrame:
@@ -63,8 +62,10 @@ def with_day_roll(parsed: DataFrame, log_date, block: int = BLOCK) -> DataFrame:
         "_carry",
         F.coalesce(F.sum("_rolls").over(earlier), F.lit(0))
         + F.sum("_edge").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    blocks = checked_broadcast(blocks.select("_blk", "_carry"), MAX_BROADCAST_BLOCKS)
-    out = d.join(blocks, "_blk")
+    # ``d`` is already partitioned by block for the window, so joining the block
+    # table back shuffles only that small table; AQE turns it into a broadcast
+    # from its measured size. No count job.
+    out = d.join(blocks.select("_blk", "_carry"), "_blk")
     if isinstance(log_date, (str, dt.date)):
         base = F.lit(str(log_date)).cast("date")
     else:

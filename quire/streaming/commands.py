@@ -21,6 +21,7 @@ output (exactly once on top of the checkpointed source offsets).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -94,10 +95,23 @@ class CommandService:
     def __init__(self, spark: SparkSession, pubs: DataFrame):
         self.spark = spark
         self.pubs = persisted(bib.non_null(pubs))
+        self._held: list[DataFrame] = []
 
     def answer_lines(self, numbered: DataFrame) -> DataFrame:
-        """``(cmd_file, cmd_line, value)`` -> answers."""
-        return answer(parse_commands(numbered), self.pubs)
+        """``(cmd_file, cmd_line, value)`` -> answers.
+
+        The parsed commands feed every branch of the answer; they are kept for
+        the life of the batch (``release`` drops them) so the batch is read
+        and numbered once.
+        """
+        cmds = parse_commands(numbered).persist(StorageLevel.MEMORY_AND_DISK)
+        self._held.append(cmds)
+        return answer(cmds, self.pubs)
+
+    def release(self) -> None:
+        """Drop what the last batches kept."""
+        while self._held:
+            self._held.pop().unpersist()
 
     def answer_files(self, path) -> DataFrame:
         """Batch form: every line of the command files under ``path``."""
@@ -122,9 +136,12 @@ class CommandService:
                available_now: bool) -> StreamingQuery:
         def each_batch(batch: DataFrame, batch_id: int) -> None:
             answers = self.answer_lines(_numbered(batch))
-            (answers.withColumn("batch_id", F.lit(batch_id))
-                    .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch_id").parquet(out_dir))
+            try:
+                (answers.withColumn("batch_id", F.lit(batch_id))
+                        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                        .partitionBy("batch_id").parquet(out_dir))
+            finally:
+                self.release()
 
         writer = (lines.writeStream.foreachBatch(each_batch)
                   .option("checkpointLocation", checkpoint))
