@@ -51,6 +51,15 @@ def q_top_authors(spark, sf_dir):
     return bib.top_authors(bib.select_venues(fixtures.publications_table(spark, sf_dir)), k=100)
 
 
+def q_top_authors_text(spark, sf_dir):
+    """K2 + S4: the top list written as one text file and read back in line order."""
+    from quire.sinks.text import ranked_text_file
+    top = bib.top_authors(bib.select_venues(fixtures.publications_table(spark, sf_dir)), k=100)
+    path = ranked_text_file(top, scratch_path(spark, "top-authors"), name="author")
+    return ordered_lines(spark, path).select(F.col("line_no").alias("rank"),
+                                             F.col("value").alias("author"))
+
+
 def q_top_words(spark, sf_dir):
     subset = bib.select_venues(fixtures.publications_table(spark, sf_dir))
     return bib.top_words(subset, fixtures.stop_words(spark), k=100)
@@ -253,6 +262,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publications": q_publications,
     "select_venues": q_select_venues,
     "top_authors": q_top_authors,
+    "top_authors_text": q_top_authors_text,
     "top_words": q_top_words,
     "top_words_documents": q_top_words_documents,
     "author_titles": q_author_titles,

@@ -219,6 +219,7 @@ c AS (SELECT a AS author, count(*) AS n
       FROM (SELECT unnest(author) AS a FROM sel) WHERE a IS NOT NULL GROUP BY a)
 SELECT CAST(row_number() OVER (ORDER BY n DESC, author) AS BIGINT) AS rank, author, n
 FROM c ORDER BY n DESC, author LIMIT 100"""
+    q["top_authors_text"] = f"SELECT rank, author FROM ({q['top_authors']})"
     q["top_words"] = _top_words("SELECT title FROM sel")
     q["top_words_documents"] = _top_words("SELECT text AS title FROM documents")
     q["author_titles"] = f"""

@@ -12,8 +12,8 @@ not know spoils nothing but is resolved first. Steps, all DataFrame code:
 3. Inside a split (window by file and split, bounded by the split size) a
    running count of openings numbers the records and the last open/close
    event says whether a piece lies inside a record. One row per split carries
-   the count and the state into later splits (prefix over splits, broadcast
-   after a count).
+   the count and the state into later splits (prefix over splits, broadcast:
+   the number of splits is bounded at planning time).
 4. Pieces inside records are grouped by ``(file, record)`` -- a group is one
    record, so its size is bounded by the record, never by the data -- and
    joined in order with newlines.
@@ -30,7 +30,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import retag
+from quire.operators.ordinal import split_bound
 from quire.session import checked_broadcast
+from quire.sinks.text import text_directory
 
 # The record kinds of the bibliography and the unified name.
 KINDS = ("article", "inproceedings", "mastersthesis", "phdthesis")
@@ -70,7 +72,8 @@ def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
     opening = f"<(?:{alt})(?=[\\s>/])"
     closing = f"</(?:{alt})>"
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.text(paths).select(
+    scan = spark.read.text(paths)
+    raw = scan.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("blk"),
@@ -95,7 +98,9 @@ def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
         "file", "blk",
         F.coalesce(F.sum("opens").over(before), F.lit(0)).alias("off"),
         F.last("last_st", ignorenulls=True).over(before).alias("carry_st"))
-    splits = checked_broadcast(splits, MAX_BROADCAST_SPLITS)
+    # One row per file split: broadcast on the planning-time bound, else counted.
+    splits = F.broadcast(splits) if split_bound(scan) <= MAX_BROADCAST_SPLITS \
+        else checked_broadcast(splits, MAX_BROADCAST_SPLITS)
 
     placed = pieces.join(splits, ["file", "blk"])
     state = F.coalesce(F.col("prev_st"), F.col("carry_st"))
@@ -143,9 +148,8 @@ def load_publications(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
 def retag_lines(spark: SparkSession, path, dest: str, kinds=KINDS[1:],
                 target: str = UNIFIED) -> str:
     """Q1 (S3, X8, K3): rewrite element names line by line into a text directory."""
-    spark.read.text(path).select(retag(F.col("value"), kinds, target).alias("value")) \
-        .write.mode("overwrite").text(dest)
-    return dest
+    lines = spark.read.text(path).select(retag(F.col("value"), kinds, target).alias("value"))
+    return text_directory(lines, dest)
 
 
 def render_records(pubs: DataFrame) -> DataFrame:
