@@ -55,22 +55,27 @@ def author_totals(pubs: DataFrame, names: DataFrame | None = None) -> DataFrame:
     return ex.groupBy("name_lc").agg(F.count(F.lit(1)).alias("n"))
 
 
-def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id") -> DataFrame:
-    """``(key, pub_id)`` for every publication whose list holds all names of a request.
+def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id",
+               carry: tuple = ()) -> DataFrame:
+    """``(key, pub_id, *carry)`` for every publication whose list holds all
+    names of a request.
 
     ``requests`` has ``(key, names array<string>)`` with names normalised; a
-    name listed m times must occur at least m times.
+    name listed m times must occur at least m times. ``carry`` columns of the
+    publication ride along with the matches, so no join back to the whole
+    table is needed; every aggregation sees matched rows only.
     """
     need = (requests.select(key, F.explode("names").alias("name_lc"))
                     .groupBy(key, "name_lc").agg(F.count(F.lit(1)).alias("need")))
     k = need.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
-    entries = pubs.select("pub_id", F.explode(lower_names()).alias("name_lc"))
+    entries = pubs.select("pub_id", *carry, F.explode(lower_names()).alias("name_lc"))
+    firsts = [F.first(c).alias(c) for c in carry]
     have = (entries.join(need, "name_lc")
                    .groupBy(key, "pub_id", "name_lc", "need")
-                   .agg(F.count(F.lit(1)).alias("have")))
+                   .agg(F.count(F.lit(1)).alias("have"), *firsts))
     hits = (have.where(F.col("have") >= F.col("need"))
-                .groupBy(key, "pub_id").agg(F.count(F.lit(1)).alias("_m")))
-    return hits.join(k, key).where(F.col("_m") == F.col("_k")).select(key, "pub_id")
+                .groupBy(key, "pub_id").agg(F.count(F.lit(1)).alias("_m"), *firsts))
+    return hits.join(k, key).where(F.col("_m") == F.col("_k")).select(key, "pub_id", *carry)
 
 
 def persisted(df: DataFrame) -> DataFrame:

@@ -93,6 +93,24 @@ def with_group_ordinal(df: DataFrame, group_by: list, order_by: list,
     return out.select(*[F.col(f"_q_r.{c}") for c in df.columns], rank.alias(name))
 
 
+# Below this many rows in total, no group can be big enough to skew a task.
+SMALL_RANK_ROWS = 1_000_000
+
+
+def rank_within(df: DataFrame, group_by: list, order_by: list, name: str = "rank",
+                small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+    """Rank rows within groups, choosing the plan from a checked size.
+
+    The caller persists ``df``. If the whole frame has at most ``small_rows``
+    rows, no group can exceed that either, and a plain partitioned
+    ``row_number`` is used; otherwise the skew-safe ``with_group_ordinal``.
+    """
+    if df.limit(small_rows + 1).count() <= small_rows:
+        w = Window.partitionBy(*group_by).orderBy(*order_by)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    return with_group_ordinal(df, group_by, order_by, name=name)
+
+
 def split_bound(scan: DataFrame) -> int:
     """Upper bound on the number of file splits of a scan, without a job.
 

@@ -115,14 +115,16 @@ def ranked_titles(rows: DataFrame) -> DataFrame:
     return with_group_ordinal(rows, ["cmd_id"], title_order(), name="rank")
 
 
-def coauthors_for(requests: DataFrame, pubs: DataFrame) -> DataFrame:
+def coauthors_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None = None
+                  ) -> DataFrame:
     """Q9 rows: ``(cmd_id, author, n)``.
 
     Distinct spellings (case-sensitive, A9) of everybody on a publication of the
     requested name -- the name itself included -- each with its own total (A2)
-    of the lower-cased spelling. Totals are computed only for those names,
-    which are semi-joined to the exploded lists before the count (J2: one job
-    in place of one scan per co-author).
+    of the lower-cased spelling (J2: one join in place of one scan per
+    co-author). ``totals`` (``name_lc, n``) is the per-name count; by default
+    it is aggregated over all names with a map-side partial count, which
+    shuffles one row per name and partition; a service passes its cached copy.
     """
     ex = by_distinct_name(pubs, "author")
     spellings = (requests.select("cmd_id", "name_lc").join(ex, "name_lc")
@@ -130,7 +132,8 @@ def coauthors_for(requests: DataFrame, pubs: DataFrame) -> DataFrame:
                  .where(F.col("author").isNotNull())
                  .distinct()
                  .withColumn("name_lc", F.lower("author")))
-    totals = author_totals(pubs, spellings)
+    if totals is None:
+        totals = author_totals(pubs)
     return spellings.join(totals, "name_lc").select("cmd_id", "author", "n")
 
 
@@ -149,14 +152,14 @@ def cliques_for(requests: DataFrame, pubs: DataFrame) -> tuple[DataFrame, DataFr
     ``articles (cmd_id, pub_id, title, author, year)``.
     """
     valid = requests.where("ok").select("cmd_id", "names", "min_count")
-    found = containing(pubs, valid.select("cmd_id", "names"))
+    found = containing(pubs, valid.select("cmd_id", "names"),
+                       carry=("title", "author", "year"))
     counts = found.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("matches"))
     verdicts = (valid.join(counts, "cmd_id", "left")
                 .select("cmd_id", F.coalesce("matches", F.lit(0)).alias("matches"),
                         F.when(F.coalesce("matches", F.lit(0)) >= F.col("min_count"),
                                F.lit("YES")).otherwise(F.lit("NO")).alias("verdict")))
-    articles = found.join(pubs.select("pub_id", "title", "author", "year"), "pub_id")
-    return verdicts, articles
+    return verdicts, found
 
 
 # --- single-request helpers (the reference's API) -------------------------------

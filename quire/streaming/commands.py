@@ -28,8 +28,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.commands import STATUS_INVALID, STATUS_OK, parse_clique, parse_command
 from quire.functions.text import render_article
-from quire.operators.containment import persisted
-from quire.operators.ordinal import number_lines, with_group_ordinal
+from quire.operators.containment import author_totals, persisted
+from quire.operators.ordinal import number_lines, rank_within, with_group_ordinal
 from quire.plans import bibliography as bib
 
 OUTPUT_COLUMNS = ["cmd_file", "cmd_line", "op", "arg", "status", "rank", "text"]
@@ -54,8 +54,15 @@ def parse_commands(numbered: DataFrame) -> DataFrame:
         c["names"].alias("names"), c["min_count"].alias("min_count"))
 
 
-def answer(cmds: DataFrame, pubs: DataFrame) -> DataFrame:
-    """Answer parsed commands; see the module docstring for the result."""
+def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None = None
+           ) -> DataFrame:
+    """Answer parsed commands; see the module docstring for the result.
+
+    ``hold`` (optional) keeps intermediate frames for the life of the batch:
+    the items are then persisted once, counted, and ranked with a plain
+    window when the whole batch result is small (``rank_within``); without
+    it the skew-safe ordinal is used directly.
+    """
     ok = cmds.where(F.col("status") == STATUS_OK)
     author = ok.where(F.col("op") == "author").select("cmd_id", F.col("arg").alias("name_lc"))
     coauth = ok.where(F.col("op") == "coauthor").select("cmd_id", F.col("arg").alias("name_lc"))
@@ -66,7 +73,7 @@ def answer(cmds: DataFrame, pubs: DataFrame) -> DataFrame:
     titles = bib.titles_for(author, pubs).select(
         "cmd_id", F.col("year").alias("k1"), F.col("title").alias("k2"),
         F.col("pub_id").alias("k3"), F.col("title").alias("text"))
-    co = bib.coauthors_for(coauth, pubs).select(
+    co = bib.coauthors_for(coauth, pubs, totals).select(
         "cmd_id", F.col("n").alias("k1"), F.col("author").alias("k2"),
         F.lit(0).cast("bigint").alias("k3"),
         F.concat(F.col("author"), F.lit(" : "), F.col("n").cast("string")).alias("text"))
@@ -75,8 +82,13 @@ def answer(cmds: DataFrame, pubs: DataFrame) -> DataFrame:
         "cmd_id", F.col("year").alias("k1"), F.col("title").alias("k2"),
         F.col("pub_id").alias("k3"), render_article("title", "author", "year").alias("text"))
     items = titles.unionByName(co).unionByName(arts)
-    ranked = with_group_ordinal(items, ["cmd_id"], [F.desc("k1"), F.asc("k2"), F.asc("k3")],
-                                name="rank").select("cmd_id", "rank", "text")
+    order = [F.desc("k1"), F.asc("k2"), F.asc("k3")]
+    if hold is not None:
+        items = hold(items.persist(StorageLevel.MEMORY_AND_DISK))
+        ranked = rank_within(items, ["cmd_id"], order, name="rank")
+    else:
+        ranked = with_group_ordinal(items, ["cmd_id"], order, name="rank")
+    ranked = ranked.select("cmd_id", "rank", "text")
 
     counts = ranked.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("_n"))
     heads = (cmds.join(counts, "cmd_id", "left").join(verdicts.select("cmd_id", "verdict"),
@@ -95,6 +107,8 @@ class CommandService:
     def __init__(self, spark: SparkSession, pubs: DataFrame):
         self.spark = spark
         self.pubs = persisted(bib.non_null(pubs))
+        # A2 per name is a property of the static table: counted once, kept.
+        self.totals = persisted(author_totals(self.pubs))
         self._held: list[DataFrame] = []
 
     def answer_lines(self, numbered: DataFrame) -> DataFrame:
@@ -104,9 +118,12 @@ class CommandService:
         the life of the batch (``release`` drops them) so the batch is read
         and numbered once.
         """
-        cmds = parse_commands(numbered).persist(StorageLevel.MEMORY_AND_DISK)
-        self._held.append(cmds)
-        return answer(cmds, self.pubs)
+        cmds = self._hold(parse_commands(numbered).persist(StorageLevel.MEMORY_AND_DISK))
+        return answer(cmds, self.pubs, hold=self._hold, totals=self.totals)
+
+    def _hold(self, df: DataFrame) -> DataFrame:
+        self._held.append(df)
+        return df
 
     def release(self) -> None:
         """Drop what the last batches kept."""
