@@ -34,21 +34,22 @@ _PID, _POS = "_q_pid", "_q_pos"
 MAX_BROADCAST_BLOCKS = 200_000
 
 
-def _num_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _ranged(df: DataFrame, keys: list, n: int | None) -> DataFrame:
-    """Range partition + local sort + (partition id, position), checkpointed."""
+    """Range partition + local sort + (partition id, position), checkpointed.
+
+    Without ``n`` this is a plain ``orderBy``: AQE sizes the range partitions
+    from the data (merging only neighbours, so ids still ascend with the
+    keys); with ``n`` the count is fixed.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    parts = _num_partitions(df, n)
-    ranged = (df.repartitionByRange(parts, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_POS, F.monotonically_increasing_id()
-                            - F.shiftleft(F.col(_PID).cast("bigint"), 33)))
+    if n:
+        ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    else:
+        ordered = df.orderBy(*keys)
+    ranged = (ordered
+              .withColumn(_PID, F.spark_partition_id())
+              .withColumn(_POS, F.monotonically_increasing_id()
+                          - F.shiftleft(F.col(_PID).cast("bigint"), 33)))
     return ranged.checkpoint(eager=True)
 
 
