@@ -29,7 +29,8 @@ from pyspark.sql.streaming import StreamingQuery
 from quire.functions.commands import STATUS_INVALID, STATUS_OK, parse_clique, parse_command
 from quire.functions.text import render_article
 from quire.operators.containment import author_totals, persisted
-from quire.operators.ordinal import number_lines, rank_within, with_group_ordinal
+from quire.operators.ordinal import (number_lines, rank_within, with_global_ordinal,
+                                     with_group_ordinal)
 from quire.plans import bibliography as bib
 
 OUTPUT_COLUMNS = ["cmd_file", "cmd_line", "op", "arg", "status", "rank", "text"]
@@ -149,10 +150,24 @@ class CommandService:
             F.col("_metadata.file_block_start").alias("_q_block"))
         return self._start(lines, out_dir, checkpoint, available_now)
 
+    def start_socket(self, host: str, port: int, out_dir: str, checkpoint: str
+                     ) -> StreamingQuery:
+        """S5 as in the reference: lines from a socket server every 2 seconds.
+
+        The socket source keeps no offsets that survive a restart, so commands
+        are keyed per batch: ``socket-<batch_id>`` and their arrival order.
+        Connects to an existing server only (not exercised in tests here).
+        """
+        lines = socket_lines(self.spark, host, port)
+        return self._start(lines, out_dir, checkpoint, available_now=False,
+                           numbering=_numbered_socket)
+
     def _start(self, lines: DataFrame, out_dir: str, checkpoint: str,
-               available_now: bool) -> StreamingQuery:
+               available_now: bool, numbering=None) -> StreamingQuery:
+        number = numbering or (lambda batch, _batch_id: _numbered(batch))
+
         def each_batch(batch: DataFrame, batch_id: int) -> None:
-            answers = self.answer_lines(_numbered(batch))
+            answers = self.answer_lines(number(batch, batch_id))
             try:
                 (answers.withColumn("batch_id", F.lit(batch_id))
                         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -174,6 +189,14 @@ def _numbered(raw: DataFrame) -> DataFrame:
                     F.col("line_no").alias("cmd_line"), "value")
 
 
+def _numbered_socket(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Socket lines keyed by batch and arrival (timestamp, then position)."""
+    ordered = with_global_ordinal(
+        batch.withColumn("_q_arrival", F.monotonically_increasing_id()),
+        [F.col("timestamp"), F.col("_q_arrival")], name="cmd_line")
+    return ordered.select(F.lit(f"socket-{batch_id}").alias("cmd_file"), "cmd_line", "value")
+
+
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     """The reference's socket source. Opens a client connection to an
     existing server; not used in tests (no port is opened here)."""
