@@ -118,6 +118,19 @@ def log_skew(a: DataFrame, b: DataFrame) -> DataFrame:
              .select("line_no", (F.col("_b") - F.col("_a")).alias("seconds")))
 
 
+def file_length(spark: SparkSession, path) -> int:
+    """Total bytes of the files under ``path`` (-1 when nothing is there).
+
+    Read from the file listing (``binaryFile`` metadata, contents not loaded).
+    """
+    try:
+        row = (spark.read.format("binaryFile").load(path)
+               .agg(F.sum("length").alias("n")).first())
+    except Exception:  # noqa: BLE001 - missing path, as the reference's -1
+        return -1
+    return int(row["n"]) if row and row["n"] is not None else -1
+
+
 def file_date(spark: SparkSession, path: str):
     """The modification date of a log file (its date for Z5)."""
     row = (spark.read.text(path)

@@ -62,3 +62,22 @@ def test_append_and_upsert_k5_k7(spark, tmp_dir):
     up = copying.upsert(spark.read.parquet(dest),
                         spark.createDataFrame([(1, [9])], "i int, data array<int>"), "i")
     assert {r.i: r.data for r in up.collect()} == {0: [1, 2], 1: [9], 2: [4]}
+
+
+def test_keyed_table_copy_and_scan_s6(spark, tmp_dir):
+    sets = generate.int_sets(generate.repeated_ints(spark, 120, 3), width=10, stride=11)
+    dest = os.path.join(tmp_dir, "sets")
+    copying.range_copy(sets, "i", 4, dest)
+    back = spark.read.parquet(dest)
+    assert back.exceptAll(sets).count() == 0 and sets.exceptAll(back).count() == 0
+    keys = [r.i for r in copying.keyed_scan(back, "i").collect()]
+    assert keys == sorted(keys) and keys[0] == 0
+
+
+def test_file_length_s9(spark, tmp_dir):
+    from quire.plans.loadlog import file_length
+    p = os.path.join(tmp_dir, "f.txt")
+    with open(p, "w") as f:
+        f.write("x" * 1234)
+    assert file_length(spark, p) == 1234
+    assert file_length(spark, os.path.join(tmp_dir, "missing")) == -1
