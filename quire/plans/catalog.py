@@ -182,8 +182,9 @@ def q_chunk_plan(spark, sf_dir):
 
 def q_range_copy(spark, sf_dir):
     dest = scratch_path(spark, "range-copy")
-    copying.range_copy(read_table(spark, sf_dir, "lineitem"), COPY_KEYS, COPY_PARTS, dest)
-    return spark.read.parquet(dest)
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    copying.range_copy(lineitem, COPY_KEYS, COPY_PARTS, dest)
+    return copying.read_copy(spark, dest, lineitem.columns)
 
 
 def q_copy_sweep(spark, sf_dir):

@@ -61,27 +61,44 @@ def chunk_plan(spark: SparkSession, table: DataFrame, order_by: list, key: str,
 
 
 def range_copy(table: DataFrame, key, n: int, dest: str, mode: str = "overwrite",
-               max_records_per_file: int | None = None) -> str:
-    """Q19 (T4, K6/K7): write ``table`` as n parts in ascending ``key`` order.
-
-    ``mode`` is ``overwrite`` (K6: drop and recreate) or ``append`` (K7).
-    ``max_records_per_file`` cuts a large part into several files, which
-    follow each other in key order (``-c000``, ``-c001``, ...), so n stays the
-    number of ordered ranges while file sizes stay bounded on big tables.
+               max_records_per_file: int | None = None, parallelism: int | None = None
+               ) -> str:
+    """Q19 (T4, K6/K7): write ``table`` as n ordered parts ``part=0..n-1``.
+
+    The number of parts is the reference's thread count; the write itself is
+    not tied to it: the table is range-partitioned into P ranges (P a
+    multiple of n, at least the cluster's parallelism) and range p belongs to
+    part ``p * n / P``. Parts are therefore key-ordered and disjoint, and even
+    n = 1 is written by P tasks. Rows are sorted by key inside each range.
+    ``mode`` is ``overwrite`` (K6: drop and recreate) or ``append`` (K7);
+    ``max_records_per_file`` bounds file sizes on big tables.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    writer = (table.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                   .write.mode(mode))
+    spark = table.sparkSession
+    want = parallelism or max(spark.sparkContext.defaultParallelism,
+                              int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = max(n, -(-want // n) * n)
+    per_part = ranges // n
+    ranged = (table.repartitionByRange(ranges, *keys)
+                   .withColumn("part", (F.spark_partition_id() / per_part).cast("int"))
+                   .sortWithinPartitions("part", *keys))
+    writer = ranged.write.mode(mode).partitionBy("part")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     writer.parquet(dest)
     return dest
 
 
+def read_copy(spark: SparkSession, dest: str, columns: list | None = None) -> DataFrame:
+    """A copy read back without its ``part`` column."""
+    df = spark.read.parquet(dest)
+    return df.select(*(columns or [c for c in df.columns if c != "part"]))
+
+
 def part_ranges(spark: SparkSession, dest: str, key: str) -> DataFrame:
-    """Key range of every part file of a copy, for the order check."""
+    """Key range of every part of a copy, for the order check."""
     return (spark.read.parquet(dest)
-            .groupBy(F.col("_metadata.file_name").alias("file"))
+            .groupBy("part")
             .agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"),
                  F.max(key).alias("max_key")))
 
@@ -104,7 +121,7 @@ def copy_sweep(spark: SparkSession, table: DataFrame, key, dest_base: str,
         t0 = time.perf_counter()
         range_copy(table, key, n, dest)
         millis[n] = int((time.perf_counter() - t0) * 1000)
-        back = spark.read.parquet(dest)
+        back = read_copy(spark, dest, table.columns)
         checks.append(back.agg(F.count(F.lit(1)).alias("rows"),
                                F.sum(F.col(keys[0])).alias("key_sum"),
                                F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("checksum"))

@@ -46,20 +46,29 @@ def test_range_copy_q19_order_and_content(spark, tmp_dir):
         assert r.rows == 5000 and r.checksum == checksum
     assert set(millis) == set(copying.SWEEP)
     parts = copying.part_ranges(spark, os.path.join(tmp_dir, "sweep", "n=8"), "k") \
-        .orderBy("file").collect()
-    assert len(parts) == 8
+        .orderBy("part").collect()
+    assert [p.part for p in parts] == list(range(8))
     for a, b in zip(parts, parts[1:]):
         assert a.max_key < b.min_key       # ascending and disjoint by part number
 
 
+def test_single_part_copy_is_written_in_parallel(spark, tmp_dir):
+    src = spark.range(0, 4000).select(F.col("id").alias("k"))
+    dest = os.path.join(tmp_dir, "one")
+    copying.range_copy(src, "k", 1, dest, parallelism=8)
+    files = [f for f in os.listdir(os.path.join(dest, "part=0")) if f.endswith(".parquet")]
+    assert len(files) == 8
+    assert copying.read_copy(spark, dest).count() == 4000
+
+
 def test_append_and_upsert_k5_k7(spark, tmp_dir):
     dest = os.path.join(tmp_dir, "t")
     a = spark.createDataFrame([(0, [1, 2]), (1, [3])], "i int, data array<int>")
     copying.range_copy(a, "i", 1, dest)
     copying.range_copy(spark.createDataFrame([(2, [4])], "i int, data array<int>"), "i", 1, dest,
                        mode="append")
-    assert copying.table_size(spark.read.parquet(dest)).first().coun == 3
-    up = copying.upsert(spark.read.parquet(dest),
+    assert copying.table_size(copying.read_copy(spark, dest)).first().coun == 3
+    up = copying.upsert(copying.read_copy(spark, dest),
                         spark.createDataFrame([(1, [9])], "i int, data array<int>"), "i")
     assert {r.i: r.data for r in up.collect()} == {0: [1, 2], 1: [9], 2: [4]}
 
@@ -68,7 +77,7 @@ def test_keyed_table_copy_and_scan_s6(spark, tmp_dir):
     sets = generate.int_sets(generate.repeated_ints(spark, 120, 3), width=10, stride=11)
     dest = os.path.join(tmp_dir, "sets")
     copying.range_copy(sets, "i", 4, dest)
-    back = spark.read.parquet(dest)
+    back = copying.read_copy(spark, dest)
     assert back.exceptAll(sets).count() == 0 and sets.exceptAll(back).count() == 0
     keys = [r.i for r in copying.keyed_scan(back, "i").collect()]
     assert keys == sorted(keys) and keys[0] == 0
