@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.commands import STATUS_INVALID, STATUS_OK, parse_clique, parse_command
 from quire.functions.text import render_article
-from quire.operators.containment import author_totals, persisted
+from quire.operators.containment import author_totals, lower_names, persisted
 from quire.operators.ordinal import (number_lines, rank_within, with_global_ordinal,
                                      with_group_ordinal)
 from quire.plans import bibliography as bib
@@ -59,44 +59,75 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
            ) -> DataFrame:
     """Answer parsed commands; see the module docstring for the result.
 
+    All three operations are one relational division over a single pass of
+    the publications: ``author`` and ``coauthor`` ask for one name at least
+    once, ``clique`` for several names with multiplicities. The requested
+    names of the whole batch form one small table that is broadcast against
+    the exploded author lists; every aggregation after that sees matched rows
+    only, carrying the publication's title, year and list along.
+
     ``hold`` (optional) keeps intermediate frames for the life of the batch:
-    the items are then persisted once, counted, and ranked with a plain
-    window when the whole batch result is small (``rank_within``); without
-    it the skew-safe ordinal is used directly.
+    the matches and the items are then persisted once, and items are ranked
+    with a plain window when the whole batch result is small
+    (``rank_within``); without it the skew-safe ordinal is used directly.
+    ``totals`` is the per-name publication count (computed when absent).
     """
+    keep = hold or (lambda df: df)
     ok = cmds.where(F.col("status") == STATUS_OK)
-    author = ok.where(F.col("op") == "author").select("cmd_id", F.col("arg").alias("name_lc"))
-    coauth = ok.where(F.col("op") == "coauthor").select("cmd_id", F.col("arg").alias("name_lc"))
-    clique = ok.where(F.col("op") == "clique").select("cmd_id", "names", "min_count",
-                                                      F.lit(True).alias("ok"))
+    single = ok.where(F.col("op").isin("author", "coauthor")).select(
+        "cmd_id", "op", F.col("arg").alias("name_lc"))
+    multi = ok.where(F.col("op") == "clique").select(
+        "cmd_id", "op", F.explode("names").alias("name_lc"))
+    need = (single.unionByName(multi).groupBy("cmd_id", "op", "name_lc")
+            .agg(F.count(F.lit(1)).alias("need")))
+    k = need.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("_k"))
+    carry = ("title", "year", "author")
+    entries = pubs.select("pub_id", *carry, F.explode(lower_names()).alias("name_lc"))
+    firsts = [F.first(c).alias(c) for c in carry]
+    have = (entries.join(need, "name_lc")
+            .groupBy("cmd_id", "op", "pub_id", "name_lc", "need")
+            .agg(F.count(F.lit(1)).alias("have"), *firsts))
+    hits = (have.where(F.col("have") >= F.col("need"))
+            .groupBy("cmd_id", "op", "pub_id").agg(F.count(F.lit(1)).alias("_m"), *firsts))
+    found = hits.join(k, "cmd_id").where(F.col("_m") == F.col("_k")).drop("_m", "_k")
+    if hold is not None:
+        found = keep(found.persist(StorageLevel.MEMORY_AND_DISK))
 
     # Items of all three kinds share one sort key: k1 descending, then k2, k3.
-    titles = bib.titles_for(author, pubs).select(
+    titles = found.where(F.col("op") == "author").select(
         "cmd_id", F.col("year").alias("k1"), F.col("title").alias("k2"),
         F.col("pub_id").alias("k3"), F.col("title").alias("text"))
-    co = bib.coauthors_for(coauth, pubs, totals).select(
+    arts = found.where(F.col("op") == "clique").select(
+        "cmd_id", F.col("year").alias("k1"), F.col("title").alias("k2"),
+        F.col("pub_id").alias("k3"), render_article("title", "author", "year").alias("text"))
+    spellings = (found.where(F.col("op") == "coauthor")
+                 .select("cmd_id", F.explode("author").alias("author"))
+                 .where(F.col("author").isNotNull()).distinct()
+                 .withColumn("name_lc", F.lower("author")))
+    if totals is None:
+        totals = author_totals(pubs)
+    co = spellings.join(totals, "name_lc").select(
         "cmd_id", F.col("n").alias("k1"), F.col("author").alias("k2"),
         F.lit(0).cast("bigint").alias("k3"),
         F.concat(F.col("author"), F.lit(" : "), F.col("n").cast("string")).alias("text"))
-    verdicts, articles = bib.cliques_for(clique, pubs)
-    arts = articles.select(
-        "cmd_id", F.col("year").alias("k1"), F.col("title").alias("k2"),
-        F.col("pub_id").alias("k3"), render_article("title", "author", "year").alias("text"))
     items = titles.unionByName(co).unionByName(arts)
     order = [F.desc("k1"), F.asc("k2"), F.asc("k3")]
     if hold is not None:
-        items = hold(items.persist(StorageLevel.MEMORY_AND_DISK))
+        items = keep(items.persist(StorageLevel.MEMORY_AND_DISK))
         ranked = rank_within(items, ["cmd_id"], order, name="rank")
     else:
         ranked = with_group_ordinal(items, ["cmd_id"], order, name="rank")
     ranked = ranked.select("cmd_id", "rank", "text")
 
     counts = ranked.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("_n"))
-    heads = (cmds.join(counts, "cmd_id", "left").join(verdicts.select("cmd_id", "verdict"),
-                                                      "cmd_id", "left")
+    matches = found.where(F.col("op") == "clique").groupBy("cmd_id") \
+        .agg(F.count(F.lit(1)).alias("_found"))
+    heads = (cmds.join(counts, "cmd_id", "left").join(matches, "cmd_id", "left")
              .select("cmd_id", F.lit(0).cast("bigint").alias("rank"),
                      F.when(F.col("status") != STATUS_OK, F.lit(None).cast("string"))
-                      .when(F.col("op") == "clique", F.col("verdict"))
+                      .when(F.col("op") == "clique",
+                            F.when(F.coalesce("_found", F.lit(0)) >= F.col("min_count"),
+                                   F.lit("YES")).otherwise(F.lit("NO")))
                       .otherwise(F.coalesce("_n", F.lit(0)).cast("string")).alias("text")))
     keys = cmds.select("cmd_id", "cmd_file", "cmd_line", "op", "arg", "status")
     return heads.unionByName(ranked).join(keys, "cmd_id").select(*OUTPUT_COLUMNS)
