@@ -99,13 +99,14 @@ SMALL_RANK_ROWS = 1_000_000
 
 
 def rank_within(df: DataFrame, group_by: list, order_by: list, name: str = "rank",
-                small_rows: int = SMALL_RANK_ROWS) -> DataFrame:
+                small_rows: int | None = None) -> DataFrame:
     """Rank rows within groups, choosing the plan from a checked size.
 
     The caller persists ``df``. If the whole frame has at most ``small_rows``
     rows, no group can exceed that either, and a plain partitioned
     ``row_number`` is used; otherwise the skew-safe ``with_group_ordinal``.
     """
+    small_rows = SMALL_RANK_ROWS if small_rows is None else small_rows
     if df.limit(small_rows + 1).count() <= small_rows:
         w = Window.partitionBy(*group_by).orderBy(*order_by)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
