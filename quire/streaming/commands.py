@@ -170,8 +170,8 @@ class CommandService:
         return self.answer_lines(_numbered(raw))
 
     def start(self, source_dir: str, out_dir: str, checkpoint: str,
-              available_now: bool = False, max_files_per_trigger: int | None = None
-              ) -> StreamingQuery:
+              available_now: bool = False, max_files_per_trigger: int | None = None,
+              echo: int = 0) -> StreamingQuery:
         """Stream form (file source; ``socket`` in ``socket_lines`` for a person)."""
         reader = self.spark.readStream.format("text")
         if max_files_per_trigger:
@@ -179,10 +179,10 @@ class CommandService:
         lines = reader.load(source_dir).select(
             "value", F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("_q_block"))
-        return self._start(lines, out_dir, checkpoint, available_now)
+        return self._start(lines, out_dir, checkpoint, available_now, echo=echo)
 
-    def start_socket(self, host: str, port: int, out_dir: str, checkpoint: str
-                     ) -> StreamingQuery:
+    def start_socket(self, host: str, port: int, out_dir: str, checkpoint: str,
+                     echo: int = 0) -> StreamingQuery:
         """S5 as in the reference: lines from a socket server every 2 seconds.
 
         The socket source keeps no offsets that survive a restart, so commands
@@ -191,10 +191,10 @@ class CommandService:
         """
         lines = socket_lines(self.spark, host, port)
         return self._start(lines, out_dir, checkpoint, available_now=False,
-                           numbering=_numbered_socket)
+                           numbering=_numbered_socket, echo=echo)
 
     def _start(self, lines: DataFrame, out_dir: str, checkpoint: str,
-               available_now: bool, numbering=None) -> StreamingQuery:
+               available_now: bool, numbering=None, echo: int = 0) -> StreamingQuery:
         number = numbering or (lambda batch, _batch_id: _numbered(batch))
 
         def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -203,6 +203,13 @@ class CommandService:
                 (answers.withColumn("batch_id", F.lit(batch_id))
                         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                         .partitionBy("batch_id").parquet(out_dir))
+                if echo:
+                    # K9: what the reference prints, for a person watching;
+                    # a display of the first ``echo`` lines only.
+                    (self.spark.read.parquet(out_dir).where(F.col("batch_id") == batch_id)
+                     .orderBy("cmd_file", "cmd_line", "rank")
+                     .select("cmd_line", "op", "arg", "status", "rank", "text")
+                     .show(echo, truncate=False))
             finally:
                 self.release()
 

@@ -74,3 +74,27 @@ def test_stream_equals_batch_and_restart(spark, service, tmp_dir, n_batches):
     q2 = service.start(src, out, ck, available_now=True, max_files_per_trigger=1)
     q2.awaitTermination()
     assert _norm(read_answers(spark, out).collect()) == batch
+
+
+def test_parse_command_statuses_z16_z23(spark):
+    from pyspark.sql import functions as F
+    from quire.functions.commands import parse_command
+    lines = ["author: Ann  Lee ", "author:", "author: ", "", "foo:bar", "coauthor:x:y",
+             " CLIQUE : a[1]"]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    p = parse_command(F.col("value"))
+    got = [(r.op, r.arg, r.status) for r in
+           df.select(p["op"].alias("op"), p["arg"].alias("arg"), p["status"].alias("status")).collect()]
+    assert got == [("author", "ann lee", "ok"), ("author", "", "invalid input"),
+                   ("author", "", "invalid input"), ("", None, "invalid input"),
+                   ("foo", "bar", "unknown command"), ("coauthor", "x", "ok"),
+                   ("clique", "a[1]", "ok")]
+
+
+def test_echo_prints_answers(spark, service, tmp_dir, capfd):
+    src = os.path.join(tmp_dir, "src")
+    _write_files(src, [["author: Ann Lee"]])
+    q = service.start(src, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
+                      available_now=True, echo=20)
+    q.awaitTermination()
+    assert "Other Venue." in capfd.readouterr().out
