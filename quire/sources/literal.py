@@ -12,15 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    st = _parse_datatype_string(schema)
-    if not isinstance(st, StructType):
-        raise ValueError("schema must be a struct DDL string")
+    empty = spark.createDataFrame([], schema)     # parses the DDL; runs nothing
+    st = empty.schema
     if not rows:
-        return spark.createDataFrame([], st)
+        return empty
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
                           for v, f in zip(r, st.fields)]) for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))

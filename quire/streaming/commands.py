@@ -162,6 +162,12 @@ class CommandService:
         while self._held:
             self._held.pop().unpersist()
 
+    def close(self) -> None:
+        """Drop the kept static tables (end of the service)."""
+        self.release()
+        self.totals.unpersist()
+        self.pubs.unpersist()
+
     def answer_files(self, path) -> DataFrame:
         """Batch form: every line of the command files under ``path``."""
         raw = self.spark.read.text(path).select(

@@ -8,7 +8,12 @@ SF = "/root/testdata/sf0.001"
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
 
 
 def test_top_authors_is_take_ordered(spark):
