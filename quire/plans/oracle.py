@@ -72,7 +72,8 @@ FROM c ORDER BY n DESC, word LIMIT 100"""
 CLIQUE_REQ = """
 cmds(cmd_id, arg) AS ({source}),
 parts AS (
-  SELECT cmd_id, string_split(regexp_replace(arg, ',+$', ''), ',') AS p FROM cmds
+  SELECT CAST(cmd_id AS BIGINT) AS cmd_id, string_split(regexp_replace(arg, ',+$', ''), ',') AS p
+  FROM cmds
 ),
 lastp AS (
   SELECT cmd_id, p, p[len(p)] AS last FROM parts
@@ -122,8 +123,9 @@ def _log(name: str, where: str) -> str:
 ),
 {name} AS (
   SELECT line_no, event_id, user_id, value, sec,
-         CAST(epoch((SELECT CAST(min(ts) AS DATE) FROM events {where})) AS BIGINT)
-           + 86400 * sum(back) OVER (ORDER BY line_no ROWS UNBOUNDED PRECEDING) + sec AS ts_sec,
+         CAST(CAST(epoch((SELECT CAST(min(ts) AS DATE) FROM events {where})) AS BIGINT)
+           + 86400 * sum(back) OVER (ORDER BY line_no ROWS UNBOUNDED PRECEDING) + sec AS BIGINT)
+           AS ts_sec,
          CASE WHEN event_id % 3 = 0 THEN '1 day, ' || hm
               WHEN event_id % 1440 < 60 THEN CAST(event_id % 1440 AS VARCHAR) || ' min'
               ELSE hm END AS uptime,
@@ -143,7 +145,7 @@ def _answer_commands() -> str:
     return f"""
 WITH {PUBS[1:]},
 raw(cmd_line, value) AS (VALUES {lines}),
-p AS (SELECT cmd_line, string_split(value, ':') AS parts FROM raw),
+p AS (SELECT CAST(cmd_line AS BIGINT) AS cmd_line, string_split(value, ':') AS parts FROM raw),
 c AS (
   SELECT cmd_line,
          lower(trim(regexp_replace(trim(parts[1]), ' +', ' ', 'g'))) AS op,

@@ -29,6 +29,10 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR",
+                 "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _rows(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(_norm(r[i]) for i in order) for r in records]
@@ -45,3 +49,7 @@ def test_query_matches_oracle(spark, duck, name):
     want = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, got) == _rows(ocols, want)
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        spark_type = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        assert spark_type == duck_types[f.name], (name, f.name, spark_type, duck_types[f.name])
