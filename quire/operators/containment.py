@@ -70,7 +70,8 @@ def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id",
     k = need.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
     entries = pubs.select("pub_id", *carry, F.explode(lower_names()).alias("name_lc"))
     firsts = [F.first(c).alias(c) for c in carry]
-    have = (entries.join(need, "name_lc")
+    # Both counts group by keys containing (key, pub_id): one exchange serves both.
+    have = (entries.join(need, "name_lc").repartition(key, "pub_id")
                    .groupBy(key, "pub_id", "name_lc", "need")
                    .agg(F.count(F.lit(1)).alias("have"), *firsts))
     hits = (have.where(F.col("have") >= F.col("need"))

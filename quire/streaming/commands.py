@@ -84,7 +84,8 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
     carry = ("title", "year", "author")
     entries = pubs.select("pub_id", *carry, F.explode(lower_names()).alias("name_lc"))
     firsts = [F.first(c).alias(c) for c in carry]
-    have = (entries.join(need, "name_lc")
+    # Both counts group by keys containing (cmd_id, pub_id): one exchange serves both.
+    have = (entries.join(need, "name_lc").repartition("cmd_id", "pub_id")
             .groupBy("cmd_id", "op", "pub_id", "name_lc", "need")
             .agg(F.count(F.lit(1)).alias("have"), *firsts))
     hits = (have.where(F.col("have") >= F.col("need"))
