@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.ordinal import with_global_ordinal
+from quire.sources.literal import literal_table
 
 # Fixed value: the part counts the reference sweeps.
 SWEEP = (1, 2, 4, 8, 16, 32)
@@ -34,30 +35,27 @@ def chunk_plan(spark: SparkSession, table: DataFrame, order_by: list, key: str,
     ``(n, chunk, begin, end, rows, min_key, max_key)``: begin/end are row
     positions (0-based, end exclusive) of ``ceil(size / n)`` slices; rows, min
     and max key are what each slice holds. Rows are numbered once (global
-    ordinal), then every n is a group-by on ``position div length`` -- one
-    aggregation per n over the numbered table, combined map-side.
+    ordinal); each row is then exploded into its chunk for every n and one
+    aggregation, combined map-side, counts all chunks of all n.
     """
     cols = list(dict.fromkeys([key] + [c for c in order_by if isinstance(c, str)]))
     numbered = with_global_ordinal(table.select(*cols), order_by, name="_pos1")
     size = numbered.count()
-    plans = []
-    for n in sizes_n:
-        length = max(-(-size // n), 1)
-        bounds = spark.createDataFrame(
-            [(n, c, b, e) for c, b, e in chunk_bounds(size, n)],
-            "n int, chunk int, begin bigint, end bigint")
-        stats = (numbered.select(((F.col("_pos1") - 1) / length).cast("int").alias("chunk"),
-                                 F.col(key).alias("_k"))
-                 .groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"),
-                                       F.min("_k").alias("min_key"),
-                                       F.max("_k").alias("max_key")))
-        plans.append(bounds.join(stats, "chunk", "left").select(
-            "n", "chunk", "begin", "end", F.coalesce("rows", F.lit(0)).alias("rows"),
-            "min_key", "max_key"))
-    out = plans[0]
-    for p in plans[1:]:
-        out = out.unionByName(p)
-    return out
+    lengths = [(n, max(-(-size // n), 1)) for n in sizes_n]
+    # Every row lands in one chunk per n: one aggregation for all n.
+    per_n = F.array(*[F.struct(F.lit(n).alias("n"),
+                               ((F.col("_pos1") - 1) / length).cast("int").alias("chunk"))
+                      for n, length in lengths])
+    stats = (numbered.select(F.col(key).alias("_k"), F.explode(per_n).alias("_c"))
+             .groupBy(F.col("_c.n").alias("n"), F.col("_c.chunk").alias("chunk"))
+             .agg(F.count(F.lit(1)).alias("rows"), F.min("_k").alias("min_key"),
+                  F.max("_k").alias("max_key")))
+    bounds = literal_table(
+        spark, [(n, c, b, e) for n in sizes_n for c, b, e in chunk_bounds(size, n)],
+        "n int, chunk int, begin bigint, end bigint")
+    return bounds.join(stats, ["n", "chunk"], "left").select(
+        "n", "chunk", "begin", "end", F.coalesce("rows", F.lit(0)).alias("rows"),
+        "min_key", "max_key")
 
 
 def range_copy(table: DataFrame, key, n: int, dest: str, mode: str = "overwrite",
