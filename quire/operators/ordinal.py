@@ -113,18 +113,27 @@ def rank_within(df: DataFrame, group_by: list, order_by: list, name: str = "rank
     return with_group_ordinal(df, group_by, order_by, name=name)
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _conf_bytes(spark: SparkSession, key: str, default: str) -> int:
+    text = str(spark.conf.get(key, default)).strip().lower()
+    digits = text.rstrip("kmgtb")
+    return int(digits) * _UNITS[text[len(digits):]]
+
+
 def split_bound(scan: DataFrame) -> int:
-    """Upper bound on the number of file splits of a scan, without a job.
+    """Upper bound on the number of file splits of a scan, without a job or a listing.
 
-    A file of size s is cut into ceil(s / m) splits and splits are packed into
-    partitions of at most m bytes, so splits <= files + partitions. Both are
-    known from planning (the file listing and the partition count).
+    Spark packs splits into partitions of at most ``maxPartitionBytes`` and
+    charges at least ``openCostInBytes`` per split, so a partition holds at
+    most ``maxPartitionBytes / openCostInBytes + 1`` splits.
     """
-    try:
-        files = len(scan.inputFiles())
-    except Exception:  # noqa: BLE001 - streaming batches have no file index
-        return 1 << 62
-    return files + scan.rdd.getNumPartitions()
+    spark = scan.sparkSession
+    per_partition = (_conf_bytes(spark, "spark.sql.files.maxPartitionBytes", "128m")
+                     // max(_conf_bytes(spark, "spark.sql.files.openCostInBytes", "4m"), 1) + 1)
+    return scan.rdd.getNumPartitions() * per_partition
 
 
 def ordered_lines(spark: SparkSession, path, per_file: bool = False) -> DataFrame:
