@@ -128,20 +128,32 @@ def q_clique_articles(spark, sf_dir):
 HOST_A, HOST_B = "click", "view"
 
 
-def _dated_log(spark, sf_dir, event_type=None):
-    """Fixture log file -> numbered in file order (S4) -> parsed -> dated.
+def _log_dates(spark, sf_dir, event_types) -> dict:
+    """First date of each log (``None`` = all events): one small aggregate job.
 
-    The log date is the date of the earliest event of that log: one scalar
-    from a global aggregate, the stand-in for the file's modification date.
+    The stand-in for the files' modification dates; a grouped minimum returns
+    one row per log.
     """
-    path = fixtures.load_log_files(spark, sf_dir, event_type)
     ev = read_table(spark, sf_dir, "events")
-    if event_type is not None:
-        ev = ev.where(F.col("event_type") == event_type)
-    first = ev.agg(F.min("ts").alias("t")).first()["t"]
+    out = {}
+    types = [t for t in event_types if t is not None]
+    if types:
+        for r in (ev.where(F.col("event_type").isin(*types)).groupBy("event_type")
+                    .agg(F.min("ts").alias("t")).collect()):
+            out[r["event_type"]] = r["t"].date()
+    if None in event_types:
+        t = ev.agg(F.min("ts").alias("t")).first()["t"]
+        out[None] = t.date() if t else None
+    return out
+
+
+def _dated_log(spark, sf_dir, event_type=None, log_date=None):
+    """Fixture log file -> numbered in file order (S4) -> parsed -> dated."""
+    path = fixtures.load_log_files(spark, sf_dir, event_type)
+    if log_date is None:
+        log_date = _log_dates(spark, sf_dir, [event_type]).get(event_type)
     lines = ordered_lines(spark, path).select("line_no", "value")
-    return loadlog.with_day_roll(loadlog.parse_load_log(lines),
-                                 first.date() if first else "1970-01-01")
+    return loadlog.with_day_roll(loadlog.parse_load_log(lines), log_date or "1970-01-01")
 
 
 def q_parse_load_log(spark, sf_dir):
@@ -154,7 +166,9 @@ def q_log_report(spark, sf_dir):
 
 
 def q_log_skew(spark, sf_dir):
-    return loadlog.log_skew(_dated_log(spark, sf_dir, HOST_A), _dated_log(spark, sf_dir, HOST_B))
+    dates = _log_dates(spark, sf_dir, [HOST_A, HOST_B])
+    return loadlog.log_skew(_dated_log(spark, sf_dir, HOST_A, dates.get(HOST_A)),
+                            _dated_log(spark, sf_dir, HOST_B, dates.get(HOST_B)))
 
 
 # Repeat count, set width and stride of the generator entries
