@@ -25,11 +25,14 @@ def split_blank(c) -> Column:
     """Split on one blank like a limit-0 Java split.
 
     Trailing empty tokens are dropped, inner and leading ones are kept, a
-    string of blanks only gives no token, and "" gives one "".
+    string of blanks only gives no token, and "" gives one "". ``rtrim``
+    removes trailing blanks only, so no regular expression runs before the
+    split itself.
     """
     c = _col(c)
-    return F.when(c.rlike("^ +$"), F.array().cast("array<string>")) \
-        .otherwise(F.split(F.regexp_replace(c, " +$", ""), " "))
+    cut = F.rtrim(c)
+    return F.when((c != "") & (cut == ""), F.array().cast("array<string>")) \
+        .otherwise(F.split(cut, " "))
 
 
 def squeeze_blanks(c) -> Column:
