@@ -11,7 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the line format.
-LINE_PATTERN = (r"^\s*(\d{1,2}):(\d{2}):(\d{2})\s+up\s+(.*?),\s+(\d+)\s+users?,"
+LINE_PATTERN = (r"^\s*([01]?[0-9]|2[0-3]):([0-5][0-9]):([0-5][0-9]|60)\s+up\s+(.*?),"
+                r"\s+(\d+)\s+users?,"
                 r"\s+load averages?:\s+([0-9.]+),\s+([0-9.]+),\s+([0-9.]+)\s*$")
 
 

@@ -91,7 +91,10 @@ def log_report(dated: DataFrame) -> DataFrame:
     """
     agg = dated.agg(
         F.count(F.lit(1)).alias("line_count"),
-        (F.max_by("ts_sec", "line_no") - F.min_by("ts_sec", "line_no")).alias("span_seconds"),
+        # First to last line whose time was read.
+        (F.max_by("ts_sec", F.when(F.col("ts_sec").isNotNull(), F.col("line_no")))
+         - F.min_by("ts_sec", F.when(F.col("ts_sec").isNotNull(), F.col("line_no"))))
+        .alias("span_seconds"),
         F.count_if(F.col("load15") > 0).alias("positive_load15"),
         F.count("load15").alias("nonnull_load15"),
         F.sum(F.when(F.col("line_no") % 2 == 0, line_bytes(F.col("value")))).alias("even_bytes"),
