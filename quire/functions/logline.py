@@ -27,15 +27,15 @@ def parse_fields(value: Column) -> dict[str, Column]:
     def when_ok(c: Column) -> Column:
         return F.when(ok, c)
 
-    sec = (_g(value, 1).cast("int") * 3600 + _g(value, 2).cast("int") * 60
-           + _g(value, 3).cast("int"))
+    sec = (_g(value, 1).try_cast("int") * 3600 + _g(value, 2).try_cast("int") * 60
+           + _g(value, 3).try_cast("int"))
     return {
-        "sec_of_day": when_ok(sec.cast("bigint")),
+        "sec_of_day": when_ok(sec.try_cast("bigint")),
         "uptime": when_ok(_g(value, 4)),
-        "users": when_ok(_g(value, 5).cast("int")),
-        "load1": when_ok(_g(value, 6).cast("double")),
-        "load5": when_ok(_g(value, 7).cast("double")),
-        "load15": when_ok(_g(value, 8).cast("double")),
+        "users": when_ok(_g(value, 5).try_cast("int")),
+        "load1": when_ok(_g(value, 6).try_cast("double")),
+        "load5": when_ok(_g(value, 7).try_cast("double")),
+        "load15": when_ok(_g(value, 8).try_cast("double")),
     }
 
 
