@@ -61,3 +61,16 @@ def test_ordered_lines_files_in_path_order(spark, tmp_dir):
     assert got == [(1, "a.txt0"), (2, "a.txt1"), (3, "b.txt0"), (4, "b.txt1"), (5, "b.txt2")]
     per_file = ordered_lines(spark, tmp_dir, per_file=True)
     assert sorted(r.line_no for r in per_file.collect()) == [1, 1, 2, 2, 3]
+
+
+def test_group_ordinal_hot_group_default_aqe_path(spark):
+    # Same hot group, partition count left to AQE (the path queries use).
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(F.lit(-1)).alias("g"),
+        F.col("id").alias("x"))
+    got = with_group_ordinal(df, ["g"], [F.desc("x")], name="r")
+    ref = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("x"))))
+    assert got.select("g", "x", "r").exceptAll(ref.select("g", "x", "r")).count() == 0
+    assert got.count() == 30000
+    ordered = with_global_ordinal(df, [F.col("x")], name="o")
+    assert ordered.where("o != x + 1").count() == 0
