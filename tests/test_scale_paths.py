@@ -32,9 +32,9 @@ def test_xml_beyond_the_split_bound(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(X, "MAX_BROADCAST_SPLITS", 0)
     p = os.path.join(tmp_dir, "x.xml")
     with open(p, "w") as f:
-        f.write("<dblp>\n" + "".join(
+        f.write("<bib>\n" + "".join(
             f'<article key="k{i}">\n<author>A</author>\n<title>T{i}.</title>\n<year>2001</year>\n'
-            f"</article>\n" for i in range(300)) + "</dblp>\n")
+            f"</article>\n" for i in range(300)) + "</bib>\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
     try:
         got = X.load_publications(spark, p).select("pub_key", "title").collect()

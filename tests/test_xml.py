@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from quire.sources import xml as X
 
 SAMPLE = """<?xml version="1.0" encoding="ISO-8859-1"?>
-<!DOCTYPE dblp SYSTEM "dblp.dtd">
-<dblp>
+<!DOCTYPE bib SYSTEM "bib.dtd">
+<bib>
 <article key="k/1" mdate="2020"><author orcid="0000">Ann Lee</author><author>J&uuml;rgen &amp; Co</author><title>Query <i>Processing</i> on
 Graphs.</title><year>2003</year><url>db/journals/pvldb/a.html</url></article><inproceedings key="k/2"><author>Bob Ng</author><title>Two.</title><year>2001</year><url>db/conf/sigmod/b.html</url></inproceedings>
 <www key="w/1"><author>Zed</author><title>Home</title></www>
@@ -19,12 +19,12 @@ Graphs.</title><year>2003</year><url>db/journals/pvldb/a.html</url></article><in
 </mastersthesis>
 <phdthesis key="k/4"><author>Cy Roe</author><title>Bad year.</title><year>x</year></phdthesis>
 <phdthesis key="k/5"><author>Cy Roe</author><author>Dee Poe</author><title>Thesis.</title><year>2010</year><url>u</url></phdthesis>
-</dblp>
+</bib>
 """
 
 
 def test_xml_publications_sample(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "dblp.xml")
+    p = os.path.join(tmp_dir, "bib.xml")
     with open(p, "w", encoding="utf-8") as f:
         f.write(SAMPLE)
     got = {r.pub_key: r for r in X.load_publications(spark, p).collect()}
@@ -44,7 +44,7 @@ def test_many_records_over_small_splits(spark, tmp_dir):
     p = os.path.join(tmp_dir, "big.xml")
     kinds = X.KINDS
     with open(p, "w") as f:
-        f.write("<?xml version='1.0'?>\n<dblp>\n")
+        f.write("<?xml version='1.0'?>\n<bib>\n")
         for i in range(5000):
             k = kinds[i % 4]
             sep = "\n" if i % 3 == 0 else ""
@@ -52,7 +52,7 @@ def test_many_records_over_small_splits(spark, tmp_dir):
                     f'<year>{2000 + i % 20}</year></{k}>')
             if i % 2 == 0:
                 f.write("\n")
-        f.write("</dblp>\n")
+        f.write("</bib>\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         assert spark.read.text(p).rdd.getNumPartitions() > 20
