@@ -14,9 +14,12 @@ not know spoils nothing but is resolved first. Steps, all DataFrame code:
    event says whether a piece lies inside a record. One row per split carries
    the count and the state into later splits (prefix over splits, broadcast:
    the number of splits is bounded at planning time).
-4. Pieces inside records are grouped by ``(file, record)`` -- a group is one
-   record, so its size is bounded by the record, never by the data -- and
-   joined in order with newlines.
+4. Pieces inside records are grouped by ``(file, split, record)`` -- a group
+   is one record, bounded by the record, never by the data -- and joined in
+   order with newlines. That grouping reuses the window's partitioning, so
+   the text is shuffled once. The tails of records that cross a split edge
+   (at most one per edge) are picked by position from the per-split table,
+   without the window, grouped apart and broadcast onto their heads.
 5. Kinds are renamed to one (X8), entities outside XML's own five are resolved
    from the HTML entity table, and ``from_xml`` parses each record with a fixed
    schema (no inference pass, attributes dropped).
@@ -84,33 +87,61 @@ def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
     st = (F.when(F.col("piece").rlike(f"{closing}\\s*$"), F.lit("c"))
            .when(o, F.lit("o")))
     pieces = pieces.withColumn("o", o.cast("int")).withColumn("st", st)
+    at = F.struct("mid", "pos")
 
-    w = Window.partitionBy("file", "blk").orderBy("mid", "pos")
-    pieces = (pieces
-              .withColumn("cum", F.sum("o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("prev_st", F.last("st", ignorenulls=True)
-                          .over(w.rowsBetween(Window.unboundedPreceding, -1))))
+    # One row per split: openings, last open/close event, first opening and
+    # first closing position; then the carry from earlier splits of the file.
     splits = pieces.groupBy("file", "blk").agg(
         F.sum("o").alias("opens"),
-        F.max_by("st", F.when(F.col("st").isNotNull(), F.struct("mid", "pos"))).alias("last_st"))
+        F.max_by("st", F.when(F.col("st").isNotNull(), at)).alias("last_st"),
+        F.min(F.when(F.col("o") == 1, at)).alias("first_open"),
+        F.min(F.when(F.col("st") == "c", at)).alias("first_close"))
     before = Window.partitionBy("file").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select(
-        "file", "blk",
+        "file", "blk", "first_open", "first_close",
         F.coalesce(F.sum("opens").over(before), F.lit(0)).alias("off"),
         F.last("last_st", ignorenulls=True).over(before).alias("carry_st"))
-    # One row per file split: broadcast on the planning-time bound, else counted.
-    splits = F.broadcast(splits) if split_bound(scan) <= MAX_BROADCAST_SPLITS \
-        else checked_broadcast(splits, MAX_BROADCAST_SPLITS)
+    # Bounded by the number of splits: broadcast on the planning-time bound.
+    small = split_bound(scan) <= MAX_BROADCAST_SPLITS
 
-    placed = pieces.join(splits, ["file", "blk"])
-    state = F.coalesce(F.col("prev_st"), F.col("carry_st"))
-    inside = (F.col("o") == 1) | (state == "o")
-    kept = placed.where(inside).select(
-        "file", (F.col("off") + F.col("cum")).alias("record"), "blk", "mid", "pos", "piece")
-    return kept.groupBy("file", "record").agg(
-        F.array_join(F.transform(
+    def bcast(df):
+        return F.broadcast(df) if small else checked_broadcast(df, MAX_BROADCAST_SPLITS)
+
+    splits = bcast(splits)
+
+    def joined(df, keys):
+        return df.groupBy(*keys).agg(F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct("blk", "mid", "pos", "piece"))),
-            lambda x: x["piece"]), "\n").alias("xml"))
+            lambda x: x["piece"]), "\n").alias("text"))
+
+    # Records started in this split. A running count inside the split numbers
+    # them (window by file and split, bounded by the split size); grouping by
+    # (file, split, record) reuses that partitioning, so the text is shuffled
+    # once.
+    w = Window.partitionBy("file", "blk").orderBy("mid", "pos")
+    numbered = (pieces
+                .withColumn("cum", F.sum("o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("prev_st", F.last("st", ignorenulls=True)
+                            .over(w.rowsBetween(Window.unboundedPreceding, -1)))
+                .join(splits.select("file", "blk", "off", "carry_st"), ["file", "blk"]))
+    state = F.coalesce(F.col("prev_st"), F.col("carry_st"))
+    heads = joined(
+        numbered.where(((F.col("o") == 1) | (state == "o")) & (F.col("cum") > 0))
+                .withColumn("record", F.col("off") + F.col("cum")),
+        ["file", "blk", "record"])
+
+    # The rest of a record that was open when a split began: the split's pieces
+    # before its first opening and up to its first closing -- no window needed.
+    # At most one record per split edge, so the table is bounded by the splits.
+    pos_ = at
+    tail_pieces = (pieces.join(splits, ["file", "blk"])
+                   .where((F.col("carry_st") == "o")
+                          & (F.col("first_open").isNull() | (pos_ < F.col("first_open")))
+                          & (F.col("first_close").isNull() | (pos_ <= F.col("first_close"))))
+                   .withColumn("record", F.col("off")))
+    tails = bcast(joined(tail_pieces, ["file", "record"]).withColumnRenamed("text", "tail"))
+    out = heads.join(tails, ["file", "record"], "left")
+    return out.select("file", "record", F.concat_ws("\n", "text", "tail").alias("xml"))
 
 
 def parse_records(records: DataFrame, kinds=KINDS) -> DataFrame:
