@@ -170,7 +170,10 @@ class CommandService:
         self.pubs.unpersist()
 
     def answer_files(self, path) -> DataFrame:
-        """Batch form: every line of the command files under ``path``."""
+        """Batch form: every line of the command files under ``path``.
+
+        The batch's intermediate frames stay persisted until ``release()``.
+        """
         raw = self.spark.read.text(path).select(
             "value", F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("_q_block"))
