@@ -68,26 +68,29 @@ def top_authors(pubs: DataFrame, k: int = 100) -> DataFrame:
 
 
 def title_words(titles: DataFrame, stop: DataFrame | None = None,
-                keep_empty: bool = False) -> DataFrame:
+                keep_empty: bool = False, stop_rows: int | None = None) -> DataFrame:
     """Q6 tokens: ``word`` per token of every title, stop words removed.
 
     Removing stop words is a left anti join, duplicates on the left kept
     (``subtract`` semantics); the stop list is lower-cased, not trimmed, and
-    broadcast after a count.
+    broadcast after a count -- or directly when the caller knows its size
+    (``stop_rows``, e.g. a list built from driver-side literals).
     """
     words = titles.select(F.explode(title_tokens("title")).alias("word"))
     if not keep_empty:
         words = words.where(F.col("word") != "")
     if stop is not None:
         stop_lc = stop.select(F.lower(F.col(stop.columns[0])).alias("word")).distinct()
-        words = words.join(checked_broadcast(stop_lc, MAX_STOP_WORDS), "word", "left_anti")
+        small = (F.broadcast(stop_lc) if stop_rows is not None and stop_rows <= MAX_STOP_WORDS
+                 else checked_broadcast(stop_lc, MAX_STOP_WORDS))
+        words = words.join(small, "word", "left_anti")
     return words
 
 
 def top_words(titles: DataFrame, stop: DataFrame | None = None, k: int = 100,
-              keep_empty: bool = False) -> DataFrame:
+              keep_empty: bool = False, stop_rows: int | None = None) -> DataFrame:
     """Q6: ``(rank, word, n)``."""
-    counts = (title_words(titles, stop, keep_empty)
+    counts = (title_words(titles, stop, keep_empty, stop_rows)
               .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     return top_k(counts, k, [F.desc("n"), F.asc("word")]).select("rank", "word", "n")
 

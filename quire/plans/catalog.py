@@ -62,12 +62,14 @@ def q_top_authors_text(spark, sf_dir):
 
 def q_top_words(spark, sf_dir):
     subset = bib.select_venues(fixtures.publications_table(spark, sf_dir))
-    return bib.top_words(subset, fixtures.stop_words(spark), k=100)
+    return bib.top_words(subset, fixtures.stop_words(spark), k=100,
+                         stop_rows=len(fixtures.FIXTURE_STOP_WORDS))
 
 
 def q_top_words_documents(spark, sf_dir):
     return bib.top_words(fixtures.document_titles(spark, sf_dir),
-                         fixtures.stop_words(spark), k=100)
+                         fixtures.stop_words(spark), k=100,
+                         stop_rows=len(fixtures.FIXTURE_STOP_WORDS))
 
 
 def q_author_titles(spark, sf_dir):
