@@ -262,13 +262,26 @@ COMMAND_LINES = (
 )
 
 
+_INDEX_PATHS: dict[tuple, str] = {}
+
+
+def _index_path(spark, sf_dir) -> str:
+    """One stored author index per application and input, like the table it
+    indexes: the service builds it on first use and later runs reuse it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEX_PATHS:
+        _INDEX_PATHS[key] = scratch_path(spark, "author-index")
+    return _INDEX_PATHS[key]
+
+
 def q_answer_commands(spark, sf_dir):
     """Q12 through Structured Streaming: the command file is the stream's input."""
     from quire.streaming.commands import CommandService, read_answers
     src = scratch_path(spark, "commands")
     spark.createDataFrame([(c,) for c in COMMAND_LINES], "value string") \
         .coalesce(1).write.text(src)
-    service = CommandService(spark, fixtures.publications_table(spark, sf_dir))
+    service = CommandService(spark, fixtures.publications_table(spark, sf_dir),
+                             index_path=_index_path(spark, sf_dir))
     out, ckpt = scratch_path(spark, "answers"), scratch_path(spark, "answers-ckpt")
     query = service.start(src, out, ckpt, available_now=True)
     query.awaitTermination()

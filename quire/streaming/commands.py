@@ -22,7 +22,7 @@ output (exactly once on top of the checkpointed source offsets).
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,6 +32,7 @@ from quire.operators.containment import author_totals, lower_names, persisted
 from quire.operators.ordinal import (number_lines, rank_within, with_global_ordinal,
                                      with_group_ordinal)
 from quire.plans import bibliography as bib
+from quire.session import scratch_path
 
 OUTPUT_COLUMNS = ["cmd_file", "cmd_line", "op", "arg", "status", "rank", "text"]
 
@@ -39,6 +40,29 @@ OUTPUT_COLUMNS = ["cmd_file", "cmd_line", "op", "arg", "status", "rank", "text"]
 TRIGGER_INTERVAL = "2 seconds"
 
 
+# Buckets of the stored author index (a power of two keeps them even).
+INDEX_BUCKETS = 256
+
+
+def name_bucket(name: Column) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(INDEX_BUCKETS)).cast("int")
+
+
+def author_entries(pubs: DataFrame) -> DataFrame:
+    """``(bucket, name_lc, pub_id, have, title, year, author)``: one row per
+    publication and lower-cased name, ``have`` its multiplicity in the list.
+
+    Each group is one publication's entries for one name, so the aggregation
+    is bounded by a single author list.
+    """
+    entries = pubs.select("pub_id", "title", "year", "author",
+                          F.explode(lower_names()).alias("name_lc"))
+    return (entries.groupBy("pub_id", "name_lc")
+            .agg(F.count(F.lit(1)).alias("have"),
+                 *[F.first(c).alias(c) for c in ("title", "year", "author")])
+            .withColumn("bucket", name_bucket(F.col("name_lc"))))
+
+
 def parse_commands(numbered: DataFrame) -> DataFrame:
     """``(cmd_file, cmd_line, value)`` -> ``+ cmd_id, op, arg, status, names, min_count``."""
     p = parse_command(F.col("value"))
@@ -55,8 +79,8 @@ def parse_commands(numbered: DataFrame) -> DataFrame:
         c["names"].alias("names"), c["min_count"].alias("min_count"))
 
 
-def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None = None
-           ) -> DataFrame:
+def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None = None,
+           index: DataFrame | None = None) -> DataFrame:
     """Answer parsed commands; see the module docstring for the result.
 
     All three operations are one relational division over a single pass of
@@ -81,15 +105,20 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
     need = (single.unionByName(multi).groupBy("cmd_id", "op", "name_lc")
             .agg(F.count(F.lit(1)).alias("need")))
     k = need.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("_k"))
-    carry = ("title", "year", "author")
-    entries = pubs.select("pub_id", *carry, F.explode(lower_names()).alias("name_lc"))
-    firsts = [F.first(c).alias(c) for c in carry]
-    # Both counts group by keys containing (cmd_id, pub_id): one exchange serves both.
-    have = (entries.join(need, "name_lc").repartition("cmd_id", "pub_id")
-            .groupBy("cmd_id", "op", "pub_id", "name_lc", "need")
-            .agg(F.count(F.lit(1)).alias("have"), *firsts))
-    hits = (have.where(F.col("have") >= F.col("need"))
-            .groupBy("cmd_id", "op", "pub_id").agg(F.count(F.lit(1)).alias("_m"), *firsts))
+    need = need.withColumn("bucket", name_bucket(F.col("name_lc")))
+    if index is None:
+        index = author_entries(pubs)
+    else:
+        # A stored index is partitioned by bucket: read only the buckets of the
+        # requested names. There are at most INDEX_BUCKETS of them, so the list
+        # that reaches the driver is bounded whatever the batch size.
+        wanted = [r["bucket"] for r in need.select("bucket").distinct().collect()]
+        index = index.where(F.col("bucket").isin(wanted))
+    hits = (index.join(need, ["bucket", "name_lc"])
+            .where(F.col("have") >= F.col("need"))
+            .groupBy("cmd_id", "op", "pub_id")
+            .agg(F.count(F.lit(1)).alias("_m"),
+                 *[F.first(c).alias(c) for c in ("title", "year", "author")]))
     found = hits.join(k, "cmd_id").where(F.col("_m") == F.col("_k")).drop("_m", "_k")
     if hold is not None:
         found = keep(found.persist(StorageLevel.MEMORY_AND_DISK))
@@ -137,9 +166,16 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
 class CommandService:
     """Static tables read once and kept, answering batches of command lines."""
 
-    def __init__(self, spark: SparkSession, pubs: DataFrame):
+    def __init__(self, spark: SparkSession, pubs: DataFrame, index_path: str | None = None):
+        """``index_path`` names where the author index is stored (built if
+        missing); by default a fresh folder under the shared scratch space."""
         self.spark = spark
         self.pubs = persisted(bib.non_null(pubs))
+        path = index_path or scratch_path(spark, "author-index")
+        if not _exists(spark, path):
+            (author_entries(self.pubs).repartition("bucket").sortWithinPartitions("name_lc")
+             .write.mode("overwrite").partitionBy("bucket").parquet(path))
+        self.index = spark.read.parquet(path)
         # A2 per name is a property of the static table: counted once, kept.
         self.totals = persisted(author_totals(self.pubs))
         self._held: list[DataFrame] = []
@@ -152,7 +188,7 @@ class CommandService:
         and numbered once.
         """
         cmds = self._hold(parse_commands(numbered).persist(StorageLevel.MEMORY_AND_DISK))
-        return answer(cmds, self.pubs, hold=self._hold, totals=self.totals)
+        return answer(cmds, self.pubs, hold=self._hold, totals=self.totals, index=self.index)
 
     def _hold(self, df: DataFrame) -> DataFrame:
         self._held.append(df)
@@ -245,6 +281,14 @@ def _numbered_socket(batch: DataFrame, batch_id: int) -> DataFrame:
     return ordered.select(F.lit(f"socket-{batch_id}").alias("cmd_file"), "cmd_line", "value")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # noqa: BLE001 - not written yet
+        return False
+
+
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
     """The reference's socket source. Opens a client connection to an
     existing server; not used in tests (no port is opened here)."""
