@@ -7,16 +7,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import quality
+from quire.llm import packing, quality
 from quire.llm.common import table
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, log_ratio, sample_key, kept)`` of every document."""
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op6_quality_resampling": op6_quality_resampling,
 }
 
