@@ -7,10 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import packing, quality
+from quire.llm import packing, quality, toxicity
 from quire.llm.common import table
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, held_out, score, predicted)`` of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -22,6 +27,7 @@ def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_quality_resampling": op6_quality_resampling,
 }

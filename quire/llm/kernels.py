@@ -109,12 +109,12 @@ class Words(NamedTuple):
     row: np.ndarray  # row of each word
 
 
-def words(block: Block) -> Words:
-    """Maximal runs of bytes other than x20 and x09-x0D, cut at row ends."""
+def words(block: Block, gap: np.ndarray = SPACE) -> Words:
+    """Maximal runs of bytes not in ``gap`` (x20 and x09-x0D), cut at row ends."""
     if not len(block.data):
         z = np.zeros(0, dtype=np.int64)
         return Words(z, z, z)
-    inside = ~SPACE[block.data]
+    inside = ~gap[block.data]
     before = np.empty(len(inside) + 1, dtype=bool)
     before[0] = before[-1] = False
     before[1:-1] = inside[:-1]
