@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import packing, quality, toxicity
+from quire.llm import packing, quality, secrets, toxicity
 from quire.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts, digest of the base spans, all spans."""
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, log_ratio, sample_key, kept)`` of every document."""
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -29,6 +34,7 @@ def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_secret_scans": op5_secret_scans,
     "op6_quality_resampling": op6_quality_resampling,
 }
 
