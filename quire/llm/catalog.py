@@ -7,10 +7,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import packing, quality, secrets, toxicity
+from quire.llm import exact_topk, lsh, packing, quality, secrets, toxicity
 from quire.llm.common import table
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every 20th vector."""
+    return exact_topk.topk(table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every document."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -31,11 +36,18 @@ def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th vector."""
+    return lsh.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_exact_topk": op1_exact_topk,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_secret_scans": op5_secret_scans,
     "op6_quality_resampling": op6_quality_resampling,
+    "op10_multiprobe_lsh": op10_multiprobe_lsh,
 }
 
 #: None of these has a SQL form; tests/llm holds brute-force versions.

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
+import quire
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,9 +15,29 @@ from pyspark.sql import types as T
 from quire.session import ensure_checkpoint_dir
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package's modules, once per application.
+
+    As ``--py-files`` does; a job then needs no PYTHONPATH on the workers.
+    """
+    sc, home = spark.sparkContext, Path(quire.__file__).parent
+    if sc.applicationId in _shipped or not home.is_dir():
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="quire-py-"), "quire.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, p.relative_to(home.parent).as_posix())
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table by Spark's own reader, whatever store it lies in."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
