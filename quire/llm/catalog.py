@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import exact_topk, lsh, packing, quality, secrets, toxicity
+from quire.llm import exact_topk, lsh, packing, passages, quality, secrets, toxicity
 from quire.llm.common import table
 
 
@@ -36,6 +36,11 @@ def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 200 bytes that repeat."""
+    return passages.digest(passages.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every 20th vector."""
     return lsh.nearest(table(spark, sf_dir, "embeddings"))
@@ -47,6 +52,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_secret_scans": op5_secret_scans,
     "op6_quality_resampling": op6_quality_resampling,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op10_multiprobe_lsh": op10_multiprobe_lsh,
 }
 
