@@ -7,7 +7,7 @@ third decides:
 1. *Contexts.*  Each L-byte window has a minimiser, the least hash of its
    ``ANCHOR``-byte substrings; consecutive windows of equal minimiser form a
    context.  Equal windows have equal minimisers, so a context whose minimiser
-   occurs nowhere else holds no repeat.  Only narrow rows (minimiser, text hash,
+   is taken at one place only holds no repeat.  Only narrow rows (minimiser, text hash,
    place) are shuffled to find the others.
 2. *Distinct contexts.*  Contexts with the same bytes are one, with a count.
 3. *Index.*  The distinct contexts of a range of minimisers are laid end to end
@@ -61,21 +61,39 @@ def window_minimum(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(block: Block, size: int, anchor: int):
-    """(row, start within the row, number of windows, minimiser, hash of the bytes)."""
+    """(row, start within the row, number of windows, minimiser, hash of the bytes, twice).
+
+    ``twice``: the minimiser's value is taken at more than one place of the row,
+    so that windows of one context can be equal.
+    """
     n = len(block.data)
     if n < size:
-        return [np.zeros(0, dtype=np.int64)] * 3 + [np.zeros(0, dtype=np.uint64)] * 2
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none, none.view(np.uint64), none.view(np.uint64), none.astype(bool)
     prefix = prefix_hash(block, EXACT)
     at = np.arange(n - anchor + 1)
-    least = window_minimum(span_hash(prefix, at, at + anchor), size - anchor + 1)
+    value = span_hash(prefix, at, at + anchor)
+    width = size - anchor + 1
+    least = window_minimum(value, width)
     row = np.repeat(np.arange(block.rows), np.diff(block.offsets))
     whole = row[:n - size + 1] == row[size - 1:]
+    # places taken: the greatest minimum of the windows around a place is its own value
+    shown = np.zeros(n - anchor + width, dtype=np.uint64)
+    shown[width - 1:width - 1 + len(least)] = np.where(whole, least, np.uint64(0))
+    taken = np.flatnonzero(~window_minimum(~shown, width) == value)
+    order = np.lexsort((value[taken], row[taken]))
+    r, v = row[taken][order], value[taken][order]
+    same = (r[1:] == r[:-1]) & (v[1:] == v[:-1])
+    several = np.sort(mix64(v[1:][same] ^ r[1:][same].astype(np.uint64)))
     change = (least[1:] != least[:-1]) | (row[1:n - size + 1] != row[:n - size])
     first = np.flatnonzero(whole & np.concatenate(([True], change | ~whole[:-1])))
     last = np.flatnonzero(whole & np.concatenate((change | ~whole[1:], [True])))
-    of = row[first]
-    return (of, first - block.offsets[of], last - first + 1, least[first],
-            mix64(span_hash(prefix, first, last + size)))
+    of, h = row[first], least[first]
+    twice = np.zeros(len(of), dtype=bool)
+    if len(several):
+        mine = mix64(h ^ of.astype(np.uint64))
+        twice = several[np.minimum(np.searchsorted(several, mine), len(several) - 1)] == mine
+    return of, first - block.offsets[of], last - first + 1, h, mix64(span_hash(prefix, first, last + size)), twice
 
 
 def _context_rows(size: int, anchor: int):
@@ -85,12 +103,12 @@ def _context_rows(size: int, anchor: int):
         for batch in batches:
             k = batch.column(0).to_numpy()
             for b in blocks(batch.column(1)):
-                row, start, run, h, c = contexts(b, size, anchor)
+                row, start, run, h, c, twice = contexts(b, size, anchor)
                 parts.append((h.view(np.int64), k[b.first + row], c.view(np.int64),
-                              start.astype(np.int32), run.astype(np.int32)))
+                              start.astype(np.int32), run.astype(np.int32), twice))
         if not parts:
             return
-        h, k, c, start, run = (np.concatenate(p) for p in zip(*parts, strict=True))
+        h, k, c, start, run, twice = (np.concatenate(p) for p in zip(*parts, strict=True))
         order = np.argsort(h, kind="stable")
         s = h[order]
         head = np.concatenate(([True], s[1:] != s[:-1]))
@@ -98,6 +116,7 @@ def _context_rows(size: int, anchor: int):
         first, again = np.empty(len(h), dtype=bool), np.empty(len(h), dtype=bool)
         first[order] = head
         again[order] = np.repeat(size_of > 1, size_of)
+        again |= twice
         with np.errstate(over="ignore"):
             other = mix64((k + start).view(np.uint64) ^ h.view(np.uint64)).view(np.int64)
         deal = np.where(first, h, other)
@@ -245,14 +264,16 @@ class RunLengthIndex:
         # a match is carried on to the left while both neighbours lie in the row's run;
         # the place left of a run end is sampled and measured anew
         ends = self.order[head | tail]
-        sampled = np.unique(np.concatenate((ends[ends > 0] - 1, [n - 1])))
+        is_sampled = np.zeros(n, dtype=bool)
+        is_sampled[ends[ends > 0] - 1] = is_sampled[n - 1] = True
+        sampled = np.flatnonzero(is_sampled)
         row = np.empty(n, dtype=np.int32)
         row[self.order] = np.arange(n, dtype=np.int32)
         at = row[sampled]
         up = self.extension(sampled, self.order[np.maximum(at - 1, 0)])
         down = self.extension(sampled, self.order[np.minimum(at + 1, n - 1)])
         measured = np.maximum(np.where(at > 0, up, 0), np.where(at < n - 1, down, 0))
-        following = np.searchsorted(sampled, np.arange(n))
+        following = np.cumsum(is_sampled) - is_sampled  # the next sampled place at or after each
         return np.minimum(measured[following] + sampled[following] - np.arange(n), self.depth)
 
 
