@@ -109,8 +109,11 @@ class Words(NamedTuple):
     row: np.ndarray  # row of each word
 
 
-def words(block: Block, gap: np.ndarray = SPACE) -> Words:
-    """Maximal runs of bytes not in ``gap`` (x20 and x09-x0D), cut at row ends."""
+def words(block: Block, gap: np.ndarray = SPACE, cuts: np.ndarray | None = None) -> Words:
+    """Maximal runs of bytes not in ``gap`` (x20 and x09-x0D), cut at row ends.
+
+    ``cuts``: positions inside runs at which a further word begins.
+    """
     if not len(block.data):
         z = np.zeros(0, dtype=np.int64)
         return Words(z, z, z)
@@ -121,12 +124,16 @@ def words(block: Block, gap: np.ndarray = SPACE) -> Words:
     edges = block.offsets[1:-1]
     edges = edges[edges < len(inside)]
     before[edges] = False
+    if cuts is not None:
+        before[cuts] = False
     start = np.flatnonzero(inside & ~before[:-1])
     after = np.empty(len(inside), dtype=bool)
     after[:-1] = inside[1:]
     after[-1] = False
     cut = edges[edges > 0] - 1
     after[cut] = False
+    if cuts is not None:
+        after[cuts - 1] = False
     end = np.flatnonzero(inside & ~after) + 1
     row = np.searchsorted(block.offsets, start, side="right") - 1
     return Words(start, end, row)

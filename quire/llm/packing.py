@@ -15,9 +15,10 @@ places by their number among the pieces of equal length: a running number
 inside each task plus an offset by (task, length).  No group is gathered, so a
 length that a third of all pieces share is no hot key.
 
-Tokens: text between ASCII blanks is tokenised once per distinct word and task
-(the vocabulary file's pre-tokeniser drops white space and its pieces never
-cross it, nor does Unicode composition).
+Tokens: the vocabulary file folds case, drops white space and parts letters from
+other signs before its merges, so text between ASCII blanks, and a full stop or
+comma after an ASCII letter, is tokenised apart, once per distinct word while a
+worker keeps it (Unicode composition crosses none of these places).
 
 Defined results: null or empty text is one piece holding the end id; repeated
 rows are packed as often as they occur; an empty table gives an empty result;
@@ -37,11 +38,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import stored, texts
-from quire.llm.kernels import U64, blocks, word_hashes
+from quire.llm.kernels import EXACT, FOLDED, U64, blocks, mix64, prefix_hash, span_hash, words
 
 CAPACITY = 4096
 END_ID = 1
 
+_ALPHA = np.zeros(256, dtype=bool)
+_ALPHA[65:91] = _ALPHA[97:123] = True
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[ord("."), ord(",")]] = True
+
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Path of an installed public vocabulary file."""
@@ -53,7 +59,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 class WordIds:
     """Token ids of words, each distinct word encoded once while it is kept."""
 
-    KEEP = 400_000  # words kept before the memory is let go and begun again
+    KEEP = 600_000  # words kept before the memory is let go and begun again
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -71,7 +77,9 @@ class WordIds:
 
     def encode(self, block) -> tuple[np.ndarray, np.ndarray]:
         """(all ids of the block in order, ids per row)."""
-        w, h = word_hashes(block)
+        if not len(block.data):
+            return np.zeros(0, dtype=np.uint32), np.zeros(block.rows, dtype=np.int64)
+        w, h = self._words(block)
         if not len(h):
             return np.zeros(0, dtype=np.uint32), np.zeros(block.rows, dtype=np.int64)
         order = np.argsort(h)
@@ -91,6 +99,19 @@ class WordIds:
         per_row = np.bincount(w.row, weights=count, minlength=block.rows).astype(np.int64)
         return self.ids[flat], per_row
 
+    @staticmethod
+    def _words(block):
+        """Words and their case-folded hashes; those that hold "<" (special tokens) by exact hash."""
+        data = block.data
+        w = words(block, cuts=np.flatnonzero(_STOP[data[1:]] & _ALPHA[data[:-1]]) + 1)
+        h = span_hash(prefix_hash(block, FOLDED), w.start, w.end)
+        if (data == 60).any():
+            seen = np.concatenate(([0], np.cumsum(data == 60)))
+            special = seen[w.end] > seen[w.start]
+            exact = prefix_hash(block, EXACT)
+            h[special] = mix64(span_hash(exact, w.start[special], w.end[special]))
+        return w, h
+
     def _learn(self, block, w, distinct, first) -> None:
         at = np.searchsorted(self.known, distinct)
         new = np.ones(len(distinct), dtype=bool)
@@ -102,7 +123,8 @@ class WordIds:
         body = block.data.tobytes()
         strings = [body[a:b].decode("utf-8", "replace") for a, b in
                    zip(w.start[where].tolist(), w.end[where].tolist(), strict=True)]
-        encoded = [e.ids for e in self.tokenizer.encode_batch(strings, add_special_tokens=False)]
+        encoded = [e.ids for a in range(0, len(strings), 2000)
+                   for e in self.tokenizer.encode_batch_fast(strings[a:a + 2000], add_special_tokens=False)]
         lengths = np.array([len(e) for e in encoded], dtype=np.int64)
         ids = np.array([i for e in encoded for i in e], dtype=np.uint32)
         entry = len(self.lengths) + np.arange(len(lengths))
