@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import exact_topk, lsh, packing, passages, quality, secrets, toxicity
+from quire.llm import exact_topk, jaccard, lsh, packing, passages, quality, secrets, toxicity
 from quire.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.topk(table(spark, sf_dir, "embeddings"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` of every document."""
+    return jaccard.link(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every document."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -48,6 +53,7 @@ def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_secret_scans": op5_secret_scans,
