@@ -108,6 +108,14 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _test(kind: str):
+    return lambda s: _valid(kind, s["value"])
+
+
+def _is(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def _votes(kind: str, text: Column, span: Column) -> list[Column]:
     """Votes 1, 0 or -1 of the four labelers on a span."""
     value, digits = span["value"], _digits(span["value"])
@@ -152,7 +160,7 @@ def candidates(docs: DataFrame, text_col: str = "text", out: str = "candidates")
         spans = F.when(F.size(found) > 0, _spans(F.split(text, PATTERNS[kind], -1), found)) \
             .otherwise(F.array().cast(_SPAN))
         if kind in BASE:
-            spans = F.filter(spans, lambda s, kind=kind: _valid(kind, s["value"]))
+            spans = F.filter(spans, _test(kind))
         x = x.select("*", spans.alias(f"_pii_{kind}"))
 
     base = F.concat(*[F.transform(f"_pii_{k}", lambda s: F.struct(s["start"], s["end"])) for k in BASE])
@@ -262,7 +270,7 @@ def digest(spans: DataFrame) -> DataFrame:
     def joined(col):
         return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in BASE]
+    counts = [F.size(F.filter("spans", _is(k))).cast("bigint").alias(f"n_{k}") for k in BASE]
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     return spans.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
