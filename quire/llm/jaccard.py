@@ -6,12 +6,15 @@ whole corpus shows to be frequent come last, by their count.  Two sets of a
 Jaccard similarity of at least ``PERCENT`` % share a shingle among the first
 ``n - ceil(PERCENT * n / 100) + 1`` of each, so only these *prefixes* are joined.
 
-Equal sets are one node from the start.  Candidates are found in two rounds:
+Equal sets are one node from the start.  Candidates are found in rounds:
 
 1. Within a shingle's group every node is paired with the group's least node (a
    star, linear in the group).  Linked nodes become components.
-2. Groups that still hold several components give their pairs across
-   components.  A group of near copies is one component by now and gives none.
+2. While the groups that still hold several components have many pairs across
+   them, each group pairs one node of every component with one of a chosen
+   component (linear again); links found merge components.
+3. What is left gives all its pairs across components, so no link is lost.  A
+   group of near copies is one component by then and gives none.
 
 A pair stays a candidate only if the shared part of its prefixes plus all that
 lies behind the shorter prefix could reach the required overlap.
@@ -49,6 +52,7 @@ N = 4
 PERCENT = 85
 HEAVY, HEAVY_TASK, HEAVY_LEAST = 1 << 16, 1 << 13, 32
 SALTS = 32
+TURNS, TRIES, FEW = 5, 8, 4  # turns of merging at most, choices a turn; pairs a row that are few enough
 BROADCAST_ROWS = 1_000_000  # row numbers of 8 bytes
 _BUFFER = 1 << 20  # shingles counted at a time
 
@@ -191,14 +195,52 @@ def candidate_pairs(pairs: DataFrame, percent: int) -> DataFrame:
     behind = F.greatest(F.ceil(F.col("na") * percent / 100 - 1e-9), F.ceil(F.col("nb") * percent / 100 - 1e-9)) - 1
     ratio = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     return pairs.where(ratio).groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("shared")) \
-        .where(F.col("shared") + behind >= need).select("a", "b")
+        .where(F.col("shared") + behind >= need) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def star_pairs(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(pairs of every node with its group's least node, rows that share their group)."""
+def with_hubs(rows: DataFrame, group: list[str]) -> DataFrame:
+    """``rows`` with the least node (and its size) and the number of nodes of their group."""
     w = Window.partitionBy(*group)
-    seen = rows.withColumn("hub", F.min(F.struct("node", "n")).over(w)).withColumn("size", F.count(F.lit(1)).over(w))
-    return seen
+    return rows.withColumn("hub", F.min(F.struct("node", "n")).over(w)).withColumn("size", F.count(F.lit(1)).over(w))
+
+
+def open_rows(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """``(token, node, n, component)`` of the shingles that several components share."""
+    labelled = shared.select("token", "node", "n").join(label, "node", "left") \
+        .select("token", "node", "n", F.coalesce("component", "node").alias("component"))
+    several = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo <> hi").select("token")
+    return labelled.join(several, "token", "left_semi")
+
+
+def crossings(open_: DataFrame) -> dict:
+    """How many rows are open, and how many pairs across components they have."""
+    sizes = open_.groupBy("token", "component").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    tokens = sizes.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"))
+    total = tokens.agg(F.sum("m").alias("rows"), F.sum((F.col("m") * F.col("m") - F.col("own")) / 2).alias("pairs"))
+    return {k: v or 0.0 for k, v in total.first().asDict().items()}
+
+
+def proposals(open_: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b): in a group, a node of each component with one of a chosen component.
+
+    ``TRIES`` such choices are made by hashes that change with the turn, in every
+    ``TRIES``-th group: linear in the groups' components.  What they miss, later
+    turns or the last step find.
+    """
+    some = open_.where(F.pmod(F.xxhash64("token", F.lit(turn)), F.lit(TRIES)) == 0)
+    seeds = [turn * TRIES + i for i in range(TRIES)]
+    nodes = F.array(*[F.min(F.struct(F.xxhash64("node", F.lit(s)).alias("by"), "node", "n")) for s in seeds])
+    ones = stored(some.groupBy("token", "component").agg(nodes.alias("picks")))
+    leads = F.array(*[F.min(F.struct(F.xxhash64("component", F.lit(s)).alias("by"), F.col("picks")[i].alias("one")))
+                      for i, s in enumerate(seeds)])
+    lead = ones.groupBy("token").agg(leads.alias("leads"))
+    pairs = ones.join(lead, "token").select(F.explode(F.zip_with(
+        "picks", "leads", lambda x, y: F.struct(x.alias("x"), y["one"].alias("y")))).alias("p")).select("p.*")
+    return pairs.where((F.col("x.node") != F.col("y.node")) & (F.col("x.n") * 100 >= F.col("y.n") * percent)
+                       & (F.col("y.n") * 100 >= F.col("x.n") * percent)) \
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -261,8 +303,9 @@ def tree_links(probe: np.ndarray, partners: list[bytes], percent: int) -> list[i
 
 def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """``(doc_id, place, n_shingles, node, component_id)`` of every row of ``docs``.
+    """``(doc_id, place, n_shingles, node, component, component_id)`` of every row of ``docs``.
 
+    ``node`` names the row's set and ``component`` is the least node linked with it.
     ``place`` numbers the rows of the scan; it must give them in the same order
     each time, as a stored table does.
     """
@@ -294,7 +337,7 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
     prefixes = slim.select("text").mapInArrow(_prefixes(n, percent, order), "token bigint, salt int, node bigint, n int")
     # the tasks' copies of a node meet in its shingles' groups
     once = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "node"])
-    seen = star_pairs(once, ["token", "salt"])
+    seen = with_hubs(once, ["token", "salt"])
     shared = stored(seen.where((F.col("size") > 1) | (F.col("token") < 0)).select("token", "salt", "node", "n", "hub"))
     hubs = shared.where("token < 0").groupBy("token", "salt").agg(F.min("hub").alias("hub"))
     tops = hubs.groupBy("token").agg(F.min("hub").alias("top"))
@@ -306,17 +349,29 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
     links = stored(verify(first, stored(sets_of(first)), percent))
     label = stored(components(links))
 
-    labelled = shared.select("token", "node", "n").join(label, "node", "left") \
-        .select("token", "node", "n", F.coalesce("component", "node").alias("component"))
-    several = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo <> hi").select("token")
-    open_ = stored(labelled.join(several, "token", "left_semi"))
+    tested, before = first, float("inf")
+    for turn in range(TURNS):
+        open_ = stored(open_rows(shared, label))
+        cost = crossings(open_)
+        if cost["pairs"] <= FEW * cost["rows"] or cost["pairs"] > 0.8 * before:
+            break
+        before = cost["pairs"]
+        # many pairs across components: first try one pair a group and component, and merge
+        tried = stored(proposals(open_, turn, percent).join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(tried)
+        new = stored(verify(tried, stored(sets_of(tried)), percent))
+        if new.isEmpty():
+            break
+        links = stored(links.unionByName(new))
+        label = stored(components(links))
+    else:
+        open_ = stored(open_rows(shared, label))
     x, y = open_.alias("x"), open_.alias("y")
     across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                     & (F.col("x.component") != F.col("y.component"))
                     & (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)) \
         .select(F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("y.node").alias("b"), F.col("y.n").alias("nb"))
-    second = stored(candidate_pairs(across, percent).join(first, ["a", "b"], "left_anti"))
+    second = stored(candidate_pairs(across, percent).join(tested, ["a", "b"], "left_anti"))
     if not second.isEmpty():
         links = stored(links.unionByName(verify(second, stored(sets_of(second)), percent)))
         label = stored(components(links))
@@ -325,5 +380,17 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
     named = slim.select("doc_id", "place").join(rows, "place")
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     return named.join(least, "component", "left").select(
-        "doc_id", "place", F.col("n").alias("n_shingles"), "node",
+        "doc_id", "place", F.col("n").alias("n_shingles"), "node", "component",
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (nulls last)."""
+    found = link(docs, n, percent)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
+    linked = found.where("n_shingles > 0").select("place", "doc_id", "node", "component")
+    kept = linked.groupBy("component").agg(F.min(first).alias("first")).select(F.col("first.place").alias("place"))
+    gone = stored(linked.select("place").join(kept, "place", "left_anti"))
+    numbered = docs.withColumn("_jaccard_place", F.monotonically_increasing_id())
+    gone = checked_broadcast(gone.withColumnRenamed("place", "_jaccard_place"), BROADCAST_ROWS)
+    return numbered.join(gone, "_jaccard_place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
