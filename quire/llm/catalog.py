@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import exact_topk, jaccard, lsh, packing, passages, pii, quality, secrets, toxicity
+from quire.llm import exact_topk, jaccard, lsh, packing, passages, pieces, pii, quality, secrets, toxicity
 from quire.llm.common import table
 
 
@@ -46,6 +46,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.digest(passages.without_repeats(table(spark, sf_dir, "documents")))
 
 
+def op8_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best segmentation and N best scores of every document."""
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op9_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts, digest of the base spans, all spans."""
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_secret_scans": op5_secret_scans,
     "op6_quality_resampling": op6_quality_resampling,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_sentencepiece_nbest": op8_sentencepiece_nbest,
     "op9_pii_weak_supervision": op9_pii_weak_supervision,
     "op10_multiprobe_lsh": op10_multiprobe_lsh,
 }
