@@ -34,6 +34,8 @@ never cross documents; an empty table gives an empty result; a null id is carrie
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -41,11 +43,13 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import stored, texts
 from quire.llm.kernels import EXACT, Block, blocks, mix64, prefix_hash, span_hash
+from quire.session import checked_broadcast
 
 L = 200
 ANCHOR = 64
 HOT = 20_000
 INDEX_BYTES = 2 << 20
+BROADCAST_ROWS = 1_000_000  # row numbers of 8 bytes
 
 CONTEXT = "h bigint, k bigint, c bigint, start int, run int"
 
@@ -123,7 +127,7 @@ def _context_rows(size: int, anchor: int):
         for a in range(0, len(h), 100_000):
             cut = slice(a, a + 100_000)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[cut]) for x in (h, k, c, start, run, deal, again)],
+                [pa.array(x[cut]) for x in (np.where(first, 0, h), k, c, start, run, deal, again)],
                 names=["h", "k", "c", "start", "run", "deal", "again"])
     return rows
 
@@ -137,8 +141,10 @@ def find_contexts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     """
     rows = docs.select("k", "text").mapInArrow(_context_rows(size, anchor), CONTEXT + ", deal bigint, again boolean")
     group = Window.partitionBy("deal")
+    # a first context's minimiser is its deal; it travels once
     known = rows.withColumn("rows", F.count(F.lit(1)).over(group)).withColumn("any", F.max("again").over(group)) \
-        .where(F.col("again") | F.col("any") | (F.col("rows") > 1))
+        .where(F.col("again") | F.col("any") | (F.col("rows") > 1)) \
+        .withColumn("h", F.when(F.col("h") == 0, F.col("deal")).otherwise(F.col("h")))
     # copies of one text give equal rows: counted here, so that no later group holds them
     return known.groupBy("h", "k", "c", "start", "run").agg(F.count(F.lit(1)).alias("n"))
 
@@ -178,8 +184,10 @@ def fetch(rows: DataFrame, docs: DataFrame, columns: list[str]) -> DataFrame:
     parts = rows.groupBy("k").agg(F.collect_list(F.struct(*columns)).alias("parts"))
     # of a text that occurs often one row is used: that of the smallest row number
     one = docs.groupBy("k").agg(F.min("place").alias("place"))
-    wanted = parts.join(one, "k").select("place", "parts")
-    return docs.join(wanted, "place").select("k", "text", "parts")
+    wanted = stored(parts.join(one, "k").select("place", "parts"))
+    # where their row numbers are few enough to be sent everywhere, only those texts are shuffled
+    few = checked_broadcast(wanted.select("place"), BROADCAST_ROWS)
+    return docs.join(few, "place", "left_semi").join(wanted, "place").select("k", "text", "parts")
 
 
 def _cut_out(size: int):
@@ -277,50 +285,99 @@ class RunLengthIndex:
         return np.minimum(measured[following] + sampled[following] - np.arange(n), self.depth)
 
 
-def repeated_windows(bodies: list[bytes], counts: list[int], size: int) -> list[list[tuple[int, int]]]:
-    """For each context the ranges [from, to) of window starts that are repeats."""
-    length = np.array([len(b) + 1 for b in bodies])
+class Contexts(NamedTuple):
+    """Distinct contexts in order of the minimiser; ``data`` holds their bytes end to end."""
+
+    h: np.ndarray
+    c: np.ndarray
+    n: np.ndarray
+    length: np.ndarray
+    data: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> Contexts:
+        body = batch.column(3)
+        _, offsets, data = body.buffers()
+        at = np.frombuffer(offsets, dtype=np.int32)[body.offset:body.offset + len(body) + 1].astype(np.int64)
+        return cls(*(batch.column(j).to_numpy() for j in range(3)), np.diff(at),
+                   np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]])
+
+    @classmethod
+    def joined(cls, parts: list[Contexts]) -> Contexts:
+        return cls(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+    def pick(self, keep: np.ndarray) -> Contexts:
+        return Contexts(self.h[keep], self.c[keep], self.n[keep], self.length[keep],
+                        self.data[np.repeat(keep, self.length)])
+
+    def cut(self, i: int) -> tuple[Contexts, Contexts]:
+        x = int(self.length[:i].sum())
+        return (Contexts(self.h[:i], self.c[:i], self.n[:i], self.length[:i], self.data[:x]),
+                Contexts(self.h[i:], self.c[i:], self.n[i:], self.length[i:], self.data[x:]))
+
+
+def indexed_marks(x: Contexts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(c, from, to): the ranges of window starts of each context that are repeats."""
+    length = x.length + 1
     begin = np.cumsum(length) - length
     data = np.zeros(int(length.sum()), dtype=np.uint16)
     body = np.ones(len(data), dtype=bool)
     body[begin + length - 1] = False
-    data[body] = np.frombuffer(b"".join(bodies), dtype=np.uint8).astype(np.uint16) + 1
+    data[body] = x.data.astype(np.uint16) + 1
     marked = RunLengthIndex(data, size).matching_statistics() >= size
     # the bytes of a context counted twice are repeats throughout
-    marked |= np.repeat(np.array(counts) > 1, length)
+    marked |= np.repeat(x.n > 1, length)
     # a window ends within its context
-    marked &= np.arange(len(data)) + size < np.repeat(begin + length, length)
-    own = np.repeat(np.arange(len(bodies)), length)
-    first = np.flatnonzero(marked & np.concatenate(([True], ~marked[:-1] | (own[1:] != own[:-1]))))
-    last = np.flatnonzero(marked & np.concatenate((~marked[1:] | (own[1:] != own[:-1]), [True])))
-    out = [[] for _ in bodies]
-    for a, b in zip(first.tolist(), last.tolist(), strict=True):
-        i = own[a]
-        out[i].append((a - int(begin[i]), b + 1 - int(begin[i])))
-    return out
+    own = np.repeat(np.arange(len(length)), length)
+    marked &= np.arange(len(data)) + size < (begin + length)[own]
+    # a window never reaches the separator, so runs of marks end within their context
+    first = np.flatnonzero(marked & ~np.concatenate(([False], marked[:-1])))
+    last = np.flatnonzero(marked & ~np.concatenate((marked[1:], [False])))
+    of = own[first]
+    return x.c[of], first - begin[of], last + 1 - begin[of]
+
+
+def context_marks(x: Contexts, size: int):
+    """Marks of whole minimiser groups.
+
+    A context that is the only one of its minimiser but was counted more than
+    once is a repeat throughout: nothing else can tell more about it.
+    """
+    edge = np.concatenate(([True], x.h[1:] != x.h[:-1], [True]))
+    plain = edge[:-1] & edge[1:] & (x.n > 1)
+    yield x.c[plain], np.zeros(int(plain.sum()), dtype=np.int64), x.length[plain] - size + 1
+    if not plain.all():
+        yield indexed_marks(x.pick(~plain), size)
 
 
 def _marks(size: int, index_bytes: int):
     """Marks of the contexts of a task, whose rows come in order of the minimiser."""
-    def flush(held):
-        names = ["c", "from", "to"]
-        rows = [(c, a, b) for (_, c, _, _), spans in
-                zip(held, repeated_windows([x[3] for x in held], [x[2] for x in held], size), strict=True)
-                for a, b in spans]
-        return pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows],
-                                          schema=pa.schema([("c", pa.int64()), ("from", pa.int32()), ("to", pa.int32())]))
+    def flush(parts):
+        for c, a, b in context_marks(Contexts.joined(parts), size):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["c", "from", "to"])
 
     def rows(batches):
-        held, last, volume = [], None, 0
+        held, volume = [], 0
         for batch in batches:
-            for h, c, n, body in zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True):
-                if volume >= index_bytes and h != last:
-                    yield flush(held)
-                    held, volume = [], 0
-                held.append((h, c, n, body))
-                last, volume = h, volume + len(body)
+            x = Contexts.of(batch)
+            while len(x.h):
+                # up to the volume wanted, then on to the end of the minimiser's group
+                full = int(np.searchsorted(np.cumsum(x.length), index_bytes - volume, side="left"))
+                if full >= len(x.h):
+                    held.append(x)
+                    volume += len(x.data)
+                    break
+                end = int(np.searchsorted(x.h, x.h[full], side="right"))
+                if end == len(x.h):  # the group may go on in the next batch
+                    held.append(x)
+                    volume += len(x.data)
+                    break
+                head, x = x.cut(end)
+                yield from flush([*held, head])
+                held, volume = [], 0
         if held:
-            yield flush(held)
+            yield from flush(held)
     return rows
 
 
@@ -347,10 +404,6 @@ def cut(text, covered):
     def cut_(column: pa.Array, parts: pa.Array) -> pa.Array:
         kept, spans = [], []
         for t, p in zip(column, parts, strict=True):
-            if not p.is_valid:
-                kept.append(None)
-                spans.append(None)
-                continue
             body, merged = t.as_py().encode(), []
             for a, b in sorted((x["from"], x["to"]) for x in p.as_py()):
                 if merged and a <= merged[-1][1]:
@@ -364,7 +417,7 @@ def cut(text, covered):
         return pa.StructArray.from_arrays([pa.array(kept, type=pa.binary()), pa.array(spans, type=kind)],
                                           names=["kept", "spans"])
 
-    return cut_(F.when(covered.isNotNull(), text), covered)
+    return cut_(text, covered)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -380,12 +433,41 @@ def without_repeats(docs: DataFrame, size: int = L, id_col: str = "doc_id", text
                     **options) -> DataFrame:
     """``(doc_id, text, kept binary, spans)`` of every row: its bytes without repeats."""
     slim = keyed(texts(docs, id_col, text_col))
-    covered = repeats(slim.select("k", "place", "text"), size, **options)
-    out = slim.drop("place").join(covered, "k", "left")
-    out = out.select("doc_id", "text", cut(F.col("text"), F.col("covered")).alias("cut"))
+    covered = stored(repeats(slim.select("k", "place", "text"), size, **options))
+    slim = slim.drop("place")
+    touched = checked_broadcast(covered.select("k"), BROADCAST_ROWS)
+    # texts without repeats stay where they are if the others' hashes can be sent everywhere
+    some = slim.join(touched, "k", "left_semi").join(covered, "k") \
+        .select("doc_id", "text", cut(F.col("text"), F.col("covered")).alias("cut")) \
+        .select("doc_id", "text", "cut.kept", "cut.spans")
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    return out.select("doc_id", "text", F.coalesce("cut.kept", F.col("text").cast("binary")).alias("kept"),
-                      F.coalesce("cut.spans", none).alias("spans"))
+    rest = slim.join(touched, "k", "left_anti") \
+        .select("doc_id", "text", F.col("text").cast("binary").alias("kept"), none.alias("spans"))
+    return some.unionByName(rest)
+
+
+def strip(docs: DataFrame, size: int = L, **options) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``; other columns stay.
+
+    Bytes of a character that a cut splits go with it, so the text stays valid.
+    """
+    columns = docs.columns
+    slim = keyed(texts(docs))
+    covered = stored(repeats(slim.select("k", "place", "text"), size, **options))
+    rows = docs.withColumn("_cut_k", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    touched = checked_broadcast(covered.select(F.col("k").alias("_cut_k")), BROADCAST_ROWS)
+
+    @F.arrow_udf("string")
+    def readable(column: pa.Array) -> pa.Array:
+        return pa.array([x.as_py().decode("utf-8", "ignore") for x in column], type=pa.string())
+
+    kept = F.col("_cut")["kept"]
+    some = rows.join(touched, "_cut_k", "left_semi") \
+        .join(covered.select(F.col("k").alias("_cut_k"), F.col("covered").alias("_cut_covered")), "_cut_k") \
+        .withColumn("_cut", cut(F.col("text"), F.col("_cut_covered"))) \
+        .select(*[readable(kept).alias(c) if c == "text" else F.col(f"`{c}`") for c in columns])
+    rest = rows.join(touched, "_cut_k", "left_anti").select(*[F.col(f"`{c}`") for c in columns])
+    return some.unionByName(rest)
 
 
 def digest(result: DataFrame) -> DataFrame:
