@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from quire.llm.common import stored
 
 
+EDGES = 100_000  # in a partition of a stored round
+
+
 def _least(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a").agg(F.min("b").alias("least"))
 
@@ -20,8 +23,10 @@ def components(links: DataFrame) -> DataFrame:
     the longest chain.  Minima are partial sums by task and the join back is an
     ordinary skew-safe one, so a node with very many links is no hot group.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                   .where("a <> b").distinct())
+    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    # a contraction has at most twice as many edges; small tables are kept in few files
+    parts = 1 + links.count() // EDGES
+    edges = stored(edges.coalesce(parts))
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -30,7 +35,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(_least(large), "a") \
             .select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b") \
             .unionByName(_least(large).withColumnRenamed("least", "b")).distinct()
-        edges = stored(small)
+        edges = stored(small.coalesce(parts))
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen or not now[0]:
             break

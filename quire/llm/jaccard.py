@@ -52,7 +52,7 @@ N = 4
 PERCENT = 85
 HEAVY, HEAVY_TASK, HEAVY_LEAST = 1 << 16, 1 << 13, 32
 SALTS = 32
-TURNS, TRIES, FEW = 5, 8, 4  # turns of merging at most, choices a turn; pairs a row that are few enough
+TURNS, TRIES, FEW = 5, 8, 64  # turns of merging at most, choices a turn; pairs a row that are few enough
 BROADCAST_ROWS = 1_000_000  # row numbers of 8 bytes
 _BUFFER = 1 << 20  # shingles counted at a time
 
@@ -353,7 +353,7 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
     for turn in range(TURNS):
         open_ = stored(open_rows(shared, label))
         cost = crossings(open_)
-        if cost["pairs"] <= FEW * cost["rows"] or cost["pairs"] > 0.8 * before:
+        if cost["pairs"] <= FEW * cost["rows"] or cost["pairs"] > 0.5 * before:
             break
         before = cost["pairs"]
         # many pairs across components: first try one pair a group and component, and merge
