@@ -4,7 +4,7 @@
               written as one ranked text file (Q2, Q4, Q5, Q6, K2)
   to-parquet  XML -> publications as Parquet (Q3)
   serve       answer command files (or a socket) against a Parquet table (Q12)
-  log-report  one load log -> report rows (Q13, Q14)
+  log-report  one load log -> ordered text report (Q13, Q14, K8)
   log-skew    two load logs -> seconds of B minus A per line (Q15)
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so
@@ -17,7 +17,6 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 
 def _session() -> SparkSession:
@@ -62,7 +61,7 @@ def cmd_serve(a) -> None:
 def _dated(spark, path, date):
     from quire.operators.ordinal import ordered_lines
     from quire.plans import loadlog
-    log_date = date or loadlog.file_date(spark, path)
+    log_date = date or loadlog.file_date(spark, path) or "1970-01-01"
     lines = ordered_lines(spark, path).select("line_no", "value")
     return loadlog.with_day_roll(loadlog.parse_load_log(lines), log_date)
 
@@ -70,9 +69,7 @@ def _dated(spark, path, date):
 def cmd_log_report(a) -> None:
     from quire.plans import loadlog
     spark = _session()
-    rep = loadlog.log_report(_dated(spark, a.log, a.date))
-    rep.orderBy(F.col("section") == "even_bytes", "section", "ord") \
-        .write.mode("overwrite").parquet(a.out)
+    loadlog.write_report(loadlog.log_report(_dated(spark, a.log, a.date)), a.out)
 
 
 def cmd_log_skew(a) -> None:

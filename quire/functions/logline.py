@@ -16,26 +16,31 @@ LINE_PATTERN = (r"^\s*([01]?[0-9]|2[0-3]):([0-5][0-9]):([0-5][0-9]|60)\s+up\s+(.
                 r"\s+load averages?:\s+([0-9.]+),\s+([0-9.]+),\s+([0-9.]+)\s*$")
 
 
-def _g(c: Column, i: int) -> Column:
-    return F.regexp_extract(c, LINE_PATTERN, i)
+_MARK = "\u0001"
 
 
 def parse_fields(value: Column) -> dict[str, Column]:
-    """Typed fields of one line; all null where the line does not match."""
-    ok = value.rlike(LINE_PATTERN)
+    """Typed fields of one line; all null where the line does not match.
 
-    def when_ok(c: Column) -> Column:
-        return F.when(ok, c)
+    The pattern runs once: a matching line is rewritten to its eight fields with
+    a mark between them and split; any other line stays without marks (a line
+    that holds the mark itself is no load line).
+    """
+    marked = F.regexp_replace(value, LINE_PATTERN, _MARK.join(f"${i}" for i in range(1, 9)))
+    parts = F.when(~value.contains(_MARK), F.split(marked, _MARK))
+    parts = F.when(F.size(parts) == 8, parts)
+
+    def field(i: int) -> Column:
+        return F.get(parts, F.lit(i))
 
-    sec = (_g(value, 1).try_cast("int") * 3600 + _g(value, 2).try_cast("int") * 60
-           + _g(value, 3).try_cast("int"))
+    sec = field(0).try_cast("int") * 3600 + field(1).try_cast("int") * 60 + field(2).try_cast("int")
     return {
-        "sec_of_day": when_ok(sec.try_cast("bigint")),
-        "uptime": when_ok(_g(value, 4)),
-        "users": when_ok(_g(value, 5).try_cast("int")),
-        "load1": when_ok(_g(value, 6).try_cast("double")),
-        "load5": when_ok(_g(value, 7).try_cast("double")),
-        "load15": when_ok(_g(value, 8).try_cast("double")),
+        "sec_of_day": sec.try_cast("bigint"),
+        "uptime": field(3),
+        "users": field(4).try_cast("int"),
+        "load1": field(5).try_cast("double"),
+        "load5": field(6).try_cast("double"),
+        "load15": field(7).try_cast("double"),
     }
 
 

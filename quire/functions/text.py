@@ -53,7 +53,7 @@ def title_tokens(c) -> Column:
 def retag(c, kinds=DEFAULT_KINDS, target: str = TARGET_KIND) -> Column:
     """Rename opening and closing tags of ``kinds`` to ``target``."""
     alt = "|".join(kinds)
-    return F.regexp_replace(_col(c), f"<(/?)(?:{alt})(?=[\\s>/])", f"<$1{target}")
+    return F.regexp_replace(_col(c), f"<(/?)(?:{alt})(?=[\\s>/]|$)", f"<$1{target}")
 
 
 def render_author_list(c) -> Column:

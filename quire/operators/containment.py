@@ -9,11 +9,10 @@ a small table of requests:
 * membership (F6): each publication is exploded over the *distinct*
   lower-cased names of its list and joined on ``name_lc``; a name listed twice
   matches once, with no aggregation.
-* multiset containment (F7/J5): relational division -- the requested names
-  with their multiplicity ``need`` are joined to the exploded list entries,
-  occurrences are counted per (request, publication, name) over the matches
-  only, ``have >= need`` is kept, and a publication qualifies when all
-  distinct requested names do.
+* multiset containment (F7/J5): a request is joined on one of its names only
+  (its key name); whether the list holds all requested names, each as often as
+  asked, is then tested inside the row with array functions. Every row counts
+  for itself, whatever its ``pub_id``, and nothing is grouped.
 
 Requests are small (a batch of commands), so Spark broadcasts them and the
 publications are streamed through the join without a shuffle; only matches
@@ -37,10 +36,14 @@ def by_distinct_name(pubs: DataFrame, *keep: str) -> DataFrame:
     return pubs.select(*keep, F.explode(F.array_distinct(lower_names())).alias("name_lc"))
 
 
-def author_index(pubs: DataFrame) -> DataFrame:
-    """``(pub_id, name_lc, have)``: occurrences of each name in each list (explicit form)."""
-    return (pubs.select("pub_id", F.explode(lower_names()).alias("name_lc"))
-                .groupBy("pub_id", "name_lc").agg(F.count(F.lit(1)).alias("have")))
+def times_listed(names, name):
+    """How often ``name`` stands in the array ``names``."""
+    return F.size(F.filter(names, lambda x: x == name))
+
+
+def holds_all(names, wanted):
+    """Whether ``names`` holds every name of ``wanted`` at least as often as it does."""
+    return F.forall(F.array_distinct(wanted), lambda w: times_listed(names, w) >= times_listed(wanted, w))
 
 
 def author_totals(pubs: DataFrame, names: DataFrame | None = None) -> DataFrame:
@@ -61,22 +64,17 @@ def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id",
     names of a request.
 
     ``requests`` has ``(key, names array<string>)`` with names normalised; a
-    name listed m times must occur at least m times. ``carry`` columns of the
-    publication ride along with the matches, so no join back to the whole
-    table is needed; every aggregation sees matched rows only.
+    name listed m times must occur at least m times. A request without names
+    matches nothing. ``carry`` columns of the publication ride along with the
+    matches, so no join back to the whole table is needed.
     """
-    need = (requests.select(key, F.explode("names").alias("name_lc"))
-                    .groupBy(key, "name_lc").agg(F.count(F.lit(1)).alias("need")))
-    k = need.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
-    entries = pubs.select("pub_id", *carry, F.explode(lower_names()).alias("name_lc"))
-    firsts = [F.first(c).alias(c) for c in carry]
-    # Both counts group by keys containing (key, pub_id): one exchange serves both.
-    have = (entries.join(need, "name_lc").repartition(key, "pub_id")
-                   .groupBy(key, "pub_id", "name_lc", "need")
-                   .agg(F.count(F.lit(1)).alias("have"), *firsts))
-    hits = (have.where(F.col("have") >= F.col("need"))
-                .groupBy(key, "pub_id").agg(F.count(F.lit(1)).alias("_m"), *firsts))
-    return hits.join(k, key).where(F.col("_m") == F.col("_k")).select(key, "pub_id", *carry)
+    asked = requests.select(F.col(key).alias("_key"), F.col("names").alias("_names"),
+                            F.get("names", F.lit(0)).alias("name_lc"))
+    listed = lower_names()
+    rows = pubs.select("pub_id", *carry, listed.alias("_listed"),
+                       F.explode(F.array_distinct(listed)).alias("name_lc"))
+    return rows.join(asked, "name_lc").where(holds_all(F.col("_listed"), F.col("_names"))) \
+        .select(F.col("_key").alias(key), "pub_id", *carry)
 
 
 def persisted(df: DataFrame) -> DataFrame:

@@ -26,13 +26,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.session import checked_broadcast, ensure_checkpoint_dir
+from quire.session import ensure_checkpoint_dir
 
 _PID, _POS = "_q_pid", "_q_pos"
 
-# Upper bound for a per-block table that is broadcast (one row per file split).
-MAX_BROADCAST_BLOCKS = 200_000
-
 
 def _ranged(df: DataFrame, keys: list, n: int | None) -> DataFrame:
     """Range partition + local sort + (partition id, position), checkpointed.
@@ -94,53 +91,22 @@ def with_group_ordinal(df: DataFrame, group_by: list, order_by: list,
     return out.select(*[F.col(f"_q_r.{c}") for c in df.columns], rank.alias(name))
 
 
-# Below this many rows in total, no group can be big enough to skew a task.
-SMALL_RANK_ROWS = 1_000_000
-
-
-def rank_within(df: DataFrame, group_by: list, order_by: list, name: str = "rank",
-                small_rows: int | None = None) -> DataFrame:
-    """Rank rows within groups, choosing the plan from a checked size.
-
-    The caller persists ``df``. If the whole frame has at most ``small_rows``
-    rows, no group can exceed that either, and a plain partitioned
-    ``row_number`` is used; otherwise the skew-safe ``with_group_ordinal``.
-    """
-    small_rows = SMALL_RANK_ROWS if small_rows is None else small_rows
-    if df.limit(small_rows + 1).count() <= small_rows:
-        w = Window.partitionBy(*group_by).orderBy(*order_by)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-    return with_group_ordinal(df, group_by, order_by, name=name)
-
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def _conf_bytes(spark: SparkSession, key: str, default: str) -> int:
-    text = str(spark.conf.get(key, default)).strip().lower()
-    digits = text.rstrip("kmgtb")
-    return int(digits) * _UNITS[text[len(digits):]]
+def file_order(file: str = "file") -> list:
+    """Sort keys for file paths: by folder, part number (numeric), then name.
 
-
-def split_bound(scan: DataFrame) -> int:
-    """Upper bound on the number of file splits of a scan, without a job or a listing.
-
-    Spark packs splits into partitions of at most ``maxPartitionBytes`` and
-    charges at least ``openCostInBytes`` per split, so a partition holds at
-    most ``maxPartitionBytes / openCostInBytes + 1`` splits.
+    Spark pads part numbers to five digits, so as text part 100000 would come
+    before part 99999. Files that are no parts come by name.
     """
-    spark = scan.sparkSession
-    per_partition = (_conf_bytes(spark, "spark.sql.files.maxPartitionBytes", "128m")
-                     // max(_conf_bytes(spark, "spark.sql.files.openCostInBytes", "4m"), 1) + 1)
-    return scan.rdd.getNumPartitions() * per_partition
+    c = F.col(file)
+    part = F.regexp_extract(c, r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
+    return [F.regexp_extract(c, r"^(.*)/[^/]*$", 1), part, c]
 
 
 def ordered_lines(spark: SparkSession, path, per_file: bool = False) -> DataFrame:
     """``(file, line_no, value)`` with 1-based line numbers in file order.
 
-    Files are ordered by path (part files of one directory read as one log);
-    with ``per_file`` every file is numbered from 1.
+    Files are ordered by ``file_order`` (part files of one directory read as one
+    log); with ``per_file`` every file is numbered from 1.
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.text(paths).select(
@@ -155,22 +121,19 @@ def number_lines(raw: DataFrame, per_file: bool = False) -> DataFrame:
 
     Works on any plan whose partitions are the scan's splits read in order
     (a batch scan, or a micro-batch of the file stream). The per-split table
-    has one row per file split (data size / split size); it is broadcast after
-    a count proves it small, otherwise joined by shuffle.
+    has one row of about 40 bytes per file split (data size / split size, 800,000
+    for 100 TB) and is broadcast: the lines themselves are never shuffled.
     """
-    scan = raw
-    raw = raw.withColumn("_q_mid", F.monotonically_increasing_id())
-    blocks = raw.groupBy("file", "_q_block").agg(
+    raw = raw.withColumn("_q_mid", F.monotonically_increasing_id()) \
+        .withColumn("_q_file", F.xxhash64("file"))
+    blocks = raw.groupBy("file", "_q_file", "_q_block").agg(
         F.count(F.lit(1)).alias("_q_cnt"), F.min("_q_mid").alias("_q_first"))
     w = (Window.partitionBy("file").orderBy("_q_block") if per_file
-         else Window.orderBy("file", "_q_block"))
+         else Window.orderBy(*file_order(), F.col("_q_block")))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_q_off", F.coalesce(F.sum("_q_cnt").over(before), F.lit(0)))
-    if split_bound(scan) <= MAX_BROADCAST_BLOCKS:
-        blocks = F.broadcast(blocks)
-    else:
-        blocks = checked_broadcast(blocks, MAX_BROADCAST_BLOCKS)
-    out = raw.join(blocks, ["file", "_q_block"])
+    blocks = blocks.select("_q_file", "_q_block", "_q_first",
+                           F.coalesce(F.sum("_q_cnt").over(before), F.lit(0)).alias("_q_off"))
+    out = raw.join(F.broadcast(blocks), ["_q_file", "_q_block"])
     keep = [c for c in raw.columns if not c.startswith("_q_")]
     return out.select(
         *keep,

@@ -126,8 +126,8 @@ def coauthors_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None
     requested name -- the name itself included -- each with its own total (A2)
     of the lower-cased spelling (J2: one join in place of one scan per
     co-author). ``totals`` (``name_lc, n``) is the per-name count; by default
-    it is aggregated over all names with a map-side partial count, which
-    shuffles one row per name and partition; a service passes its cached copy.
+    it is aggregated over the co-authors' names only; a service passes its stored
+    table.
     """
     ex = by_distinct_name(pubs, "author")
     spellings = (requests.select("cmd_id", "name_lc").join(ex, "name_lc")
@@ -136,7 +136,8 @@ def coauthors_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None
                  .distinct()
                  .withColumn("name_lc", F.lower("author")))
     if totals is None:
-        totals = author_totals(pubs)
+        # only the co-authors' names are counted
+        totals = author_totals(pubs, spellings.select("name_lc"))
     return spellings.join(totals, "name_lc").select("cmd_id", "author", "n")
 
 

@@ -47,6 +47,16 @@ def q_select_venues(spark, sf_dir):
     return bib.publications_text(bib.select_venues(fixtures.publications_table(spark, sf_dir)))
 
 
+# Fixed value: the string predicate of the F2 entry.
+VENUE_PREDICATE = "year between 1994 and 1997 and url like 'db/%' and length(title) > 40"
+
+
+def q_select_predicate(spark, sf_dir):
+    """publications by a predicate given as a SQL string."""
+    pubs = fixtures.publications_table(spark, sf_dir)
+    return bib.publications_text(bib.select_venues(pubs, predicate=VENUE_PREDICATE))
+
+
 def q_top_authors(spark, sf_dir):
     return bib.top_authors(bib.select_venues(fixtures.publications_table(spark, sf_dir)), k=100)
 
@@ -167,30 +177,34 @@ def q_log_report(spark, sf_dir):
     return loadlog.log_report(_dated_log(spark, sf_dir))
 
 
+def q_log_report_text(spark, sf_dir):
+    """K8: the ordered text report, written and read back in line order."""
+    path = loadlog.write_report(loadlog.log_report(_dated_log(spark, sf_dir)), scratch_path(spark, "report"))
+    return ordered_lines(spark, path).select("line_no", "value")
+
+
 def q_log_skew(spark, sf_dir):
     dates = _log_dates(spark, sf_dir, [HOST_A, HOST_B])
     return loadlog.log_skew(_dated_log(spark, sf_dir, HOST_A, dates.get(HOST_A)),
                             _dated_log(spark, sf_dir, HOST_B, dates.get(HOST_B)))
 
 
-# Repeat count, set width and stride of the generator entries
-# (the number of values is the row count of ``orders``, so work grows with sf);
-# the part count of the copy entry.
-GEN_TIMES, SET_WIDTH, SET_STRIDE = 4, 1000, 1001
+# Set width and stride of the keyed sets; the part count of the
+# copy entries.
+SET_WIDTH, SET_STRIDE = 1000, 1001
 COPY_PARTS = 8
 COPY_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def _gen_number(spark, sf_dir) -> int:
-    return read_table(spark, sf_dir, "orders").count()
-
-
 def q_repeated_ints(spark, sf_dir):
-    return generate.repeated_ints(spark, _gen_number(spark, sf_dir), GEN_TIMES)
+    """Q16 over a table: every order key repeated as often as it has lines."""
+    runs = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("times"))
+    return generate.run_length_expand(runs.select(F.col("l_orderkey").cast("int").alias("v"), "times"), "v", "times")
 
 
 def q_int_sets(spark, sf_dir):
-    values = generate.repeated_ints(spark, _gen_number(spark, sf_dir), GEN_TIMES)
+    """Q17 over a table: keyed sets of the part keys of all lines (which start at 0), counted from 1."""
+    values = read_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") + 1).alias("v"))
     return generate.set_summary(generate.int_sets(values, SET_WIDTH, SET_STRIDE))
 
 
@@ -206,10 +220,29 @@ def q_range_copy(spark, sf_dir):
     return copying.read_copy(spark, dest, lineitem.columns)
 
 
+def q_range_copy_parts(spark, sf_dir):
+    """Q19: the exact slices of a copy, read back part by part."""
+    dest = copying.slice_copy(read_table(spark, sf_dir, "orders"), ["o_orderkey"], COPY_PARTS,
+                              scratch_path(spark, "slice-copy"))
+    return copying.part_ranges(spark, dest, "o_orderkey")
+
+
+def q_keyed_upsert(spark, sf_dir):
+    """K4, K5: order prices, replaced by the last returned line's price."""
+    path = scratch_path(spark, "keyed")
+    prices = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"), F.lit(0).cast("bigint").alias("line"), F.col("o_totalprice").alias("price"))
+    copying.upsert_table(spark, f"{path}/none", prices, "key", f"{path}/v1")
+    returned = read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(
+        F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("bigint").alias("line"),
+        F.col("l_extendedprice").alias("price"))
+    return copying.upsert_table(spark, f"{path}/v1", returned, "key", f"{path}/v2", order=["line", "price"])
+
+
 def q_copy_sweep(spark, sf_dir):
     checks, _millis = copying.copy_sweep(
         spark, read_table(spark, sf_dir, "lineitem"), COPY_KEYS, scratch_path(spark, "sweep"))
-    return checks.select("n", "rows", "key_sum")
+    return checks.select("n", "rows", "key_sum", "same")
 
 
 def q_table_size(spark, sf_dir):
@@ -285,6 +318,7 @@ def q_answer_commands(spark, sf_dir):
     out, ckpt = scratch_path(spark, "answers"), scratch_path(spark, "answers-ckpt")
     query = service.start(src, out, ckpt, available_now=True)
     query.awaitTermination()
+    service.close()
     return read_answers(spark, out).drop("cmd_file")
 
 
@@ -294,6 +328,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "publications": q_publications,
     "select_venues": q_select_venues,
+    "select_predicate": q_select_predicate,
     "top_authors": q_top_authors,
     "top_authors_text": q_top_authors_text,
     "top_words": q_top_words,
@@ -307,12 +342,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clique_articles": q_clique_articles,
     "parse_load_log": q_parse_load_log,
     "log_report": q_log_report,
+    "log_report_text": q_log_report_text,
     "log_skew": q_log_skew,
     "answer_commands": q_answer_commands,
     "repeated_ints": q_repeated_ints,
     "int_sets": q_int_sets,
     "chunk_plan": q_chunk_plan,
     "range_copy": q_range_copy,
+    "range_copy_parts": q_range_copy_parts,
+    "keyed_upsert": q_keyed_upsert,
     "copy_sweep": q_copy_sweep,
     "table_size": q_table_size,
 }

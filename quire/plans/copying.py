@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def chunk_plan(spark: SparkSession, table: DataFrame, order_by: list, key: str,
     lengths = [(n, max(-(-size // n), 1)) for n in sizes_n]
     # Every row lands in one chunk per n: one aggregation for all n.
     per_n = F.array(*[F.struct(F.lit(n).alias("n"),
-                               ((F.col("_pos1") - 1) / length).cast("int").alias("chunk"))
+                               F.expr(f"cast((_pos1 - 1) div {length} as int)").alias("chunk"))
                       for n, length in lengths])
     stats = (numbered.select(F.col(key).alias("_k"), F.explode(per_n).alias("_c"))
              .groupBy(F.col("_c.n").alias("n"), F.col("_c.chunk").alias("chunk"))
@@ -65,20 +66,20 @@ def range_copy(table: DataFrame, key, n: int, dest: str, mode: str = "overwrite"
 
     The number of parts is the reference's thread count; the write itself is
     not tied to it: the table is range-partitioned into P ranges (P a
-    multiple of n, at least the cluster's parallelism) and range p belongs to
-    part ``p * n / P``. Parts are therefore key-ordered and disjoint, and even
+    multiple of n, at least the cluster's parallelism and the input's splits, so
+    a range is about a split) and range p belongs to part ``p * n / P``. Parts are therefore key-ordered and disjoint, and even
     n = 1 is written by P tasks. Rows are sorted by key inside each range.
     ``mode`` is ``overwrite`` (K6: drop and recreate) or ``append`` (K7);
     ``max_records_per_file`` bounds file sizes on big tables.
     """
     keys = [key] if isinstance(key, str) else list(key)
     spark = table.sparkSession
-    want = parallelism or max(spark.sparkContext.defaultParallelism,
+    want = parallelism or max(spark.sparkContext.defaultParallelism, table.rdd.getNumPartitions(),
                               int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranges = max(n, -(-want // n) * n)
     per_part = ranges // n
     ranged = (table.repartitionByRange(ranges, *keys)
-                   .withColumn("part", (F.spark_partition_id() / per_part).cast("int"))
+                   .withColumn("part", F.expr(f"cast(spark_partition_id() div {per_part} as int)"))
                    .sortWithinPartitions("part", *keys))
     writer = ranged.write.mode(mode).partitionBy("part")
     if max_records_per_file:
@@ -87,6 +88,20 @@ def range_copy(table: DataFrame, key, n: int, dest: str, mode: str = "overwrite"
     return dest
 
 
+def slice_copy(table: DataFrame, order_by: list, n: int, dest: str) -> str:
+    """Q19 in exact slices: parts of ``ceil(size / n)`` rows in ``order_by`` order.
+
+    The parts are those of ``chunk_plan``. Rows are numbered by the global ordinal
+    and stay where its range sort put them, so many tasks write a part and the
+    key order runs on from file to file. ``order_by`` must be a total order.
+    """
+    numbered = with_global_ordinal(table, order_by, name="_pos1")
+    length = max(-(-numbered.count() // n), 1)
+    (numbered.withColumn("part", F.expr(f"cast((_pos1 - 1) div {length} as int)")).drop("_pos1")
+     .write.mode("overwrite").partitionBy("part").parquet(dest))
+    return dest
+
+
 def read_copy(spark: SparkSession, dest: str, columns: list | None = None) -> DataFrame:
     """A copy read back without its ``part`` column."""
     df = spark.read.parquet(dest)
@@ -106,12 +121,18 @@ def copy_sweep(spark: SparkSession, table: DataFrame, key, dest_base: str,
                ) -> tuple[DataFrame, dict[int, int]]:
     """Q20: copy once per n, timed; returns (per-n check of the copies, millis by n).
 
-    The check reads every copy back: ``(n, rows, key_sum, checksum)`` where
-    checksum is the sum of a 64-bit hash of each row, equal to the source's for
-    a true copy.
+    The check reads every copy back, all columns: ``(n, rows, key_sum, checksum,
+    same)`` where checksum is the sum of a 64-bit hash of each row and ``same`` says
+    that count and checksum are the source's.
     """
     cols = checksum_cols or table.columns
     keys = [key] if isinstance(key, str) else list(key)
+
+    def totals(df):
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(keys[0])).alias("key_sum"),
+                      F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("checksum"))
+
+    source = totals(table).first()
     millis: dict[int, int] = {}
     checks = []
     for n in sizes_n:
@@ -119,11 +140,10 @@ def copy_sweep(spark: SparkSession, table: DataFrame, key, dest_base: str,
         t0 = time.perf_counter()
         range_copy(table, key, n, dest)
         millis[n] = int((time.perf_counter() - t0) * 1000)
-        back = read_copy(spark, dest, table.columns)
-        checks.append(back.agg(F.count(F.lit(1)).alias("rows"),
-                               F.sum(F.col(keys[0])).alias("key_sum"),
-                               F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("checksum"))
-                      .select(F.lit(n).alias("n"), "rows", "key_sum", "checksum"))
+        same = F.col("rows").eqNullSafe(F.lit(source["rows"])) \
+            & F.col("checksum").eqNullSafe(F.lit(source["checksum"]).cast("decimal(38,0)"))
+        checks.append(totals(read_copy(spark, dest, table.columns))
+                      .select(F.lit(n).alias("n"), "rows", "key_sum", "checksum", same.alias("same")))
     out = checks[0]
     for c in checks[1:]:
         out = out.unionByName(c)
@@ -141,6 +161,35 @@ def table_size(table: DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("coun"))
 
 
-def upsert(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """K5 as a primary key implies: new rows replace old ones with the same key."""
-    return existing.join(rows.select(key), key, "left_anti").unionByName(rows)
+def last_per_key(rows: DataFrame, key: str, order: list) -> DataFrame:
+    """The last row of each key by ``order`` (one partial maximum by task)."""
+    rest = F.struct(*[F.col(c) for c in rows.columns])
+    best = rows.groupBy(F.col(key).alias("_key")).agg(F.max_by(rest, F.struct(*order)).alias("_row"))
+    return best.select("_row.*")
+
+
+def upsert(existing: DataFrame, rows: DataFrame, key: str, order: list | None = None) -> DataFrame:
+    """K5 as a primary key implies: new rows replace old ones with the same key.
+
+    Of new rows with one key the last by ``order`` stays (by all columns if none is given).
+    """
+    new = last_per_key(rows, key, order or list(rows.columns))
+    return existing.join(new.select(key), key, "left_anti").select(*existing.columns) \
+        .unionByName(new.select(*existing.columns))
+
+
+def upsert_table(spark: SparkSession, path: str, rows: DataFrame, key: str, dest: str,
+                 order: list | None = None) -> DataFrame:
+    """K4 + K5: the keyed table at ``path`` with ``rows`` put in, written to ``dest``.
+
+    A missing ``path`` is an empty table. The old version stays as it is, so a
+    reader never sees half a write and a failed job can be run again.
+    """
+    try:
+        existing = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        existing = rows.limit(0)
+    upsert(existing, rows, key, order).write.mode("overwrite").parquet(dest)
+    return spark.read.parquet(dest)

@@ -41,7 +41,7 @@ def int_sets(values: DataFrame, width: int = REFERENCE_WIDTH,
     """Q17: ``(i int, data array<int>)``, data sorted and distinct."""
     v = F.col(column).cast("bigint")
     keyed = values.where(((v - 1) % stride) < width).select(
-        F.floor((v - 1) / stride).cast("int").alias("i"), F.col(column).cast("int").alias("v"))
+        F.call_function("div", v - 1, F.lit(stride)).cast("int").alias("i"), F.col(column).cast("int").alias("v"))
     return keyed.groupBy("i").agg(F.sort_array(F.collect_set("v")).alias("data"))
 
 

@@ -19,10 +19,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.logline import line_bytes, parse_fields, shown_line
+from quire.operators.ordinal import file_order
 
 BLOCK = 1 << 20
 
@@ -39,7 +41,7 @@ def with_day_roll(parsed: DataFrame, log_date, block: int = BLOCK) -> DataFrame:
     ``log_date`` is a ``datetime.date``, an ISO string or a date Column.
     Lines whose time could not be parsed keep the day of the line before.
     """
-    blk = F.floor((F.col("line_no") - 1) / F.lit(block)).cast("bigint")
+    blk = F.expr(f"(line_no - 1) div {int(block)}")
     d = parsed.withColumn("_blk", blk)
     w = Window.partitionBy("_blk").orderBy("line_no")
     # Last parsed time strictly before this line, inside the block.
@@ -121,6 +123,22 @@ def log_skew(a: DataFrame, b: DataFrame) -> DataFrame:
              .select("line_no", (F.col("_b") - F.col("_a")).alias("seconds")))
 
 
+#: Order of the report's parts, as the reference writes them.
+SECTIONS = ("line_count", "span_seconds", "positive_load15", "nonnull_load15", "even_line", "even_bytes")
+
+
+def report_lines(report: DataFrame) -> DataFrame:
+    """K8: the report as text lines ``(seq, value)``, parts in the reference's order."""
+    seq = F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("section"))
+    return report.select(F.struct(seq.alias("part"), "ord").alias("seq"), F.col("text").alias("value"))
+
+
+def write_report(report: DataFrame, dest: str) -> str:
+    """K8: the ordered text report; part files follow each other in order."""
+    report_lines(report).orderBy("seq").select("value").write.mode("overwrite").text(dest)
+    return dest
+
+
 def file_length(spark: SparkSession, path) -> int:
     """Total bytes of the files under ``path`` (-1 when nothing is there).
 
@@ -129,14 +147,19 @@ def file_length(spark: SparkSession, path) -> int:
     try:
         row = (spark.read.format("binaryFile").load(path)
                .agg(F.sum("length").alias("n")).first())
-    except Exception:  # noqa: BLE001 - missing path, as the reference's -1
-        return -1
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return -1
+        raise
     return int(row["n"]) if row and row["n"] is not None else -1
 
 
-def file_date(spark: SparkSession, path: str):
-    """The modification date of a log file (its date for Z5)."""
-    row = (spark.read.text(path)
-           .select(F.to_date(F.col("_metadata.file_modification_time")).alias("d"))
-           .limit(1).first())
+def file_date(spark: SparkSession, path):
+    """The modification date of a log's first file (its date for Z5).
+
+    Files come in ``file_order``; the listing is read, not the lines. Spark lists
+    no empty files, so ``None`` where there are only such.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "modificationTime")
+    row = files.agg(F.min_by(F.to_date("modificationTime"), F.struct(*file_order())).alias("d")).first()
     return row["d"] if row else None

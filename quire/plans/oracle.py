@@ -7,8 +7,8 @@ in place of the skew-safe ordinals.
 
 from __future__ import annotations
 
-from quire.plans.catalog import (CLIQUE_ARGS, COMMAND_LINES, GEN_TIMES, HOST_A, HOST_B, PROBE_NAME,
-                                 SET_STRIDE, SET_WIDTH)
+from quire.plans.catalog import (CLIQUE_ARGS, COMMAND_LINES, COPY_PARTS, HOST_A, HOST_B, PROBE_NAME,
+                                 SET_STRIDE, SET_WIDTH, VENUE_PREDICATE)
 from quire.plans.copying import SWEEP
 from quire.sources.fixtures import FIXTURE_STOP_WORDS
 
@@ -316,17 +316,37 @@ SELECT 'pub/' || CAST(pub_id AS VARCHAR) AS pub_key,
        || '<url>' || {esc.format(x="url")} || '</url>' || sep || '</article>' AS xml
 FROM r"""
     q["answer_commands"] = _answer_commands()
-    nvals = "(SELECT count(*) FROM orders)"
-    q["repeated_ints"] = f"""
-SELECT CAST(unnest(list_transform(range({GEN_TIMES}), lambda x: v)) AS INTEGER) AS v
-FROM (SELECT range AS v FROM range(1, {nvals} + 1))"""
+    q["repeated_ints"] = "SELECT CAST(l_orderkey AS INTEGER) AS v FROM lineitem"
     q["int_sets"] = f"""
 WITH k AS (
-  SELECT CAST((range - 1) // {SET_STRIDE} AS INTEGER) AS i, range AS v
-  FROM range(1, {nvals} + 1) WHERE (range - 1) % {SET_STRIDE} < {SET_WIDTH}
+  SELECT DISTINCT CAST(l_partkey // {SET_STRIDE} AS INTEGER) AS i, l_partkey + 1 AS v
+  FROM lineitem WHERE l_partkey % {SET_STRIDE} < {SET_WIDTH}
 )
-SELECT i, count(*) AS size, min(v) AS first, max(v) AS last, CAST(sum(v) AS BIGINT) AS total
+SELECT i, count(*) AS size, CAST(min(v) AS BIGINT) AS first, CAST(max(v) AS BIGINT) AS last,
+       CAST(sum(v) AS BIGINT) AS total
 FROM k GROUP BY i"""
+    q["select_predicate"] = f"""
+WITH {PUBS[1:]}
+SELECT pub_id, title, array_to_string(author, ',') AS authors, year, url FROM nn WHERE {VENUE_PREDICATE}"""
+    q["log_report_text"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY list_position(['line_count', 'span_seconds', 'positive_load15',
+         'nonnull_load15', 'even_line', 'even_bytes'], section), ord) AS BIGINT) AS line_no,
+       text AS value
+FROM ({q["log_report"]})"""
+    q["range_copy_parts"] = f"""
+SELECT CAST(p // greatest(((SELECT count(*) FROM orders) + {COPY_PARTS} - 1) // {COPY_PARTS}, 1) AS INTEGER) AS part,
+       count(*) AS rows, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS p FROM orders) GROUP BY 1"""
+    q["keyed_upsert"] = """
+WITH r AS (
+  SELECT l_orderkey AS key, CAST(l_linenumber AS BIGINT) AS line, l_extendedprice AS price,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_extendedprice DESC) AS k
+  FROM lineitem WHERE l_returnflag = 'R'
+)
+SELECT key, line, price FROM r WHERE k = 1
+UNION ALL
+SELECT o_orderkey, CAST(0 AS BIGINT), o_totalprice FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"""
     size = "(SELECT count(*) FROM orders)"
     parts = []
     for n in SWEEP:
@@ -346,7 +366,7 @@ LEFT JOIN (
     q["chunk_plan"] = "\nUNION ALL\n".join(parts)
     q["range_copy"] = "SELECT * FROM lineitem"
     q["copy_sweep"] = "\nUNION ALL\n".join(
-        f"SELECT CAST({n} AS INTEGER) AS n, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS key_sum "
+        f"SELECT CAST({n} AS INTEGER) AS n, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, true AS same "
         f"FROM lineitem" for n in SWEEP)
     q["table_size"] = "SELECT count(*) AS coun FROM lineitem"
     return q

@@ -60,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             configured = None
     if not configured:
         # Local runs and tests only: a cluster names a shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="quire-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -33,8 +33,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import retag
-from quire.operators.ordinal import split_bound
-from quire.session import checked_broadcast
 from quire.sinks.text import text_directory
 
 # The record kinds of the bibliography and the unified name.
@@ -43,7 +41,8 @@ UNIFIED = "article"
 XML_OWN_ENTITIES = ("amp", "lt", "gt", "quot", "apos")
 
 RECORD_SCHEMA = "title STRING, author ARRAY<STRING>, year STRING, url STRING"
-MAX_BROADCAST_SPLITS = 200_000
+# Other record kinds of the bibliography; they end an unclosed record.
+FOREIGN = ("proceedings", "book", "incollection", "www", "person", "data")
 
 
 def _entity_map() -> Column:
@@ -72,21 +71,24 @@ def resolve_entities(c: Column) -> Column:
 def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
     """``(file, record, xml)``: the text of every record of ``kinds``, in file order."""
     alt = "|".join(kinds)
-    opening = f"<(?:{alt})(?=[\\s>/])"
+    opening = f"<(?:{alt})(?=[\\s>/]|$)"
     closing = f"</(?:{alt})>"
+    # a foreign record, or one closed in its own tag, ends what is open
+    foreign = f"<(?:{'|'.join(FOREIGN)})(?=[\\s>/]|$)"
+    empty = f"<(?:{alt})(?:\\s[^<>]*)?/>"
     paths = [path] if isinstance(path, str) else list(path)
-    scan = spark.read.text(paths)
-    raw = scan.select(
+    raw = spark.read.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("blk"),
         F.monotonically_increasing_id().alias("mid"))
     pieces = raw.select("file", "blk", "mid", F.posexplode(
-        F.split("value", f"(?={opening})|(?<={closing})")).alias("pos", "piece"))
-    o = F.col("piece").rlike(f"^{opening}")
-    st = (F.when(F.col("piece").rlike(f"{closing}\\s*$"), F.lit("c"))
+        F.split("value", f"(?={opening})|(?={foreign})|(?<={closing})")).alias("pos", "piece"))
+    ends = F.col("piece").rlike(f"^(?:{empty}|{foreign})")
+    o = F.col("piece").rlike(f"^{opening}") & ~ends
+    st = (F.when(ends | F.col("piece").rlike(f"{closing}\\s*$"), F.lit("c"))
            .when(o, F.lit("o")))
-    pieces = pieces.withColumn("o", o.cast("int")).withColumn("st", st)
+    pieces = pieces.withColumn("o", o.cast("int")).withColumn("st", st).withColumn("ends", ends)
     at = F.struct("mid", "pos")
 
     # One row per split: openings, last open/close event, first opening and
@@ -101,13 +103,8 @@ def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
         "file", "blk", "first_open", "first_close",
         F.coalesce(F.sum("opens").over(before), F.lit(0)).alias("off"),
         F.last("last_st", ignorenulls=True).over(before).alias("carry_st"))
-    # Bounded by the number of splits: broadcast on the planning-time bound.
-    small = split_bound(scan) <= MAX_BROADCAST_SPLITS
-
-    def bcast(df):
-        return F.broadcast(df) if small else checked_broadcast(df, MAX_BROADCAST_SPLITS)
-
-    splits = bcast(splits)
+    # One narrow row per file split, whatever the input: broadcast.
+    splits = F.broadcast(splits)
 
     def joined(df, keys):
         return df.groupBy(*keys).agg(F.array_join(F.transform(
@@ -126,7 +123,7 @@ def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
                 .join(splits.select("file", "blk", "off", "carry_st"), ["file", "blk"]))
     state = F.coalesce(F.col("prev_st"), F.col("carry_st"))
     heads = joined(
-        numbered.where(((F.col("o") == 1) | (state == "o")) & (F.col("cum") > 0))
+        numbered.where(((F.col("o") == 1) | (state == "o")) & ~F.col("ends") & (F.col("cum") > 0))
                 .withColumn("record", F.col("off") + F.col("cum")),
         ["file", "blk", "record"])
 
@@ -135,11 +132,11 @@ def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
     # At most one record per split edge, so the table is bounded by the splits.
     pos_ = at
     tail_pieces = (pieces.join(splits, ["file", "blk"])
-                   .where((F.col("carry_st") == "o")
+                   .where((F.col("carry_st") == "o") & ~F.col("ends")
                           & (F.col("first_open").isNull() | (pos_ < F.col("first_open")))
                           & (F.col("first_close").isNull() | (pos_ <= F.col("first_close"))))
                    .withColumn("record", F.col("off")))
-    tails = bcast(joined(tail_pieces, ["file", "record"]).withColumnRenamed("text", "tail"))
+    tails = joined(tail_pieces, ["file", "record"]).withColumnRenamed("text", "tail")
     out = heads.join(tails, ["file", "record"], "left")
     return out.select("file", "record", F.concat_ws("\n", "text", "tail").alias("xml"))
 
@@ -150,19 +147,24 @@ def parse_records(records: DataFrame, kinds=KINDS) -> DataFrame:
     Title markup is stripped and blanks squeezed; empty and null authors are
     removed, an empty list becomes null; a non-numeric year becomes null.
     """
-    xml = resolve_entities(retag(F.col("xml"), kinds, UNIFIED))
+    # markup inside a title goes before entities are decoded: a "&lt;" is text
+    inner = F.regexp_extract("xml", r"(?s)<title(?:\s[^>]*)?>(.*?)</title>", 1)
+    plain = F.when(inner.contains("<"), F.replace(F.col("xml"), inner, F.regexp_replace(inner, "<[^>]*>", ""))) \
+        .otherwise(F.col("xml"))
+    xml = resolve_entities(retag(plain, kinds, UNIFIED))
     parsed = records.select(
+        "file", "record",
         F.regexp_extract("xml", r'^<\w+[^>]*?\skey="([^"]*)"', 1).alias("pub_key"),
         F.from_xml(xml, RECORD_SCHEMA, {"excludeAttribute": "true", "mode": "PERMISSIVE"})
          .alias("r"),
         "xml")
-    title = F.trim(F.regexp_replace(F.regexp_replace("r.title", "<[^>]*>", ""), r"\s+", " "))
+    title = F.trim(F.regexp_replace("r.title", r"\s+", " "))
     authors = F.filter("r.author", lambda a: a.isNotNull() & (F.trim(a) != ""))
     authors = F.transform(authors, lambda a: F.trim(F.regexp_replace(a, r"\s+", " ")))
     return parsed.select(
         F.when(F.col("pub_key") != "", F.col("pub_key")).alias("pub_key"),
-        F.xxhash64(F.when(F.col("pub_key") != "", F.col("pub_key")).otherwise(F.col("xml")))
-         .alias("pub_id"),
+        # a record's place: two records are never one, even with equal text
+        F.xxhash64("file", "record").alias("pub_id"),
         F.when(F.col("r.title").isNotNull(), title).alias("title"),
         F.when(F.size(authors) > 0, authors).alias("author"),
         F.trim("r.year").try_cast("bigint").alias("year"),

@@ -3,9 +3,8 @@
 The reference reads ``op:arg`` lines from a socket every 2 seconds and, for
 each line, runs one or more Spark jobs from inside an executor task. Here a
 micro-batch is answered as a set: all commands of the batch are parsed with
-column expressions and joined at once against two static tables that are
-read once and kept (``publications``), then written as
-one tidy result:
+column expressions and joined at once against a stored author index, then
+written as one tidy result:
 
 ``(cmd_file, cmd_line, op, arg, status, rank, text)``
 
@@ -21,16 +20,18 @@ output (exactly once on top of the checkpointed source offsets).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.commands import STATUS_INVALID, STATUS_OK, parse_clique, parse_command
 from quire.functions.text import render_article
-from quire.operators.containment import author_totals, lower_names, persisted
-from quire.operators.ordinal import (number_lines, rank_within, with_global_ordinal,
-                                     with_group_ordinal)
+from quire.operators.containment import author_totals, by_distinct_name, holds_all, lower_names
+from quire.operators.ordinal import number_lines, with_global_ordinal, with_group_ordinal
 from quire.plans import bibliography as bib
 from quire.session import scratch_path
 
@@ -40,7 +41,8 @@ OUTPUT_COLUMNS = ["cmd_file", "cmd_line", "op", "arg", "status", "rank", "text"]
 TRIGGER_INTERVAL = "2 seconds"
 
 
-# Buckets of the stored author index (a power of two keeps them even).
+# Folders of the stored author index. A folder holds as many files as its rows
+# need: rows are dealt to tasks by range, not by folder.
 INDEX_BUCKETS = 256
 
 
@@ -49,18 +51,51 @@ def name_bucket(name: Column) -> Column:
 
 
 def author_entries(pubs: DataFrame) -> DataFrame:
-    """``(bucket, name_lc, pub_id, have, title, year, author)``: one row per
-    publication and lower-cased name, ``have`` its multiplicity in the list.
+    """``(bucket, name_lc, pub_id, title, year, author)``: one row per
+    publication and distinct lower-cased name. No shuffle."""
+    return by_distinct_name(pubs, "pub_id", "title", "year", "author") \
+        .withColumn("bucket", name_bucket(F.col("name_lc")))
+
+
+def source_version(pubs: DataFrame) -> str:
+    """A text that changes with the table: its files' names, or its rows' hash.
 
-    Each group is one publication's entries for one name, so the aggregation
-    is bounded by a single author list.
+    Spark gives every written file a name of its own, so a table written anew
+    has other names; a frame without files is hashed in one aggregation.
     """
-    entries = pubs.select("pub_id", "title", "year", "author",
-                          F.explode(lower_names()).alias("name_lc"))
-    return (entries.groupBy("pub_id", "name_lc")
-            .agg(F.count(F.lit(1)).alias("have"),
-                 *[F.first(c).alias(c) for c in ("title", "year", "author")])
-            .withColumn("bucket", name_bucket(F.col("name_lc"))))
+    files = sorted(pubs.inputFiles())
+    if files:
+        return hashlib.sha256("\n".join(files).encode()).hexdigest()[:24]
+    n, total = pubs.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*pubs.columns).cast("decimal(38,0)"))).first()
+    return f"rows-{n}-{total}"
+
+
+def build_index(spark: SparkSession, pubs: DataFrame, path: str) -> str:
+    """Store the author index of ``pubs`` under ``path`` unless it is there; its folder.
+
+    The folder is named by the source's version, so a changed table gets a new
+    index, and a marker is written last, so an unfinished one is not trusted.
+    Entries are dealt by range of (bucket, name, publication) into as many tasks
+    as the source has splits, at least the shuffle partitions: a hot name spans
+    several files. Totals are one row a name.
+    """
+    home = f"{path.rstrip('/')}/{source_version(pubs)}"
+    if not _finished(spark, home):
+        ranges = max(pubs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+        (author_entries(pubs).repartitionByRange(ranges, "bucket", "name_lc", "pub_id")
+         .sortWithinPartitions("bucket", "name_lc")
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{home}/entries"))
+        (author_totals(pubs).withColumn("bucket", name_bucket(F.col("name_lc")))
+         .repartitionByRange(ranges, "bucket", "name_lc").sortWithinPartitions("bucket", "name_lc")
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{home}/totals"))
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{home}/finished")
+    return home
+
+
+def in_buckets(table: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows of a stored table in the buckets of ``names`` (at most INDEX_BUCKETS numbers)."""
+    wanted = [r["bucket"] for r in names.select(name_bucket(F.col("name_lc")).alias("bucket")).distinct().collect()]
+    return table.where(F.col("bucket").isin(wanted))
 
 
 def parse_commands(numbered: DataFrame) -> DataFrame:
@@ -83,45 +118,25 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
            index: DataFrame | None = None) -> DataFrame:
     """Answer parsed commands; see the module docstring for the result.
 
-    All three operations are one relational division over a single pass of
-    the publications: ``author`` and ``coauthor`` ask for one name at least
-    once, ``clique`` for several names with multiplicities. The requested
-    names of the whole batch form one small table that is broadcast against
-    the exploded author lists; every aggregation after that sees matched rows
-    only, carrying the publication's title, year and list along.
-
-    ``hold`` (optional) keeps intermediate frames for the life of the batch:
-    the matches and the items are then persisted once, and items are ranked
-    with a plain window when the whole batch result is small
-    (``rank_within``); without it the skew-safe ordinal is used directly.
-    ``totals`` is the per-name publication count (computed when absent).
+    All three operations are one join of the batch's key names (a command's
+    first name) with the exploded author lists; whether a list holds all names of
+    a command is tested inside the row (``holds_all``). Everything after that
+    sees matched rows only, carrying title, year and list along.
+
+    ``hold`` (optional) keeps the matches for the life of the batch. ``totals``
+    is the stored per-name publication count and ``index`` the stored entries;
+    both are computed from ``pubs`` when absent.
     """
-    keep = hold or (lambda df: df)
     ok = cmds.where(F.col("status") == STATUS_OK)
-    single = ok.where(F.col("op").isin("author", "coauthor")).select(
-        "cmd_id", "op", F.col("arg").alias("name_lc"))
-    multi = ok.where(F.col("op") == "clique").select(
-        "cmd_id", "op", F.explode("names").alias("name_lc"))
-    need = (single.unionByName(multi).groupBy("cmd_id", "op", "name_lc")
-            .agg(F.count(F.lit(1)).alias("need")))
-    k = need.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("_k"))
-    need = need.withColumn("bucket", name_bucket(F.col("name_lc")))
-    if index is None:
-        index = author_entries(pubs)
-    else:
-        # A stored index is partitioned by bucket: read only the buckets of the
-        # requested names. There are at most INDEX_BUCKETS of them, so the list
-        # that reaches the driver is bounded whatever the batch size.
-        wanted = [r["bucket"] for r in need.select("bucket").distinct().collect()]
-        index = index.where(F.col("bucket").isin(wanted))
-    hits = (index.join(need, ["bucket", "name_lc"])
-            .where(F.col("have") >= F.col("need"))
-            .groupBy("cmd_id", "op", "pub_id")
-            .agg(F.count(F.lit(1)).alias("_m"),
-                 *[F.first(c).alias(c) for c in ("title", "year", "author")]))
-    found = hits.join(k, "cmd_id").where(F.col("_m") == F.col("_k")).drop("_m", "_k")
+    need = ok.select("cmd_id", "op", F.when(F.col("op") == "clique", F.col("names"))
+                     .otherwise(F.array("arg")).alias("wanted"))
+    need = need.withColumn("name_lc", F.get("wanted", F.lit(0))).where(F.col("name_lc").isNotNull())
+    entries = author_entries(pubs) if index is None else in_buckets(index, need)
+    found = (entries.drop("bucket").join(F.broadcast(need) if index is not None else need, "name_lc")
+             .where(holds_all(lower_names(), F.col("wanted")))
+             .select("cmd_id", "op", "pub_id", "title", "year", "author"))
     if hold is not None:
-        found = keep(found.persist(StorageLevel.MEMORY_AND_DISK))
+        found = hold(found.persist(StorageLevel.MEMORY_AND_DISK))
 
     # Items of all three kinds share one sort key: k1 descending, then k2, k3.
     titles = found.where(F.col("op") == "author").select(
@@ -134,19 +149,14 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
                  .select("cmd_id", F.explode("author").alias("author"))
                  .where(F.col("author").isNotNull()).distinct()
                  .withColumn("name_lc", F.lower("author")))
-    if totals is None:
-        totals = author_totals(pubs)
+    totals = author_totals(pubs) if totals is None else in_buckets(totals, spellings).drop("bucket")
     co = spellings.join(totals, "name_lc").select(
         "cmd_id", F.col("n").alias("k1"), F.col("author").alias("k2"),
         F.lit(0).cast("bigint").alias("k3"),
         F.concat(F.col("author"), F.lit(" : "), F.col("n").cast("string")).alias("text"))
     items = titles.unionByName(co).unionByName(arts)
     order = [F.desc("k1"), F.asc("k2"), F.asc("k3")]
-    if hold is not None:
-        items = keep(items.persist(StorageLevel.MEMORY_AND_DISK))
-        ranked = rank_within(items, ["cmd_id"], order, name="rank")
-    else:
-        ranked = with_group_ordinal(items, ["cmd_id"], order, name="rank")
+    ranked = with_group_ordinal(items, ["cmd_id"], order, name="rank")
     ranked = ranked.select("cmd_id", "rank", "text")
 
     counts = ranked.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("_n"))
@@ -164,20 +174,17 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
 
 
 class CommandService:
-    """Static tables read once and kept, answering batches of command lines."""
+    """Answers batches of command lines from a stored author index."""
 
     def __init__(self, spark: SparkSession, pubs: DataFrame, index_path: str | None = None):
-        """``index_path`` names where the author index is stored (built if
-        missing); by default a fresh folder under the shared scratch space."""
+        """``index_path`` names where author indexes are kept (one folder for each
+        version of the table, built if missing); by default a fresh folder
+        under the shared scratch space."""
         self.spark = spark
-        self.pubs = persisted(bib.non_null(pubs))
-        path = index_path or scratch_path(spark, "author-index")
-        if not _exists(spark, path):
-            (author_entries(self.pubs).repartition("bucket").sortWithinPartitions("name_lc")
-             .write.mode("overwrite").partitionBy("bucket").parquet(path))
-        self.index = spark.read.parquet(path)
-        # A2 per name is a property of the static table: counted once, kept.
-        self.totals = persisted(author_totals(self.pubs))
+        self.pubs = bib.non_null(pubs)
+        home = build_index(spark, self.pubs, index_path or scratch_path(spark, "author-index"))
+        self.index = spark.read.parquet(f"{home}/entries")
+        self.totals = spark.read.parquet(f"{home}/totals")
         self._held: list[DataFrame] = []
 
     def answer_lines(self, numbered: DataFrame) -> DataFrame:
@@ -200,10 +207,8 @@ class CommandService:
             self._held.pop().unpersist()
 
     def close(self) -> None:
-        """Drop the kept static tables (end of the service)."""
+        """End of the service: drop what batches kept. The stored index stays."""
         self.release()
-        self.totals.unpersist()
-        self.pubs.unpersist()
 
     def answer_files(self, path) -> DataFrame:
         """Batch form: every line of the command files under ``path``.
@@ -267,10 +272,9 @@ class CommandService:
 
 
 def _numbered(raw: DataFrame) -> DataFrame:
-    """Line numbers per command file; the file name (not the path) keys a command."""
+    """Line numbers per command file; the file's whole path keys a command."""
     n = number_lines(raw, per_file=True)
-    return n.select(F.element_at(F.split("file", "/"), -1).alias("cmd_file"),
-                    F.col("line_no").alias("cmd_line"), "value")
+    return n.select(F.col("file").alias("cmd_file"), F.col("line_no").alias("cmd_line"), "value")
 
 
 def _numbered_socket(batch: DataFrame, batch_id: int) -> DataFrame:
@@ -281,12 +285,14 @@ def _numbered_socket(batch: DataFrame, batch_id: int) -> DataFrame:
     return ordered.select(F.lit(f"socket-{batch_id}").alias("cmd_file"), "cmd_line", "value")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _finished(spark: SparkSession, home: str) -> bool:
+    """Whether the index in ``home`` was written to its end."""
     try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001 - not written yet
-        return False
+        return spark.read.parquet(f"{home}/finished").count() == 1
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:

@@ -90,3 +90,20 @@ def test_file_length_s9(spark, tmp_dir):
         f.write("x" * 1234)
     assert file_length(spark, p) == 1234
     assert file_length(spark, os.path.join(tmp_dir, "missing")) == -1
+
+
+def test_upsert_keeps_the_last_row_per_key_and_writes_it(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "keyed")
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, at int, v string")
+    first = copying.upsert_table(spark, f"{path}/none", rows, "k", f"{path}/1", order=["at"])
+    assert sorted(tuple(r) for r in first.collect()) == [(1, 2, "b"), (2, 1, "c")]
+    new = spark.createDataFrame([(2, 5, "x"), (2, 4, "y"), (3, 1, "z")], "k int, at int, v string")
+    second = copying.upsert_table(spark, f"{path}/1", new, "k", f"{path}/2", order=["at"])
+    assert sorted(tuple(r) for r in second.collect()) == [(1, 2, "b"), (2, 5, "x"), (3, 1, "z")]
+
+
+def test_slices_are_those_of_the_chunk_plan(spark, tmp_dir):
+    src = spark.range(0, 103).withColumnRenamed("id", "k")
+    dest = copying.slice_copy(src, ["k"], 8, os.path.join(tmp_dir, "slices"))
+    got = sorted((r.part, r.rows, r.min_key, r.max_key) for r in copying.part_ranges(spark, dest, "k").collect())
+    assert got == [(c, e - b, b, e - 1) for c, b, e in copying.chunk_bounds(103, 8)]

@@ -17,9 +17,7 @@ def _text(tmp_dir, n=3000):
     return p
 
 
-def test_line_numbers_beyond_the_split_bound(spark, tmp_dir, monkeypatch):
-    # Bound exceeded: the per-split table is counted, then joined by shuffle.
-    monkeypatch.setattr(ordinal, "MAX_BROADCAST_BLOCKS", 0)
+def test_line_numbers_over_many_splits(spark, tmp_dir):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
         rows = ordinal.ordered_lines(spark, _text(tmp_dir)).collect()
@@ -28,8 +26,15 @@ def test_line_numbers_beyond_the_split_bound(spark, tmp_dir, monkeypatch):
     assert len(rows) == 3000 and all(int(r.value) == r.line_no for r in rows)
 
 
-def test_xml_beyond_the_split_bound(spark, tmp_dir, monkeypatch):
-    monkeypatch.setattr(X, "MAX_BROADCAST_SPLITS", 0)
+def test_part_numbers_are_ordered_as_numbers(spark, tmp_dir):
+    for part, text in ((99999, "first"), (100000, "second"), (7, "zero")):
+        with open(os.path.join(tmp_dir, f"part-{part:05d}-x.txt"), "w") as f:
+            f.write(text + "\n")
+    rows = sorted(ordinal.ordered_lines(spark, tmp_dir).collect(), key=lambda r: r.line_no)
+    assert [r.value for r in rows] == ["zero", "first", "second"]
+
+
+def test_xml_over_many_splits(spark, tmp_dir):
     p = os.path.join(tmp_dir, "x.xml")
     with open(p, "w") as f:
         f.write("<bib>\n" + "".join(

@@ -3,9 +3,6 @@ checked against a brute-force answer computed in Python on the same rows."""
 
 import os
 
-import pytest
-
-import quire.operators.ordinal as ordinal
 from quire.streaming.commands import CommandService
 
 HOT = "Hot Author"
@@ -24,10 +21,7 @@ def _pubs(spark):
         rows, "pub_id bigint, title string, author array<string>, year bigint, url string")
 
 
-@pytest.mark.parametrize("small_rows", [None, 0])
-def test_hot_name_answers_match_brute_force(spark, tmp_dir, monkeypatch, small_rows):
-    if small_rows is not None:     # 0 forces the skew-safe ordinal path
-        monkeypatch.setattr(ordinal, "SMALL_RANK_ROWS", small_rows)
+def test_hot_name_answers_match_brute_force(spark, tmp_dir):
     rows, pubs = _pubs(spark)
     src = os.path.join(tmp_dir, "cmds")
     os.makedirs(src)
@@ -53,3 +47,29 @@ def test_hot_name_answers_match_brute_force(spark, tmp_dir, monkeypatch, small_r
     c3 = sorted((r for r in got if r.cmd_line == 3), key=lambda r: r.rank)
     assert c3[0].text == ("YES" if len(with_a1) >= 5 else "NO")
     assert len(c3) == len(with_a1) + 1
+
+
+def test_hot_name_spans_files_and_a_changed_table_gets_a_new_index(spark, tmp_dir):
+    import glob
+
+    from quire.streaming.commands import build_index, name_bucket
+    from pyspark.sql import functions as F
+    rows, pubs = _pubs(spark)
+    home = build_index(spark, pubs, os.path.join(tmp_dir, "ix"))
+    bucket = spark.range(1).select(name_bucket(F.lit("hot author")).alias("b")).first()["b"]
+    assert len(glob.glob(f"{home}/entries/bucket={bucket}/*.parquet")) > 1
+    assert build_index(spark, pubs, os.path.join(tmp_dir, "ix")) == home
+    more = pubs.union(pubs.limit(1))
+    assert build_index(spark, more, os.path.join(tmp_dir, "ix")) != home
+
+
+def test_files_of_one_name_are_two_files(spark, tmp_dir):
+    _, pubs = _pubs(spark)
+    for d, line in (("d1", "author: a1"), ("d2", "author: b1")):
+        os.makedirs(os.path.join(tmp_dir, d))
+        with open(os.path.join(tmp_dir, d, "c.txt"), "w") as f:
+            f.write(line + "\n")
+    svc = CommandService(spark, pubs)
+    heads = [r for r in svc.answer_files([os.path.join(tmp_dir, d) for d in ("d1", "d2")]).collect() if r.rank == 0]
+    svc.close()
+    assert len(heads) == 2 and all(int(r.text) > 0 for r in heads)

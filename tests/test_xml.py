@@ -72,3 +72,22 @@ def test_retag_q1(spark, tmp_dir):
     lines = [r.value for r in spark.read.text(out).collect()]
     assert sorted(lines) == sorted(['<article key="a"><title>x</title></article>', "<article>",
                                     "</article>"])
+
+
+def test_records_that_used_to_be_lost(spark, tmp_dir):
+    """Tag name at line end, decoded comparison signs, self-closing and unclosed records."""
+    text = ('<bib>\n<article\n key="a"><author>A</author><title>When x &lt; y and y &gt; z <i>hold</i>.</title>'
+            '<year>2001</year></article>\n<article key="e"/>\n'
+            + "".join(f"<www key='w{i}'><title>no {i}</title></www>\n" for i in range(50))
+            + '<phdthesis key="u"><author>U</author><title>Open.</title><year>2002</year>\n'
+            + "".join(f"<book><title>b {i}</title></book>\n" for i in range(50))
+            + '<article key="z"><author>Z</author><title>Last.</title><year>2003</year></article>\n'
+            + '<article key="z"><author>Z</author><title>Last.</title><year>2003</year></article>\n</bib>\n')
+    p = os.path.join(tmp_dir, "lost.xml")
+    with open(p, "w") as f:
+        f.write(text)
+    recs = X.xml_records(spark, p).collect()
+    assert len(recs) == 4 and max(len(r.xml) for r in recs) < 300
+    got = X.load_publications(spark, p).collect()
+    assert sorted(r.title for r in got if r.title != "Open.") == ["Last.", "Last.", "When x < y and y > z hold."]
+    assert len({r.pub_id for r in got}) == len(got)
