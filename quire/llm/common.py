@@ -34,10 +34,23 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+#: Rows of an Arrow batch. Whole texts travel in batches, and Spark's own 10,000
+#: rows would hold tens of megabytes a task in the JVM and again in Python.
+BATCH_ROWS = 1_000
+_ROWS_KEY, _ROWS_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_ROWS rows, unless the session has a size of its own."""
+    if spark.conf.get(_ROWS_KEY, _ROWS_DEFAULT) == _ROWS_DEFAULT:
+        spark.conf.set(_ROWS_KEY, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table by Spark's own reader, whatever store it lies in."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -63,6 +76,7 @@ def stored(df: DataFrame) -> DataFrame:
     refers to them (``spark.cleaner.referenceTracking.cleanCheckpoints``).
     """
     ensure_checkpoint_dir(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

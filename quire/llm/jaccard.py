@@ -52,7 +52,7 @@ N = 4
 PERCENT = 85
 HEAVY, HEAVY_TASK, HEAVY_LEAST = 1 << 16, 1 << 13, 32
 SALTS = 32
-TURNS, TRIES, FEW = 5, 8, 64  # turns of merging at most, choices a turn; pairs a row that are few enough
+TURNS, TRIES, FEW = 2, 8, 64  # turns of merging at most, choices a turn; pairs a row that are few enough
 BROADCAST_ROWS = 1_000_000  # row numbers of 8 bytes
 _BUFFER = 1 << 20  # shingles counted at a time
 
@@ -207,7 +207,7 @@ def with_hubs(rows: DataFrame, group: list[str]) -> DataFrame:
 
 def open_rows(shared: DataFrame, label: DataFrame) -> DataFrame:
     """``(token, node, n, component)`` of the shingles that several components share."""
-    labelled = shared.select("token", "node", "n").join(label, "node", "left") \
+    labelled = shared.select("token", "node", "n").join(checked_broadcast(label, BROADCAST_ROWS), "node", "left") \
         .select("token", "node", "n", F.coalesce("component", "node").alias("component"))
     several = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo <> hi").select("token")
@@ -349,13 +349,12 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
     links = stored(verify(first, stored(sets_of(first)), percent))
     label = stored(components(links))
 
-    tested, before = first, float("inf")
+    tested = first
     for turn in range(TURNS):
         open_ = stored(open_rows(shared, label))
         cost = crossings(open_)
-        if cost["pairs"] <= FEW * cost["rows"] or cost["pairs"] > 0.5 * before:
+        if cost["pairs"] <= FEW * cost["rows"]:
             break
-        before = cost["pairs"]
         # many pairs across components: first try one pair a group and component, and merge
         tried = stored(proposals(open_, turn, percent).join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(tried)
@@ -376,7 +375,7 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
         links = stored(links.unionByName(verify(second, stored(sets_of(second)), percent)))
         label = stored(components(links))
 
-    rows = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = nodes.join(checked_broadcast(label, BROADCAST_ROWS), "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = slim.select("doc_id", "place").join(rows, "place")
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     return named.join(least, "component", "left").select(
