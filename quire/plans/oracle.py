@@ -306,7 +306,8 @@ FROM nn"""
 WITH {PUBS[1:]},
 r AS (SELECT *, CASE WHEN pub_id % 2 = 0 THEN chr(10) ELSE '' END AS sep FROM pubs)
 SELECT 'pub/' || CAST(pub_id AS VARCHAR) AS pub_key,
-       '<article key="pub/' || CAST(pub_id AS VARCHAR) || '">' || sep
+       '<article' || CASE WHEN pub_id % 5 = 0 THEN chr(10) ELSE ' ' END || 'key="pub/'
+       || CAST(pub_id AS VARCHAR) || '">' || sep
        || CASE WHEN pub_id % 2 = 0
                THEN array_to_string(list_transform(author, lambda a: '<author>' || {esc.format(x="a")} || '</author>'), chr(10))
                ELSE array_to_string(list_transform(author, lambda a: '<author>' || {esc.format(x="a")} || '</author>'), '')

@@ -189,7 +189,9 @@ def render_records(pubs: DataFrame) -> DataFrame:
     """Publications as XML record text, one row per record (fixture writer).
 
     Kind by ``pub_id % 4`` over ``KINDS``; even ids put every element on its
-    own line, odd ids write the record on one line. ``key`` is ``pub/<id>``.
+    own line, odd ids write the record on one line. ``key`` is ``pub/<id>``. Every
+    fifth record has its tag name at the end of a line, and after every seventh
+    stands a record closed in its own tag, which is no publication.
     """
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]),
                         (F.col("pub_id") % len(KINDS) + 1).cast("int"))
@@ -204,10 +206,12 @@ def render_records(pubs: DataFrame) -> DataFrame:
     authors = F.replace(authors, F.lit("\u0001"), sep)
     body = F.concat_ws(
         "",
-        F.concat(F.lit("<"), kind, F.lit(' key="pub/'), F.col("pub_id").cast("string"), F.lit('">')),
+        F.concat(F.lit("<"), kind, F.when(F.col("pub_id") % 5 == 0, F.lit("\n")).otherwise(F.lit(" ")),
+                 F.lit('key="pub/'), F.col("pub_id").cast("string"), F.lit('">')),
         sep, authors, sep,
         F.lit("<title>"), esc(F.col("title")), F.lit("</title>"), sep,
         F.lit("<year>"), F.col("year").cast("string"), F.lit("</year>"), sep,
         F.lit("<url>"), esc(F.col("url")), F.lit("</url>"), sep,
-        F.lit("</"), kind, F.lit(">"))
+        F.lit("</"), kind, F.lit(">"),
+        F.when(F.col("pub_id") % 7 == 0, F.lit('\n<mastersthesis key="none"/>')).otherwise(F.lit("")))
     return pubs.select("pub_id", body.alias("value"))
