@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.common import stored, texts
 from quire.llm.components import components
-from quire.llm.kernels import FOLDED, U64, blocks, gram_hashes, mix64, sorted_counts, word_hashes
+from quire.llm.kernels import FOLDED, U64, blocks, frugal, gram_hashes, mix64, sorted_counts, word_hashes
 from quire.session import checked_broadcast
 
 N = 4
@@ -185,17 +185,56 @@ def _prefixes(n: int, percent: int, order: Order):
     return rows
 
 
-def candidate_pairs(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct ``(a, b)`` of rows ``(a, na, b, nb)``, one row a shared prefix shingle.
+def similar_sizes(na, nb, percent: int):
+    """Column: whether sets of these sizes can link."""
+    return (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
+
+
+def enough(shared, na, nb, percent: int):
+    """Column: whether ``shared`` common prefix shingles leave the overlap possible.
 
     Of common shingles, those within the prefix that ends first are all counted;
     at most what lies behind that prefix is not.
     """
-    need = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-9)
-    behind = F.greatest(F.ceil(F.col("na") * percent / 100 - 1e-9), F.ceil(F.col("nb") * percent / 100 - 1e-9)) - 1
-    ratio = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return pairs.where(ratio).groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("shared")) \
-        .where(F.col("shared") + behind >= need) \
+    need = F.ceil((na + nb) * percent / (100 + percent) - 1e-9)
+    behind = F.greatest(F.ceil(na * percent / 100 - 1e-9), F.ceil(nb * percent / 100 - 1e-9)) - 1
+    return shared + behind >= need
+
+
+def candidate_pairs(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``(a, b)`` of rows ``(a, na, b, nb)``, one row a shared prefix shingle."""
+    na, nb = F.col("na"), F.col("nb")
+    return pairs.where(similar_sizes(na, nb, percent)).groupBy("a", "na", "b", "nb") \
+        .agg(F.count(F.lit(1)).alias("shared")).where(enough(F.col("shared"), na, nb, percent)) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def crossing_pairs(open_: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """All candidate pairs ``(a, b)`` across components.
+
+    A node is first matched with whole components (only with larger ones, ties by
+    name), counting how many of its shingles occur in each: one row a node,
+    shingle and component, not one a pair. A component whose members could not
+    reach the overlap with that many drops out; the others give their members.
+    """
+    sizes = label.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    rows = open_.join(checked_broadcast(sizes, BROADCAST_ROWS), "component", "left") \
+        .withColumn("size", F.coalesce("size", F.lit(1)))
+    groups = rows.groupBy("token", "component", "size").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    y, c = rows.alias("y"), groups.alias("c")
+    smaller = (F.col("y.size") < F.col("c.size")) \
+        | ((F.col("y.size") == F.col("c.size")) & (F.col("y.component") < F.col("c.component")))
+    fits = (F.col("y.n") * 100 >= F.col("c.lo") * percent) & (F.col("c.hi") * 100 >= F.col("y.n") * percent)
+    met = y.join(c, (F.col("y.token") == F.col("c.token")) & smaller & fits) \
+        .groupBy(F.col("y.node").alias("a"), F.col("y.n").alias("na"), F.col("c.component").alias("component")) \
+        .agg(F.count(F.lit(1)).alias("shared"), F.min("c.lo").alias("lo"), F.max("c.hi").alias("hi"))
+    # what must be shared is least for the least or the greatest size that can link
+    na, shared = F.col("na"), F.col("shared")
+    lo = F.greatest(F.col("lo"), F.ceil(na * percent / 100 - 1e-9))
+    hi = F.least(F.col("hi"), F.floor(na * 100 / percent + 1e-9))
+    met = met.where(enough(shared, na, lo, percent) | enough(shared, na, hi, percent))
+    members = open_.select("component", F.col("node").alias("b"), F.col("n").alias("nb")).distinct()
+    return met.join(members, "component").where(similar_sizes(na, F.col("nb"), percent)) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -238,8 +277,7 @@ def proposals(open_: DataFrame, turn: int, percent: int) -> DataFrame:
     lead = ones.groupBy("token").agg(leads.alias("leads"))
     pairs = ones.join(lead, "token").select(F.explode(F.zip_with(
         "picks", "leads", lambda x, y: F.struct(x.alias("x"), y["one"].alias("y")))).alias("p")).select("p.*")
-    return pairs.where((F.col("x.node") != F.col("y.node")) & (F.col("x.n") * 100 >= F.col("y.n") * percent)
-                       & (F.col("y.n") * 100 >= F.col("x.n") * percent)) \
+    return pairs.where((F.col("x.node") != F.col("y.node")) & similar_sizes(F.col("x.n"), F.col("y.n"), percent)) \
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
@@ -261,7 +299,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
     return pairs.join(right, "b").join(left, "a").select("a", "b", "a_keys", "b_keys") \
-        .mapInArrow(rows, "a bigint, b bigint").distinct()
+        .mapInArrow(frugal(rows), "a bigint, b bigint").distinct()
 
 
 def tree_links(probe: np.ndarray, partners: list[bytes], percent: int) -> list[int]:
@@ -311,7 +349,7 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
     """
     slim = texts(docs, id_col, text_col).withColumn("place", F.monotonically_increasing_id())
     surveyed = stored(slim.select("place", "text").mapInArrow(
-        _survey(n), "place bigint, node bigint, n bigint, token bigint, count bigint"))
+        frugal(_survey(n)), "place bigint, node bigint, n bigint, token bigint, count bigint"))
     heavy = surveyed.where("token is not null").groupBy("token").agg(F.sum("count").alias("count")) \
         .where(F.col("count") >= HEAVY_LEAST).orderBy(F.desc("count"), "token").limit(HEAVY).collect()
     order = Order(np.array([r["token"] for r in heavy], dtype=np.int64).view(U64),
@@ -332,9 +370,9 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
                         names=["node", "keys"])
 
         picked = slim.select("place", "text").join(checked_broadcast(wanted, BROADCAST_ROWS), "place")
-        return picked.select("node", "text").mapInArrow(rows, "node bigint, keys binary")
+        return picked.select("node", "text").mapInArrow(frugal(rows), "node bigint, keys binary")
 
-    prefixes = slim.select("text").mapInArrow(_prefixes(n, percent, order), "token bigint, salt int, node bigint, n int")
+    prefixes = slim.select("text").mapInArrow(frugal(_prefixes(n, percent, order)), "token bigint, salt int, node bigint, n int")
     # the tasks' copies of a node meet in its shingles' groups
     once = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "node"])
     seen = with_hubs(once, ["token", "salt"])
@@ -365,12 +403,7 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
         label = stored(components(links))
     else:
         open_ = stored(open_rows(shared, label))
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
-                    & (F.col("x.component") != F.col("y.component"))
-                    & (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)) \
-        .select(F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("y.node").alias("b"), F.col("y.n").alias("nb"))
-    second = stored(candidate_pairs(across, percent).join(tested, ["a", "b"], "left_anti"))
+    second = stored(crossing_pairs(open_, label, percent).join(tested, ["a", "b"], "left_anti"))
     if not second.isEmpty():
         links = stored(links.unionByName(verify(second, stored(sets_of(second)), percent)))
         label = stored(components(links))

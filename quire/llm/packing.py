@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import stored, texts
-from quire.llm.kernels import EXACT, FOLDED, U64, blocks, mix64, prefix_hash, span_hash, words
+from quire.llm.kernels import EXACT, FOLDED, U64, blocks, frugal, mix64, prefix_hash, span_hash, words
 
 CAPACITY = 4096
 END_ID = 1
@@ -194,7 +194,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = f"doc_id {kind}, {PIECE_SCHEMA}" + (", ids array<int>" if with_ids else "")
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(frugal(cut), schema)
 
 
 def fullest(available: list[tuple[int, int]], room: int) -> dict[int, int]:

@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import stored, texts
-from quire.llm.kernels import EXACT, Block, blocks, mix64, prefix_hash, span_hash
+from quire.llm.kernels import EXACT, Block, blocks, frugal, mix64, prefix_hash, span_hash
 from quire.session import checked_broadcast
 
 L = 200
 ANCHOR = 64
 HOT = 20_000
-INDEX_BYTES = 2 << 20
+INDEX_BYTES = 1 << 20
 BROADCAST_ROWS = 1_000_000  # row numbers of 8 bytes
 
 CONTEXT = "h bigint, k bigint, c bigint, start int, run int"
@@ -139,7 +139,7 @@ def find_contexts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     own for the task's further ones, which are repeats already (``again``).  So a
     minimiser's group holds at most one row a task.
     """
-    rows = docs.select("k", "text").mapInArrow(_context_rows(size, anchor), CONTEXT + ", deal bigint, again boolean")
+    rows = docs.select("k", "text").mapInArrow(frugal(_context_rows(size, anchor)), CONTEXT + ", deal bigint, again boolean")
     group = Window.partitionBy("deal")
     # a first context's minimiser is its deal; it travels once
     known = rows.withColumn("rows", F.count(F.lit(1)).over(group)).withColumn("any", F.max("again").over(group)) \
@@ -171,7 +171,7 @@ def split_hot(found: DataFrame, docs: DataFrame, size: int, hot: int) -> DataFra
                      pa.array(np.ones(len(h), dtype=np.int32)), pa.array(n)],
                     names=["h", "k", "c", "start", "run", "n"])
 
-    single = fetch(big, docs, ["start", "run", "n"]).mapInArrow(windows, CONTEXT + ", n bigint")
+    single = fetch(big, docs, ["start", "run", "n"]).mapInArrow(frugal(windows), CONTEXT + ", n bigint")
     total = single.groupBy("c").agg(F.sum("n").alias("total")).where("total > 1").select("c")
     return found.join(heavy, "h", "left_anti").unionByName(single.join(total, "c", "left_semi"))
 
@@ -389,29 +389,35 @@ def repeats(docs: DataFrame, size: int = L, anchor: int = ANCHOR, hot: int = HOT
     chosen = found.groupBy("h", "c").agg(F.min(F.struct("k", "start", "run")).alias("at"), F.sum("n").alias("n")) \
         .select("h", "c", "n", "at.k", "at.start", "at.run")
     bodies = fetch(chosen, docs, ["h", "c", "n", "start", "run"]) \
-        .mapInArrow(_cut_out(size), "h bigint, c bigint, n bigint, body binary")
+        .mapInArrow(frugal(_cut_out(size)), "h bigint, c bigint, n bigint, body binary")
     marks = bodies.repartition("h").sortWithinPartitions("h") \
-        .mapInArrow(_marks(size, index_bytes), "c bigint, `from` int, `to` int")
+        .mapInArrow(frugal(_marks(size, index_bytes)), "c bigint, `from` int, `to` int")
     covered = F.struct((F.col("start") + F.col("from")).alias("from"),
                        (F.col("start") + F.col("to") + F.lit(size - 1)).alias("to"))
     return found.select("k", "c", "start").join(marks, "c").select("k", covered.alias("part")) \
         .groupBy("k").agg(F.collect_list("part").alias("covered"))
 
 
+def without(body: bytes, parts: list[dict]) -> tuple[bytes, list[list[int]]]:
+    """(bytes outside the ranges, the ranges merged)."""
+    merged: list[list[int]] = []
+    for a, b in sorted((x["from"], x["to"]) for x in parts):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    edges = [0, *[e for m in merged for e in m], len(body)]
+    return b"".join(body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)), merged
+
+
 def cut(text, covered):
     """Column: ``struct(kept binary, spans)`` of a text without the covered bytes."""
     @F.arrow_udf("struct<kept: binary, spans: array<struct<start: bigint, end: bigint>>>")
     def cut_(column: pa.Array, parts: pa.Array) -> pa.Array:
         kept, spans = [], []
         for t, p in zip(column, parts, strict=True):
-            body, merged = t.as_py().encode(), []
-            for a, b in sorted((x["from"], x["to"]) for x in p.as_py()):
-                if merged and a <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], b)
-                else:
-                    merged.append([a, b])
-            edges = [0, *[e for m in merged for e in m], len(body)]
-            kept.append(b"".join(body[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)))
+            rest, merged = without(t.as_py().encode(), p.as_py())
+            kept.append(rest)
             spans.append([{"start": a, "end": b} for a, b in merged])
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.StructArray.from_arrays([pa.array(kept, type=pa.binary()), pa.array(spans, type=kind)],
@@ -458,14 +464,14 @@ def strip(docs: DataFrame, size: int = L, **options) -> DataFrame:
     touched = checked_broadcast(covered.select(F.col("k").alias("_cut_k")), BROADCAST_ROWS)
 
     @F.arrow_udf("string")
-    def readable(column: pa.Array) -> pa.Array:
-        return pa.array([x.as_py().decode("utf-8", "ignore") for x in column], type=pa.string())
+    def readable(column: pa.Array, parts: pa.Array) -> pa.Array:
+        return pa.array([without(t.as_py().encode(), x.as_py())[0].decode("utf-8", "ignore")
+                         for t, x in zip(column, parts, strict=True)], type=pa.string())
 
-    kept = F.col("_cut")["kept"]
     some = rows.join(touched, "_cut_k", "left_semi") \
         .join(covered.select(F.col("k").alias("_cut_k"), F.col("covered").alias("_cut_covered")), "_cut_k") \
-        .withColumn("_cut", cut(F.col("text"), F.col("_cut_covered"))) \
-        .select(*[readable(kept).alias(c) if c == "text" else F.col(f"`{c}`") for c in columns])
+        .select(*[readable(F.col("text"), F.col("_cut_covered")).alias(c) if c == "text" else F.col(f"`{c}`")
+                  for c in columns])
     rest = rows.join(touched, "_cut_k", "left_anti").select(*[F.col(f"`{c}`") for c in columns])
     return some.unionByName(rest)
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import narrow, stored, texts
-from quire.llm.kernels import EXACT, U64, blocks, gram_hashes, row_sums, word_hashes
+from quire.llm.kernels import EXACT, U64, blocks, frugal, gram_hashes, row_sums, word_hashes
 
 BUCKETS = 1 << 14
 LABEL_ROWS = 20_000
@@ -140,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample = stored(labelled_sample(labels, "quality"))
     counts = docs.join(F.broadcast(sample), "doc_id", "left") \
         .select("text", "label") \
-        .mapInArrow(_histograms, "bucket int, raw bigint, target bigint") \
+        .mapInArrow(frugal(_histograms), "bucket int, raw bigint, target bigint") \
         .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counts:
