@@ -13,8 +13,8 @@ Equal sets are one node from the start.  Candidates are found in rounds:
 2. While the groups that still hold several components have many pairs across
    them, each group pairs one node of every component with one of a chosen
    component (linear again); links found merge components.
-3. What is left gives all its pairs across components, so no link is lost.  A
-   group of near copies is one component by then and gives none.
+3. What is left is compared across components, so no link is lost: nodes meet
+   the larger components that share enough of their shingles, part by part.
 
 A pair stays a candidate only if the shared part of its prefixes plus all that
 lies behind the shorter prefix could reach the required overlap.
@@ -52,7 +52,8 @@ N = 4
 PERCENT = 85
 HEAVY, HEAVY_TASK, HEAVY_LEAST = 1 << 16, 1 << 13, 32
 SALTS = 32
-TURNS, TRIES, FEW = 2, 8, 64  # turns of merging at most, choices a turn; pairs a row that are few enough
+BUNDLE = 512  # sets of a side in a task of the last round
+TURNS, TRIES, FEW = 1, 8, 64  # turns of merging at most, choices a turn; pairs a row that are few enough
 BROADCAST_ROWS = 1_000_000  # row numbers of 8 bytes
 _BUFFER = 1 << 20  # shingles counted at a time
 
@@ -209,13 +210,13 @@ def candidate_pairs(pairs: DataFrame, percent: int) -> DataFrame:
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def crossing_pairs(open_: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs ``(a, b)`` across components.
+def meetings(open_: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """``(a, component)``: nodes and other components that could hold a partner of theirs.
 
-    A node is first matched with whole components (only with larger ones, ties by
-    name), counting how many of its shingles occur in each: one row a node,
+    Nodes are matched with whole components (only with larger ones, ties by
+    name), counting how many of their shingles occur in each: one row a node,
     shingle and component, not one a pair. A component whose members could not
-    reach the overlap with that many drops out; the others give their members.
+    reach the overlap with that many drops out.
     """
     sizes = label.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     rows = open_.join(checked_broadcast(sizes, BROADCAST_ROWS), "component", "left") \
@@ -233,9 +234,7 @@ def crossing_pairs(open_: DataFrame, label: DataFrame, percent: int) -> DataFram
     lo = F.greatest(F.col("lo"), F.ceil(na * percent / 100 - 1e-9))
     hi = F.least(F.col("hi"), F.floor(na * 100 / percent + 1e-9))
     met = met.where(enough(shared, na, lo, percent) | enough(shared, na, hi, percent))
-    members = open_.select("component", F.col("node").alias("b"), F.col("n").alias("nb")).distinct()
-    return met.join(members, "component").where(similar_sizes(na, F.col("nb"), percent)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stored(met.select("a", "component"))
 
 
 def with_hubs(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -302,6 +301,43 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(frugal(rows), "a bigint, b bigint").distinct()
 
 
+def _parts(rows: DataFrame, name: str) -> DataFrame:
+    """``(component, name)``: into how many parts of BUNDLE rows a component's rows go."""
+    return rows.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BUNDLE).cast("int").alias(name))
+
+
+def across(met: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between the nodes of ``met`` and the members of the components met.
+
+    Both sides are dealt into parts of about BUNDLE sets and every two parts of a
+    component meet in one task, where the members stand in a prefix tree that each
+    node's set traverses. Only links leave the task.
+    """
+    size = _parts(members, "m_parts").join(_parts(met, "p_parts"), "component")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = sets.select("node", "keys")
+    left = met.join(size, "component").join(keys.withColumnRenamed("node", "a"), "a") \
+        .select(F.col("component").alias("component"), every("m_parts").alias("m"),
+                F.pmod(F.xxhash64("a"), F.col("p_parts")).cast("int").alias("p"), F.col("a").alias("probe"),
+                F.col("keys").alias("probe_keys"))
+    right = members.join(size, "component").join(keys.withColumnRenamed("node", "b"), "b") \
+        .select(F.col("component").alias("component"), F.pmod(F.xxhash64("b"), F.col("m_parts")).cast("int").alias("m"),
+                every("p_parts").alias("p"), F.col("b").alias("member"), F.col("keys").alias("member_keys"))
+
+    def meet(_key, probes: pa.Table, partners: pa.Table) -> pa.Table:
+        bodies = partners["member_keys"].to_pylist()
+        names = partners["member"].to_pylist()
+        a, b = [], []
+        for probe, own in zip(probes["probe"].to_pylist(), probes["probe_keys"].to_pylist(), strict=True) if bodies else ():
+            found = tree_links(np.frombuffer(own, dtype=">u8").astype(U64), bodies, percent)
+            a += [probe] * len(found)
+            b += [names[i] for i in found]
+        return pa.table({"a": pa.array(a, type=pa.int64()), "b": pa.array(b, type=pa.int64())})
+
+    by = ["component", "m", "p"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(meet, "a bigint, b bigint")
+
+
 def tree_links(probe: np.ndarray, partners: list[bytes], percent: int) -> list[int]:
     """Indices of the partners that link with ``probe``.
 
@@ -403,9 +439,12 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
         label = stored(components(links))
     else:
         open_ = stored(open_rows(shared, label))
-    second = stored(crossing_pairs(open_, label, percent).join(tested, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        links = stored(links.unionByName(verify(second, stored(sets_of(second)), percent)))
+    met = meetings(open_, label, percent)
+    if not met.isEmpty():
+        members = open_.select("component", F.col("node").alias("b")).distinct() \
+            .join(met.select("component").distinct(), "component", "left_semi")
+        held = stored(sets_of(met.select("a", F.col("a").alias("b")).unionByName(members.select(F.col("b").alias("a"), "b"))))
+        links = stored(links.unionByName(across(met, members, held, percent)))
         label = stored(components(links))
 
     rows = nodes.join(checked_broadcast(label, BROADCAST_ROWS), "node", "left").withColumn("component", F.coalesce("component", "node"))
