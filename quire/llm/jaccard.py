@@ -202,6 +202,21 @@ def enough(shared, na, nb, percent: int):
     return shared + behind >= need
 
 
+def enough_between(shared, na, lo, hi, percent: int):
+    """Column: whether ``enough`` holds for any partner size from ``lo`` to ``hi``.
+
+    What must be shared grows with sizes up to ``na``, so the least size stands for
+    those. Beyond, it falls by ``percent ** 2 / (100 * (100 + percent))`` a step but
+    for rounding up, which makes up for less than one: it is least within so many
+    steps of the greatest size as that takes to reach one.
+    """
+    steps = -(-100 * (100 + percent) // percent ** 2)
+    holds = enough(shared, na, lo, percent)
+    for i in range(steps):
+        holds = holds | enough(shared, na, F.greatest(lo, hi - i), percent)
+    return holds
+
+
 def candidate_pairs(pairs: DataFrame, percent: int) -> DataFrame:
     """Distinct ``(a, b)`` of rows ``(a, na, b, nb)``, one row a shared prefix shingle."""
     na, nb = F.col("na"), F.col("nb")
@@ -229,11 +244,10 @@ def meetings(open_: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     met = y.join(c, (F.col("y.token") == F.col("c.token")) & smaller & fits) \
         .groupBy(F.col("y.node").alias("a"), F.col("y.n").alias("na"), F.col("c.component").alias("component")) \
         .agg(F.count(F.lit(1)).alias("shared"), F.min("c.lo").alias("lo"), F.max("c.hi").alias("hi"))
-    # what must be shared is least for the least or the greatest size that can link
-    na, shared = F.col("na"), F.col("shared")
+    na = F.col("na")
     lo = F.greatest(F.col("lo"), F.ceil(na * percent / 100 - 1e-9))
     hi = F.least(F.col("hi"), F.floor(na * 100 / percent + 1e-9))
-    met = met.where(enough(shared, na, lo, percent) | enough(shared, na, hi, percent))
+    met = met.where(enough_between(F.col("shared"), na, lo, hi, percent))
     return stored(met.select("a", "component"))
 
 
