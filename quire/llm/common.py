@@ -63,10 +63,10 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, text)`` with null text as the empty one."""
-    return narrow(docs, doc_id=id_col, text=text_col).select(
-        "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: str) -> DataFrame:
+    """``(doc_id, text)`` with null text as the empty one, and further columns by name."""
+    return narrow(docs, doc_id=id_col, text=text_col, **more).select(
+        "doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *more)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -80,5 +80,38 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A row number holds the file's number above the row's place in its file.
+FILES, ROW_BITS = 1 << 23, 40
+
+
+def _parquet_table(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a Parquet table as read, with nothing between."""
+    plan = docs._jdf.queryExecution().analyzed()
+    kind = lambda x: x.getClass().getSimpleName()
+    return kind(plan) == "LogicalRelation" and kind(plan.relation()) == "HadoopFsRelation" \
+        and kind(plan.relation().fileFormat()) == "ParquetFileFormat"
+
+
+def placed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a row number ``name`` that stays the row's own in all later jobs.
+
+    Splits depend on the cores registered when a job is planned, so the running
+    number of a scan does not stay. A Parquet table's rows are numbered by file
+    (by the order of the names; one narrow row a file is broadcast) and place in
+    the file; any other frame is stored with its numbers.
+    """
+    if _parquet_table(docs):
+        about = docs.metadataColumn("_metadata")
+        files = sorted(r[0] for r in docs.select(about["file_path"]).distinct().collect())
+        if len(files) <= FILES:
+            number = docs.sparkSession.createDataFrame(
+                list(enumerate(files)), "_place_number bigint, _place_file string")
+            rows = docs.select("*", about["file_path"].alias("_place_file"), about["row_index"].alias("_place_row"))
+            place = F.shiftleft("_place_number", ROW_BITS) + F.col("_place_row")
+            return rows.join(F.broadcast(number), "_place_file") \
+                .select(*[F.col(f"`{c}`") for c in docs.columns], place.alias(name))
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in fields]])

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import stored, texts
+from quire.llm.common import placed, stored, texts
 from quire.llm.components import components
 from quire.llm.kernels import FOLDED, U64, blocks, frugal, gram_hashes, mix64, sorted_counts, word_hashes
 from quire.session import checked_broadcast
@@ -390,14 +390,15 @@ def tree_links(probe: np.ndarray, partners: list[bytes], percent: int) -> list[i
 
 
 def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", place_col: str | None = None) -> DataFrame:
     """``(doc_id, place, n_shingles, node, component, component_id)`` of every row of ``docs``.
 
     ``node`` names the row's set and ``component`` is the least node linked with it.
-    ``place`` numbers the rows of the scan; it must give them in the same order
-    each time, as a stored table does.
+    ``place`` is the row's number: ``place_col``, as ``placed`` gives it, or one made here.
     """
-    slim = texts(docs, id_col, text_col).withColumn("place", F.monotonically_increasing_id())
+    if place_col is None:
+        docs, place_col = placed(docs, "_jaccard_place"), "_jaccard_place"
+    slim = texts(docs, id_col, text_col, place=place_col)
     surveyed = stored(slim.select("place", "text").mapInArrow(
         frugal(_survey(n)), "place bigint, node bigint, n bigint, token bigint, count bigint"))
     heavy = surveyed.where("token is not null").groupBy("token").agg(F.sum("count").alias("count")) \
@@ -471,11 +472,11 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
 
 def keep_one(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (nulls last)."""
-    found = link(docs, n, percent)
+    numbered = placed(docs, "_jaccard_place")
+    found = link(numbered, n, percent, place_col="_jaccard_place")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
     linked = found.where("n_shingles > 0").select("place", "doc_id", "node", "component")
     kept = linked.groupBy("component").agg(F.min(first).alias("first")).select(F.col("first.place").alias("place"))
     gone = stored(linked.select("place").join(kept, "place", "left_anti"))
-    numbered = docs.withColumn("_jaccard_place", F.monotonically_increasing_id())
     gone = checked_broadcast(gone.withColumnRenamed("place", "_jaccard_place"), BROADCAST_ROWS)
     return numbered.join(gone, "_jaccard_place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import stored, texts
+from quire.llm.common import placed, stored, texts
 from quire.llm.kernels import EXACT, Block, blocks, frugal, mix64, prefix_hash, span_hash
 from quire.session import checked_broadcast
 
@@ -426,19 +426,18 @@ def cut(text, covered):
     return cut_(text, covered)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with the text's hash ``k`` and a row number ``place``.
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, text, place, k)`` of rows with a number ``_cut_place``, with the text's hash ``k``.
 
-    The row number only tells rows of equal text apart; it holds for scans of a
-    stored table, which give their rows in the same order each time.
+    The row number ``place`` only tells rows of equal text apart.
     """
-    return docs.select("*", F.xxhash64("text").alias("k"), F.monotonically_increasing_id().alias("place"))
+    return texts(docs, id_col, text_col, place="_cut_place").select("*", F.xxhash64("text").alias("k"))
 
 
 def without_repeats(docs: DataFrame, size: int = L, id_col: str = "doc_id", text_col: str = "text",
                     **options) -> DataFrame:
     """``(doc_id, text, kept binary, spans)`` of every row: its bytes without repeats."""
-    slim = keyed(texts(docs, id_col, text_col))
+    slim = keyed(placed(docs, "_cut_place"), id_col, text_col)
     covered = stored(repeats(slim.select("k", "place", "text"), size, **options))
     slim = slim.drop("place")
     touched = checked_broadcast(covered.select("k"), BROADCAST_ROWS)
@@ -458,7 +457,8 @@ def strip(docs: DataFrame, size: int = L, **options) -> DataFrame:
     Bytes of a character that a cut splits go with it, so the text stays valid.
     """
     columns = docs.columns
-    slim = keyed(texts(docs))
+    docs = placed(docs, "_cut_place")
+    slim = keyed(docs)
     covered = stored(repeats(slim.select("k", "place", "text"), size, **options))
     rows = docs.withColumn("_cut_k", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     touched = checked_broadcast(covered.select(F.col("k").alias("_cut_k")), BROADCAST_ROWS)

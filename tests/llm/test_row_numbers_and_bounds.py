@@ -1,11 +1,13 @@
 """Links that a size bound or a change of the scan plan could lose."""
 
 import math
+import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from quire.llm import jaccard
+from quire.llm import common, jaccard, passages
 from quire.llm.kernels import blocks
 from quire.session import ensure_checkpoint_dir
 from tests.llm import edge
@@ -64,3 +66,82 @@ def test_component_with_an_inner_size_is_met(spark):
     open_ = spark.createDataFrame(rows, "token bigint, node bigint, n int, component bigint")
     label = spark.createDataFrame([(1, 1), (2, 1), (3, 1)], "node bigint, component bigint")
     assert [tuple(r) for r in jaccard.meetings(open_, label, 85).collect()] == [(9, 1)]
+
+
+# -- row numbers ---------------------------------------------------------------
+
+SPLITS = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+
+
+@pytest.fixture()
+def changing_splits(spark, monkeypatch):
+    """Each job that stores a frame is followed by other scan splits, as when executors come and go."""
+    before = [spark.conf.get(c) for c in SPLITS]
+    turn = []
+
+    def change(real):
+        def store(df):
+            out = real(df)
+            turn.append(1)
+            for c, v in zip(SPLITS, ("128m", "1") if len(turn) % 2 else ("4k", "4k"), strict=True):
+                spark.conf.set(c, v)
+            return out
+        return store
+
+    for module in (jaccard, passages):
+        monkeypatch.setattr(module, "stored", change(module.stored))
+    yield turn
+    for c, v in zip(SPLITS, before, strict=True):
+        spark.conf.set(c, v)
+
+
+def _in_files(spark, path, rows):
+    spark.createDataFrame(rows, edge.SCHEMA).repartition(7, "doc_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _near_copies():
+    rnd = random.Random(4)
+    rows = []
+    for i in range(90):
+        if i % 3 == 0:
+            words = [f"g{i}w{rnd.randrange(10 ** 6)}" for _ in range(40 + i)]
+        rows.append((i, " ".join(words + [f"end{i}"] * (i % 3)), None, None, None))
+    return rows
+
+
+def test_links_under_changing_splits(spark, tmp_dir, changing_splits):
+    rows = _near_copies()
+    docs = _in_files(spark, tmp_dir + "/d", rows)
+    want = edge.jaccard_components(rows, 4, 85)
+    got = jaccard.link(docs).select("doc_id", "n_shingles", "component_id")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    kept = sorted(r.doc_id for r in jaccard.keep_one(docs, 4, 85).collect())
+    assert kept == sorted({c for _, _, c in want}) and changing_splits
+
+
+def test_repeats_under_changing_splits(spark, tmp_dir, changing_splits):
+    rows = [(i, f"{'x' * i} no {i} " + "a passage that stands in many of these texts " * 2 + f"{i} end", None, None, None)
+            for i in range(60)]
+    got = passages.digest(passages.without_repeats(_in_files(spark, tmp_dir + "/d", rows), 60, anchor=20)).collect()
+    want = sorted((i, sum(covered)) for (i, *_), (_, covered) in
+                  zip(rows, edge.repeated_bytes([r[1] for r in rows], 60), strict=True))
+    assert sorted((r[0], r[2]) for r in got) == want and changing_splits
+
+
+def test_row_numbers_stay(spark, tmp_dir, monkeypatch):
+    """Numbers by file and place, also under odd names, in split files and for frames that are no table."""
+    path = tmp_dir + "/a b%20c"
+    rows = spark.range(0, 5000, 1, 3).withColumn("t", F.sha2(F.col("id").cast("string"), 256))
+    rows.write.option("parquet.block.size", 16384).parquet(path)
+    numbers = []
+    for size in ("128m", "8k"):
+        monkeypatch.setattr(common, "stored", None)  # a table is not stored
+        before = spark.conf.get(SPLITS[0])
+        spark.conf.set(SPLITS[0], size)
+        numbers.append({r["id"]: r["n"] for r in common.placed(spark.read.parquet(path), "n").collect()})
+        spark.conf.set(SPLITS[0], before)
+        monkeypatch.undo()
+    assert numbers[0] == numbers[1] and len(set(numbers[0].values())) == len(numbers[0]) == 5000
+    other = common.placed(spark.read.parquet(path).where("id % 2 = 0").withColumn("r", F.rand()), "n")
+    assert other.collect() == other.collect() and other.select("n").distinct().count() == 2500
