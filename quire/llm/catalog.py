@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import audit, exact_topk, jaccard, lsh, packing, passages, pieces, pii, quality, secrets, toxicity
+from quire.llm import audit, centroids, exact_topk, jaccard, lsh, packing, passages, pieces, pii, quality, secrets, toxicity
 from quire.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and exact squared distance of every vector, with the sums and centroid digests."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters keep, remove and share, by language, for all 120 orders."""
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -77,10 +82,12 @@ QUERIES = {
     "op8_sentencepiece_nbest": op8_sentencepiece_nbest,
     "op9_pii_weak_supervision": op9_pii_weak_supervision,
     "op10_multiprobe_lsh": op10_multiprobe_lsh,
+    "op12_centroid_clustering": op12_centroid_clustering,
     "op13_filter_audit": op13_filter_audit,
 }
 
 #: The others have no SQL form; tests/llm holds brute-force versions.
 ORACLE_SQL: dict[str, str] = {
+    "op12_centroid_clustering": centroids.oracle(),
     "op13_filter_audit": audit.SQL,
 }
