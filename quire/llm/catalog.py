@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.llm import audit, centroids, exact_topk, jaccard, lsh, packing, passages, pieces, pii, quality, secrets, toxicity
+from quire.llm import audit, centroids, exact_topk, jaccard, lsh, packing, passages, pieces, pii, polytope, quality, secrets, toxicity
 from quire.llm.common import table
 
 
@@ -61,6 +61,11 @@ def op10_multiprobe_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of a cosine of 0.9 or more: their number and the component of every vector."""
+    return polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster and exact squared distance of every vector, with the sums and centroid digests."""
     return centroids.cluster(table(spark, sf_dir, "embeddings"))
@@ -82,12 +87,14 @@ QUERIES = {
     "op8_sentencepiece_nbest": op8_sentencepiece_nbest,
     "op9_pii_weak_supervision": op9_pii_weak_supervision,
     "op10_multiprobe_lsh": op10_multiprobe_lsh,
+    "op11_embedding_dedup": op11_embedding_dedup,
     "op12_centroid_clustering": op12_centroid_clustering,
     "op13_filter_audit": op13_filter_audit,
 }
 
 #: The others have no SQL form; tests/llm holds brute-force versions.
 ORACLE_SQL: dict[str, str] = {
+    "op11_embedding_dedup": polytope.SQL,
     "op12_centroid_clustering": centroids.oracle(),
     "op13_filter_audit": audit.SQL,
 }
