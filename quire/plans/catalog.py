@@ -17,6 +17,7 @@ from quire.operators.ordinal import ordered_lines
 from quire.plans import bibliography as bib
 from quire.plans import copying, generate, loadlog
 from quire.session import read_table, scratch_path
+from quire.sinks.keyed import KeyedTable
 from quire.sources import fixtures
 from quire.sources.literal import literal_table
 from quire.sources import xml as xmlsrc
@@ -227,16 +228,39 @@ def q_range_copy_parts(spark, sf_dir):
     return copying.part_ranges(spark, dest, "o_orderkey")
 
 
-def q_keyed_upsert(spark, sf_dir):
-    """K4, K5: order prices, replaced by the last returned line's price."""
-    path = scratch_path(spark, "keyed")
+# Fixed value: buckets of the keyed tables of the entries.
+KEYED_BUCKETS = 16
+
+
+def _keyed_prices(spark, sf_dir):
+    """K4, K5: order prices as a keyed table, then replaced by the last returned line's price."""
     prices = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("key"), F.lit(0).cast("bigint").alias("line"), F.col("o_totalprice").alias("price"))
-    copying.upsert_table(spark, f"{path}/none", prices, "key", f"{path}/v1")
+    table = KeyedTable.create(prices, scratch_path(spark, "keyed"), "key", KEYED_BUCKETS)
     returned = read_table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(
         F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("bigint").alias("line"),
         F.col("l_extendedprice").alias("price"))
-    return copying.upsert_table(spark, f"{path}/v1", returned, "key", f"{path}/v2", order=["line", "price"])
+    return table.upsert(returned, order=["line", "price"])
+
+
+def q_keyed_upsert(spark, sf_dir):
+    """K4, K5: the keyed table after an upsert, through the session's catalog."""
+    return _keyed_prices(spark, sf_dir).register("quire_keyed_prices").drop("key_bucket")
+
+
+def q_keyed_lookup(spark, sf_dir):
+    """The rows of the orders that hold a line of the greatest quantity, looked up by key."""
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    most = lines.agg(F.max("l_quantity").alias("l_quantity"))
+    return _keyed_prices(spark, sf_dir).lookup(lines.join(F.broadcast(most), "l_quantity", "left_semi").select("l_orderkey"))
+
+
+def q_keyed_copy(spark, sf_dir):
+    """Q19 over a keyed table (S6, K4, K5): keyed sets read by key from one table and put into another."""
+    values = read_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") + 1).alias("v"))
+    source = KeyedTable.create(generate.int_sets(values, SET_WIDTH, SET_STRIDE), scratch_path(spark, "sets"), "i", KEYED_BUCKETS)
+    dest = KeyedTable.create(source.read().limit(0), scratch_path(spark, "sets-copy"), "i", KEYED_BUCKETS)
+    return generate.set_summary(dest.upsert(source.scan(0)).scan())
 
 
 def q_copy_sweep(spark, sf_dir):
@@ -351,6 +375,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_copy": q_range_copy,
     "range_copy_parts": q_range_copy_parts,
     "keyed_upsert": q_keyed_upsert,
+    "keyed_lookup": q_keyed_lookup,
+    "keyed_copy": q_keyed_copy,
     "copy_sweep": q_copy_sweep,
     "table_size": q_table_size,
 }

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.ordinal import with_global_ordinal
+from quire.sinks.keyed import last_per_key
 from quire.sources.literal import literal_table
 
 # Fixed value: the part counts the reference sweeps.
@@ -161,13 +162,6 @@ def table_size(table: DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("coun"))
 
 
-def last_per_key(rows: DataFrame, key: str, order: list) -> DataFrame:
-    """The last row of each key by ``order`` (one partial maximum by task)."""
-    rest = F.struct(*[F.col(c) for c in rows.columns])
-    best = rows.groupBy(F.col(key).alias("_key")).agg(F.max_by(rest, F.struct(*order)).alias("_row"))
-    return best.select("_row.*")
-
-
 def upsert(existing: DataFrame, rows: DataFrame, key: str, order: list | None = None) -> DataFrame:
     """K5 as a primary key implies: new rows replace old ones with the same key.
 

@@ -348,6 +348,10 @@ SELECT key, line, price FROM r WHERE k = 1
 UNION ALL
 SELECT o_orderkey, CAST(0 AS BIGINT), o_totalprice FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')"""
+    q["keyed_lookup"] = f"""
+SELECT * FROM ({q["keyed_upsert"]})
+WHERE key IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = (SELECT max(l_quantity) FROM lineitem))"""
+    q["keyed_copy"] = q["int_sets"]
     size = "(SELECT count(*) FROM orders)"
     parts = []
     for n in SWEEP:
