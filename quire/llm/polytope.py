@@ -474,7 +474,8 @@ def near_duplicates(df: DataFrame, least: float = LEAST, id_col: str = "vec_id",
     nodes = stored(distinct.mapInArrow(
         _hashed(bits, probes), f"h1 bigint, h2 bigint, embedding {kind}, m bigint, least bigint, s1 bigint, s2 bigint, codes array<bigint>")
         .withColumn("node", F.monotonically_increasing_id()))
-    group = stored(components(candidate_edges(nodes, n, probes, sketch_limit(least))))
+    # stored: the contraction reads its links more than once
+    group = stored(components(stored(candidate_edges(nodes, n, probes, sketch_limit(least)))))
     size = group.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     large = stored(size.where(F.col("size") > GROUP).select("component"))
     n_large = large.count()
