@@ -9,10 +9,12 @@ a small table of requests:
 * membership (F6): each publication is exploded over the *distinct*
   lower-cased names of its list and joined on ``name_lc``; a name listed twice
   matches once, with no aggregation.
-* multiset containment (F7/J5): a request is joined on one of its names only
-  (its key name); whether the list holds all requested names, each as often as
-  asked, is then tested inside the row with array functions. Every row counts
-  for itself, whatever its ``pub_id``, and nothing is grouped.
+* multiset containment (F7/J5): a request is joined on one of its names only, the
+  one with the fewest publications (as in an intersection of inverted lists, which
+  starts with the shortest); whether the list holds all requested names, each as often
+  as asked, is then tested inside the row with array functions. Every row counts
+  for itself, whatever its ``pub_id``, and nothing is grouped. A request that holds a
+  name of no publication is out before the join.
 
 Requests are small (a batch of commands), so Spark broadcasts them and the
 publications are streamed through the join without a shuffle; only matches
@@ -58,22 +60,44 @@ def author_totals(pubs: DataFrame, names: DataFrame | None = None) -> DataFrame:
     return ex.groupBy("name_lc").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rarest_names(requests: DataFrame, totals: DataFrame, key: str = "cmd_id") -> DataFrame:
+    """``(key, names, name_lc, n)``: each request with its name of the fewest publications.
+
+    ``totals`` is ``(name_lc, n)``. Ties go to the first name; a request without names, or with one
+    that ``totals`` does not have, matches nothing and is left out.
+    """
+    asked = requests.select(key, "names", F.explode(F.array_distinct("names")).alias("name_lc"))
+    known = asked.join(totals.select("name_lc", "n"), "name_lc", "left")
+    place = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "name_lc")
+    return known.groupBy(key, "names").agg(F.min(place).alias("least")).where("least.n > 0") \
+        .select(key, "names", "least.name_lc", "least.n")
+
+
+def entries_of(pubs: DataFrame, asked: DataFrame, key: str = "cmd_id", carry: tuple = ()) -> DataFrame:
+    """``(_key, _names, _listed, pub_id, *carry)``: the publications of each request's key name ``name_lc``."""
+    asked = asked.select(F.col(key).alias("_key"), F.col("names").alias("_names"), "name_lc")
+    listed = lower_names()
+    rows = pubs.select("pub_id", *carry, listed.alias("_listed"),
+                       F.explode(F.array_distinct(listed)).alias("name_lc"))
+    return rows.join(asked, "name_lc").drop("name_lc")
+
+
 def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id",
-               carry: tuple = ()) -> DataFrame:
+               carry: tuple = (), totals: DataFrame | None = None) -> DataFrame:
     """``(key, pub_id, *carry)`` for every publication whose list holds all
     names of a request.
 
     ``requests`` has ``(key, names array<string>)`` with names normalised; a
     name listed m times must occur at least m times. A request without names
-    matches nothing. ``carry`` columns of the publication ride along with the
-    matches, so no join back to the whole table is needed.
+    matches nothing. ``totals`` (``name_lc, n``) are the publications by name;
+    by default those of the requested names are counted first, in a pass that
+    sends one row a name and task. ``carry`` columns of the publication ride
+    along with the matches, so no join back to the whole table is needed.
     """
-    asked = requests.select(F.col(key).alias("_key"), F.col("names").alias("_names"),
-                            F.get("names", F.lit(0)).alias("name_lc"))
-    listed = lower_names()
-    rows = pubs.select("pub_id", *carry, listed.alias("_listed"),
-                       F.explode(F.array_distinct(listed)).alias("name_lc"))
-    return rows.join(asked, "name_lc").where(holds_all(F.col("_listed"), F.col("_names"))) \
+    if totals is None:
+        totals = author_totals(pubs, requests.select(F.explode("names").alias("name_lc")))
+    asked = rarest_names(requests, totals, key)
+    return entries_of(pubs, asked, key, carry).where(holds_all(F.col("_listed"), F.col("_names"))) \
         .select(F.col("_key").alias(key), "pub_id", *carry)
 
 

@@ -125,9 +125,10 @@ def coauthors_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None
     Distinct spellings (case-sensitive, A9) of everybody on a publication of the
     requested name -- the name itself included -- each with its own total (A2)
     of the lower-cased spelling (J2: one join in place of one scan per
-    co-author). ``totals`` (``name_lc, n``) is the per-name count; by default
-    it is aggregated over the co-authors' names only; a service passes its stored
-    table.
+    co-author). ``totals`` (``name_lc, n``) is the per-name count. By default all
+    names are counted, one partial row a name and task: to count the co-authors
+    only, their spellings would have to be found twice. A service passes its
+    stored table.
     """
     ex = by_distinct_name(pubs, "author")
     spellings = (requests.select("cmd_id", "name_lc").join(ex, "name_lc")
@@ -136,8 +137,7 @@ def coauthors_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None
                  .distinct()
                  .withColumn("name_lc", F.lower("author")))
     if totals is None:
-        # only the co-authors' names are counted
-        totals = author_totals(pubs, spellings.select("name_lc"))
+        totals = author_totals(pubs)
     return spellings.join(totals, "name_lc").select("cmd_id", "author", "n")
 
 
@@ -148,16 +148,20 @@ def clique_requests(commands: DataFrame) -> DataFrame:
                            p["min_count"].alias("min_count"), p["ok"].alias("ok"))
 
 
-def cliques_for(requests: DataFrame, pubs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def cliques_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None = None
+                ) -> tuple[DataFrame, DataFrame]:
     """Q10 + Q11 for valid requests ``(cmd_id, names, min_count)``.
 
+    Each request is joined on its rarest name, by ``totals`` (``name_lc, n``) or a count of the
+    requested names.
+
     Returns ``verdicts (cmd_id, matches, verdict)`` -- a left join so that a
     request with no match still answers (A11) -- and
     ``articles (cmd_id, pub_id, title, author, year)``.
     """
     valid = requests.where("ok").select("cmd_id", "names", "min_count")
     found = containing(pubs, valid.select("cmd_id", "names"),
-                       carry=("title", "author", "year"))
+                       carry=("title", "author", "year"), totals=totals)
     counts = found.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("matches"))
     verdicts = (valid.join(counts, "cmd_id", "left")
                 .select("cmd_id", F.coalesce("matches", F.lit(0)).alias("matches"),

@@ -30,10 +30,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.functions.commands import STATUS_INVALID, STATUS_OK, parse_clique, parse_command
 from quire.functions.text import render_article
-from quire.operators.containment import author_totals, by_distinct_name, holds_all, lower_names
+from quire.operators.containment import author_totals, by_distinct_name, holds_all, lower_names, rarest_names
 from quire.operators.ordinal import number_lines, with_global_ordinal, with_group_ordinal
 from quire.plans import bibliography as bib
-from quire.session import scratch_path
+from quire.session import checked_broadcast, scratch_path
 
 OUTPUT_COLUMNS = ["cmd_file", "cmd_line", "op", "arg", "status", "rank", "text"]
 
@@ -41,6 +41,9 @@ OUTPUT_COLUMNS = ["cmd_file", "cmd_line", "op", "arg", "status", "rank", "text"]
 TRIGGER_INTERVAL = "2 seconds"
 
 
+# Most key names of a batch that are broadcast; beyond it Spark plans the join by size.
+MAX_KEY_NAMES = 1_000_000
+
 # Folders of the stored author index. A folder holds as many files as its rows
 # need: rows are dealt to tasks by range, not by folder.
 INDEX_BUCKETS = 256
@@ -118,10 +121,11 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
            index: DataFrame | None = None) -> DataFrame:
     """Answer parsed commands; see the module docstring for the result.
 
-    All three operations are one join of the batch's key names (a command's
-    first name) with the exploded author lists; whether a list holds all names of
-    a command is tested inside the row (``holds_all``). Everything after that
-    sees matched rows only, carrying title, year and list along.
+    All three operations are one join of the batch's key names (of a clique the
+    name with the fewest publications) with the exploded author lists; whether a
+    list holds all names of a command is tested inside the row (``holds_all``).
+    Everything after that sees matched rows only, carrying title, year and list
+    along. The key names are broadcast if a count proves them few.
 
     ``hold`` (optional) keeps the matches for the life of the batch. ``totals``
     is the stored per-name publication count and ``index`` the stored entries;
@@ -130,9 +134,15 @@ def answer(cmds: DataFrame, pubs: DataFrame, hold=None, totals: DataFrame | None
     ok = cmds.where(F.col("status") == STATUS_OK)
     need = ok.select("cmd_id", "op", F.when(F.col("op") == "clique", F.col("names"))
                      .otherwise(F.array("arg")).alias("wanted"))
-    need = need.withColumn("name_lc", F.get("wanted", F.lit(0))).where(F.col("name_lc").isNotNull())
+    need = need.withColumnRenamed("wanted", "names")
+    names = need.select(F.explode("names").alias("name_lc")).distinct()
+    asked = author_totals(pubs, names) if totals is None else in_buckets(totals, names).drop("bucket")
+    need = rarest_names(need.withColumn("key", F.struct("cmd_id", "op")).drop("cmd_id", "op"), asked, "key") \
+        .select("key.cmd_id", "key.op", F.col("names").alias("wanted"), "name_lc")
+    if hold is not None:  # its buckets, its size and its rows are asked for
+        need = hold(need.persist(StorageLevel.MEMORY_AND_DISK))
     entries = author_entries(pubs) if index is None else in_buckets(index, need)
-    found = (entries.drop("bucket").join(F.broadcast(need) if index is not None else need, "name_lc")
+    found = (entries.drop("bucket").join(need if index is None else checked_broadcast(need, MAX_KEY_NAMES), "name_lc")
              .where(holds_all(lower_names(), F.col("wanted")))
              .select("cmd_id", "op", "pub_id", "title", "year", "author"))
     if hold is not None:

@@ -138,3 +138,29 @@ def test_equal_records_count_as_rows(spark):
     req = spark.createDataFrame([(0, ["ann", "ann"]), (1, ["ann"])], "cmd_id bigint, names array<string>")
     from quire.operators.containment import containing
     assert [r.cmd_id for r in containing(pubs, req).collect()] == [1, 1]
+
+
+def test_clique_joins_on_its_rarest_name(spark):
+    """The first name is on every row; only the rare name's entries are joined."""
+    from quire.operators.containment import author_totals, containing, entries_of, rarest_names
+    rows = [(i, f"T{i}.", ["Hot", f"A{i % 50}"] + (["Rare"] if i in (7, 700, 1400) else []), 2000, "u") for i in range(2000)]
+    pubs = spark.createDataFrame(rows, "pub_id bigint, title string, author array<string>, year bigint, url string")
+    req = spark.createDataFrame([(0, ["hot", "rare"]), (1, ["hot", "nobody"]), (2, ["hot", "hot"]), (3, []), (4, ["a7", "hot"])],
+                                "cmd_id bigint, names array<string>")
+    asked = rarest_names(req, author_totals(pubs))
+    assert sorted((r.cmd_id, r.name_lc, r.n) for r in asked.collect()) == [(0, "rare", 3), (2, "hot", 2000), (4, "a7", 40)]
+    two = req.where("cmd_id < 2")
+    assert entries_of(pubs, rarest_names(two, author_totals(pubs))).count() == 3
+    assert sorted((r.cmd_id, r.pub_id) for r in containing(pubs, two).collect()) == [(0, 7), (0, 700), (0, 1400)]
+    found = containing(pubs, req).groupBy("cmd_id").count().collect()
+    assert sorted(tuple(r) for r in found) == [(0, 3), (4, 40)]
+
+
+def test_coauthors_scan_the_publications_twice_only(spark, tmp_dir):
+    import os
+    from tests.test_plans_and_entry import _plan
+    path = os.path.join(tmp_dir, "p")
+    spark.createDataFrame([(1, "T.", ["Ann", "Bob"], 2000, "u")],
+                          "pub_id bigint, title string, author array<string>, year bigint, url string").write.parquet(path)
+    got = bib.coauthor_totals(spark, spark.read.parquet(path), "ann")
+    assert _plan(got).count("FileScan") == 2
