@@ -64,7 +64,7 @@ def bucket_bits(nodes: int) -> int:
 
 def probes_for(bits: int) -> int:
     """Buckets of a node in each table: twice as many for each further vertex that must be met."""
-    return PROBES << math.ceil(max(0, bits - 14) / 7)
+    return math.ceil(PROBES * 2 ** (max(0, bits - 14) / 7))
 
 
 @lru_cache(maxsize=256)
