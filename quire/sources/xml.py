@@ -1,38 +1,36 @@
 """XML publication scan (S1, U4, X8) and the retag rewrite (Q1).
 
-Records are cut out of plain text lines, so a record may span lines and file
-splits, several records may share a line, and an entity the XML parser does
-not know spoils nothing but is resolved first. Steps, all DataFrame code:
-
-1. ``spark.read.text`` with ``_metadata.file_path`` / ``file_block_start`` and
-   ``monotonically_increasing_id`` (consecutive inside a split) give every line
-   its place in file order without a shuffle.
-2. Every line is split before each opening tag and after each closing tag of
-   the record kinds, so a piece holds at most one opening.
-3. Inside a split (window by file and split, bounded by the split size) a
-   running count of openings numbers the records and the last open/close
-   event says whether a piece lies inside a record. One row per split carries
-   the count and the state into later splits (prefix over splits, broadcast:
-   the number of splits is bounded at planning time).
-4. Pieces inside records are grouped by ``(file, split, record)`` -- a group
-   is one record, bounded by the record, never by the data -- and joined in
-   order with newlines. That grouping reuses the window's partitioning, so
-   the text is shuffled once. The tails of records that cross a split edge
-   (at most one per edge) are picked by position from the per-split table,
-   without the window, grouped apart and broadcast onto their heads.
-5. Kinds are renamed to one (X8), entities outside XML's own five are resolved
-   from the HTML entity table, and ``from_xml`` parses each record with a fixed
-   schema (no inference pass, attributes dropped).
+Records are cut out of plain text in one read, without a shuffle of the text; a record
+may span lines and file splits, several records may share a line, and an entity the XML
+parser does not know spoils nothing but is resolved first.
+
+* A file with one kind of record (as Q1's retag leaves it) is read with that kind's
+  closing tag as the line separator, so that Spark's reader itself keeps a record whole
+  across split edges; a row is what lies between two closing tags, and what begins in it
+  is cut out with column functions.
+* A file with several kinds has no such separator. Each split's lines pass once through a
+  small scanner (Arrow batches, in order) that emits the records that begin and end in
+  the split, and the text at its two edges: the rest of a record begun before, and the
+  beginning of one that goes on. The result is stored as Parquet; the edges, at most two
+  rows a split, are then put together in file order. Only they are shuffled.
+
+Kinds are renamed to one (X8), entities outside XML's own five are resolved from the HTML
+entity table, and ``from_xml`` parses each record with a fixed schema (no inference pass,
+attributes dropped). A record ends at the closing tag of any kind, or where the next record
+or one of another kind opens. One closed in its own tag is no publication.
 """
 
 from __future__ import annotations
 
 import html.entities
+import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import retag
+from quire.session import scratch_path
 from quire.sinks.text import text_directory
 
 # The record kinds of the bibliography and the unified name.
@@ -68,77 +66,138 @@ def resolve_entities(c: Column) -> Column:
     return F.when(c.contains("&"), F.aggregate(names, c, step)).otherwise(c)
 
 
-def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
-    """``(file, record, xml)``: the text of every record of ``kinds``, in file order."""
-    alt = "|".join(kinds)
-    opening = f"<(?:{alt})(?=[\\s>/]|$)"
-    closing = f"</(?:{alt})>"
-    # a foreign record, or one closed in its own tag, ends what is open
+RECORDS_SQL = "file string, blk bigint, n bigint, part string, xml string"
+
+
+def _scanner(kinds, foreign):
+    """Task over lines ``(value, file, blk)`` in file order: records, and the text at split edges.
+
+    ``part`` is ``whole``; ``head`` for a record open at the split's end; ``tail`` for the text before
+    the first tag of a record in a split, which ends what was open before, and ``middle`` for that of
+    a split without any. Defined inside a function so that it travels to the executors by value.
+    """
+    alt, other = "|".join(kinds), "|".join(foreign)
+    tag = re.compile(rf"(?P<close></(?:{alt})>)|(?P<empty><(?:{alt})(?:\s[^<>]*)?/>)"
+                     rf"|(?P<open><(?:{alt})(?=[\s>/]|$))|(?P<foreign><(?:{other})(?=[\s>/]|$))")
+
+    class Split:
+        def __init__(self, file, blk):
+            self.file, self.blk, self.n, self.out = file, blk, 0, []
+            self.state, self.held, self.rest = "start", [], ""
+
+        def emit(self, part, text):
+            self.out.append((self.file, self.blk, self.n, part, text))
+
+        def feed(self, text, last=False):
+            text = self.rest + text
+            cut = text.rfind("<")
+            # a tag that is not yet closed waits for the next lines
+            keep = len(text) if last or cut < 0 or text.find(">", cut) >= 0 else cut
+            text, self.rest = text[:keep], text[keep:]
+            at = 0
+            for m in tag.finditer(text):
+                closes = m.lastgroup == "close"
+                if self.state != "between":
+                    body = "".join(self.held) + text[at:m.end() if closes else m.start()]
+                    self.emit("tail" if self.state == "start" else "whole", body if closes else body.rstrip("\n"))
+                    self.state, self.held = "between", []
+                at = m.end()
+                if m.lastgroup == "open":
+                    self.state, at = "open", m.start()
+                    self.n += 1
+            if self.state != "between":
+                self.held.append(text[at:])
+
+        def end(self):
+            self.feed("", last=True)
+            if self.state != "between":
+                self.emit("middle" if self.state == "start" else "head", "".join(self.held))
+
+    def rows(out):
+        names = ["file", "blk", "n", "part", "xml"]
+        kinds_ = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out), kinds_)], names=names)
+
+    def task(batches):
+        split = None
+        for batch in batches:
+            value, file, blk = (batch.column(i).to_pylist() for i in range(3))
+            at = 0
+            while at < len(value):
+                end = at
+                while end < len(value) and blk[end] == blk[at] and file[end] == file[at]:
+                    end += 1
+                if split is None or (split.file, split.blk) != (file[at], blk[at]):
+                    if split is not None:
+                        split.end()
+                        if split.out:
+                            yield rows(split.out)
+                    split = Split(file[at], blk[at])
+                split.feed("\n".join(value[at:end]) + "\n")
+                at = end
+            if split is not None and split.out:
+                yield rows(split.out)
+                split.out = []
+        if split is not None:
+            split.end()
+            if split.out:
+                yield rows(split.out)
+
+    return task
+
+
+def _put_together(edges: DataFrame, kinds) -> DataFrame:
+    """Records that cross split edges, from the at most two rows a split leaves.
+
+    A head goes on with what the next splits begin with, up to the first that holds a tag of a record.
+    """
+    order = Window.partitionBy("file").orderBy("blk", F.col("part") == "head")
+    rows = edges.withColumn("record_", F.sum((F.col("part") == "head").cast("int")).over(order))
+    within = Window.partitionBy("file", "record_").orderBy("blk", F.col("part") == "head")
+    ended = F.coalesce(F.sum((F.col("part") == "tail").cast("int")).over(
+        within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("ended", ended).where("record_ > 0 and ended = 0")
+    start = F.col("part") != "head"
+    return rows.groupBy("file", "record_").agg(
+        F.min_by(F.struct("blk", "n"), F.struct("blk", start)).alias("record"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("blk", start.alias("later"), "xml"))),
+                                 lambda x: x["xml"]), "").alias("xml")) \
+        .where(~F.col("xml").rlike(f"^<(?:{'|'.join(kinds)})(?:\\s[^<>]*)?/>")) \
+        .select("file", "record", F.regexp_replace("xml", r"\n+$", "").alias("xml"))
+
+
+def _lines(spark: SparkSession, paths: list[str], separator: str | None = None) -> DataFrame:
+    reader = spark.read if separator is None else spark.read.option("lineSep", separator)
+    return reader.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
+                                     F.col("_metadata.file_block_start").alias("blk"))
+
+
+def _records_of_one_kind(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
+    """Rows between closing tags; a record that the file's end cuts off counts as closed there."""
+    opening, closing = f"<{kind}(?=[\\s>/]|$)", f"</{kind}>"
     foreign = f"<(?:{'|'.join(FOREIGN)})(?=[\\s>/]|$)"
-    empty = f"<(?:{alt})(?:\\s[^<>]*)?/>"
+    pieces = F.split("value", f"(?={opening})|(?={foreign})")
+    # the row's number in its task, and the piece's in the row
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = _lines(spark, paths, closing).withColumn("row", row).withColumn("pieces", pieces)
+    return rows.select("file", "blk", "row", F.size("pieces").alias("of"), F.posexplode("pieces").alias("pos", "piece")) \
+        .where(F.col("piece").rlike(f"^{opening}") & ~F.col("piece").rlike(f"^<{kind}(?:\\s[^<>]*)?/>")) \
+        .select("file", F.struct("blk", (F.shiftleft("row", 20) + F.col("pos")).alias("n")).alias("record"),
+                F.when(F.col("pos") == F.col("of") - 1, F.concat("piece", F.lit(closing)))
+                .otherwise(F.regexp_replace("piece", r"\n+$", "")).alias("xml"))
+
+
+def xml_records(spark: SparkSession, path, kinds=KINDS) -> DataFrame:
+    """``(file, record, xml)``: the text of every record of ``kinds``; ``record`` orders a file's records."""
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("blk"),
-        F.monotonically_increasing_id().alias("mid"))
-    pieces = raw.select("file", "blk", "mid", F.posexplode(
-        F.split("value", f"(?={opening})|(?={foreign})|(?<={closing})")).alias("pos", "piece"))
-    ends = F.col("piece").rlike(f"^(?:{empty}|{foreign})")
-    o = F.col("piece").rlike(f"^{opening}") & ~ends
-    st = (F.when(ends | F.col("piece").rlike(f"{closing}\\s*$"), F.lit("c"))
-           .when(o, F.lit("o")))
-    pieces = pieces.withColumn("o", o.cast("int")).withColumn("st", st).withColumn("ends", ends)
-    at = F.struct("mid", "pos")
-
-    # One row per split: openings, last open/close event, first opening and
-    # first closing position; then the carry from earlier splits of the file.
-    splits = pieces.groupBy("file", "blk").agg(
-        F.sum("o").alias("opens"),
-        F.max_by("st", F.when(F.col("st").isNotNull(), at)).alias("last_st"),
-        F.min(F.when(F.col("o") == 1, at)).alias("first_open"),
-        F.min(F.when(F.col("st") == "c", at)).alias("first_close"))
-    before = Window.partitionBy("file").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select(
-        "file", "blk", "first_open", "first_close",
-        F.coalesce(F.sum("opens").over(before), F.lit(0)).alias("off"),
-        F.last("last_st", ignorenulls=True).over(before).alias("carry_st"))
-    # One narrow row per file split, whatever the input: broadcast.
-    splits = F.broadcast(splits)
-
-    def joined(df, keys):
-        return df.groupBy(*keys).agg(F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.struct("blk", "mid", "pos", "piece"))),
-            lambda x: x["piece"]), "\n").alias("text"))
-
-    # Records started in this split. A running count inside the split numbers
-    # them (window by file and split, bounded by the split size); grouping by
-    # (file, split, record) reuses that partitioning, so the text is shuffled
-    # once.
-    w = Window.partitionBy("file", "blk").orderBy("mid", "pos")
-    numbered = (pieces
-                .withColumn("cum", F.sum("o").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-                .withColumn("prev_st", F.last("st", ignorenulls=True)
-                            .over(w.rowsBetween(Window.unboundedPreceding, -1)))
-                .join(splits.select("file", "blk", "off", "carry_st"), ["file", "blk"]))
-    state = F.coalesce(F.col("prev_st"), F.col("carry_st"))
-    heads = joined(
-        numbered.where(((F.col("o") == 1) | (state == "o")) & ~F.col("ends") & (F.col("cum") > 0))
-                .withColumn("record", F.col("off") + F.col("cum")),
-        ["file", "blk", "record"])
-
-    # The rest of a record that was open when a split began: the split's pieces
-    # before its first opening and up to its first closing -- no window needed.
-    # At most one record per split edge, so the table is bounded by the splits.
-    pos_ = at
-    tail_pieces = (pieces.join(splits, ["file", "blk"])
-                   .where((F.col("carry_st") == "o") & ~F.col("ends")
-                          & (F.col("first_open").isNull() | (pos_ < F.col("first_open")))
-                          & (F.col("first_close").isNull() | (pos_ <= F.col("first_close"))))
-                   .withColumn("record", F.col("off")))
-    tails = joined(tail_pieces, ["file", "record"]).withColumnRenamed("text", "tail")
-    out = heads.join(tails, ["file", "record"], "left")
-    return out.select("file", "record", F.concat_ws("\n", "text", "tail").alias("xml"))
+    if len(kinds) == 1:
+        return _records_of_one_kind(spark, paths, kinds[0])
+    dest = scratch_path(spark, "xml-records")
+    _lines(spark, paths).mapInArrow(_scanner(tuple(kinds), FOREIGN), RECORDS_SQL) \
+        .withColumn("whole", F.col("part") == "whole").write.partitionBy("whole").parquet(dest)
+    found = spark.read.schema(f"{RECORDS_SQL}, whole boolean").parquet(dest)
+    return found.where("whole").select("file", F.struct("blk", "n").alias("record"), "xml") \
+        .unionByName(_put_together(found.where("not whole"), kinds))
 
 
 def parse_records(records: DataFrame, kinds=KINDS) -> DataFrame:

@@ -91,3 +91,72 @@ def test_records_that_used_to_be_lost(spark, tmp_dir):
     got = X.load_publications(spark, p).collect()
     assert sorted(r.title for r in got if r.title != "Open.") == ["Last.", "Last.", "When x < y and y > z hold."]
     assert len({r.pub_id for r in got}) == len(got)
+
+
+def _expected(text, kinds):
+    """The records of one text, by the scan's rule, straightforwardly."""
+    import re
+    alt, other = "|".join(kinds), "|".join(X.FOREIGN)
+    out, start = [], None
+    for m in re.finditer(rf"(</(?:{alt})>)|(<(?:{alt})(?:\s[^<>]*)?/>)|(<(?:{alt})(?=[\s>/]|$))|(<(?:{other})(?=[\s>/]|$))", text):
+        if start is not None:
+            out.append(text[start:m.end()] if m[1] else text[start:m.start()].rstrip("\n"))
+        start = m.start() if m[3] else None
+    return out
+
+
+def _messy(kinds, n=400):
+    parts = ["<?xml version='1.0'?>\n<bib>\n"]
+    for i in range(n):
+        k = kinds[i % len(kinds)]
+        body = f"<author>A{i % 7}</author>{chr(10) * (i % 3)}<title>T {i} {'long ' * (i % 40)}.</title>"
+        if i % 50 == 9:
+            body += "\n" + "\n".join(f"<note>{j}</note>" for j in range(300))  # longer than a split
+        if i % 31 == 3:
+            parts.append(f"<www key='w{i}'><title>none</title></www>")
+        if i % 29 == 5:
+            parts.append(f'<{k}\n key="e{i}"/>\n')
+        parts.append(f'<{k}{chr(10) if i % 5 == 0 else " "}key="r/{i}">{body}')
+        parts.append("" if i % 23 == 7 else f"</{k}>")
+        parts.append("\n" if i % 4 else "")
+    return "".join(parts) + f"<book><title>last</title></book>\n</bib>\n"
+
+
+def test_records_equal_a_plain_scan_whatever_the_splits(spark, tmp_dir):
+    for kinds in (X.KINDS, (X.UNIFIED,)):
+        text = _messy(kinds)
+        p = os.path.join(tmp_dir, f"messy{len(kinds)}.xml")
+        with open(p, "w") as f:
+            f.write(text)
+        want = sorted(_expected(text, kinds))
+        for size in ("700", "5000", "1000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            try:
+                rows = X.xml_records(spark, p, kinds).collect()
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+            assert sorted(r.xml for r in rows) == want, (kinds, size)
+            ordered = [r.xml for r in sorted(rows, key=lambda r: tuple(r.record))]
+            assert ordered == _expected(text, kinds), (kinds, size)
+
+
+def test_the_text_is_read_once_and_not_shuffled(spark, tmp_dir, capfd):
+    from tests.test_plans_and_entry import _plan
+    p = os.path.join(tmp_dir, "one.xml")
+    with open(p, "w") as f:
+        f.write(_messy((X.UNIFIED,), 50))
+    plan = _plan(X.xml_records(spark, p, (X.UNIFIED,)))
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan and "Window" not in plan
+    with open(p, "w") as f:
+        f.write(_messy(X.KINDS, 50))
+    scan = X._lines(spark, [p]).mapInArrow(X._scanner(X.KINDS, X.FOREIGN), X.RECORDS_SQL)
+    plan = _plan(scan)
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+    # of the stored records only those at split edges are shuffled
+    plan = _plan(X.xml_records(spark, p))
+    assert "FileScan text" not in plan
+    branches = plan.split("Union")[1]
+    whole = [b for b in branches.split("FileScan parquet") if "whole" in b][0]
+    assert "Exchange" not in whole.split("+- ")[0]
