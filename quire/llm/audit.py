@@ -274,7 +274,7 @@ def failures(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = whole.join(checked_broadcast(marked, LABELS), "doc_id", "left") \
         .select("doc_id", "text", "part", F.coalesce("labels", F.lit(0)).alias("labels"))
     merged = rows.mapInArrow(_merged(cuts), MERGED_SQL)
-    return merged.repartition(len(cuts) + 1, "range").mapInArrow(frugal(_walked), COUNTS_SQL) \
+    return merged.repartitionById(len(cuts) + 1, "range").mapInArrow(frugal(_walked), COUNTS_SQL) \
         .groupBy("part", "mask", "labels").agg(F.sum("n").alias("n"))
 
 
