@@ -13,10 +13,11 @@ from __future__ import annotations
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators.ordinal import with_global_ordinal
+from quire.session import checked_broadcast
 from quire.sinks.keyed import last_per_key
 from quire.sources.literal import literal_table
 
@@ -60,35 +61,120 @@ def chunk_plan(spark: SparkSession, table: DataFrame, order_by: list, key: str,
         "min_key", "max_key")
 
 
+def copy_totals(keys: list, columns: list) -> list:
+    """Aggregates that tell whether a copy is whole: rows, sum of the first key, sum of a hash of each row."""
+    return [F.count(F.lit(1)).alias("rows"), F.sum(F.col(keys[0])).alias("key_sum"),
+            F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("checksum")]
+
+
+def writers(table: DataFrame) -> int:
+    """Ranges that keep the cluster busy and are about a split of the input each."""
+    spark = table.sparkSession
+    return max(spark.sparkContext.defaultParallelism, table.rdd.getNumPartitions(),
+               int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ranged(table: DataFrame, keys: list, n: int, parallelism: int | None = None, first: int = 0) -> DataFrame:
+    """``table`` in P key ranges, sorted, with the number ``part`` (from ``first``) of its n-th share.
+
+    Rows of one key are spread over ranges by a hash of the row, and equal rows by where they come
+    from, so a key that a third of all rows share is many ranges, one after the other.
+    """
+    ranges = max(n, -(-(parallelism or writers(table)) // n) * n)
+    spread = [F.xxhash64(*table.columns), F.spark_partition_id()]
+    part = F.expr(f"cast({first} + spark_partition_id() div {ranges // n} as int)")
+    return table.repartitionByRange(ranges, *keys, *spread).withColumn("part", part).sortWithinPartitions("part", *keys)
+
+
 def range_copy(table: DataFrame, key, n: int, dest: str, mode: str = "overwrite",
-               max_records_per_file: int | None = None, parallelism: int | None = None
-               ) -> str:
-    """Q19 (T4, K6/K7): write ``table`` as n ordered parts ``part=0..n-1``.
+               max_records_per_file: int | None = None, parallelism: int | None = None,
+               observation: Observation | None = None) -> str:
+    """Q19 (T4, K6): write ``table`` as n ordered parts ``part=0..n-1``.
 
     The number of parts is the reference's thread count; the write itself is
     not tied to it: the table is range-partitioned into P ranges (P a
     multiple of n, at least the cluster's parallelism and the input's splits, so
-    a range is about a split) and range p belongs to part ``p * n / P``. Parts are therefore key-ordered and disjoint, and even
+    a range is about a split) and range p belongs to part ``p * n / P``. Parts are
+    therefore in key order (a key can go on in the next part) and even
     n = 1 is written by P tasks. Rows are sorted by key inside each range.
-    ``mode`` is ``overwrite`` (K6: drop and recreate) or ``append`` (K7);
-    ``max_records_per_file`` bounds file sizes on big tables.
+    ``mode`` is ``overwrite`` (K6: drop and recreate) or ``append``; see ``append_copy``
+    for an append that keeps the order (K7). ``max_records_per_file`` bounds file sizes
+    on big tables. ``observation`` gets ``copy_totals`` of the rows as they are written:
+    it stands behind the shuffle, in the tasks that write, which Spark counts once each.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    spark = table.sparkSession
-    want = parallelism or max(spark.sparkContext.defaultParallelism, table.rdd.getNumPartitions(),
-                              int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranges = max(n, -(-want // n) * n)
-    per_part = ranges // n
-    ranged = (table.repartitionByRange(ranges, *keys)
-                   .withColumn("part", F.expr(f"cast(spark_partition_id() div {per_part} as int)"))
-                   .sortWithinPartitions("part", *keys))
-    writer = ranged.write.mode(mode).partitionBy("part")
+    rows = ranged(table, keys, n, parallelism)
+    if observation is not None:
+        rows = rows.observe(observation, *copy_totals(keys, table.columns))
+    writer = rows.write.mode(mode).partitionBy("part")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     writer.parquet(dest)
     return dest
 
 
+# --- K7: append that keeps the order ------------------------------------------------
+
+FILES_SCHEMA = "file string, part int, rows bigint, begin bigint"
+
+
+def append_copy(table: DataFrame, key, n: int, dest: str) -> str:
+    """K7: add ``table`` to the copy at ``dest`` as n further ordered parts.
+
+    The parts go on after the last one, as slices appended to a file do. A manifest (one small
+    Parquet table a batch, written last) holds every file with its part, its rows and the position
+    of its first row; a batch without one, from a failed job, is never read, and is overwritten by the
+    next append. ``read_in_order`` gives every row its position from it.
+    """
+    spark, keys = table.sparkSession, [key] if isinstance(key, str) else list(key)
+    known = manifest(spark, dest)
+    last = known.agg(F.max("batch").alias("batch"), F.max("part").alias("part"), F.sum("rows").alias("rows")).first()
+    batch = -1 if last["batch"] is None else last["batch"]
+    part = -1 if last["part"] is None else last["part"]
+    home = f"{dest}/data/batch={batch + 1}"
+    ranged(table, keys, n, first=part + 1).write.mode("overwrite").partitionBy("part").parquet(home)
+    if not _folders(spark, home):  # no rows: the parts stay as they are
+        return dest
+    # files follow each other by part and by the number of the task that wrote them
+    files = spark.read.parquet(home).groupBy(F.col("_metadata.file_name").alias("file"), "part").agg(F.count(F.lit(1)).alias("rows"))
+    # one narrow row a file
+    before = Window.partitionBy(F.lit(0)).orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum("rows").over(before), F.lit(0)) + (last["rows"] or 0)
+    files.select("file", F.col("part").cast("int").alias("part"), "rows", begin.cast("bigint").alias("begin")) \
+        .coalesce(1).write.mode("overwrite").parquet(f"{dest}/manifest/batch={batch + 1}")
+    return dest
+
+
+def _folders(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return any(x.isDirectory() for x in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p))
+
+
+def manifest(spark: SparkSession, dest: str) -> DataFrame:
+    """``(file, part, rows, begin, batch)`` of an appended copy, ``begin`` the position of a file's first row."""
+    try:
+        return spark.read.schema(f"{FILES_SCHEMA}, batch int").parquet(f"{dest}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{FILES_SCHEMA}, batch int")
+
+
+def read_in_order(spark: SparkSession, dest: str, name: str = "position", max_files: int = 1_000_000) -> DataFrame:
+    """The rows of an appended copy with their ``part`` and 0-based position; no sort and no shuffle.
+
+    A row's position is its file's first one plus its place in the file. Rows are in key order
+    within a batch, and throughout if every batch's keys lie above those before.
+    """
+    files = manifest(spark, dest)
+    rows = spark.read.option("basePath", f"{dest}/data").parquet(*[
+        f"{dest}/data/batch={r[0]}" for r in files.select("batch").distinct().collect()])
+    rows = rows.withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+    begin = checked_broadcast(files.select(F.col("file").alias("_file"), F.col("begin").alias("_begin")), max_files)
+    return rows.join(begin, "_file").withColumn(name, F.col("_begin") + F.col("_row")) \
+        .drop("_file", "_row", "_begin", "batch")
+
+
 def slice_copy(table: DataFrame, order_by: list, n: int, dest: str) -> str:
     """Q19 in exact slices: parts of ``ceil(size / n)`` rows in ``order_by`` order.
 
@@ -119,36 +205,33 @@ def part_ranges(spark: SparkSession, dest: str, key: str) -> DataFrame:
 
 def copy_sweep(spark: SparkSession, table: DataFrame, key, dest_base: str,
                sizes_n: tuple = SWEEP, checksum_cols: list | None = None
-               ) -> tuple[DataFrame, dict[int, int]]:
-    """Q20: copy once per n, timed; returns (per-n check of the copies, millis by n).
-
-    The check reads every copy back, all columns: ``(n, rows, key_sum, checksum,
-    same)`` where checksum is the sum of a 64-bit hash of each row and ``same`` says
-    that count and checksum are the source's.
+               ) -> DataFrame:
+    """Q20: copy once per n, timed: ``(n, tasks, rows, key_sum, checksum, same, millis)``.
+
+    As in the reference n is how many write at once: the copy for n is written by its share of the
+    cluster's tasks, ``n`` of the largest ``n``. Rows, key sum and checksum (the sum of a 64-bit hash
+    of each row) are observed while a copy is written, so no copy is read again; ``same`` says that
+    rows and checksum are the source's. The last copy is read back, all columns, to prove what was
+    observed; a difference is an error.
     """
     cols = checksum_cols or table.columns
     keys = [key] if isinstance(key, str) else list(key)
-
-    def totals(df):
-        return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col(keys[0])).alias("key_sum"),
-                      F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("checksum"))
-
-    source = totals(table).first()
-    millis: dict[int, int] = {}
-    checks = []
+    source = table.agg(*copy_totals(keys, cols)).first()
+    share = -(-writers(table) // max(sizes_n))
+    out = []
     for n in sizes_n:
-        dest = f"{dest_base}/n={n}"
+        dest, seen = f"{dest_base}/n={n}", Observation(f"copy-{n}")
         t0 = time.perf_counter()
-        range_copy(table, key, n, dest)
-        millis[n] = int((time.perf_counter() - t0) * 1000)
-        same = F.col("rows").eqNullSafe(F.lit(source["rows"])) \
-            & F.col("checksum").eqNullSafe(F.lit(source["checksum"]).cast("decimal(38,0)"))
-        checks.append(totals(read_copy(spark, dest, table.columns))
-                      .select(F.lit(n).alias("n"), "rows", "key_sum", "checksum", same.alias("same")))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out, millis
+        range_copy(table.select(*cols), keys, n, dest, parallelism=n * share, observation=seen)
+        millis, got = int((time.perf_counter() - t0) * 1000), seen.get
+        same = got["rows"] == source["rows"] and got["checksum"] == source["checksum"]
+        out.append((n, n * share, got["rows"], got["key_sum"], got["checksum"], same, millis))
+    back = read_copy(spark, dest, cols).agg(*copy_totals(keys, cols)).first()
+    if (back["rows"], back["checksum"]) != (got["rows"], got["checksum"]):
+        raise RuntimeError(f"the copy at {dest} is not what was observed: {back} against {got}")
+    kind = table.agg(*copy_totals(keys, cols)).schema["key_sum"].dataType.simpleString()
+    return literal_table(spark, out, f"n int, tasks int, rows bigint, key_sum {kind}, checksum decimal(38,0), "
+                         "same boolean, millis bigint")
 
 
 def keyed_scan(table: DataFrame, key: str, start: int = 0) -> DataFrame:

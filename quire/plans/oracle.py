@@ -373,5 +373,7 @@ LEFT JOIN (
     q["copy_sweep"] = "\nUNION ALL\n".join(
         f"SELECT CAST({n} AS INTEGER) AS n, count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, true AS same "
         f"FROM lineitem" for n in SWEEP)
+    q["ordered_append"] = """
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, o_orderkey, o_custkey, o_totalprice FROM orders"""
     q["table_size"] = "SELECT count(*) AS coun FROM lineitem"
     return q

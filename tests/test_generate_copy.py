@@ -41,10 +41,11 @@ def test_range_copy_q19_order_and_content(spark, tmp_dir):
     src = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).alias("k"),
                                       (F.col("id") % 7).alias("v"))
     checksum = src.agg(F.sum(F.xxhash64("k", "v").cast("decimal(38,0)"))).first()[0]
-    checks, millis = copying.copy_sweep(spark, src, "k", os.path.join(tmp_dir, "sweep"))
-    for r in checks.collect():
-        assert r.rows == 5000 and r.checksum == checksum
-    assert set(millis) == set(copying.SWEEP)
+    checks = copying.copy_sweep(spark, src, "k", os.path.join(tmp_dir, "sweep")).collect()
+    for r in checks:
+        assert r.rows == 5000 and r.checksum == checksum and r.same and r.millis > 0
+    assert [r.n for r in checks] == list(copying.SWEEP)
+    assert [r.tasks for r in checks] == sorted({r.tasks for r in checks})   # n decides how many write
     parts = copying.part_ranges(spark, os.path.join(tmp_dir, "sweep", "n=8"), "k") \
         .orderBy("part").collect()
     assert [p.part for p in parts] == list(range(8))
@@ -107,3 +108,52 @@ def test_slices_are_those_of_the_chunk_plan(spark, tmp_dir):
     dest = copying.slice_copy(src, ["k"], 8, os.path.join(tmp_dir, "slices"))
     got = sorted((r.part, r.rows, r.min_key, r.max_key) for r in copying.part_ranges(spark, dest, "k").collect())
     assert got == [(c, e - b, b, e - 1) for c, b, e in copying.chunk_bounds(103, 8)]
+
+
+def test_copies_are_observed_while_they_are_written(spark, tmp_dir, monkeypatch):
+    """Only the source and the last copy are read; a copy that lacks rows is told by its observation."""
+    src = spark.range(0, 300).withColumnRenamed("id", "k")
+    reads = []
+    real = copying.read_copy
+    monkeypatch.setattr(copying, "read_copy", lambda s, d, c=None: reads.append(d) or real(s, d, c))
+    copying.copy_sweep(spark, src, "k", os.path.join(tmp_dir, "s"), sizes_n=(1, 2, 4)).collect()
+    assert [r.rsplit("/", 1)[1] for r in reads] == ["n=4"]
+    cut = copying.ranged
+    monkeypatch.setattr(copying, "ranged", lambda t, *a, **k: cut(t.where("k <> 7"), *a, **k))
+    got = copying.copy_sweep(spark, src, "k", os.path.join(tmp_dir, "t"), sizes_n=(2,)).first()
+    assert got.rows == 299 and not got.same
+
+
+def test_appended_parts_go_on_in_order_k7(spark, tmp_dir):
+    dest = os.path.join(tmp_dir, "ap")
+    src = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("v"))
+    for low in (0, 1000, 2000):
+        copying.append_copy(src.where((F.col("k") >= low) & (F.col("k") < low + 1000)), "k", 4, dest)
+    copying.append_copy(src.limit(0), "k", 4, dest)   # nothing to append changes nothing
+    rows = sorted((r.position, r.k, r.part) for r in copying.read_in_order(spark, dest).collect())
+    assert [(p, k) for p, k, _ in rows] == [(i, i) for i in range(3000)]
+    assert [p for *_, p in rows] == sorted(p for *_, p in rows) and rows[-1][2] == 11
+    # a batch whose job failed before its manifest is not seen, and the next append takes its place
+    copying.ranged(src, ["k"], 4, first=12).write.mode("overwrite").partitionBy("part").parquet(f"{dest}/data/batch=3")
+    assert copying.read_in_order(spark, dest).count() == 3000
+    copying.append_copy(src.where("k < 10"), "k", 2, dest)   # older keys: after all others, as in a file
+    rows = sorted((r.position, r.k) for r in copying.read_in_order(spark, dest).collect())
+    assert [k for _, k in rows[3000:]] == list(range(10)) and len(rows) == 3010
+
+
+def test_reading_in_order_needs_no_shuffle(spark, tmp_dir):
+    from tests.test_plans_and_entry import _plan
+    dest = copying.append_copy(spark.range(0, 100).withColumnRenamed("id", "k"), "k", 2, os.path.join(tmp_dir, "ns"))
+    plan = _plan(copying.read_in_order(spark, dest))
+    assert "Sort" not in plan and "Exchange hash" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_hot_key_is_many_ranges_t4(spark):
+    """A key that two thirds of the rows share, half of them equal rows."""
+    hot = spark.range(0, 8000, 1, 8).select(F.lit(5).alias("k"), F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(-1).alias("v"))
+    rest = spark.range(0, 4000, 1, 4).select((F.col("id") % 100).cast("int").alias("k"), F.col("id").alias("v"))
+    rows = copying.ranged(hot.unionByName(rest), ["k"], 4, parallelism=16).withColumn("p", F.spark_partition_id())
+    sizes = [r["count"] for r in rows.groupBy("p").count().collect()]
+    assert max(sizes) < 3 * 12000 / 16
+    ranges = sorted((r.p, r.a, r.b) for r in rows.groupBy("p").agg(F.min("k").alias("a"), F.max("k").alias("b")).collect())
+    assert all(x[2] <= y[1] for x, y in zip(ranges, ranges[1:]))
