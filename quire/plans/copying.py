@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators.ordinal import with_global_ordinal
-from quire.session import checked_broadcast
+from quire.session import checked_broadcast, holds_folders
 from quire.sinks.keyed import last_per_key
 from quire.sources.literal import literal_table
 
@@ -133,7 +133,7 @@ def append_copy(table: DataFrame, key, n: int, dest: str) -> str:
     part = -1 if last["part"] is None else last["part"]
     home = f"{dest}/data/batch={batch + 1}"
     ranged(table, keys, n, first=part + 1).write.mode("overwrite").partitionBy("part").parquet(home)
-    if not _folders(spark, home):  # no rows: the parts stay as they are
+    if not holds_folders(spark, home):  # no rows: the parts stay as they are
         return dest
     # files follow each other by part and by the number of the task that wrote them
     files = spark.read.parquet(home).groupBy(F.col("_metadata.file_name").alias("file"), "part").agg(F.count(F.lit(1)).alias("rows"))
@@ -145,19 +145,12 @@ def append_copy(table: DataFrame, key, n: int, dest: str) -> str:
     return dest
 
 
-def _folders(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return any(x.isDirectory() for x in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p))
-
-
 def manifest(spark: SparkSession, dest: str) -> DataFrame:
     """``(file, part, rows, begin, batch)`` of an appended copy, ``begin`` the position of a file's first row."""
-    try:
-        return spark.read.schema(f"{FILES_SCHEMA}, batch int").parquet(f"{dest}/manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{FILES_SCHEMA}, batch int")
+    schema = f"{FILES_SCHEMA}, batch int"
+    if not holds_folders(spark, f"{dest}/manifest"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{dest}/manifest")
 
 
 def read_in_order(spark: SparkSession, dest: str, name: str = "position", max_files: int = 1_000_000) -> DataFrame:

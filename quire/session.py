@@ -73,6 +73,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quire-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path as it names it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def holds_folders(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there and has folders: a table written without rows has none to read."""
+    fs, p = file_system(spark, path)
+    return fs.exists(p) and any(x.isDirectory() for x in fs.listStatus(p))
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of any store that Spark writes to; whether there was one."""
+    fs, p = file_system(spark, path)
+    return fs.delete(p, True)
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
 

@@ -22,11 +22,12 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import file_system, holds_folders, remove
+
 MANIFEST_SCHEMA = "bucket int, home string, rows bigint, buckets int, key string, schema string, key_version bigint"
 
 
@@ -44,12 +45,9 @@ class KeyedTable:
         self.homes = {r["bucket"]: (r["home"], r["rows"]) for r in found if r["bucket"] is not None}
 
     def _manifest(self, version: int | None) -> list:
-        try:
-            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/manifest")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not holds_folders(self.spark, f"{self.path}/manifest"):
             return []
+        rows = self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.path}/manifest")
         if version is None:
             version = rows.agg(F.max("key_version")).first()[0]
         return rows.where(F.col("key_version") == F.lit(version)).collect()
@@ -63,7 +61,7 @@ class KeyedTable:
         Of rows with one key the last by ``order`` stays (by all columns if none is given).
         """
         spark = rows.sparkSession
-        delete(spark, path)
+        remove(spark, path)
         table = cls.__new__(cls)
         table.spark, table.path, table.version = spark, path.rstrip("/"), 0
         table.key, table.buckets, table.schema, table.homes = key, buckets, rows.schema, {}
@@ -93,7 +91,7 @@ class KeyedTable:
         rows.drop("_new").sortWithinPartitions("key_bucket", self.key) \
             .write.mode("overwrite").partitionBy("key_bucket").parquet(data)
         written = self.spark.read.schema(self._stored_schema()).parquet(data) \
-            .groupBy("key_bucket").agg(F.count(F.lit(1)).alias("n")).collect() if self._holds_rows(data) else []
+            .groupBy("key_bucket").agg(F.count(F.lit(1)).alias("n")).collect() if holds_folders(self.spark, data) else []
         homes = {b: h for b, h in self.homes.items() if b not in touched}
         homes |= {r["key_bucket"]: (home, r["n"]) for r in written}
         about = (self.buckets, self.key, self.schema.json())
@@ -103,11 +101,6 @@ class KeyedTable:
             .write.mode("error").json(f"{self.path}/manifest/key_version={version}")
         return KeyedTable(self.spark, self.path, version)
 
-    def _holds_rows(self, data: str) -> bool:
-        """Whether any row was written: a folder without buckets cannot be read back."""
-        fs, path = _file_system(self.spark, data)
-        return any(s.isDirectory() for s in fs.listStatus(path))
-
     # --- reading -----------------------------------------------------------------
 
     def bucket_of(self, key: Column) -> Column:
@@ -174,31 +167,19 @@ class KeyedTable:
         """Remove the folders of versions that this one does not refer to, and older manifests; what was removed."""
         used = {self.folder(b) for b in self.homes}
         gone = []
-        fs, data = _file_system(self.spark, f"{self.path}/data")
+        fs, data = file_system(self.spark, f"{self.path}/data")
         for version in fs.listStatus(data):
             for bucket in fs.listStatus(version.getPath()):
                 path = bucket.getPath()
                 if bucket.isDirectory() and not any(path.toString().endswith(u) for u in used):
                     fs.delete(path, True)
                     gone.append(f"{version.getPath().getName()}/{path.getName()}")
-        for manifest in fs.listStatus(_file_system(self.spark, f"{self.path}/manifest")[1]):
+        for manifest in fs.listStatus(file_system(self.spark, f"{self.path}/manifest")[1]):
             if manifest.getPath().getName() != f"key_version={self.version}":
                 fs.delete(manifest.getPath(), True)
         return sorted(gone)
 
 
-def _file_system(spark: SparkSession, path: str):
-    """The Hadoop file system that holds ``path``, and the path as it names it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def delete(spark: SparkSession, path: str) -> bool:
-    """Remove a folder of any store that Spark writes to; whether there was one."""
-    fs, p = _file_system(spark, path)
-    return fs.delete(p, True)
-
-
 def last_per_key(rows: DataFrame, key: str, order: list) -> DataFrame:
     """The last row of each key by ``order`` (one partial maximum by task); rows without a key are left out."""
     rest = F.struct(*[F.col(c) for c in rows.columns])
