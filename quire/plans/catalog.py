@@ -141,32 +141,21 @@ def q_clique_articles(spark, sf_dir):
 HOST_A, HOST_B = "click", "view"
 
 
-def _log_dates(spark, sf_dir, event_types) -> dict:
-    """First date of each log (``None`` = all events): one small aggregate job.
-
-    The stand-in for the files' modification dates; a grouped minimum returns
-    one row per log.
-    """
-    ev = read_table(spark, sf_dir, "events")
-    out = {}
-    types = [t for t in event_types if t is not None]
-    if types:
-        for r in (ev.where(F.col("event_type").isin(*types)).groupBy("event_type")
-                    .agg(F.min("ts").alias("t")).collect()):
-            out[r["event_type"]] = r["t"].date()
-    if None in event_types:
-        t = ev.agg(F.min("ts").alias("t")).first()["t"]
-        out[None] = t.date() if t else None
-    return out
-
-
-def _dated_log(spark, sf_dir, event_type=None, log_date=None):
-    """Fixture log file -> numbered in file order (S4) -> parsed -> dated."""
+def _dated_log(spark, sf_dir, event_type=None):
+    """Fixture log file -> numbered in file order (S4) -> parsed -> dated by its file."""
     path = fixtures.load_log_files(spark, sf_dir, event_type)
-    if log_date is None:
-        log_date = _log_dates(spark, sf_dir, [event_type]).get(event_type)
     lines = ordered_lines(spark, path).select("line_no", "value")
-    return loadlog.with_day_roll(loadlog.parse_load_log(lines), log_date or "1970-01-01")
+    return loadlog.with_day_roll(loadlog.parse_load_log(lines), loadlog.file_date(spark, path) or "1970-01-01")
+
+
+def q_log_files(spark, sf_dir):
+    """Length and date of each log, from the listing of its files."""
+    out = None
+    for log, event_type in (("all", None), (HOST_A, HOST_A), (HOST_B, HOST_B)):
+        facts = loadlog.log_facts(spark, fixtures.load_log_files(spark, sf_dir, event_type)) \
+            .select(F.lit(log).alias("log"), "bytes", F.date_format("date", "yyyy-MM-dd").alias("date"))
+        out = facts if out is None else out.unionByName(facts)
+    return out
 
 
 def q_parse_load_log(spark, sf_dir):
@@ -184,10 +173,16 @@ def q_log_report_text(spark, sf_dir):
     return ordered_lines(spark, path).select("line_no", "value")
 
 
+# Fixed value: buckets of the stored logs.
+LOG_BUCKETS = 32
+
+
 def q_log_skew(spark, sf_dir):
-    dates = _log_dates(spark, sf_dir, [HOST_A, HOST_B])
-    return loadlog.log_skew(_dated_log(spark, sf_dir, HOST_A, dates.get(HOST_A)),
-                            _dated_log(spark, sf_dir, HOST_B, dates.get(HOST_B)))
+    """Q15 over two logs stored by line number (J3): the zip moves no line."""
+    a, b = (fixtures.stored_log(spark, sf_dir, host, lambda name, path, host=host: loadlog.store_log(
+        _dated_log(spark, sf_dir, host).select("line_no", "ts_sec"), name, path, LOG_BUCKETS))
+        for host in (HOST_A, HOST_B))
+    return loadlog.log_skew(a, b)
 
 
 # Set width and stride of the keyed sets; the part count of the
@@ -389,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_report": q_log_report,
     "log_report_text": q_log_report_text,
     "log_skew": q_log_skew,
+    "log_files": q_log_files,
     "answer_commands": q_answer_commands,
     "repeated_ints": q_repeated_ints,
     "int_sets": q_int_sets,

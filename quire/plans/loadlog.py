@@ -112,11 +112,25 @@ def log_report(dated: DataFrame) -> DataFrame:
     return stats.unionByName(even)
 
 
+def store_log(dated: DataFrame, name: str, path: str, buckets: int) -> DataFrame:
+    """A dated log as the catalog's table ``name``, bucketed and sorted by line number, its files at ``path``.
+
+    The lines are shuffled once, when the log is stored; any two logs stored with one number of
+    buckets are then joined by line where they lie.
+    """
+    spark = dated.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    dated.repartition(buckets, "line_no").write.mode("overwrite").option("path", path) \
+        .bucketBy(buckets, "line_no").sortBy("line_no").saveAsTable(name)
+    return spark.table(name)
+
+
 def log_skew(a: DataFrame, b: DataFrame) -> DataFrame:
     """Q15: ``(line_no, seconds)`` = time of line i in B minus line i in A.
 
     Both sides are dated logs; the positional zip is an inner equi join on the
-    line number, so it stops at the shorter log.
+    line number, so it stops at the shorter log. Logs that ``store_log`` has bucketed
+    alike are joined without a shuffle.
     """
     return (b.select("line_no", F.col("ts_sec").alias("_b"))
              .join(a.select("line_no", F.col("ts_sec").alias("_a")), "line_no")
@@ -139,27 +153,37 @@ def write_report(report: DataFrame, dest: str) -> str:
     return dest
 
 
-def file_length(spark: SparkSession, path) -> int:
-    """Total bytes of the files under ``path`` (-1 when nothing is there).
+def file_facts(spark: SparkSession, path) -> DataFrame:
+    """S9, S10 as a source: ``(file, bytes, modified)`` of every file under ``path``.
 
-    Read from the file listing (``binaryFile`` metadata, contents not loaded).
+    The listing only (``binaryFile`` without its contents); Spark lists no empty files.
     """
+    return spark.read.format("binaryFile").load(path).select(
+        F.col("path").alias("file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+
+
+def log_facts(spark: SparkSession, path) -> DataFrame:
+    """``(bytes, date)`` of a log: its length (S9), and the modification date of its first file."""
+    first = F.struct(*file_order())
+    return file_facts(spark, path).agg(F.sum("bytes").alias("bytes"),
+                                       F.min_by(F.to_date("modified"), first).alias("date"))
+
+
+def _facts(spark: SparkSession, path):
     try:
-        row = (spark.read.format("binaryFile").load(path)
-               .agg(F.sum("length").alias("n")).first())
+        return log_facts(spark, path).first()
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return -1
-        raise
-    return int(row["n"]) if row and row["n"] is not None else -1
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def file_date(spark: SparkSession, path):
-    """The modification date of a log's first file (its date for Z5).
+def file_length(spark: SparkSession, path) -> int:
+    """Total bytes of the files under ``path`` (-1 when nothing is there)."""
+    row = _facts(spark, path)
+    return -1 if row is None or row["bytes"] is None else int(row["bytes"])
 
-    Files come in ``file_order``; the listing is read, not the lines. Spark lists
-    no empty files, so ``None`` where there are only such.
-    """
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "modificationTime")
-    row = files.agg(F.min_by(F.to_date("modificationTime"), F.struct(*file_order())).alias("d")).first()
-    return row["d"] if row else None
+
+def file_date(spark: SparkSession, path):
+    """A log's date by its first file (in ``file_order``); ``None`` where there are only empty files."""
+    return log_facts(spark, path).first()["date"]

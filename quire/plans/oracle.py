@@ -352,6 +352,13 @@ WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R
 SELECT * FROM ({q["keyed_upsert"]})
 WHERE key IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = (SELECT max(l_quantity) FROM lineitem))"""
     q["keyed_copy"] = q["int_sets"]
+    logs = {"all": "", HOST_A: f"WHERE event_type = {_quote(HOST_A)}", HOST_B: f"WHERE event_type = {_quote(HOST_B)}"}
+    q["log_files"] = "\nUNION ALL\n".join(f"""
+SELECT {_quote(name)} AS log, (
+  WITH {_log("lg", where)[1:]}
+  SELECT CAST(sum(strlen(printf('%s up %s, %d %s, load average: %.2f, %.2f, %.2f', hms, uptime, users,
+         CASE WHEN users = 1 THEN 'user' ELSE 'users' END, load1, load5, load15)) + 1) AS BIGINT) FROM lg) AS bytes,
+  (SELECT strftime(min(ts), '%Y-%m-%d') FROM events {where}) AS date""" for name, where in logs.items())
     size = "(SELECT count(*) FROM orders)"
     parts = []
     for n in SWEEP:

@@ -13,10 +13,12 @@ fixtures are derived from the TPC-H-like tables, always over whole tables:
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import read_table, scratch_path, spread
+from quire.session import file_system, read_table, scratch_path, spread
 from quire.sources.literal import literal_table
 
 # Order priority -> venue path used in the url.
@@ -101,14 +103,27 @@ def load_log_files(spark: SparkSession, sf_dir: str, event_type: str | None = No
 
     A global sort writes range partitions in order, so part files follow each
     other in time and the log reads back in order by file name; lines are then
-    numbered by ``ordered_lines`` without a shuffle.
+    numbered by ``ordered_lines`` without a shuffle. As a log's date is its file's,
+    the files get the date of the first event as their modification date.
     """
     def write(p):
         lines = load_log_lines(spark, sf_dir, event_type)
         lines.orderBy("ts", "event_id").select("value").write.text(p)
+        noon = F.to_timestamp(F.date_format(F.min("ts"), "yyyy-MM-dd 12:00:00"))
+        stamp = lines.agg(F.unix_millis(noon).alias("t")).first()["t"]
+        fs, folder = file_system(spark, p)
+        for f in fs.listStatus(folder) if stamp is not None else ():  # one file a writing task
+            fs.setTimes(f.getPath(), stamp, -1)
     return _materialise(spark, ("log", sf_dir, event_type or "all"), write)
 
 
+def stored_log(spark: SparkSession, sf_dir: str, event_type: str, make) -> DataFrame:
+    """A log as ``make(table name, path)`` stores it, once per application."""
+    name = f"quire_log_{zlib.crc32(f'{sf_dir} {event_type}'.encode()):08x}"
+    _materialise(spark, ("stored-log", sf_dir, event_type), lambda p: make(name, p))
+    return spark.table(name)
+
+
 def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents.text`` as ``title`` (whole texts)."""
     return spread(read_table(spark, sf_dir, "documents").select(

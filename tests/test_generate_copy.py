@@ -157,3 +157,18 @@ def test_hot_key_is_many_ranges_t4(spark):
     assert max(sizes) < 3 * 12000 / 16
     ranges = sorted((r.p, r.a, r.b) for r in rows.groupBy("p").agg(F.min("k").alias("a"), F.max("k").alias("b")).collect())
     assert all(x[2] <= y[1] for x, y in zip(ranges, ranges[1:]))
+
+
+def test_sets_travel_as_bitmaps_and_merge(spark):
+    from tests.test_plans_and_entry import _plan
+    rows = [(v,) for v in (1, 2, 2, 4, 5, 6, 70_000, 32_768, 32_769, 65_536) for _ in range(3)]
+    values = spark.createDataFrame(rows, "v int")
+    plan = _plan(generate.int_sets(values, 100_000, 100_001))
+    assert "partial_bitmap_construct_agg" in plan and "collect_set" not in plan
+    assert generate.int_sets(values, 100_000, 100_001).first().data == [1, 2, 4, 5, 6, 32_768, 32_769, 65_536, 70_000]
+    a = generate.set_bitmaps(values.where("v < 5"), 4, 5)
+    b = generate.set_bitmaps(values.where("v >= 4"), 4, 5)
+    got = {r.i: r.data for r in generate.sets_of_bitmaps(generate.merged_bitmaps(a, b)).collect()}
+    whole = {r.i: r.data for r in generate.int_sets(values, 4, 5).collect()}
+    assert got == whole and got[0] == [1, 2, 4]
+    assert generate.int_sets(values.limit(0)).count() == 0

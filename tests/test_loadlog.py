@@ -108,3 +108,32 @@ def test_malformed_lines_are_null_not_errors(spark, tmp_dir):
     assert [r.day for r in rows] == [0, 0, 0, 1, 1]
     stats = {r.section: r.text for r in loadlog.log_report(d).collect() if r.ord == 0}
     assert stats["line_count"] == "5" and stats["span_seconds"] == "30"
+
+
+def test_stored_logs_are_joined_where_they_lie(spark, tmp_dir):
+    from tests.test_plans_and_entry import _plan
+    a, b = (loadlog.store_log(_dated(spark, tmp_dir, f"{n}.log", text, block=2), f"quire_test_{n}", os.path.join(tmp_dir, n), 4)
+            for n, text in (("a", LOG_A), ("b", LOG_B)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        skew = loadlog.log_skew(a, b)
+        got, plan = sorted((r.line_no, r.seconds) for r in skew.collect()), _plan(skew)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4)]
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+
+
+def test_file_facts_read_no_contents_s9_s10(spark, tmp_dir):
+    from tests.test_plans_and_entry import _plan
+    for name, text, day in (("part-00002.txt", "x" * 10, 3), ("part-00001.txt", "y" * 7, 2)):
+        p = os.path.join(tmp_dir, name)
+        with open(p, "w") as f:
+            f.write(text)
+        at = 1_700_000_000 + day * 86_400
+        os.utime(p, (at, at))
+    facts = {os.path.basename(r.file): r.bytes for r in loadlog.file_facts(spark, tmp_dir).collect()}
+    assert facts == {"part-00001.txt": 7, "part-00002.txt": 10}
+    row = loadlog.log_facts(spark, tmp_dir).first()
+    assert row.bytes == 17 and str(row.date) == "2023-11-16"
+    assert "content" not in _plan(loadlog.log_facts(spark, tmp_dir)).split("ReadSchema")[1]
