@@ -362,6 +362,17 @@ def q_answer_commands(spark, sf_dir):
     return read_answers(spark, out).drop("cmd_file")
 
 
+def q_stream_titles(spark, sf_dir):
+    """The ``author`` commands as a plain stream-static join into a file sink."""
+    from quire.streaming.commands import CommandService, read_titles
+    src = scratch_path(spark, "commands")
+    spark.createDataFrame([(c,) for c in COMMAND_LINES], "value string").coalesce(1).write.text(src)
+    service = CommandService(spark, fixtures.publications_table(spark, sf_dir), index_path=_index_path(spark, sf_dir))
+    out = scratch_path(spark, "titles")
+    service.start_titles(src, out, scratch_path(spark, "titles-ckpt"), available_now=True).awaitTermination()
+    return read_titles(spark, out).drop("cmd_file")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retag_records": q_retag_records,
     "xml_publications": q_xml_publications,
@@ -386,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_skew": q_log_skew,
     "log_files": q_log_files,
     "answer_commands": q_answer_commands,
+    "stream_titles": q_stream_titles,
     "repeated_ints": q_repeated_ints,
     "int_sets": q_int_sets,
     "chunk_plan": q_chunk_plan,

@@ -317,6 +317,11 @@ SELECT 'pub/' || CAST(pub_id AS VARCHAR) AS pub_key,
        || '<url>' || {esc.format(x="url")} || '</url>' || sep || '</article>' AS xml
 FROM r"""
     q["answer_commands"] = _answer_commands()
+    parsed = q["answer_commands"].split("a_items AS")[0].rstrip().rstrip(",")
+    q["stream_titles"] = f"""{parsed}
+SELECT cmd.cmd_line, cmd.arg, nn.pub_id, nn.title, nn.year
+FROM cmd JOIN idx ON idx.name_lc = cmd.arg JOIN nn ON nn.pub_id = idx.pub_id
+WHERE cmd.status = 'ok' AND cmd.op = 'author'"""
     q["repeated_ints"] = "SELECT CAST(l_orderkey AS INTEGER) AS v FROM lineitem"
     q["int_sets"] = f"""
 WITH k AS (

@@ -21,12 +21,13 @@ output (exactly once on top of the checkpointed source offsets).
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from quire.functions.commands import STATUS_INVALID, STATUS_OK, parse_clique, parse_command
 from quire.functions.text import render_article
@@ -232,15 +233,36 @@ class CommandService:
 
     def start(self, source_dir: str, out_dir: str, checkpoint: str,
               available_now: bool = False, max_files_per_trigger: int | None = None,
-              echo: int = 0) -> StreamingQuery:
-        """Stream form (file source; ``socket`` in ``socket_lines`` for a person)."""
+              echo: int = 0, interval: str = TRIGGER_INTERVAL) -> StreamingQuery:
+        """Stream form (file source; ``socket`` in ``socket_lines`` for a person).
+
+        Runs until it is stopped, a batch every ``interval`` (M1, M6), or with ``available_now`` until the
+        files that are there are answered. A stopped service goes on from its checkpoint.
+        """
         reader = self.spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         lines = reader.load(source_dir).select(
             "value", F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("_q_block"))
-        return self._start(lines, out_dir, checkpoint, available_now, echo=echo)
+        return self._start(lines, out_dir, checkpoint, available_now, echo=echo, interval=interval)
+
+    def start_titles(self, source_dir: str, out_dir: str, checkpoint: str, available_now: bool = False,
+                     max_files_per_trigger: int | None = None, interval: str = TRIGGER_INTERVAL) -> StreamingQuery:
+        """The ``author`` commands as one plain streaming plan (J4, M5), without ``foreachBatch``.
+
+        Command lines are joined with the stored entries, a stream-static join without state, and appended
+        to ``out_dir`` by the file sink, whose own log of committed files makes every answer appear once:
+        ``(cmd_file, cmd_line, arg, pub_id, title, year)``, a row an article (``read_titles``). Lines are
+        numbered within the row that a command file is read as.
+        """
+        reader = self.spark.readStream.format("text").option("wholetext", True)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        files = reader.load(source_dir).select("value", F.col("_metadata.file_path").alias("file"))
+        writer = title_stream(files, self.index).writeStream.format("parquet").outputMode("append") \
+            .option("path", out_dir).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
 
     def start_socket(self, host: str, port: int, out_dir: str, checkpoint: str,
                      echo: int = 0) -> StreamingQuery:
@@ -255,7 +277,7 @@ class CommandService:
                            numbering=_numbered_socket, echo=echo)
 
     def _start(self, lines: DataFrame, out_dir: str, checkpoint: str,
-               available_now: bool, numbering=None, echo: int = 0) -> StreamingQuery:
+               available_now: bool, numbering=None, echo: int = 0, interval: str = TRIGGER_INTERVAL) -> StreamingQuery:
         number = numbering or (lambda batch, _batch_id: _numbered(batch))
 
         def each_batch(batch: DataFrame, batch_id: int) -> None:
@@ -277,10 +299,50 @@ class CommandService:
         writer = (lines.writeStream.foreachBatch(each_batch)
                   .option("checkpointLocation", checkpoint))
         writer = writer.trigger(availableNow=True) if available_now \
-            else writer.trigger(processingTime=TRIGGER_INTERVAL)
+            else writer.trigger(processingTime=interval)
         return writer.start()
 
 
+class Progress(StreamingQueryListener):
+    """What a running service reports: the last ``keep`` batches that read lines, oldest first.
+
+    Added with ``spark.streams.addListener``. ``batches`` holds ``(batch id, input rows, milliseconds by phase)``;
+    ``ended`` the error (or None) of every query that came to its end.
+    """
+
+    def __init__(self, keep: int = 1_000):
+        self.batches: deque = deque(maxlen=keep)
+        self.ended: list = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if p.numInputRows:
+            self.batches.append((p.batchId, p.numInputRows, dict(p.durationMs)))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.append(event.exception)
+
+
+def title_stream(files: DataFrame, entries: DataFrame) -> DataFrame:
+    """The answers to the ``author`` commands of whole command files ``(value, file)``, batch or stream."""
+    lines = files.select("file", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("at", "value"))
+    cmds = parse_commands(lines.select(F.col("file").alias("cmd_file"), (F.col("at") + 1).cast("bigint").alias("cmd_line"), "value"))
+    asked = cmds.where((F.col("op") == "author") & (F.col("status") == STATUS_OK)).select(
+        "cmd_file", "cmd_line", "arg", F.col("arg").alias("name_lc"), name_bucket(F.col("arg")).alias("bucket"))
+    return asked.join(entries, ["bucket", "name_lc"]).select("cmd_file", "cmd_line", "arg", "pub_id", "title", "year")
+
+
+def read_titles(spark: SparkSession, out_dir: str) -> DataFrame:
+    """What ``start_titles`` has committed; files of an unfinished batch are not in the sink's log."""
+    return spark.read.parquet(out_dir)
+
+
 def _numbered(raw: DataFrame) -> DataFrame:
     """Line numbers per command file; the file's whole path keys a command."""
     n = number_lines(raw, per_file=True)
