@@ -128,6 +128,8 @@ def main(argv=None) -> int:
     if a.cmd == "serve" and not (a.commands or a.socket):
         p.error("serve needs --commands or --socket")
     a.fn(a)
+    from quire.session import clear_scratch
+    clear_scratch(_session())
     return 0
 
 

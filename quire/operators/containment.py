@@ -24,6 +24,8 @@ on the name, where AQE splits a hot name.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -101,6 +103,11 @@ def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id",
         .select(F.col("_key").alias(key), "pub_id", *carry)
 
 
-def persisted(df: DataFrame) -> DataFrame:
-    """Keep a table that several queries read."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def persisted(df: DataFrame):
+    """Keep a table while the queries in the block read it; it is let go at the block's end."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -12,11 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.containment import author_totals
+from quire.operators.containment import author_totals, persisted
 from quire.operators.ordinal import ordered_lines
 from quire.plans import bibliography as bib
 from quire.plans import copying, generate, loadlog
-from quire.session import read_table, scratch_path
+from quire.session import derive, read_table, scratch_path
 from quire.sinks.keyed import KeyedTable
 from quire.sources import fixtures
 from quire.sources.literal import literal_table
@@ -312,10 +312,13 @@ def q_retag_records(spark, sf_dir):
 
 
 def q_parquet_roundtrip(spark, sf_dir):
-    from quire.operators.containment import persisted
-    dest = scratch_path(spark, "pubs-parquet")
+    """Publications to Parquet and back, kept while two queries read them."""
+    dest, text = scratch_path(spark, "pubs-parquet"), scratch_path(spark, "pubs-text")
     fixtures.publications(spark, sf_dir).write.mode("overwrite").parquet(dest)
-    return bib.publications_text(persisted(spark.read.parquet(dest)))
+    with persisted(spark.read.parquet(dest)) as kept:
+        n = kept.count()
+        bib.publications_text(kept).withColumn("_of", F.lit(n)).write.parquet(text)
+    return spark.read.parquet(text).drop("_of")
 
 
 # The command lines of the service entry (one file, in order).
@@ -335,16 +338,10 @@ COMMAND_LINES = (
 )
 
 
-_INDEX_PATHS: dict[tuple, str] = {}
-
-
 def _index_path(spark, sf_dir) -> str:
     """One stored author index per application and input, like the table it
     indexes: the service builds it on first use and later runs reuse it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _INDEX_PATHS:
-        _INDEX_PATHS[key] = scratch_path(spark, "author-index")
-    return _INDEX_PATHS[key]
+    return derive(spark, ("author-index", sf_dir), lambda path: None)
 
 
 def q_answer_commands(spark, sf_dir):

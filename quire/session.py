@@ -6,7 +6,8 @@
   cluster names in ``spark.checkpoint.dir``; a private temporary folder is
   only used when nothing is configured (tests, local runs).
 * ``scratch_path`` -- where jobs write intermediate tables (round trips, copies):
-  under the checkpoint folder, so it is shared storage on a cluster.
+  under the checkpoint folder, so it is shared storage on a cluster;
+  ``clear_scratch`` removes them at the end of a run.
 * ``checked_broadcast`` -- broadcast a side only after counting that it is
   small; otherwise leave the join to Spark (sort-merge, AQE).
 """
@@ -67,10 +68,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: What an application has derived from its inputs and stored: key -> path under its scratch folder.
+derived: dict[tuple, str] = {}
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table, under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quire-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path for an intermediate table, under the shared checkpoint folder and the application's own."""
+    return f"{_scratch_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def derive(spark: SparkSession, key: tuple, write) -> str:
+    """The path of what ``write(path)`` stores, written once per application."""
+    full = (spark.sparkContext.applicationId, *key)
+    if full not in derived:
+        path = scratch_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
+        write(path)
+        derived[full] = path
+    return derived[full]
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove the application's intermediate tables, once its results are written; whether there were any.
+
+    Frames that still read them fail afterwards; what is derived is stored anew when it is asked for.
+    """
+    for key in [k for k in derived if k[0] == spark.sparkContext.applicationId]:
+        del derived[key]
+    return remove(spark, _scratch_folder(spark))
 
 
 def file_system(spark: SparkSession, path: str):

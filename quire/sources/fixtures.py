@@ -18,7 +18,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import file_system, read_table, scratch_path, spread
+from quire.session import derive, file_system, read_table, spread
 from quire.sources.literal import literal_table
 
 # Order priority -> venue path used in the url.
@@ -72,20 +72,6 @@ def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MATERIALISED: dict[tuple, str] = {}
-
-
-def _materialise(spark: SparkSession, key: tuple, write) -> str:
-    """Write a derived input once per application to shared scratch space."""
-    full = (spark.sparkContext.applicationId,) + key
-    path = _MATERIALISED.get(full)
-    if path is None:
-        path = scratch_path(spark, "-".join(str(k).strip("/").replace("/", "_") for k in key))
-        write(path)
-        _MATERIALISED[full] = path
-    return path
-
-
 def publications_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The publications as a stored Parquet table, the way the service reads them.
 
@@ -93,8 +79,7 @@ def publications_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet once, then answers every query from it); queries then scan the
     table like any other input, with column pruning and filter pushdown.
     """
-    path = _materialise(spark, ("pubs", sf_dir),
-                        lambda p: publications(spark, sf_dir).write.parquet(p))
+    path = derive(spark, ("pubs", sf_dir), lambda p: publications(spark, sf_dir).write.parquet(p))
     return spark.read.parquet(path)
 
 
@@ -114,13 +99,13 @@ def load_log_files(spark: SparkSession, sf_dir: str, event_type: str | None = No
         fs, folder = file_system(spark, p)
         for f in fs.listStatus(folder) if stamp is not None else ():  # one file a writing task
             fs.setTimes(f.getPath(), stamp, -1)
-    return _materialise(spark, ("log", sf_dir, event_type or "all"), write)
+    return derive(spark, ("log", sf_dir, event_type or "all"), write)
 
 
 def stored_log(spark: SparkSession, sf_dir: str, event_type: str, make) -> DataFrame:
     """A log as ``make(table name, path)`` stores it, once per application."""
     name = f"quire_log_{zlib.crc32(f'{sf_dir} {event_type}'.encode()):08x}"
-    _materialise(spark, ("stored-log", sf_dir, event_type), lambda p: make(name, p))
+    derive(spark, ("stored-log", sf_dir, event_type), lambda p: make(name, p))
     return spark.table(name)
 
 

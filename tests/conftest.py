@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from quire.session import ensure_checkpoint_dir  # noqa: E402
+from quire.session import clear_scratch, ensure_checkpoint_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -23,6 +23,7 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s
+    clear_scratch(s)
     s.stop()
 
 

@@ -63,3 +63,24 @@ def test_checked_broadcast_and_literal_tables(spark):
     joined = spark.range(0, 5).withColumnRenamed("id", "k").join(checked_broadcast(t, 10), "k")
     assert sorted(r.v for r in joined.collect()) == ["a", "b"]
     assert F is not None
+
+
+def test_scratch_tables_go_and_derived_ones_are_made_again(spark):
+    from quire.session import clear_scratch, derive, file_system, scratch_path
+    kept = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    made = []
+    first = derive(spark, ("test", "x"), lambda p: made.append(p) or spark.range(2).write.parquet(p))
+    assert derive(spark, ("test", "x"), made.append) == first and made == [first]
+    assert clear_scratch(spark)
+    fs, path = file_system(spark, kept)
+    assert not fs.exists(path)
+    again = derive(spark, ("test", "x"), lambda p: spark.range(2).write.parquet(p))
+    assert again != first and spark.read.parquet(again).count() == 2
+
+
+def test_persisted_table_is_let_go(spark):
+    from quire.operators.containment import persisted
+    with persisted(spark.range(10)) as kept:
+        assert kept.count() == 10 and kept.storageLevel.useMemory
+    assert not kept.storageLevel.useMemory
