@@ -31,6 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Most requests that are broadcast.
+MAX_REQUESTS = 1_000_000
+
+
 def lower_names(col: str = "author"):
     return F.transform(F.filter(col, lambda a: a.isNotNull()), lambda a: F.lower(a))
 
@@ -68,11 +72,12 @@ def rarest_names(requests: DataFrame, totals: DataFrame, key: str = "cmd_id") ->
     ``totals`` is ``(name_lc, n)``. Ties go to the first name; a request without names, or with one
     that ``totals`` does not have, matches nothing and is left out.
     """
-    asked = requests.select(key, "names", F.explode(F.array_distinct("names")).alias("name_lc"))
-    known = asked.join(totals.select("name_lc", "n"), "name_lc", "left")
-    place = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "name_lc")
-    return known.groupBy(key, "names").agg(F.min(place).alias("least")).where("least.n > 0") \
-        .select(key, "names", "least.name_lc", "least.n")
+    distinct = F.array_distinct("names")
+    asked = requests.select(key, "names", F.size(distinct).alias("_of"), F.explode(distinct).alias("name_lc"))
+    # an inner join, so that the requests can be sent to the totals
+    known = totals.select("name_lc", "n").join(asked, "name_lc")
+    return known.groupBy(key, "names", "_of").agg(F.min(F.struct("n", "name_lc")).alias("least"), F.count(F.lit(1)).alias("_known")) \
+        .where("_known = _of").select(key, "names", "least.name_lc", "least.n")
 
 
 def entries_of(pubs: DataFrame, asked: DataFrame, key: str = "cmd_id", carry: tuple = ()) -> DataFrame:
@@ -85,7 +90,7 @@ def entries_of(pubs: DataFrame, asked: DataFrame, key: str = "cmd_id", carry: tu
 
 
 def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id",
-               carry: tuple = (), totals: DataFrame | None = None) -> DataFrame:
+               carry: tuple = (), totals: DataFrame | None = None, request_rows: int | None = None) -> DataFrame:
     """``(key, pub_id, *carry)`` for every publication whose list holds all
     names of a request.
 
@@ -93,12 +98,17 @@ def containing(pubs: DataFrame, requests: DataFrame, key: str = "cmd_id",
     name listed m times must occur at least m times. A request without names
     matches nothing. ``totals`` (``name_lc, n``) are the publications by name;
     by default those of the requested names are counted first, in a pass that
-    sends one row a name and task. ``carry`` columns of the publication ride
-    along with the matches, so no join back to the whole table is needed.
+    sends one row a name and task. ``request_rows``, where the caller knows how
+    many requests there are, lets them be broadcast up to MAX_REQUESTS; else Spark
+    plans by its estimates, and AQE splits a hot name. ``carry`` columns of the
+    publication ride along with the matches, so no join back to the whole table
+    is needed.
     """
     if totals is None:
         totals = author_totals(pubs, requests.select(F.explode("names").alias("name_lc")))
     asked = rarest_names(requests, totals, key)
+    if request_rows is not None and request_rows <= MAX_REQUESTS:  # at most one row a request
+        asked = F.broadcast(asked)
     return entries_of(pubs, asked, key, carry).where(holds_all(F.col("_listed"), F.col("_names"))) \
         .select(F.col("_key").alias(key), "pub_id", *carry)
 

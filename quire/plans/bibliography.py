@@ -148,8 +148,8 @@ def clique_requests(commands: DataFrame) -> DataFrame:
                            p["min_count"].alias("min_count"), p["ok"].alias("ok"))
 
 
-def cliques_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None = None
-                ) -> tuple[DataFrame, DataFrame]:
+def cliques_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None = None,
+                request_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Q10 + Q11 for valid requests ``(cmd_id, names, min_count)``.
 
     Each request is joined on its rarest name, by ``totals`` (``name_lc, n``) or a count of the
@@ -161,7 +161,7 @@ def cliques_for(requests: DataFrame, pubs: DataFrame, totals: DataFrame | None =
     """
     valid = requests.where("ok").select("cmd_id", "names", "min_count")
     found = containing(pubs, valid.select("cmd_id", "names"),
-                       carry=("title", "author", "year"), totals=totals)
+                       carry=("title", "author", "year"), totals=totals, request_rows=request_rows)
     counts = found.groupBy("cmd_id").agg(F.count(F.lit(1)).alias("matches"))
     verdicts = (valid.join(counts, "cmd_id", "left")
                 .select("cmd_id", F.coalesce("matches", F.lit(0)).alias("matches"),
@@ -196,7 +196,7 @@ def coauthor_totals(spark: SparkSession, pubs: DataFrame, name: str) -> DataFram
 def clique(spark: SparkSession, pubs: DataFrame, arg: str) -> tuple[DataFrame, DataFrame]:
     """Q10/Q11 for one argument ``names[n]``: (verdict row, ranked articles)."""
     cmds = literal_table(spark, [(0, arg.lower())], "cmd_id bigint, arg string")
-    verdicts, articles = cliques_for(clique_requests(cmds), pubs)
+    verdicts, articles = cliques_for(clique_requests(cmds), pubs, request_rows=1)
     ranked = with_group_ordinal(articles, ["cmd_id"], title_order(), name="rank")
     return verdicts, ranked.select(
         "rank", render_article("title", "author", "year").alias("text"))

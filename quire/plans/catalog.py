@@ -116,12 +116,14 @@ def _clique_batch(spark, sf_dir):
     pubs = _pubs(spark, sf_dir)
     cmds = literal_table(spark, [(i, a) for i, a in enumerate(CLIQUE_ARGS)],
                          "cmd_id bigint, arg string")
-    return bib.clique_requests(cmds), pubs
+    # the lengths of the names' lists are stored once, as an inverted index has them
+    totals = derive(spark, ("author-totals", sf_dir), lambda path: author_totals(pubs).write.parquet(path))
+    return bib.clique_requests(cmds), pubs, spark.read.schema("name_lc string, n bigint").parquet(totals)
 
 
 def q_clique_check(spark, sf_dir):
-    req, pubs = _clique_batch(spark, sf_dir)
-    verdicts, _ = bib.cliques_for(req, pubs)
+    req, pubs, totals = _clique_batch(spark, sf_dir)
+    verdicts, _ = bib.cliques_for(req, pubs, totals, len(CLIQUE_ARGS))
     invalid = req.where(~F.col("ok")).select(
         "cmd_id", F.lit(None).cast("bigint").alias("matches"),
         F.lit("invalid input").alias("verdict"))
@@ -129,8 +131,8 @@ def q_clique_check(spark, sf_dir):
 
 
 def q_clique_articles(spark, sf_dir):
-    req, pubs = _clique_batch(spark, sf_dir)
-    _, articles = bib.cliques_for(req, pubs)
+    req, pubs, totals = _clique_batch(spark, sf_dir)
+    _, articles = bib.cliques_for(req, pubs, totals, len(CLIQUE_ARGS))
     ranked = bib.ranked_titles(articles)
     from quire.functions.text import render_article
     return ranked.select("cmd_id", "rank", "pub_id",

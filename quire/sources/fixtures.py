@@ -33,6 +33,10 @@ OTHER_VENUE = "conf/other"
 FIXTURE_STOP_WORDS = ("the", "of", "and", "a", "an", "to", "in")
 
 
+# The schema of the stored publications: known, so no read infers it.
+PUBLICATIONS_SCHEMA = "pub_id bigint, title string, author array<string>, year bigint, url string"
+
+
 def publications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(pub_id, title, author array<string>, year, url)``, one row per order.
 
@@ -80,7 +84,7 @@ def publications_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table like any other input, with column pruning and filter pushdown.
     """
     path = derive(spark, ("pubs", sf_dir), lambda p: publications(spark, sf_dir).write.parquet(p))
-    return spark.read.parquet(path)
+    return spark.read.schema(PUBLICATIONS_SCHEMA).parquet(path)
 
 
 def load_log_files(spark: SparkSession, sf_dir: str, event_type: str | None = None) -> str:
