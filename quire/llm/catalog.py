@@ -94,6 +94,8 @@ QUERIES = {
 
 #: The others have no SQL form; tests/llm holds brute-force versions.
 ORACLE_SQL: dict[str, str] = {
+    "op1_exact_topk": exact_topk.SQL,
+    "op2_ngram_jaccard": jaccard.oracle(),
     "op11_embedding_dedup": polytope.SQL,
     "op12_centroid_clustering": centroids.oracle(),
     "op13_filter_audit": audit.SQL,

@@ -125,3 +125,18 @@ def topk(df: DataFrame, k: int = 20, every: int = EVERY, id_col: str = "vec_id",
     key = ["dim", "block", "part"]
     found = queries.groupBy(*key).cogroup(rows.groupBy(*key)).applyInArrow(search, FOUND)
     return ranked(found, k).withColumn("query_id", F.col("query_id"))
+
+
+#: DuckDB: all scores, ranked; for ids that are not repeated.
+SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""

@@ -480,3 +480,27 @@ def keep_one(docs: DataFrame, n: int, percent: int) -> DataFrame:
     gone = stored(linked.select("place").join(kept, "place", "left_anti"))
     gone = checked_broadcast(gone.withColumnRenamed("place", "_jaccard_place"), BROADCAST_ROWS)
     return numbered.join(gone, "_jaccard_place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def oracle(n: int = N, percent: int = PERCENT) -> str:
+    """DuckDB SQL by counting the shingles that every two documents share; for ids that are not repeated."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest([array_to_string(w[i:i + {n - 1}], ' ') FOR i IN range(1, greatest(len(w) - {n - 1}, 1) + 1)]) AS s
+  FROM w WHERE len(w) > 0
+), z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), l AS (
+  SELECT p.a, p.b FROM p JOIN z x ON x.doc_id = p.a JOIN z y ON y.doc_id = p.b
+  WHERE 100 * inter >= {percent} * (x.n + y.n - inter)
+), r AS (
+  SELECT a AS doc_id, a AS root FROM l UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id
+), c AS (SELECT doc_id, min(root) AS root FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(z.n, 0) AS BIGINT) AS n_shingles, coalesce(c.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN z ON z.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
+"""
