@@ -25,8 +25,10 @@ capped.  Only k rows a query and part leave a task.
 
 Defined results: vectors null, empty, zero, or holding null or non-finite
 components, and rows without an id, take no part; vectors of different
-dimension are not compared; repeated rows count once per id and vector; a query is never
-its own candidate, nor are other rows of its id; no rows give an empty result.
+dimension are not compared; a repeated row is a candidate as often as it occurs, and a
+repeated query row is answered once; a query is never its own candidate, nor are other
+rows of its id; a product that is minus infinity or no number is not found; no rows give
+an empty result.
 """
 
 from __future__ import annotations
@@ -131,13 +133,15 @@ def band_of(norm: np.ndarray) -> np.ndarray:
 def nearest(df: DataFrame, k: int = 20, every: int = EVERY, id_col: str = "vec_id",
             vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k nearest found for every ``every``-th id."""
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    # a norm that under- or overflows has no band; such vectors count as zero or not finite
-    v = usable(df, id_col, vector_col).select(
-        "vec_id", "embedding", F.size("embedding").alias("dim"), norm.alias("norm")) \
-        .where((F.col("norm") > 0) & (F.col("norm") < float("inf"))) \
-        .withColumn("band", F.floor(F.log2("norm") + 0.5))
-    found = v.groupBy("dim", "band").agg(F.max("norm").alias("top"), F.count(F.lit(1)).alias("n")).collect()
+    # the largest component is taken out first, so that no norm over- or underflows
+    large = F.array_max(F.transform("embedding", lambda x: F.abs(x)))
+    rest = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + (x / F.col("large")) * (x / F.col("large"))))
+    v = usable(df, id_col, vector_col).select("vec_id", "embedding", F.size("embedding").alias("dim"), large.alias("large")) \
+        .where("large > 0").withColumn("rest", rest) \
+        .withColumn("band", F.floor(F.log2("large") + F.log2("rest") + 0.5))
+    norm = F.pow(F.lit(2.0), F.log2("large") - F.col("band")) * F.col("rest")  # within the band: 0.7 to 1.4
+    found = v.groupBy("dim", "band").agg((F.max(norm) * (1 + 1e-9)).alias("top"), F.count(F.lit(1)).alias("n")).collect()
+    v = v.drop("large", "rest")
     tops = {(r["dim"], r["band"]): r["top"] for r in found}
     slots = max(SLOTS, math.ceil(sum(r["n"] for r in found) / SLOT))
 
@@ -148,7 +152,7 @@ def nearest(df: DataFrame, k: int = 20, every: int = EVERY, id_col: str = "vec_i
         for rows, x in _by_dim(vectors):
             for b in np.unique(band[rows]):
                 of = band[rows] == b
-                p = x[of] / tops[x.shape[1], int(b)]
+                p = np.ldexp(x[of], -int(b)) / tops[x.shape[1], int(b)]
                 rest = np.sqrt(np.maximum(0.0, 1 - (p * p).sum(axis=1)))
                 for t in range(tables):
                     code[rows[of], t] = codes(np.hstack([p, rest[:, None]]), int(b), t)
@@ -162,7 +166,8 @@ def nearest(df: DataFrame, k: int = 20, every: int = EVERY, id_col: str = "vec_i
     def visit(vectors: pa.Array) -> pa.Array:
         out = [[] for _ in range(len(vectors))]
         for rows, x in _by_dim(vectors):
-            q = x / np.sqrt((x * x).sum(axis=1))[:, None]
+            q = x / np.abs(x).max(axis=1)[:, None]
+            q = q / np.sqrt((q * q).sum(axis=1))[:, None]
             for (dim, band) in tops:
                 for t in range(tables) if dim == x.shape[1] else ():
                     code = probe_codes(q, band, t, probes)
@@ -179,27 +184,27 @@ def nearest(df: DataFrame, k: int = 20, every: int = EVERY, id_col: str = "vec_i
     home = ["dim", "table", "slot"]
     index = v.withColumn("number", F.monotonically_increasing_id()) \
         .select("vec_id", "embedding", "dim", "number", F.explode(place("embedding", "band")).alias("p")) \
-        .select("vec_id", "embedding", "dim", "number", "p.*")
+        .select("vec_id", "embedding", "dim", F.col("number").alias("row"), "p.*")
     queries = v.where(F.pmod("vec_id", F.lit(every)) == 0).select("vec_id", "embedding", "dim").distinct() \
         .select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.col("dim").alias("dim"))
     visits = queries.select("query_id", "query", "dim", F.explode(visit("query")).alias("p")) \
         .select("query_id", "query", "dim", "p.*")
     parts = index.groupBy(*home).agg(F.ceil(F.count(F.lit(1)) / (2 * SLOT)).cast("int").alias("parts"))
     index = index.join(parts, home).withColumn(
-        "part", F.pmod(F.xxhash64("number"), F.col("parts")).cast("int")).drop("parts", "number")
+        "part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")).drop("parts")
     visits = visits.join(parts, home).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def search(key, left: pa.Table, right: pa.Table):
-        rows = _probe(left, right, k) if left.num_rows and right.num_rows else [np.zeros(0)] * 3
+        rows = _probe(left, right, k) if left.num_rows and right.num_rows else [np.zeros(0)] * 4
         return pa.table({"query_id": pa.array(rows[0].astype(np.int64)), "vec_id": pa.array(rows[1].astype(np.int64)),
-                         "score": pa.array(rows[2].astype(np.float64))})
+                         "row": pa.array(rows[2].astype(np.int64)), "score": pa.array(rows[3].astype(np.float64))})
 
     def best_of(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
         pairs = left.groupBy(*by).cogroup(right.groupBy(*by)) \
-            .applyInArrow(search, "query_id bigint, vec_id bigint, score double")
-        # a pair can be found in several tables, always with the same score
-        once = pairs.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            .applyInArrow(search, "query_id bigint, vec_id bigint, row bigint, score double")
+        # a row can be found in several tables, always with the same score; rows of one id stay apart
+        once = pairs.repartition("query_id").groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score"))
         return ranked(once, k)
 
     met = stored(best_of(visits, index, [*home, "part"]))
@@ -216,8 +221,9 @@ def nearest(df: DataFrame, k: int = 20, every: int = EVERY, id_col: str = "vec_i
                         every_of(blocks).alias("block"))
     # no more dimensions than the driver has in ``tops``
     right = v.join(F.broadcast(short.select("dim").distinct()), "dim", "left_semi") \
-        .withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")) \
-        .select("vec_id", "embedding", "dim", F.lit(0).cast("bigint").alias("code"), "block", every_of(q_parts).alias("part"))
+        .withColumn("row", F.monotonically_increasing_id()) \
+        .withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")) \
+        .select("vec_id", "embedding", "dim", "row", F.lit(0).cast("bigint").alias("code"), "block", every_of(q_parts).alias("part"))
     rest = best_of(left, right, ["dim", "block", "part"])
     return met.join(short.select("query_id").distinct(), "query_id", "left_anti").select(*met.columns).unionByName(rest)
 
@@ -226,6 +232,7 @@ def _probe(left: pa.Table, right: pa.Table, k: int):
     """k best of each query among the rows of its visited buckets, scored exactly."""
     q_ids, q = left["query_id"].to_numpy(), matrix(left["query"], np.float64)
     ids, x, code = right["vec_id"].to_numpy(), matrix(right["embedding"], np.float64), right["code"].to_numpy()
+    number = right["row"].to_numpy()
     buckets, of = np.unique(code, return_inverse=True)
     visited = left["codes"].combine_chunks()
     count = np.diff(visited.offsets.to_numpy())
@@ -247,12 +254,6 @@ def _probe(left: pa.Table, right: pa.Table, k: int):
         room = 1e-9 * (1 + np.abs(np.where(np.isfinite(kth), kth, 0)))
         r, c = np.nonzero((near >= (kth - room)[:, None]) & (near > -np.inf))
         score = np.einsum("pd,pd->p", q[a + r], x[c])
-        # equal rows of one id count once
-        keep = best(r, score, ids[c], len(ids))
-        r, c, score = r[keep], c[keep], score[keep]
-        first = np.ones(len(r), dtype=bool)
-        first[1:] = (r[1:] != r[:-1]) | (ids[c[1:]] != ids[c[:-1]]) | (score[1:] != score[:-1])
-        r, c, score = r[first], c[first], score[first]
         keep = best(r, score, ids[c], k)
-        out.append((q_ids[a + r[keep]], ids[c[keep]], score[keep]))
+        out.append((q_ids[a + r[keep]], ids[c[keep]], number[c[keep]], score[keep]))
     return [np.concatenate(p) for p in zip(*out, strict=True)]

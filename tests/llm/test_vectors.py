@@ -90,3 +90,12 @@ def test_recall_on_the_given_table(spark):
 def test_no_vectors(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert exact_topk.topk(empty).count() == 0 and lsh.nearest(empty).count() == 0
+
+
+def test_extreme_norms_and_rows_of_one_id_take_part(spark):
+    rows = [(20, [1.0, 0.5]), (1, [1e200, 0.0]), (2, [1e-200, 0.0]), (3, [5e-324, 0.0]), (4, [1.7e308, 1.7e308]),
+            (5, [0.25, 0.25]), (5, [0.5, 0.25]), (6, [0.25, 0.25]), (6, [0.25, 0.25]), (7, [-1e300, 1.0])]
+    df = spark.createDataFrame([(i, v, 2, 1) for i, v in rows], "vec_id bigint, embedding array<double>, dim int, label int")
+    got = [(r.vec_id, r.score) for r in lsh.nearest(df).where("query_id = 20").orderBy("rank").collect()]
+    want = sorted(((-(v[0] * 1.0 + v[1] * 0.5), i) for i, v in rows if i != 20))
+    assert got == [(i, -s) for s, i in want]
