@@ -15,7 +15,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The sizes the reference generates.
@@ -67,16 +67,20 @@ def merged_bitmaps(*parts: DataFrame) -> DataFrame:
 
 def sets_of_bitmaps(bitmaps: DataFrame) -> DataFrame:
     """``(i int, data array<int>)`` of keyed sets held as bitmaps, data in order."""
-    # bytes by their two hexadecimal digits; a byte's bits count from the lowest
-    held = F.transform(F.sequence(F.lit(0), F.octet_length("bits") - 1), lambda k: F.struct(
-        (k * 8).alias("first"), F.conv(F.substring(F.hex("bits"), k * 2 + 1, F.lit(2)), 16, 10).cast("int").alias("byte")))
-    places = F.flatten(F.transform(F.filter(held, lambda b: b["byte"] > 0), lambda b: F.transform(
+    # a set has few bitmaps, bounded by its width; they are opened where they have met
+    held = bitmaps.groupBy("i").agg(F.collect_list(F.struct("bucket", "bits")).alias("maps"))
+    return held.select("i", F.sort_array(F.flatten(F.transform("maps", lambda m: values_of(m["bucket"], m["bits"])))).alias("data"))
+
+
+def values_of(bucket: Column, bits: Column) -> Column:
+    """The values (array<int>) of one bitmap; a byte's bits count from the lowest."""
+    byte = lambda k: F.conv(F.hex(F.substring(bits, k + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.filter(F.transform(F.sequence(F.lit(0), F.octet_length(bits) - 1),
+                                lambda k: F.struct((k * 8).alias("first"), byte(k).alias("byte"))), lambda b: b["byte"] > 0)
+    places = F.flatten(F.transform(held, lambda b: F.transform(
         F.filter(F.sequence(F.lit(0), F.lit(7)), lambda j: F.getbit(b["byte"], j) == 1), lambda j: b["first"] + j)))
     size = F.lit(BITMAP_BITS)
-    value = lambda p: F.when(F.col("bucket") > 0, (F.col("bucket") - 1) * size + p + 1).otherwise(F.col("bucket") * size - p)
-    rows = bitmaps.select("i", F.transform(places, lambda p: value(p).cast("int")).alias("part"))
-    # a set has few bitmaps, bounded by its width
-    return rows.groupBy("i").agg(F.sort_array(F.flatten(F.collect_list("part"))).alias("data"))
+    return F.transform(places, lambda p: F.when(bucket > 0, (bucket - 1) * size + p + 1).otherwise(bucket * size - p).cast("int"))
 
 
 def set_summary(sets: DataFrame) -> DataFrame:

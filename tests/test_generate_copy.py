@@ -165,6 +165,7 @@ def test_sets_travel_as_bitmaps_and_merge(spark):
     values = spark.createDataFrame(rows, "v int")
     plan = _plan(generate.int_sets(values, 100_000, 100_001))
     assert "partial_bitmap_construct_agg" in plan and "collect_set" not in plan
+    assert "collect_list(struct(bucket" in plan  # the bitmaps are opened after the last exchange
     assert generate.int_sets(values, 100_000, 100_001).first().data == [1, 2, 4, 5, 6, 32_768, 32_769, 65_536, 70_000]
     a = generate.set_bitmaps(values.where("v < 5"), 4, 5)
     b = generate.set_bitmaps(values.where("v >= 4"), 4, 5)
