@@ -47,8 +47,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best segmentation and N best scores of every document."""
-    return pieces.encode(table(spark, sf_dir, "documents"))
+    """N best segmentations of every document: scores, sizes, digests and the ids themselves."""
+    return pieces.encode(table(spark, sf_dir, "documents"), with_ids=True).drop("ids")
 
 
 def op9_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:

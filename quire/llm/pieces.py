@@ -14,7 +14,8 @@ the greatest forward + edge + backward over edges off the best path.  The N-best
 list of a chunk is found by A-star search from its end to its start with the
 forward scores as exact heuristic, so only nodes of the N best paths are opened.
 A text's N best segmentations change at most N - 1 chunks, those whose second
-best is nearest to their best; their N-best lists are merged by a search over sums.
+best is nearest to their best; their N-best lists are merged by a search over sums,
+and every segmentation found is written out with its own ids.
 
 Scale: one scan, no shuffle; what a task keeps of distinct chunks is bounded by
 ``KEEP``.  Scores are whole numbers in the model, so sums are exact.
@@ -22,8 +23,8 @@ Scale: one scan, no shuffle; what a task keeps of distinct chunks is bounded by
 Defined results: null or empty text has no pieces, one (empty) segmentation of
 score 0; a text has fewer than N scores if it has fewer segmentations; ties in
 score are resolved to the longest last piece in the best segmentation; repeated
-rows get equal results; an empty table gives an empty result.  Decoding the ids
-gives the text back, a literal meta space (U+2581) as a blank.
+rows get equal results; an empty table gives an empty result.  Decoding the ids of
+any segmentation gives the text back, a literal meta space (U+2581) as a blank.
 """
 
 from __future__ import annotations
@@ -122,7 +123,7 @@ class Lattice:
         self.best = np.zeros(0)
         self.gap = np.zeros(0)
         self.ids = np.zeros(0, dtype=np.int32)
-        self.lists: dict[int, list[float]] = {}
+        self.lists: dict[int, list[tuple[float, np.ndarray]]] = {}
 
     # -- chunks of a block ------------------------------------------------
 
@@ -275,14 +276,21 @@ class Lattice:
 
     # -- N best ---------------------------------------------------------------
 
-    def n_best_scores(self, chunk: bytes, n: int) -> list[float]:
-        return [s for s, _ in self.segmentations(chunk, n)]
+    def path_ids(self, path: tuple[bytes, ...]) -> np.ndarray:
+        """The ids of a segmentation; a character without a piece gives one id a byte."""
+        ids = []
+        for piece in path:
+            ids += [self.of[piece][0]] if piece in self.of else [self.byte_id[b] for b in piece]
+        return np.array(ids, dtype=np.int32)
 
-    def n_best_of_entry(self, entry: int, n: int) -> list[float]:
-        """N best scores of a known chunk (its bytes are those of its pieces)."""
+    def n_best_of_entry(self, entry: int, n: int) -> list[tuple[float, np.ndarray]]:
+        """N best (score, ids) of a known chunk (its bytes are those of its pieces), its best ids first."""
         if entry not in self.lists:
             ids = self.ids[self.starts[entry]:self.starts[entry] + self.lengths[entry]]
-            self.lists[entry] = self.n_best_scores(self.decode_bytes(ids).tobytes(), n)
+            found = [(s, self.path_ids(p)) for s, p in self.segmentations(self.decode_bytes(ids).tobytes(), n)]
+            # of segmentations as good as the best, that of ``ids`` goes first
+            others = [x for x in found if not np.array_equal(x[1], ids)]
+            self.lists[entry] = [(found[0][0], ids), *others][:n]
         return self.lists[entry]
 
     def segmentations(self, chunk: bytes, n: int) -> list[tuple[float, tuple[bytes, ...]]]:
@@ -319,20 +327,20 @@ class Lattice:
                 count += 1
         return out
 
-    def text_scores(self, entries: np.ndarray, n: int) -> list[float]:
-        """N best scores of a text from its chunks."""
+    def text_segmentations(self, entries: np.ndarray, n: int) -> list[tuple[float, list[tuple[int, np.ndarray]]]]:
+        """N best segmentations of a text from its chunks: (score, [(chunk, its ids)] where they are not the best's)."""
         total = float(self.best[entries].sum())
         gaps = self.gap[entries]
         if n == 1 or not len(entries):
-            return [total]
-        some = np.argpartition(gaps, n - 2)[:n - 1] if len(entries) > n - 1 else np.arange(len(entries))
-        sums = [0.0]
-        for i in some:  # losses against the best; at most n are kept after each chunk
-            if not np.isfinite(gaps[i]):
-                continue
-            scores = self.n_best_of_entry(int(entries[i]), n)
-            sums = heapq.nsmallest(n, (a + scores[0] - s for a in sums for s in scores))
-        return [total - x for x in sums]
+            return [(total, [])]
+        some = np.sort(np.argpartition(gaps, n - 2)[:n - 1]) if len(entries) > n - 1 else np.arange(len(entries))
+        some = [int(i) for i in some if np.isfinite(gaps[i])]
+        lists = [self.n_best_of_entry(int(entries[i]), n) for i in some]
+        sums = [(0.0, ())]
+        for found in lists:  # losses against the best; at most n are kept after each chunk
+            sums = heapq.nsmallest(n, ((a + found[0][0] - s, (*taken, k)) for a, taken in sums for k, (s, _) in enumerate(found)))
+        return [(total - x, [(i, found[k][1]) for i, found, k in zip(some, lists, taken, strict=True) if k])
+                for x, taken in sums]
 
     # -- decoding -----------------------------------------------------------------
 
@@ -356,19 +364,22 @@ def lattice(path: str, n_best: int) -> Lattice:
 
 def encode(docs: DataFrame, path: str | None = None, n_best: int = N_BEST, id_col: str = "doc_id",
            text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """``(doc_id, n_pieces, scores, ids_crc32, decodes[, ids])`` of every row.
+    """``(doc_id, n_pieces, scores, ids_crc32, decodes, nbest_pieces, nbest_crc32[, ids, nbest_ids])`` of every row.
 
-    ``scores``: the N best segmentations', best first; ``ids``: the best one's;
-    ``decodes``: its ids give the text back.
+    ``scores``, ``nbest_pieces``, ``nbest_crc32``, ``nbest_ids``: the N best
+    segmentations' scores, numbers of ids, digests of their ids and ids, best
+    first; ``n_pieces``, ``ids_crc32``, ``ids``: the best one's; ``decodes``: the
+    ids of every segmentation give the text back.
     """
     path = path or vocabulary()
-    fields = "n_pieces: bigint, scores: array<double>, ids_crc32: bigint, decodes: boolean"
-    fields += ", ids: array<int>" if with_ids else ""
+    fields = "n_pieces: bigint, scores: array<double>, ids_crc32: bigint, decodes: boolean, " \
+             "nbest_pieces: array<bigint>, nbest_crc32: array<bigint>"
+    fields += ", ids: array<int>, nbest_ids: array<array<int>>" if with_ids else ""
 
     @F.arrow_udf(f"struct<{fields}>")
     def encoded(column: pa.Array) -> pa.Array:
         model = lattice(path, n_best)
-        count, scores, crc, good, all_ids = [], [], [], [], []
+        scores, lengths, crc, good, all_ids = [], [], [], [], []
         for b in blocks(column):
             if len(b.data):
                 entry, row = model.look_up(b)
@@ -376,29 +387,33 @@ def encode(docs: DataFrame, path: str | None = None, n_best: int = N_BEST, id_co
                 entry, row = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
             n = model.lengths[entry] if len(entry) else entry
             ids = model.ids[ragged(model.starts[entry], n)] if len(entry) else np.zeros(0, dtype=np.int32)
-            per_row = np.bincount(row, weights=n, minlength=b.rows).astype(np.int64)
-            ends, chunk_ends = np.cumsum(per_row), np.cumsum(np.bincount(row, minlength=b.rows))
-            raw = memoryview(ids.astype("<u4").view(np.uint8))
-            body = model.decode_bytes(ids) if len(ids) else np.zeros(0, dtype=np.uint8)
-            size = model.piece_offsets[ids + 1] - model.piece_offsets[ids] if len(ids) else ids
-            upto = np.concatenate(([0], np.cumsum(size)))
+            piece = np.concatenate(([0], np.cumsum(n)))  # place of every chunk's ids
+            chunk_ends = np.cumsum(np.bincount(row, minlength=b.rows))
             plain = _plain(b)
             for r in range(b.rows):
-                lo, hi = int(ends[r] - per_row[r]), int(ends[r])
-                first = int(chunk_ends[r - 1]) if r else 0
-                count.append(hi - lo)
-                scores.append(model.text_scores(entry[first:int(chunk_ends[r])], n_best))
-                crc.append(zlib.crc32(raw[4 * lo:4 * hi]))
-                text = body[upto[lo]:upto[hi]][1:]  # without the leading blank
-                good.append(bool(np.array_equal(text, plain(r))))
-                if with_ids:
-                    all_ids.append(ids[lo:hi])
-        columns = [pa.array(count, type=pa.int64()), pa.array(scores, type=pa.list_(pa.float64())),
-                   pa.array(crc, type=pa.int64()), pa.array(good, type=pa.bool_())]
-        names = ["n_pieces", "scores", "ids_crc32", "decodes"]
+                first, last = int(chunk_ends[r - 1]) if r else 0, int(chunk_ends[r])
+                text, whole = plain(r), True
+                found = model.text_segmentations(entry[first:last], n_best)
+                scores.append([s for s, _ in found])
+                lengths.append([])
+                crc.append([])
+                for _, changes in found:
+                    one = _changed(ids, piece, first, last, changes)
+                    lengths[-1].append(len(one))
+                    crc[-1].append(zlib.crc32(one.astype("<u4", copy=False).tobytes()))
+                    whole &= np.array_equal(model.decode_bytes(one)[1:], text)  # without the leading blank
+                    if with_ids:
+                        all_ids.append(one)
+                good.append(bool(whole))
+        columns = [pa.array([x[0] for x in lengths], type=pa.int64()), pa.array(scores, type=pa.list_(pa.float64())),
+                   pa.array([x[0] for x in crc], type=pa.int64()), pa.array(good, type=pa.bool_()),
+                   pa.array(lengths, type=pa.list_(pa.int64())), pa.array(crc, type=pa.list_(pa.int64()))]
+        names = ["n_pieces", "scores", "ids_crc32", "decodes", "nbest_pieces", "nbest_crc32"]
         if with_ids:
-            columns.append(pa.array(all_ids, type=pa.list_(pa.int32())))
-            names.append("ids")
+            of_row = np.concatenate(([0], np.cumsum([len(x) for x in lengths]))).astype(np.int64)
+            columns += [_id_lists([all_ids[i] for i in of_row[:-1]]),
+                        pa.ListArray.from_arrays(pa.array(of_row, type=pa.int32()), _id_lists(all_ids))]
+            names += ["ids", "nbest_ids"]
         return pa.StructArray.from_arrays(columns, names=names)
 
     slim = texts(docs, id_col, text_col)
@@ -406,5 +421,22 @@ def encode(docs: DataFrame, path: str | None = None, n_best: int = N_BEST, id_co
     return slim.select("doc_id", encoded("text").alias("e")).select("doc_id", "e.*")
 
 
+def _changed(ids: np.ndarray, piece: np.ndarray, first: int, last: int, changes) -> np.ndarray:
+    """The ids of the chunks from ``first`` to ``last``, those of some chunks replaced."""
+    if not changes:
+        return ids[piece[first]:piece[last]]
+    parts, at = [], piece[first]
+    for i, put in changes:
+        parts += [ids[at:piece[first + i]], put]
+        at = piece[first + i + 1]
+    return np.concatenate([*parts, ids[at:piece[last]]])
+
+
+def _id_lists(lists: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([len(x) for x in lists]) if lists else np.zeros(0, dtype=np.int64)
+    flat = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), type=pa.int32()), pa.array(flat, type=pa.int32()))
+
+
 def _plain(block):
     return lambda r: block.data[block.offsets[r]:block.offsets[r + 1]]
