@@ -49,6 +49,10 @@ MAX_KEY_NAMES = 1_000_000
 # need: rows are dealt to tasks by range, not by folder.
 INDEX_BUCKETS = 256
 
+# Entries that a task sorts: title and author list make some 400 bytes a row, so
+# about 100 MB, which a task holds without spilling.
+RANGE_ENTRIES = 250_000
+
 
 def name_bucket(name: Column) -> Column:
     return F.pmod(F.xxhash64(name), F.lit(INDEX_BUCKETS)).cast("int")
@@ -79,19 +83,22 @@ def build_index(spark: SparkSession, pubs: DataFrame, path: str) -> str:
 
     The folder is named by the source's version, so a changed table gets a new
     index, and a marker is written last, so an unfinished one is not trusted.
-    Entries are dealt by range of (bucket, name, publication) into as many tasks
-    as the source has splits, at least the shuffle partitions: a hot name spans
-    several files. Totals are one row a name.
+    Entries are dealt by range of (bucket, name, publication) into tasks of about
+    RANGE_ENTRIES each, at least as many as the source has splits and shuffle
+    partitions: a hot name spans several files, and no task's sort grows with the
+    table. Totals are one row a name; they are stored first, as their sum is the
+    number of entries.
     """
     home = f"{path.rstrip('/')}/{source_version(pubs)}"
     if not _finished(spark, home):
         ranges = max(pubs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-        (author_entries(pubs).repartitionByRange(ranges, "bucket", "name_lc", "pub_id")
-         .sortWithinPartitions("bucket", "name_lc")
-         .write.mode("overwrite").partitionBy("bucket").parquet(f"{home}/entries"))
         (author_totals(pubs).withColumn("bucket", name_bucket(F.col("name_lc")))
          .repartitionByRange(ranges, "bucket", "name_lc").sortWithinPartitions("bucket", "name_lc")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{home}/totals"))
+        entries = spark.read.schema("n bigint").parquet(f"{home}/totals").agg(F.sum("n")).first()[0] or 0
+        (author_entries(pubs).repartitionByRange(max(ranges, -(-entries // RANGE_ENTRIES)), "bucket", "name_lc", "pub_id")
+         .sortWithinPartitions("bucket", "name_lc")
+         .write.mode("overwrite").partitionBy("bucket").parquet(f"{home}/entries"))
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{home}/finished")
     return home
 
