@@ -18,7 +18,7 @@ best is nearest to their best; their N-best lists are merged by a search over su
 and every segmentation found is written out with its own ids.
 
 Scale: one scan, no shuffle; what a task keeps of distinct chunks is bounded by
-``KEEP``.  Scores are whole numbers in the model, so sums are exact.
+``KEEP``, and chunks are solved ``SOLVE_BYTES`` at a time.  Scores are whole numbers in the model, so sums are exact.
 
 Defined results: null or empty text has no pieces, one (empty) segmentation of
 score 0; a text has fewer than N scores if it has fewer segmentations; ties in
@@ -79,6 +79,7 @@ class Lattice:
     """The vocabulary, and what is known of distinct chunks."""
 
     KEEP = 500_000
+    SOLVE_BYTES = 1 << 16  # of chunks solved at once; an edge table has ``widest`` cells a byte
 
     def __init__(self, path: str, n_best: int):
         import sentencepiece
@@ -172,7 +173,10 @@ class Lattice:
     def _learn(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
         order = sorted(range(len(chunks)), key=lambda i: -len(chunks[i]))
         chunks, hashes = [chunks[i] for i in order], hashes[order]
-        best, gap, ids, lengths = self.solve(chunks)
+        run = np.cumsum([len(c) for c in chunks]) // self.SOLVE_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(chunks)]
+        solved = [self.solve(chunks[a:b]) for a, b in zip(cuts, cuts[1:])]
+        best, gap, ids, lengths = (np.concatenate(x) for x in zip(*solved, strict=True))
         entry = len(self.lengths) + np.arange(len(chunks))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
@@ -286,7 +290,8 @@ class Lattice:
     def n_best_of_entry(self, entry: int, n: int) -> list[tuple[float, np.ndarray]]:
         """N best (score, ids) of a known chunk (its bytes are those of its pieces), its best ids first."""
         if entry not in self.lists:
-            ids = self.ids[self.starts[entry]:self.starts[entry] + self.lengths[entry]]
+            # a copy: a view would hold all ids known so far for as long as the list stays
+            ids = self.ids[self.starts[entry]:self.starts[entry] + self.lengths[entry]].copy()
             found = [(s, self.path_ids(p)) for s, p in self.segmentations(self.decode_bytes(ids).tobytes(), n)]
             # of segmentations as good as the best, that of ``ids`` goes first
             others = [x for x in found if not np.array_equal(x[1], ids)]

@@ -307,6 +307,21 @@ def test_n_best_of_texts(spark):
     assert sp.decode(list(got[1].ids)) == "the cat." and all(r.decodes for r in got.values())
 
 
+def test_lists_of_chunks_hold_their_own_ids_only_and_runs_do_not_change_results():
+    """N-best lists that are views would hold the ids of all chunks known when they were made."""
+    chunks = sorted({b" " + w.encode() for w in "to be or not that is the question whether 'tis nobler \u6f22\u5b57".split()})
+    hashes = np.arange(len(chunks), dtype=np.uint64)
+    whole, parted = pieces.Lattice(pieces.vocabulary(), 4), pieces.Lattice(pieces.vocabulary(), 4)
+    parted.SOLVE_BYTES = 8
+    for m in (whole, parted):
+        m._learn(hashes, chunks)
+    for i in range(len(chunks)):
+        a, b = (m.n_best_of_entry(int(m.place[i]), 4) for m in (whole, parted))
+        assert [(s, x.tolist()) for s, x in a] == [(s, x.tolist()) for s, x in b]
+        assert whole.best[whole.place[i]] == parted.best[parted.place[i]] and whole.gap[whole.place[i]] == parted.gap[parted.place[i]]
+        assert all(x.base is None or x.base.nbytes <= x.nbytes for _, x in a)
+
+
 def test_pieces_of_awkward_rows(spark):
     got = pieces.encode(edge.documents(spark)).collect()
     assert len(got) == len(edge.ROWS) and all(r.decodes for r in got)
