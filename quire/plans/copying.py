@@ -11,13 +11,15 @@ is written in parallel. A lost executor only recomputes its own parts.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators.ordinal import with_global_ordinal
-from quire.session import checked_broadcast, holds_folders
+from quire.session import checked_broadcast, folders, holds_folders, hosts_ignored, remove, scratch_path
 from quire.sinks.keyed import last_per_key
 from quire.sources.literal import literal_table
 
@@ -86,9 +88,32 @@ def ranged(table: DataFrame, keys: list, n: int, parallelism: int | None = None,
     return table.repartitionByRange(ranges, *keys, *spread).withColumn("part", part).sortWithinPartitions("part", *keys)
 
 
+def stored_ranges(table: DataFrame, keys: list, ranges: int, dest: str) -> list[DataFrame | None]:
+    """``table`` dealt into key ranges and sorted once, at ``dest``: each range as a frame, None where it has no rows.
+
+    A range is one sorted file. Without the files' hosts ``coalesce`` takes neighbouring splits together, in order.
+    """
+    spark = table.sparkSession
+    ranged(table, keys, ranges, ranges).write.mode("overwrite").partitionBy("part").parquet(dest)
+    there = set(folders(spark, dest))
+    with hosts_ignored(spark):
+        return [spark.read.schema(table.schema).parquet(f"{dest}/part={r}") if f"part={r}" in there else None
+                for r in range(ranges)]
+
+
+def shares(ordered: list[DataFrame | None], n: int) -> dict[int, list[DataFrame]]:
+    """The ranges of each of ``n`` parts, for parts with rows."""
+    out: dict[int, list[DataFrame]] = {}
+    for r, rows in enumerate(ordered):
+        if rows is not None:
+            out.setdefault(r * n // len(ordered), []).append(rows)
+    return out
+
+
 def range_copy(table: DataFrame, key, n: int, dest: str, mode: str = "overwrite",
                max_records_per_file: int | None = None, parallelism: int | None = None,
-               observation: Observation | None = None) -> str:
+               observation: Observation | dict[int, Observation] | None = None,
+               ordered: list[DataFrame | None] | None = None) -> str:
     """Q19 (T4, K6): write ``table`` as n ordered parts ``part=0..n-1``.
 
     The number of parts is the reference's thread count; the write itself is
@@ -101,8 +126,29 @@ def range_copy(table: DataFrame, key, n: int, dest: str, mode: str = "overwrite"
     for an append that keeps the order (K7). ``max_records_per_file`` bounds file sizes
     on big tables. ``observation`` gets ``copy_totals`` of the rows as they are written:
     it stands behind the shuffle, in the tasks that write, which Spark counts once each.
+
+    ``ordered``: ``table`` as ``stored_ranges`` gives it. Nothing is dealt or sorted again: as in the
+    reference n threads write at once, each the neighbouring ranges of its part in ``parallelism / n``
+    tasks that go on from one range to the next; ``observation`` then holds one for each part.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if ordered is not None:
+        if mode == "overwrite":
+            remove(table.sparkSession, dest)
+
+        def write(part: int, ranges: list[DataFrame]) -> None:
+            rows = reduce(DataFrame.unionAll, ranges).coalesce(max((parallelism or len(ordered)) // n, 1))
+            if observation is not None:
+                rows = rows.observe(observation[part], *copy_totals(keys, table.columns))
+            writer = rows.write.mode(mode)
+            if max_records_per_file:
+                writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
+            writer.parquet(f"{dest}/part={part}")
+
+        with ThreadPoolExecutor(n) as threads:
+            for done in [threads.submit(write, *x) for x in shares(ordered, n).items()]:
+                done.result()
+        return dest
     rows = ranged(table, keys, n, parallelism)
     if observation is not None:
         rows = rows.observe(observation, *copy_totals(keys, table.columns))
@@ -196,13 +242,21 @@ def part_ranges(spark: SparkSession, dest: str, key: str) -> DataFrame:
                  F.max(key).alias("max_key")))
 
 
+def _total(parts: list[dict]) -> dict:
+    """``copy_totals`` of a whole copy from those of its parts."""
+    known = {k: [p[k] for p in parts if p[k] is not None] for k in ("rows", "key_sum", "checksum")}
+    return {k: sum(v) if v or k == "rows" else None for k, v in known.items()}
+
+
 def copy_sweep(spark: SparkSession, table: DataFrame, key, dest_base: str,
                sizes_n: tuple = SWEEP, checksum_cols: list | None = None
                ) -> DataFrame:
     """Q20: copy once per n, timed: ``(n, tasks, rows, key_sum, checksum, same, millis)``.
 
     As in the reference n is how many write at once: the copy for n is written by its share of the
-    cluster's tasks, ``n`` of the largest ``n``. Rows, key sum and checksum (the sum of a 64-bit hash
+    cluster's tasks, ``n`` of the largest ``n``. The table is dealt into key ranges and sorted once, for
+    the largest n; every copy reads these ranges, as the reference's threads read a file that is in order,
+    and no copy shuffles or sorts. Rows, key sum and checksum (the sum of a 64-bit hash
     of each row) are observed while a copy is written, so no copy is read again; ``same`` says that
     rows and checksum are the source's. The last copy is read back, all columns, to prove what was
     observed; a difference is an error.
@@ -211,12 +265,14 @@ def copy_sweep(spark: SparkSession, table: DataFrame, key, dest_base: str,
     keys = [key] if isinstance(key, str) else list(key)
     source = table.agg(*copy_totals(keys, cols)).first()
     share = -(-writers(table) // max(sizes_n))
+    chosen = table.select(*cols)
+    ordered = stored_ranges(chosen, keys, max(sizes_n) * share, scratch_path(spark, "ranges"))
     out = []
     for n in sizes_n:
-        dest, seen = f"{dest_base}/n={n}", Observation(f"copy-{n}")
+        dest, seen = f"{dest_base}/n={n}", {part: Observation(f"copy-{n}-{part}") for part in shares(ordered, n)}
         t0 = time.perf_counter()
-        range_copy(table.select(*cols), keys, n, dest, parallelism=n * share, observation=seen)
-        millis, got = int((time.perf_counter() - t0) * 1000), seen.get
+        range_copy(chosen, keys, n, dest, parallelism=n * share, observation=seen, ordered=ordered)
+        millis, got = int((time.perf_counter() - t0) * 1000), _total([x.get for x in seen.values()])
         same = got["rows"] == source["rows"] and got["checksum"] == source["checksum"]
         out.append((n, n * share, got["rows"], got["key_sum"], got["checksum"], same, millis))
     back = read_copy(spark, dest, cols).agg(*copy_totals(keys, cols)).first()

@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,6 +114,24 @@ def holds_folders(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and any(x.isDirectory() for x in fs.listStatus(p))
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders at ``path``."""
+    fs, p = file_system(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(p) if x.isDirectory()]
+
+
+@contextmanager
+def hosts_ignored(spark: SparkSession):
+    """Tables read inside know no hosts of their files, so their splits are grouped by their order alone."""
+    name = "spark.sql.sources.ignoreDataLocality"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Remove a folder of any store that Spark writes to; whether there was one."""
     fs, p = file_system(spark, path)
