@@ -52,6 +52,7 @@ N = 4
 PERCENT = 85
 HEAVY, HEAVY_TASK, HEAVY_LEAST = 1 << 16, 1 << 13, 32
 SALTS = 32
+COUNTED = 4  # common shingles that the last round asks of a pair at most
 BUNDLE = 512  # sets of a side in a task of the last round
 TURNS, TRIES, FEW = 1, 8, 64  # turns of merging at most, choices a turn; pairs a row that are few enough
 BROADCAST_ROWS = 1_000_000  # row numbers of 8 bytes
@@ -158,12 +159,22 @@ def required(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def reach(n, at, percent: int):
+    """Greatest size of a partner whose first ``COUNTED`` common shingles may lie as far back as place ``at``.
+
+    Sets of sizes n and m need ``required`` common shingles, and behind the k-th
+    of them are ``required - k``: it lies at place ``n - required + k - 1`` (from 0)
+    of the one set at most, and so in the other. Solved for m, with k = COUNTED.
+    """
+    return (100 * n - (100 + percent) * np.maximum(at - COUNTED + 1, 0)) // percent
+
+
 def _prefixes(n: int, percent: int, order: Order):
     def rows(batches):
         done: set[int] = set()  # nodes of this task; at most its rows
         for batch in batches:
             for b in blocks(batch.column(0)):
-                keys, nodes, sizes, lengths = [], [], [], []
+                keys, nodes, sizes, lengths, reaches = [], [], [], [], []
                 for s in row_sets(b, n):
                     name = set_name(s)
                     if not len(s) or name in done:
@@ -174,15 +185,18 @@ def _prefixes(n: int, percent: int, order: Order):
                     nodes.append(name)
                     sizes.append(len(s))
                     lengths.append(len(k))
+                    reaches.append(reach(len(s), np.arange(len(k)), percent))
                 if not keys:
                     continue
                 token = np.concatenate(keys)
                 node = np.repeat(np.array(nodes, dtype=np.int64), lengths)
                 salt = np.where(token >> U64(63) == 1, node.view(np.uint64) % U64(SALTS), U64(0))
+                # what differs from row to row stands together, so that shuffled rows compress
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(node),
+                    [pa.array(token.view(np.int64)), pa.array(np.concatenate(reaches).astype(np.int32)),
+                     pa.array(salt.astype(np.int32)), pa.array(node),
                      pa.array(np.repeat(np.array(sizes, dtype=np.int32), lengths))],
-                    names=["token", "salt", "node", "n"])
+                    names=["token", "reach", "salt", "node", "n"])
     return rows
 
 
@@ -225,29 +239,44 @@ def candidate_pairs(pairs: DataFrame, percent: int) -> DataFrame:
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def meetings(open_: DataFrame, label: DataFrame, percent: int) -> DataFrame:
-    """``(a, component)``: nodes and other components that could hold a partner of theirs.
+def pairings(open_: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """``(a, na, component, lo, hi)``: a node's shingle that a component with possible partners of it holds too.
 
     Nodes are matched with whole components (only with larger ones, ties by
-    name), counting how many of their shingles occur in each: one row a node,
-    shingle and component, not one a pair. A component whose members could not
-    reach the overlap with that many drops out.
+    name): one row a node, shingle and component, not one a pair. A shingle counts
+    only where it may be among a pair's first ``COUNTED`` common ones: in the first
+    half of the prefixes or so for like sizes, further back the less the sizes are
+    alike. So the ends of the prefixes, whose shingles have the largest groups,
+    make no rows.
     """
+    if "reach" not in open_.columns:  # places unknown: as far as the sizes allow
+        open_ = open_.withColumn("reach", F.floor(F.col("n") * 100 / percent + 1e-9))
     sizes = label.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     rows = open_.join(checked_broadcast(sizes, BROADCAST_ROWS), "component", "left") \
         .withColumn("size", F.coalesce("size", F.lit(1)))
-    groups = rows.groupBy("token", "component", "size").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    groups = rows.groupBy("token", "component", "size").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("reach").alias("reach"))
     y, c = rows.alias("y"), groups.alias("c")
     smaller = (F.col("y.size") < F.col("c.size")) \
         | ((F.col("y.size") == F.col("c.size")) & (F.col("y.component") < F.col("c.component")))
-    fits = (F.col("y.n") * 100 >= F.col("c.lo") * percent) & (F.col("c.hi") * 100 >= F.col("y.n") * percent)
-    met = y.join(c, (F.col("y.token") == F.col("c.token")) & smaller & fits) \
-        .groupBy(F.col("y.node").alias("a"), F.col("y.n").alias("na"), F.col("c.component").alias("component")) \
-        .agg(F.count(F.lit(1)).alias("shared"), F.min("c.lo").alias("lo"), F.max("c.hi").alias("hi"))
+    fits = (F.col("y.reach") >= F.col("c.lo")) & (F.col("c.reach") >= F.col("y.n"))
+    return y.join(c, (F.col("y.token") == F.col("c.token")) & smaller & fits).select(
+        F.col("y.node").alias("a"), F.col("y.n").alias("na"), F.col("c.component").alias("component"), "c.lo", "c.hi")
+
+
+def meetings(open_: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """``(a, component)``: nodes and other components that could hold a partner of theirs.
+
+    Counts how many of a node's shingles pair it with the component. A component
+    whose members could not reach the overlap with that many drops out; with
+    ``COUNTED`` of them it stays, as those further back were not counted.
+    """
+    met = pairings(open_, label, percent).groupBy("a", "na", "component") \
+        .agg(F.count(F.lit(1)).alias("shared"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     na = F.col("na")
     lo = F.greatest(F.col("lo"), F.ceil(na * percent / 100 - 1e-9))
     hi = F.least(F.col("hi"), F.floor(na * 100 / percent + 1e-9))
-    met = met.where(enough_between(F.col("shared"), na, lo, hi, percent))
+    met = met.where((F.col("shared") >= COUNTED) | enough_between(F.col("shared"), na, lo, hi, percent))
     return stored(met.select("a", "component"))
 
 
@@ -258,9 +287,9 @@ def with_hubs(rows: DataFrame, group: list[str]) -> DataFrame:
 
 
 def open_rows(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """``(token, node, n, component)`` of the shingles that several components share."""
-    labelled = shared.select("token", "node", "n").join(checked_broadcast(label, BROADCAST_ROWS), "node", "left") \
-        .select("token", "node", "n", F.coalesce("component", "node").alias("component"))
+    """``(token, node, n, reach, component)`` of the shingles that several components share."""
+    labelled = shared.select("token", "node", "n", "reach").join(checked_broadcast(label, BROADCAST_ROWS), "node", "left") \
+        .select("token", "node", "n", "reach", F.coalesce("component", "node").alias("component"))
     several = labelled.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .where("lo <> hi").select("token")
     return labelled.join(several, "token", "left_semi")
@@ -423,11 +452,12 @@ def link(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc
         picked = slim.select("place", "text").join(checked_broadcast(wanted, BROADCAST_ROWS), "place")
         return picked.select("node", "text").mapInArrow(frugal(rows), "node bigint, keys binary")
 
-    prefixes = slim.select("text").mapInArrow(frugal(_prefixes(n, percent, order)), "token bigint, salt int, node bigint, n int")
+    prefixes = slim.select("text").mapInArrow(
+        frugal(_prefixes(n, percent, order)), "token bigint, reach int, salt int, node bigint, n int")
     # the tasks' copies of a node meet in its shingles' groups
     once = prefixes.repartition("token", "salt").dropDuplicates(["token", "salt", "node"])
     seen = with_hubs(once, ["token", "salt"])
-    shared = stored(seen.where((F.col("size") > 1) | (F.col("token") < 0)).select("token", "salt", "node", "n", "hub"))
+    shared = stored(seen.where((F.col("size") > 1) | (F.col("token") < 0)).select("token", "salt", "node", "n", "reach", "hub"))
     hubs = shared.where("token < 0").groupBy("token", "salt").agg(F.min("hub").alias("hub"))
     tops = hubs.groupBy("token").agg(F.min("hub").alias("top"))
     pairs = shared.select(F.col("hub.node").alias("a"), F.col("hub.n").alias("na"), F.col("node").alias("b"),

@@ -68,6 +68,56 @@ def test_component_with_an_inner_size_is_met(spark):
     assert [tuple(r) for r in jaccard.meetings(open_, label, 85).collect()] == [(9, 1)]
 
 
+@pytest.mark.parametrize("percent", [85, 80])
+def test_linked_sets_share_what_reaches_them(percent):
+    """Any two linked sets: the common shingles in reach of both are as many as are asked for."""
+    rnd = random.Random(percent)
+    seen = set()
+    for _ in range(20_000):
+        na, nb = rnd.randrange(1, 60), rnd.randrange(1, 60)
+        if na * 100 < nb * percent or nb * 100 < na * percent:
+            continue
+        least = jaccard.required(na, nb, percent)
+        both = rnd.randrange(least, min(na, nb) + 1) if rnd.random() < 0.5 else least
+        # the worst places: what is not common comes first
+        order = [*"a" * (na - both), *"b" * (nb - both), *"c" * both]
+        if rnd.random() < 0.7:
+            rnd.shuffle(order)
+        a, b = ([i for i, x in enumerate(order) if x in who] for who in ("ac", "bc"))
+        ends = [jaccard.prefix_length(n, percent) for n in (na, nb)]
+        common = [(a.index(i), b.index(i)) for i, x in enumerate(order) if x == "c"]
+        shared = sum(i < ends[0] and j < ends[1] and jaccard.reach(na, i, percent) >= nb
+                     and jaccard.reach(nb, j, percent) >= na for i, j in common)
+        need = min(jaccard.COUNTED, _least_shared(na, nb, percent))
+        assert shared >= max(need, 1)
+        seen.add(shared == need)
+    assert seen == {True, False}
+
+
+def test_ends_of_prefixes_are_not_paired(spark, tmp_dir):
+    """Texts whose prefixes end in the same frequent shingles meet neither in rows of the join nor at all."""
+    rnd = random.Random(11)
+    some = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join([f"u{i}x{k}" for k in range(50)] + some), None, None, None) for i in range(60)]
+    near = [rows[0][1].split() for _ in range(30)]
+    for i, w in enumerate(near):
+        for _ in range(rnd.randrange(4)):
+            w[rnd.randrange(50)] = f"v{i}x{rnd.randrange(1000)}"
+        rows.append((100 + i, " ".join(w), None, None, None))
+    docs = edge.stored_documents(spark, tmp_dir + "/d", rows)
+    got = jaccard.link(docs, n=1).select("doc_id", "n_shingles", "component_id")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(edge.jaccard_components(rows, 1, 85))
+    # places 0 to 14 of sets of 90; the last of them are common to 40 nodes
+    n, percent = 90, 85
+    open_ = spark.createDataFrame(
+        [(at if at >= 12 else 1000 + 20 * node + at, node, n, int(jaccard.reach(n, at, percent)), node)
+         for node in range(40) for at in range(jaccard.prefix_length(n, percent))],
+        "token bigint, node bigint, n int, reach int, component bigint")
+    label = spark.createDataFrame([], "node bigint, component bigint")
+    assert not jaccard.pairings(open_, label, percent).count()
+    assert jaccard.pairings(open_.drop("reach"), label, percent).count() == 2 * 40 * 39 // 2
+
+
 # -- row numbers ---------------------------------------------------------------
 
 SPLITS = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
