@@ -35,6 +35,7 @@ every row whose id is its component's; no rows give an empty result.
 
 from __future__ import annotations
 
+import gc
 import math
 from functools import lru_cache
 
@@ -51,7 +52,11 @@ from quire.session import checked_broadcast
 LEAST = 0.9  # cosine of a link
 TABLES, PROBES, OCCUPANCY, ALTERNATIVES = 5, 4, 2, 6
 SKETCH, SIGMAS = 128, 5.0
+LARGE = 0.9  # deviations beyond which a coordinate of a sketch is large
+MATRIX = 256  # coordinates up to which a rotation is one product
 SLOT = 8_192  # rows of a task
+ENTRIES, LEAST_TASKS = 1 << 19, 64  # entries of a task of buckets, and how many tasks there are before they grow to that
+CHUNK_NODES = 1 << 14  # nodes whose entries are dealt at once
 HOT = 4_096  # nodes of a bucket that are compared with each other
 GROUP = 4_096  # nodes of a group that one task compares
 STEP = 0.02  # radians between the shells of a large group
@@ -84,14 +89,25 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / math.sqrt(width)
 
 
-def rotated(unit: np.ndarray, rotation: int) -> np.ndarray:
-    """``unit`` padded to a power of two and rotated."""
+@lru_cache(maxsize=256)
+def _matrix(width: int, rotation: int, kind: str) -> np.ndarray:
+    """A rotation written out, as it is the same for all rows: one product instead of all passes."""
+    x = np.eye(width)
+    for signs in _signs(width, rotation):
+        x = hadamard(x * signs)
+    return x.astype(kind)
+
+
+def rotated(unit: np.ndarray, rotation: int, keep: int | None = None) -> np.ndarray:
+    """``unit`` padded to a power of two and rotated; its first ``keep`` coordinates."""
     width = 1 << max(1, (unit.shape[1] - 1).bit_length())
+    if width <= MATRIX:
+        return unit @ _matrix(width, rotation, unit.dtype.str)[:unit.shape[1], :keep]
     x = np.zeros((len(unit), width))
     x[:, :unit.shape[1]] = unit
     for signs in _signs(width, rotation):
         x = hadamard(x * signs)
-    return x
+    return x[:, :keep]
 
 
 def buckets(unit: np.ndarray, table: int, bits: int, probes: int) -> np.ndarray:
@@ -101,31 +117,59 @@ def buckets(unit: np.ndarray, table: int, bits: int, probes: int) -> np.ndarray:
     rows = np.arange(len(unit))[:, None]
     for k in range(math.ceil(bits / full)):
         own = min(full, bits - k * full)
-        y = rotated(unit, table * 16 + k)[:, :1 << (own - 1)]
-        y = np.concatenate([y, -y], axis=1)
-        take = min(ALTERNATIVES, y.shape[1])
-        best = np.argpartition(-y, take - 1, axis=1)[:, :take] if take < y.shape[1] else np.broadcast_to(np.arange(take), (len(y), take))
-        loss = (y.max(axis=1)[:, None] - y[rows, best]) ** 2
+        y = rotated(unit, table * 16 + k, 1 << (own - 1))
+        half, away = y.shape[1], np.abs(y)
+        if half <= ALTERNATIVES:
+            y = np.concatenate([y, -y], axis=1)
+            take = min(ALTERNATIVES, y.shape[1])
+            best = np.argpartition(-y, take - 1, axis=1)[:, :take] if take < y.shape[1] else np.broadcast_to(np.arange(take), (len(y), take))
+            loss = (y.max(axis=1)[:, None] - y[rows, best]) ** 2
+        else:  # of a vertex and its opposite only one can be among the nearest
+            best = np.argpartition(-away, ALTERNATIVES - 1, axis=1)[:, :ALTERNATIVES]
+            loss = (away.max(axis=1)[:, None] - away[rows, best]) ** 2
+            best = best + half * (y[rows, best] < 0)
         code = ((code << own)[:, :, None] + best[:, None, :]).reshape(len(unit), -1)
         cost = (cost[:, :, None] + loss[:, None, :]).reshape(len(unit), -1)
-        order = np.argsort(cost, axis=1, kind="stable")[:, :probes]
-        code, cost = code[rows, order], cost[rows, order]
+        if cost.shape[1] > probes:
+            order = np.argpartition(cost, probes - 1, axis=1)[:, :probes]
+            code, cost = code[rows, order], cost[rows, order]
+    code = code[rows, np.argsort(cost, axis=1, kind="stable")]
     if code.shape[1] < probes:
         code = np.pad(code, ((0, 0), (0, probes - code.shape[1])), constant_values=-1)
     return code
 
 
 def sketch(unit: np.ndarray) -> np.ndarray:
-    """(rows, 2) words of sign bits."""
-    width = 1 << max(1, (unit.shape[1] - 1).bit_length())
-    y = np.concatenate([rotated(unit, 100_000 + r) for r in range(max(1, SKETCH // width))], axis=1)[:, :SKETCH]
-    return np.packbits(y > 0, axis=1).view(np.uint64)
+    """(rows, 2) words: the signs of 64 rotated coordinates, and which of them are large."""
+    width, half = 1 << max(1, (unit.shape[1] - 1).bit_length()), SKETCH // 2
+    y = np.concatenate([rotated(unit, 100_000 + r) for r in range(max(1, half // width))], axis=1)[:, :half]
+    return np.packbits(np.concatenate([y > 0, np.abs(y) > LARGE / math.sqrt(width)], axis=1), axis=1).view(np.uint64)
+
 
+def sketch_steps(x, large, other):
+    """Distance of two sketches, from the bits in which their words differ, ``x`` and ``large``, and what both have large.
 
-def sketch_limit(least: float = LEAST) -> int:
-    """Most differing sign bits of a candidate: SIGMAS deviations beyond the mean at the least cosine."""
-    p = math.acos(least) / math.pi
-    return math.floor(SKETCH * p + SIGMAS * math.sqrt(SKETCH * p * (1 - p)))
+    A coordinate is -3, -1, 1 or 3; its squared differences are counted in steps of 4: what
+    bits differ, 2 more where both words do, 8 more where signs differ and both are large.
+    """
+    return np.bitwise_count(x).astype(np.int64) + np.bitwise_count(large) \
+        + 2 * np.bitwise_count(x & large).astype(np.int64) + 8 * np.bitwise_count(x & other).astype(np.int64)
+
+
+@lru_cache(maxsize=256)
+def sketch_limit(least: float = LEAST, dim: int = SKETCH // 2) -> int:
+    """Most steps between the sketches of a candidate: SIGMAS deviations beyond the mean at the least cosine.
+
+    Both are taken from 4,096 fixed pairs of that dimension: rotated coordinates are
+    not independent, so sketches of all coordinates vary less than those of a part.
+    """
+    if dim < 2:
+        return 0  # the same direction, or the opposite one
+    x, z = (unit_rows(v) for v in np.random.default_rng(dim).standard_normal((2, 4_096, dim)))
+    z = unit_rows(z - np.einsum("rd,rd->r", x, z)[:, None] * x)
+    a, b = sketch(x), sketch(least * x + math.sqrt(max(0.0, 1 - least * least)) * z)
+    steps = sketch_steps(a[:, 0] ^ b[:, 0], a[:, 1] ^ b[:, 1], a[:, 1] & b[:, 1])
+    return math.ceil(steps.mean() + SIGMAS * steps.std())
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -179,36 +223,136 @@ def _named(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = narrow(df, vec_id=id_col, embedding=vector_col).select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         (F.col("embedding") if kind == "array<float>" else F.col("embedding").cast("array<double>")).alias("embedding"))
-    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = F.coalesce(finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
+    # compiled, as functions of each component are not: NaN is above infinity, and a search that finds nothing among nulls is null
+    top, bottom, inf = F.array_max("embedding"), F.array_min("embedding"), float("inf")
+    finite = (top < inf) & (bottom > -inf) & ~F.array_contains("embedding", F.lit(inf).cast(v.schema["embedding"].dataType.elementType))
+    usable = F.coalesce(finite & ((top > 0) | (bottom < 0)), F.lit(False))
     return v.select("vec_id", "embedding", F.when(usable, F.xxhash64("embedding")).alias("h1"),
                     F.when(usable, F.xxhash64(F.lit(LEAST), "embedding")).alias("h2"))
 
 
-def _hashed(bits: int, probes: int):
-    """Task: nodes with their sketch and their buckets in all tables."""
+def _keys(column, bits: int, probes: int):
+    """(row numbers, dimension, unit vectors, bucket keys, where there is a bucket) of each dimension of a list column."""
+    for rows, x in _dims(column):
+        unit = unit_rows(x)
+        single = unit.astype(np.float32)
+        code = np.concatenate([buckets(single, t, bits, probes) for t in range(TABLES)], axis=1)
+        table = np.repeat(np.arange(TABLES, dtype=np.uint64), probes)
+        # one number for table, dimension and bucket; a collision is only a further candidate
+        yield rows, x.shape[1], unit, mix64(code.astype(U64) * U64(TABLES) + table + (U64(x.shape[1]) << U64(48))), code >= 0
+
+
+#: What is shuffled for the buckets: all entries of up to 65,536 nodes for a task, as bytes.
+#: Kinds: bucket, node and sketch; bucket and node of a hot bucket; two nodes that one hot bucket holds.
+DEALT = "slot int, kind int, dim int, base bigint, entries binary"
+ENTRY = [np.dtype([("bucket", "<u4"), ("node", "<u2"), ("s1", "<u8"), ("s2", "<u8")]),
+         np.dtype([("bucket", "<u4"), ("node", "<u2")]), np.dtype([("a", "<u2"), ("b", "<u2")])]
+#: Nodes of a base: an entry holds the rest.
+BASE_BITS = 16
+
+
+def _packed(kind: int, dim: int, base: int, slot: np.ndarray, entries: np.ndarray):
+    """A row for each slot: its entries as bytes."""
+    order = np.argsort(slot.astype(np.uint16) if slot.max(initial=0) < 1 << 16 else slot, kind="stable")
+    slot, entries = slot[order], entries[order]
+    start = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
+    n, at = len(start), np.append(start, len(slot)) * entries.itemsize
+    blob = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(entries)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(slot[start].astype(np.int32)), pa.array(np.full(n, kind, dtype=np.int32)),
+         pa.array(np.full(n, dim, dtype=np.int32)), pa.array(np.full(n, base, dtype=np.int64)), blob],
+        names=["slot", "kind", "dim", "base", "entries"])
+
+
+def _dealt(bits: int, probes: int, slots: int, hot):
+    """Task: the entries of the nodes in their buckets of all tables, by slot; ``hot`` are the (broadcast) hot buckets."""
+
+    def rows_of(node, column):
+        for rows, dim, unit, key, there in _keys(column, bits, probes):
+            words, mine = sketch(unit), node[rows]
+            for base in np.unique(mine >> BASE_BITS):
+                at = np.flatnonzero(mine >> BASE_BITS == base)
+                local, there_ = (mine[at] & ((1 << BASE_BITS) - 1)).astype(np.uint16), there[at]
+                r, c = np.nonzero(there_)
+                k = key[at][r, c]
+                slot = ((k & U64(0xFFFFFFFF)) % U64(slots)).astype(np.int64)
+                entry = np.empty(len(r), dtype=ENTRY[0])
+                entry["bucket"], entry["node"] = k >> U64(32), local[r]
+                entry["s1"], entry["s2"] = words[at[r], 0], words[at[r], 1]
+                if len(hot.value):
+                    known = hot.value[np.minimum(np.searchsorted(hot.value, k), len(hot.value) - 1)] == k
+                    if known.any():
+                        yield from _stars(dim, int(base) << BASE_BITS, k[known], slot[known], entry[known])
+                        slot, entry = slot[~known], entry[~known]
+                if len(entry):
+                    yield _packed(0, dim, int(base) << BASE_BITS, slot, entry)
 
     def task(batches):
+        held, n = [], 0
         for batch in batches:
-            vectors = batch.column(batch.schema.get_field_index("embedding"))
-            words = np.zeros((len(vectors), 2), dtype=np.uint64)
-            codes = np.full((len(vectors), TABLES * probes), -1, dtype=np.int64)
-            for rows, x in _dims(vectors):
-                unit = unit_rows(x)
-                words[rows] = sketch(unit)
-                for t in range(TABLES):
-                    code = buckets(unit, t, bits, probes)
-                    # one number for table, dimension and bucket; a collision is only a further candidate
-                    key = mix64(code.astype(U64) * U64(TABLES) + U64(t) + (U64(x.shape[1]) << U64(48))).astype(np.int64)
-                    codes[rows, t * probes:(t + 1) * probes] = np.where(code < 0, key[:, :1], key)
-            flat = pa.ListArray.from_arrays(np.arange(0, codes.size + 1, codes.shape[1], dtype=np.int32), pa.array(codes.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *(pa.array(words[:, i].copy().view(np.int64)) for i in (0, 1)), flat],
-                names=[*batch.schema.names, "s1", "s2", "codes"])
+            held.append(batch)
+            n += batch.num_rows
+            if n >= CHUNK_NODES:
+                t = pa.Table.from_batches(held)
+                yield from rows_of(t["node"].to_numpy(), t["embedding"])
+                held, n = [], 0
+        if n:
+            t = pa.Table.from_batches(held)
+            yield from rows_of(t["node"].to_numpy(), t["embedding"])
 
     return frugal(task)
 
 
+def _stars(dim: int, base: int, key, slot, entry):
+    """Of the nodes in a hot bucket, the first goes to the bucket's slot; the others hang on it."""
+    order = np.lexsort((entry["node"], key))
+    key, slot, entry = key[order], slot[order], entry[order]
+    head = np.concatenate(([True], key[1:] != key[:-1]))
+    first = np.flatnonzero(head)
+    leader = np.empty(len(first), dtype=ENTRY[1])
+    leader["bucket"], leader["node"] = entry["bucket"][first], entry["node"][first]
+    yield _packed(1, dim, base, slot[first], leader)
+    pair = np.empty(int((~head).sum()), dtype=ENTRY[2])
+    pair["a"], pair["b"] = entry["node"][~head], entry["node"][first[np.cumsum(head) - 1][~head]]
+    if len(pair):
+        yield _packed(2, dim, base, np.full(len(pair), slot[0]), pair)
+
+
+TOGETHER, BLOCK = 64, 1 << 17  # nodes of buckets compared together, and pairs compared at once
+
+
+def near_pairs(bucket, s1, s2, limit: int):
+    """(i, j) of the pairs of equal ``bucket`` (sorted) whose sketches are within ``limit``, in pieces."""
+
+    def within(x, large, i, j):
+        """Of the places of differing bits, those that are near; the bits alone are never more than the steps."""
+        few = np.flatnonzero(np.bitwise_count(x).ravel() + np.bitwise_count(large).ravel() <= limit)
+        if len(few):
+            i, j = i(few), j(few)
+            few = sketch_steps(x.ravel()[few], large.ravel()[few], s2[i] & s2[j]) <= limit
+            i, j = i[few], j[few]
+            yield i, j
+
+    start = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(start, len(bucket)))
+    for n in np.unique(size[(size > 1) & (size <= TOGETHER)]):
+        mine = start[size == n]
+        for a in range(0, len(mine), max(1, BLOCK // n)):
+            first = mine[a:a + max(1, BLOCK // n)]
+            at = (np.arange(n)[:, None] + first[None, :])  # a row for each place in the bucket
+            x, y = s1[at], s2[at]
+            for d in range(1, n):
+                i = at[:n - d].ravel()
+                yield from within(x[d:] ^ x[:-d], y[d:] ^ y[:-d], lambda p, i=i: i[p], lambda p, i=i, d=d: i[p] + d)
+    for a, n in zip(start[size > TOGETHER], size[size > TOGETHER], strict=True):
+        step = max(1, min(64, BLOCK // n))  # by rows, so that little is compared twice
+        for b in range(a, a + n, step):
+            e, left = min(b + step, a + n), a + n - b
+            x, y = s1[b:e, None] ^ s1[None, b:a + n], s2[b:e, None] ^ s2[None, b:a + n]
+            for i, j in within(x, y, lambda p, b=b, w=left: b + p // w, lambda p, b=b, w=left: b + p % w):
+                yield i[i < j], j[i < j]
+
+
 def spanning_forest(bucket, node, s1, s2, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges that join what hangs together by pairs of one bucket with sketches within ``limit``."""
     order = np.argsort(bucket, kind="stable")
@@ -216,9 +360,8 @@ def spanning_forest(bucket, node, s1, s2, limit: int) -> tuple[np.ndarray, np.nd
     bucket, node, s1, s2 = bucket[order], node[order], s1[order].view(np.uint64), s2[order].view(np.uint64)
     names, of = np.unique(node, return_inverse=True)
     label, left, right, held = np.arange(len(names)), [], [], 0
-    for i, j in same_runs(bucket):
-        near = np.bitwise_count(s1[i] ^ s1[j]).astype(np.int64) + np.bitwise_count(s2[i] ^ s2[j]) <= limit
-        a, b = of[i[near]], of[j[near]]
+    for i, j in near_pairs(bucket, s1, s2, limit):
+        a, b = of[i], of[j]
         new = label[a] != label[b]
         left.append(a[new])
         right.append(b[new])
@@ -238,26 +381,50 @@ def _edges(a, b) -> pa.Table:
     return pa.table({"a": pa.array(np.asarray(a, dtype=np.int64)), "b": pa.array(np.asarray(b, dtype=np.int64))})
 
 
-def candidate_edges(nodes: DataFrame, n: int, probes: int, limit: int) -> DataFrame:
+def hot_buckets(nodes: DataFrame, n: int, bits: int, probes: int) -> np.ndarray:
+    """Sorted keys of the buckets of over HOT nodes, as every 16th node tells; both ways of treating a bucket are exact."""
+    if n <= HOT:
+        return np.zeros(0, dtype=np.uint64)
+
+    def task(batches):
+        for batch in batches:
+            for _, _, _, key, there in _keys(batch.column(0), bits, probes):
+                yield pa.RecordBatch.from_arrays([pa.array(key[there].view(np.int64))], names=["bucket"])
+
+    found = nodes.where(F.pmod(F.xxhash64("node"), F.lit(16)) == 0).select("embedding").mapInArrow(frugal(task), "bucket bigint") \
+        .groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * 16 > HOT).select("bucket").toArrow()
+    return np.sort(found["bucket"].to_numpy().view(np.uint64))
+
+
+def candidate_edges(nodes: DataFrame, n: int, bits: int, probes: int, least: float) -> DataFrame:
     """``(a, b)``: edges of a forest over all candidates."""
-    homes = nodes.select("node", "s1", "s2", F.explode(F.array_distinct("codes")).alias("bucket"))
-    # every 16th node tells which buckets are hot; both ways of treating a bucket are exact
-    hot = stored(homes.where(F.pmod(F.xxhash64("node"), F.lit(16)) == 0).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-                 .where(F.col("n") * 16 > HOT).select("bucket"))
-    stars = None
-    if hot.count():
-        known = checked_broadcast(hot, 1_000_000)
-        leader = homes.join(known, "bucket", "left_semi").groupBy("bucket").agg(F.min("node").alias("b"))
-        stars = homes.join(checked_broadcast(leader, 1_000_000), "bucket").where("node <> b").select(F.col("node").alias("a"), "b")
-        homes = homes.join(known, "bucket", "left_anti")
-    slots = max(1, math.ceil(n * TABLES * probes / SLOT))
+    entries = n * TABLES * probes
+    slots = max(1, math.ceil(entries / ENTRIES), min(LEAST_TASKS, math.ceil(entries / SLOT)))
+    hot = nodes.sparkSession.sparkContext.broadcast(hot_buckets(nodes, n, bits, probes))
 
     def task(t: pa.Table) -> pa.Table:
-        column = {c: t[c].to_numpy() for c in ("bucket", "node", "s1", "s2")}
-        return _edges(*spanning_forest(column["bucket"], column["node"], column["s1"], column["s2"], limit))
-
-    found = homes.withColumn("slot", F.pmod(F.xxhash64("bucket"), F.lit(slots))).groupBy("slot").applyInArrow(task, EDGE)
-    return found if stars is None else found.unionByName(stars)
+        out = [(np.zeros(0, dtype=np.int64),) * 2]
+        kinds, dims, bases = (t[c].to_numpy() for c in ("kind", "dim", "base"))
+        blobs = t["entries"]
+        for kind, dim in sorted({*zip(kinds.tolist(), dims.tolist(), strict=True)}):
+            rows = np.flatnonzero((kinds == kind) & (dims == dim))
+            read = [np.frombuffer(blobs[r].as_buffer(), dtype=ENTRY[kind]) for r in rows.tolist()]
+            entry, base = np.concatenate(read), np.repeat(bases[rows], [len(x) for x in read])
+            if kind == 2:
+                out.append((base + entry["a"], base + entry["b"]))
+                continue
+            node = base + entry["node"]
+            if kind == 0:
+                out.append(spanning_forest(entry["bucket"], node, entry["s1"], entry["s2"], sketch_limit(least, dim)))
+            else:
+                order = np.lexsort((node, entry["bucket"]))
+                bucket, node = entry["bucket"][order], node[order]
+                head = np.concatenate(([True], bucket[1:] != bucket[:-1]))
+                out.append((node[~head], node[np.flatnonzero(head)[np.cumsum(head) - 1][~head]]))
+        return _edges(*(np.concatenate(x) for x in zip(*out, strict=True)))
+
+    return nodes.select("node", "embedding").mapInArrow(_dealt(bits, probes, slots, hot), DEALT) \
+        .groupBy("slot").applyInArrow(task, EDGE)
 
 
 class Links:
@@ -462,24 +629,49 @@ def large_groups(rows: DataFrame, least: float) -> DataFrame:
         .select("node", F.coalesce("links", F.lit(0)).alias("links"), F.when(F.col("met"), F.col("least")).otherwise(F.col("own")).alias("least"))
 
 
+def _let_go(df: DataFrame, n: int) -> None:
+    """Of large tables, shuffle files that nothing reads again are removed now, not when the driver runs out of memory."""
+    if n > 1_000_000:
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """``(node, h1, h2, embedding, m, least)``: the different vectors, with how many rows each has and their least id."""
+    return stored(rows.where("h1 is not null").groupBy("h1", "h2").agg(
+        F.first("embedding").alias("embedding"), F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("least"))
+        .withColumn("node", F.monotonically_increasing_id()))
+
+
+def _homes(bits: int):
+    """Task: nodes with the bucket of the nearest vertices of the first table."""
+
+    def task(batches):
+        for batch in batches:
+            home = np.zeros(batch.num_rows, dtype=np.int64)
+            for rows, x in _dims(batch.column(batch.schema.get_field_index("embedding"))):
+                home[rows] = buckets(unit_rows(x).astype(np.float32), 0, bits, 1)[:, 0] + (x.shape[1] << 48)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home)], names=[*batch.schema.names, "home"])
+
+    return frugal(task)
+
+
 def near_duplicates(df: DataFrame, least: float = LEAST, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row."""
     rows = _named(df, id_col, vector_col)
-    n = rows.where("h1 is not null").count()
+    nodes = _distinct(rows)
+    n = nodes.count()
     bits = bucket_bits(n)
     probes = probes_for(bits)
     kind = rows.schema["embedding"].dataType.simpleString()
-    distinct = rows.where("h1 is not null").groupBy("h1", "h2").agg(
-        F.first("embedding").alias("embedding"), F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("least"))
-    nodes = stored(distinct.mapInArrow(
-        _hashed(bits, probes), f"h1 bigint, h2 bigint, embedding {kind}, m bigint, least bigint, s1 bigint, s2 bigint, codes array<bigint>")
-        .withColumn("node", F.monotonically_increasing_id()))
+    _let_go(nodes, n)
     # stored: the contraction reads its links more than once
-    group = stored(components(stored(candidate_edges(nodes, n, probes, sketch_limit(least)))))
+    group = stored(components(stored(candidate_edges(nodes, n, bits, probes, least))))
+    _let_go(nodes, n)
     size = group.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     large = stored(size.where(F.col("size") > GROUP).select("component"))
     n_large = large.count()
-    grouped = nodes.select("node", "m", "least", "embedding", F.col("codes")[0].alias("home")).join(checked_broadcast(group, 1_000_000), "node")
+    grouped = nodes.select("node", "m", "least", "embedding").join(checked_broadcast(group, 1_000_000), "node")
     few, n_few = grouped, group.count()
     if n_large:
         big = F.broadcast(large) if n_large < 1_000_000 else large
@@ -487,7 +679,9 @@ def near_duplicates(df: DataFrame, least: float = LEAST, id_col: str = "vec_id",
         n_few = group.join(big, "component", "left_anti").count()
     found = small_groups(few, n_few, least)
     if n_large:
-        found = found.unionByName(large_groups(grouped.join(big, "component", "left_semi"), least))
+        homed = grouped.join(big, "component", "left_semi").select("node", "m", "least", "embedding", "component") \
+            .mapInArrow(_homes(bits), f"node bigint, m bigint, least bigint, embedding {kind}, component bigint, home bigint")
+        found = found.unionByName(large_groups(stored(homed), least))
     found = stored(found)
     known = nodes.select("node", "h1", "h2", "m", "least").join(
         checked_broadcast(found.select("node", "links", F.col("least").alias("root"), F.lit(True).alias("met")), 1_000_000), "node", "left") \

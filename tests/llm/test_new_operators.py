@@ -125,6 +125,94 @@ def test_hadamard_keeps_lengths_and_is_its_own_inverse():
     assert np.allclose(np.linalg.norm(polytope.rotated(x, 3), axis=1), np.linalg.norm(x, axis=1))
 
 
+def _words(x):
+    words = polytope.sketch(x).view(np.int64)
+    return words[:, 0].copy(), words[:, 1].copy()
+
+
+def test_vectors_of_moderate_cosines_do_not_hang_together():
+    """At millions of rows a bucket holds many pairs of such cosines; they must not make one group of all."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((1500, 64))
+    centre = rng.standard_normal(64) * math.sqrt(0.4 / 0.6)
+    x = polytope.unit_rows(x + centre)
+    assert 0.35 < np.median(x @ x.T) < 0.45
+    near = np.array([_near(rng, v, 0.92) for v in x[:50]])
+    x = np.concatenate([x, near])
+    node = np.arange(len(x))
+    a, b = polytope.spanning_forest(np.zeros(len(x), dtype=np.int64), node, *_words(x), polytope.sketch_limit())
+    label = polytope.join_labels(node.copy(), a, b)
+    assert (label[:50] == label[1500:]).all()
+    assert np.bincount(label).max() < 60
+
+
+def test_pairs_within_the_limit_are_those_of_all_pairs():
+    rng = np.random.default_rng(9)
+    sizes = [1, 2, 2, 3, 63, 64, 65, 130, 300, 1]
+    centre = rng.standard_normal((len(sizes), 64))
+    x = np.concatenate([c + rng.uniform(0.2, 0.9) * rng.standard_normal((n, 64)) for c, n in zip(centre, sizes, strict=True)])
+    bucket = np.repeat(np.arange(len(sizes)), sizes)
+    words = polytope.sketch(polytope.unit_rows(x))
+    s1, s2 = words[:, 0].copy(), words[:, 1].copy()
+    bits = [np.unpackbits(w.view(np.uint8).reshape(-1, 8), axis=1).astype(int) for w in (s1, s2)]
+    level = (2 * bits[0] - 1) * (1 + 2 * bits[1])
+    steps = ((level[:, None, :] - level[None, :, :]) ** 2).sum(axis=2) // 4
+    for limit in (20, polytope.sketch_limit(), 70):
+        want = {(i, j) for i, j in zip(*np.nonzero((steps <= limit) & (bucket[:, None] == bucket[None, :])), strict=True) if i < j}
+        got = [p for i, j in polytope.near_pairs(bucket, s1, s2, limit) for p in zip(i.tolist(), j.tolist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_rotations_written_out_are_the_rotations(monkeypatch):
+    x = np.random.default_rng(10).standard_normal((7, 50))
+    whole = polytope.rotated(x, 5), polytope.rotated(x, 5, 9)
+    monkeypatch.setattr(polytope, "MATRIX", 0)
+    assert np.allclose(whole[0], polytope.rotated(x, 5)) and np.allclose(whole[1], polytope.rotated(x, 5, 9))
+
+
+def test_dealt_entries_hold_every_bucket_of_every_node():
+    """Also across the limits of a base and of dimensions; what a hot bucket holds hangs on its leader."""
+    import pyarrow as pa
+    rng = np.random.default_rng(12)
+    node = np.concatenate([np.arange(65_500, 65_580), (3 << 33) + np.arange(40)])
+    vectors = [rng.standard_normal(8 if i % 3 else 5).tolist() for i in range(len(node))]
+    batch = pa.RecordBatch.from_arrays([pa.array(node), pa.array(vectors)], names=["node", "embedding"])
+    bits, probes, slots = 6, 4, 5
+    want = {}
+    for rows, _, _, key, there in polytope._keys(batch.column(1), bits, probes):
+        for r, c in zip(*np.nonzero(there), strict=True):
+            want.setdefault(int(key[r, c]), set()).add(int(node[rows[r]]))
+    hot = sorted(want, key=lambda k: len(want[k]))[-3:]
+
+    class Hot:
+        value = np.sort(np.array(hot, dtype=np.uint64))
+
+    plain, leaders, pairs = {}, {}, []
+    for out in polytope._dealt(bits, probes, slots, Hot)([batch]):
+        for r in out.to_pylist():
+            e = np.frombuffer(r["entries"], dtype=polytope.ENTRY[r["kind"]])
+            if r["kind"] == 2:
+                pairs += zip(*((r["base"] + e[c].astype(int)).tolist() for c in "ab"), strict=True)
+                continue
+            for b, n in zip(e["bucket"].tolist(), (r["base"] + e["node"].astype(int)).tolist(), strict=True):
+                (leaders if r["kind"] else plain).setdefault((r["slot"], b), set()).add(n)
+    name = {k: ((k & 0xFFFFFFFF) % slots, k >> 32) for k in want}
+    assert plain == {name[k]: v for k, v in want.items() if k not in hot}
+    for k in hot:
+        hung = set(leaders[name[k]])
+        while more := {a for a, b in pairs if b in hung and a in want[k]} - hung:
+            hung |= more
+        assert hung == want[k]
+
+
+def test_floats_that_are_not_finite_have_no_links(spark):
+    bad = [None, float("nan"), float("inf"), float("-inf")]
+    rows = [(i, [1.0, b, 2.0] if b is None or not math.isinf(b) else [b, 1.0, 2.0]) for i, b in enumerate(bad)] * 2
+    rows += [(10, [0.0, -0.0, 0.0]), (10, [0.0, -0.0, 0.0]), (11, [-1.0, -2.0, 0.0]), (12, [-1.0, -2.0, 0.0]), (13, [])]
+    got = _got(polytope.near_duplicates(spark.createDataFrame(rows, "vec_id int, embedding array<float>")))
+    assert got == sorted([(i, 0, i, True) for i, _ in rows if i not in (11, 12)] + [(11, 1, 11, True), (12, 1, 11, False)], key=repr)
+
+
 # -- op12 --------------------------------------------------------------------
 
 def _kmeans(rows, k, rounds, dim, scale=256):
