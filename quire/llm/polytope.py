@@ -11,8 +11,10 @@ links each row has and the component it is in.
   ``OCCUPANCY`` nodes.  A node goes to the ``PROBES`` buckets of each table that lose
   least (further vertices, by the squared loss of their coordinates), so two nodes meet
   where their probe lists meet.
-* Nodes of one bucket whose 128 sign bits differ in few places are candidates.  Only a
-  spanning forest of them leaves a task.  What hangs together by candidates is a
+* Nodes of one bucket whose sketches of 128 bits (sign and magnitude of 64 rotated
+  coordinates) are near are candidates.  Sign bits alone let pairs of a cosine of 0.5 to
+  0.6 pass, of which a large table has so many that all nodes would be one group.  Only a
+  spanning forest of candidates leaves a task.  What hangs together by candidates is a
   *group*; a pair can be linked only within one.
 * Links are verified in double precision on the vectors, every pair of a group once.
   Groups of at most ``GROUP`` nodes are dealt in batches, with a task's links counted
@@ -21,10 +23,11 @@ links each row has and the component it is in.
   prove that two shells are linked throughout, or not at all, they are counted as a
   whole; the rest is compared block against block.
 
-Scale: the first shuffle carries bucket, node and 16 bytes of sketch, no vectors; vectors
-move once for the nodes and once more for those that have candidates.  Buckets hold the
-same number of nodes at any size of the table.  A bucket of over ``HOT`` nodes is
-gathered as one group without comparing its sketches.  No list of pairs is ever written.
+Scale: the shuffle of the buckets carries bucket, node and 16 bytes of sketch, 22 bytes an
+entry, packed by slot, no vectors; vectors move once for the nodes and once more to find
+those that have candidates.  Buckets are the first choice of the same number of nodes at any size of the
+table.  A bucket of over ``HOT`` nodes is gathered as one group without comparing its
+sketches, by its first nodes of each chunk.  No list of pairs is ever written.
 
 Defined results: vectors null, empty, zero, or holding null or non-finite components
 have no links and are their own component; vectors of different dimension are not
